@@ -151,3 +151,140 @@ def review_counts(spark, sf_dir):
         _long(F.size("reviews")).alias("added"),
         A.injected_count_col(F.col("grouped"), F.col("n_lines")).alias("injected"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Source index over the synthetic code corpus
+# ---------------------------------------------------------------------------
+_INDEX_MEMO: dict = {}
+
+
+def code_index(spark, sf_dir):
+    """Files and their index records; the parse runs once per session and is checkpointed."""
+    from sourcelens.operators import index as I
+    from sourcelens.session import ensure_checkpoint_dir
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INDEX_MEMO:
+        ensure_checkpoint_dir(spark)
+        files = S.code_files(spark, sf_dir).checkpoint(eager=True)
+        _INDEX_MEMO[key] = (files, I.extract(files).checkpoint(eager=True))
+    return _INDEX_MEMO[key]
+
+
+@query
+def skeleton(spark, sf_dir):
+    """E1 + A1: one skeleton entry per file with definitions."""
+    from sourcelens.operators import index as I
+
+    _, idx = code_index(spark, sf_dir)
+    return I.skeleton_entries(idx).select("project", "path", "n_names", "entry")
+
+
+def _search_requests(spark, sf_dir):
+    from sourcelens.operators import lookup as L
+
+    calls = L.classify_arguments(S.tool_calls(spark, sf_dir))
+    req = calls.where((F.col("name") == "search_symbol") & (F.col("arg_status") == "object")).select(
+        F.lit(S.CODE_PROJECT).alias("project"), L.arg("symbol").alias("symbol")
+    )
+    common = spark.createDataFrame([(S.CODE_PROJECT, "run"), (S.CODE_PROJECT, "price")], "project string, symbol string")
+    return req.unionByName(common)
+
+
+@query
+def search_symbols(spark, sf_dir):
+    """J2 + U1: definitions and calls of requested names, misses reported."""
+    from sourcelens.operators import index as I
+
+    _, idx = code_index(spark, sf_dir)
+    r = I.search_symbols(_search_requests(spark, sf_dir), idx)
+    return r.select("symbol", "kind", "path", _long(F.col("lineno")).alias("lineno"), "hit")
+
+
+@query
+def resolve_imports(spark, sf_dir):
+    """E3 + J1: imports resolved to project files, content joined last."""
+    from sourcelens.operators import index as I
+
+    files, idx = code_index(spark, sf_dir)
+    r = I.resolve_imports(idx, files)
+    return r.select(
+        "path", _long(F.col("lineno")).alias("lineno"), "module", "resolved_path",
+        _long(F.length("resolved_content")).alias("resolved_chars"),
+    )
+
+
+@query
+def get_definitions(spark, sf_dir):
+    """W2 + E5 + J7: first definition of a name in a file, or the miss message."""
+    from sourcelens.operators import index as I
+
+    files, idx = code_index(spark, sf_dir)
+    part = S.table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("k"))
+    p = F.concat(F.lit("parts/p_"), F.col("k"), F.lit(".py"))
+    req = part.select(
+        F.lit(S.CODE_PROJECT).alias("project"), p.alias("path"),
+        F.explode(F.array(
+            F.concat(F.lit("Part"), F.col("k")), F.lit("price"), F.concat(F.lit("make_"), F.col("k")),
+            F.concat(F.lit("make_"), (F.col("k").cast("bigint") + 1).cast("string")),
+        )).alias("name"),
+    )
+    orders = files.where(F.col("path").startswith("orders/")).select("project", "path", F.lit("run").alias("name"))
+    r = I.get_definitions(req.unionByName(orders), idx)
+    return r.select("path", "name", "lineno", "found", "output")
+
+
+@query
+def build_contexts(spark, sf_dir):
+    """A6 + C4: context sections and sizes for every file of the project."""
+    from sourcelens.operators import context as C
+
+    files, idx = code_index(spark, sf_dir)
+    r = C.build_contexts(files, idx, files.select("project", "path"))
+    return r.select("path", "skeleton_chars", "has_imported", "imported_section", "target_section", "context_chars")
+
+
+# ---------------------------------------------------------------------------
+# Tool lookups
+# ---------------------------------------------------------------------------
+PROJECT_ROOT = "/project"
+
+
+@query
+def dispatch_tool_calls(spark, sf_dir):
+    """J5 + X14 (+ J6, J7, J2 through the registry): one round of tool calls."""
+    from sourcelens.operators import lookup as L
+
+    files, idx = code_index(spark, sf_dir)
+    calls = S.tool_calls(spark, sf_dir).withColumn("project", F.lit(S.CODE_PROJECT))
+    out = L.dispatch(calls, L.LookupContext(files, idx, PROJECT_ROOT))
+    return out.select("call_id", "name", "status", "chunk_key", "output")
+
+
+def _probe_paths(spark, sf_dir):
+    e = S.table(spark, sf_dir, "events").select("event_id", "event_type", F.get_json_object("props", "$.k").alias("k"))
+    t, k = F.col("event_type"), F.col("k")
+    raw = (
+        F.when(t == "view", F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("../p_"), k, F.lit(".py")))
+               .otherwise(F.concat(F.lit("parts/p_"), k, F.lit(".py"))))
+        .when(t == "click", F.concat(F.lit("parts/./sub/../p_"), k, F.lit(".py")))
+        .when(t == "purchase", F.concat(F.lit(PROJECT_ROOT + "/parts/p_"), k, F.lit(".py")))
+        .when(t == "signup", F.concat(F.lit("parts/../../etc/p_"), k))
+        .otherwise(F.concat(F.lit("/etc/../project/../../p_"), k, F.lit(".py")))
+    )
+    return e.select(F.col("event_id").alias("call_id"), raw.alias("raw_path"))
+
+
+@query
+def within_root(spark, sf_dir):
+    """F1 + X13: lexical resolution against the project root and containment."""
+    from sourcelens.operators import lookup as L
+
+    p = _probe_paths(spark, sf_dir)
+    norm, inside, rel = L.resolve_path(F.col("raw_path"), PROJECT_ROOT)
+    return p.select(
+        "call_id", "raw_path", norm.alias("resolved"), inside.cast("bigint").alias("inside"),
+        F.when(inside, rel).alias("rel_path"),
+        F.when(~inside, F.concat(F.lit("'"), F.col("raw_path"), F.lit("' is outside the project root"))).alias("message"),
+    )

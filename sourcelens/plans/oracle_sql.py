@@ -180,3 +180,211 @@ SELECT m.path, m.mode,
              AND r.lineno BETWEEN 1 AND len({keepends('f.content')})) AS BIGINT) AS injected
 FROM resp_mode m JOIN doc_files_a f USING (path)
 """
+
+
+def s(x: str) -> str:
+    return f"CAST({x} AS VARCHAR)"
+
+
+# Synthetic code corpus (see sources.tables.code_files), restated in SQL.
+CODE_FILES = f"""items AS (
+  SELECT l_orderkey, l_partkey,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS rn,
+         count(*) OVER (PARTITION BY l_orderkey) AS n
+  FROM lineitem),
+part_files AS (
+  SELECT p_partkey, p_size, 'parts/p_' || {s('p_partkey')} || '.py' AS path,
+         'class Part' || {s('p_partkey')} || ':' || chr(10) || '    def price(self):' || chr(10) ||
+         '        return ' || {s('p_size')} || chr(10) || chr(10) || 'def make_' || {s('p_partkey')} || '():' ||
+         chr(10) || '    return Part' || {s('p_partkey')} || '()' || chr(10) AS content
+  FROM part),
+order_agg AS (
+  SELECT l_orderkey, count(*) AS n,
+         string_agg('from parts.p_' || {s('l_partkey')} || ' import make_' || {s('l_partkey')} || chr(10), ''
+                    ORDER BY l_linenumber, l_partkey) AS imports,
+         string_agg('    make_' || {s('l_partkey')} || '()' || chr(10), '' ORDER BY l_linenumber, l_partkey) AS calls,
+         string_agg('    make_' || {s('l_partkey')} || '()', chr(10) ORDER BY l_linenumber, l_partkey) AS run_body
+  FROM lineitem GROUP BY l_orderkey),
+order_files AS (
+  SELECT o.o_orderkey, 'orders/o_' || {s('o.o_orderkey')} || '.py' AS path, coalesce(a.n, 0) AS n,
+         coalesce(a.imports, '') || chr(10) || 'def run():' || chr(10) || coalesce(a.calls, '    pass' || chr(10))
+           AS content,
+         'def run():' || chr(10) || coalesce(a.run_body, '    pass') AS run_source
+  FROM orders o LEFT JOIN order_agg a ON a.l_orderkey = o.o_orderkey),
+code_files AS (SELECT path, content FROM part_files UNION ALL SELECT path, content FROM order_files)"""
+
+ORACLES["skeleton"] = with_(CODE_FILES) + f"""
+SELECT 'shop' AS project, path, CAST(3 AS BIGINT) AS n_names,
+       '### ' || path || chr(10) || 'Part' || {s('p_partkey')} || ', make_' || {s('p_partkey')} || ', price' AS entry
+FROM part_files
+UNION ALL
+SELECT 'shop', path, CAST(1 AS BIGINT), '### ' || path || chr(10) || 'run' FROM order_files
+"""
+
+TOOL_CALLS = f"""ev AS (
+  SELECT event_id, user_id, event_type, props, json_extract_string(props, '$.k') AS k FROM events),
+tool_calls AS (
+  SELECT event_id AS call_id, user_id AS conv_id,
+    CASE WHEN event_type IN ('view', 'error') THEN 'read_file' WHEN event_type = 'click' THEN 'get_function'
+         WHEN event_type = 'purchase' THEN 'search_symbol' WHEN event_type = 'signup' THEN 'list_dir' END AS name,
+    CASE WHEN event_id % 10 = 0 THEN '[1]'
+         WHEN event_type = 'view' AND event_id % 7 = 0 THEN '{{"file_path":"../p_' || k || '.py"}}'
+         WHEN event_type = 'view' THEN '{{"file_path":"parts/p_' || k || '.py"}}'
+         WHEN event_type = 'click' THEN '{{"file_path":"parts/p_' || k || '.py","name":"make_'
+              || {s('CAST(k AS BIGINT) + event_id % 2')} || '"}}'
+         WHEN event_type = 'purchase' AND event_id % 5 = 0 THEN '{{"symbol":"nothing_' || k || '"}}'
+         WHEN event_type = 'purchase' THEN '{{"symbol":"make_' || k || '"}}'
+         WHEN event_type = 'signup' THEN '{{}}'
+         ELSE substr(props, 1, length(props) - 1) END AS arguments
+  FROM ev),
+calls_c AS (
+  SELECT *, CASE WHEN NOT json_valid(arguments) THEN 'invalid'
+                 WHEN json_type(arguments) = 'OBJECT' THEN 'object' ELSE 'not_object' END AS arg_status
+  FROM tool_calls)"""
+
+SYMBOL_HITS = f"""defs AS (
+  SELECT path, 'Part' || {s('p_partkey')} AS name, 1 AS lineno FROM part_files
+  UNION ALL SELECT path, 'make_' || {s('p_partkey')}, 5 FROM part_files
+  UNION ALL SELECT path, 'price', 2 FROM part_files
+  UNION ALL SELECT path, 'run', n + 2 FROM order_files),
+callsites AS (
+  SELECT path, 'Part' || {s('p_partkey')} AS name, 6 AS lineno FROM part_files
+  UNION ALL SELECT 'orders/o_' || {s('l_orderkey')} || '.py', 'make_' || {s('l_partkey')}, n + 2 + rn FROM items),
+hits AS (
+  SELECT name, 'DEFINED' AS kind, path, lineno, 'DEFINED  ' || path || ':' || {s('lineno')} AS hit FROM defs
+  UNION ALL
+  SELECT name, 'CALLED', path, lineno, 'CALLED   ' || path || ':' || {s('lineno')} FROM callsites)"""
+
+ORACLES["search_symbols"] = with_(CODE_FILES, TOOL_CALLS, SYMBOL_HITS) + """,
+requested AS (
+  SELECT DISTINCT json_extract_string(arguments, '$.symbol') AS symbol FROM calls_c
+  WHERE name = 'search_symbol' AND arg_status = 'object'
+  UNION SELECT 'run' UNION SELECT 'price')
+SELECT r.symbol, h.kind, h.path, CAST(h.lineno AS BIGINT) AS lineno, h.hit
+FROM requested r JOIN hits h ON h.name = r.symbol
+UNION ALL
+SELECT r.symbol, 'NONE', NULL, NULL, '''' || r.symbol || ''' not found in project'
+FROM requested r WHERE NOT EXISTS (SELECT 1 FROM hits h WHERE h.name = r.symbol)
+""".replace("UNION SELECT 'run' UNION SELECT 'price')", "UNION SELECT 'run' UNION SELECT 'price')", 1)
+
+ORACLES["resolve_imports"] = with_(CODE_FILES) + f"""
+SELECT 'orders/o_' || {s('i.l_orderkey')} || '.py' AS path, CAST(i.rn AS BIGINT) AS lineno,
+       'parts.p_' || {s('i.l_partkey')} AS module, p.path AS resolved_path,
+       CAST(length(p.content) AS BIGINT) AS resolved_chars
+FROM items i JOIN part_files p ON p.p_partkey = i.l_partkey
+"""
+
+ORACLES["get_definitions"] = with_(CODE_FILES) + f"""
+SELECT path, 'Part' || {s('p_partkey')} AS name, CAST(1 AS BIGINT) AS lineno, CAST(1 AS BIGINT) AS found,
+       'class Part' || {s('p_partkey')} || ':' || chr(10) || '    def price(self):' || chr(10) || '        return '
+         || {s('p_size')} AS output
+FROM part_files
+UNION ALL
+SELECT path, 'price', 2, 1, 'def price(self):' || chr(10) || '        return ' || {s('p_size')} FROM part_files
+UNION ALL
+SELECT path, 'make_' || {s('p_partkey')}, 5, 1,
+       'def make_' || {s('p_partkey')} || '():' || chr(10) || '    return Part' || {s('p_partkey')} || '()'
+FROM part_files
+UNION ALL
+SELECT path, 'make_' || {s('p_partkey + 1')}, NULL, 0, '''make_' || {s('p_partkey + 1')} || ''' not found in ' || path
+FROM part_files
+UNION ALL
+SELECT path, 'run', CAST(n + 2 AS BIGINT), 1, run_source FROM order_files
+"""
+
+
+def numbered(x: str) -> str:
+    return f"array_to_string(list_transform({keepends(x)}, lambda l, i: {s('i')} || ' | ' || l), chr(10))"
+
+
+ORACLES["build_contexts"] = with_(CODE_FILES) + f""",
+entries AS (
+  SELECT '### ' || path || chr(10) || 'Part' || {s('p_partkey')} || ', make_' || {s('p_partkey')} || ', price' AS e
+  FROM part_files
+  UNION ALL SELECT '### ' || path || chr(10) || 'run' FROM order_files),
+skel AS (SELECT CAST(20 + sum(length(e)) + count(*) - 1 AS BIGINT) AS skeleton_chars FROM entries),
+imported AS (
+  SELECT 'orders/o_' || {s('i.l_orderkey')} || '.py' AS path,
+         '## Imported Files' || chr(10) || string_agg(p.content, chr(10) || chr(10) || '---' || chr(10) || chr(10)
+                                                       ORDER BY i.rn) AS imported_section
+  FROM items i JOIN part_files p ON p.p_partkey = i.l_partkey GROUP BY i.l_orderkey),
+targets AS (
+  SELECT f.path, i.imported_section,
+         '## Target File: ' || regexp_extract(f.path, '([^/]*)$', 1) || chr(10) || {numbered('f.content')}
+           AS target_section
+  FROM code_files f LEFT JOIN imported i USING (path))
+SELECT t.path, k.skeleton_chars, CAST(CASE WHEN t.imported_section IS NULL THEN 0 ELSE 1 END AS BIGINT) AS has_imported,
+       t.imported_section, t.target_section,
+       CAST(k.skeleton_chars + coalesce(length(t.imported_section) + 2, 0) + 2 + length(t.target_section) AS BIGINT)
+         AS context_chars
+FROM targets t CROSS JOIN skel k
+"""
+
+ORACLES["dispatch_tool_calls"] = with_(CODE_FILES, TOOL_CALLS, SYMBOL_HITS) + f""",
+ok_calls AS (SELECT * FROM calls_c WHERE arg_status = 'object' AND name IN ('read_file', 'get_function', 'search_symbol')),
+search AS (
+  SELECT c.call_id, json_extract_string(c.arguments, '$.symbol') AS symbol FROM ok_calls c WHERE c.name = 'search_symbol'),
+read AS (
+  SELECT c.call_id, json_extract_string(c.arguments, '$.file_path') AS fp FROM ok_calls c WHERE c.name = 'read_file'),
+getf AS (
+  SELECT c.call_id, json_extract_string(c.arguments, '$.file_path') AS fp,
+         json_extract_string(c.arguments, '$.name') AS nm FROM ok_calls c WHERE c.name = 'get_function')
+SELECT call_id, name,
+       CASE arg_status WHEN 'invalid' THEN 'invalid_json' WHEN 'not_object' THEN 'not_object' ELSE 'unknown_tool' END
+         AS status, '' AS chunk_key,
+       CASE WHEN arg_status = 'invalid' THEN 'Error: invalid JSON arguments for tool ''' || name || ''''
+            WHEN arg_status = 'not_object' THEN 'Error running tool ''' || name
+                 || ''': Tool arguments must decode to a JSON object'
+            ELSE 'Error running tool ''' || name || ''': Tool "' || name || '" not found in registry' END AS output
+FROM calls_c WHERE arg_status <> 'object' OR name NOT IN ('read_file', 'get_function', 'search_symbol')
+UNION ALL
+SELECT r.call_id, 'read_file',
+       CASE WHEN starts_with(r.fp, '../') THEN 'tool_error' WHEN f.content IS NULL THEN 'tool_error' ELSE 'ok' END,
+       '',
+       CASE WHEN starts_with(r.fp, '../') THEN 'Error: ''' || r.fp || ''' is outside the project root'
+            WHEN f.content IS NULL THEN 'Error reading ''' || r.fp || ''': file not found'
+            ELSE f.content END
+FROM read r LEFT JOIN code_files f ON f.path = r.fp
+UNION ALL
+SELECT g.call_id, 'get_function', 'ok', '',
+       CASE WHEN g.nm = 'make_' || {s('p.p_partkey')}
+            THEN 'def make_' || {s('p.p_partkey')} || '():' || chr(10) || '    return Part' || {s('p.p_partkey')} || '()'
+            ELSE '''' || g.nm || ''' not found in ' || g.fp END
+FROM getf g JOIN part_files p ON p.path = g.fp
+UNION ALL
+SELECT x.call_id, 'search_symbol', 'ok', h.path, string_agg(h.hit, chr(10) ORDER BY h.lineno)
+FROM search x JOIN hits h ON h.name = x.symbol GROUP BY x.call_id, h.path
+UNION ALL
+SELECT x.call_id, 'search_symbol', 'ok', '', '''' || x.symbol || ''' not found in project'
+FROM search x WHERE NOT EXISTS (SELECT 1 FROM hits h WHERE h.name = x.symbol)
+"""
+
+
+def norm_path(p: str) -> str:
+    return (f"coalesce(nullif(list_reduce(string_split({p}, '/'), lambda acc, x: CASE WHEN x IN ('', '.') THEN acc "
+            f"WHEN x = '..' THEN regexp_replace(acc, '/[^/]*$', '') ELSE acc || '/' || x END, ''), ''), '/')")
+
+
+ORACLES["within_root"] = f"""
+WITH ev AS (SELECT event_id, event_type, json_extract_string(props, '$.k') AS k FROM events),
+p AS (
+  SELECT event_id AS call_id,
+    CASE WHEN event_type = 'view' AND event_id % 7 = 0 THEN '../p_' || k || '.py'
+         WHEN event_type = 'view' THEN 'parts/p_' || k || '.py'
+         WHEN event_type = 'click' THEN 'parts/./sub/../p_' || k || '.py'
+         WHEN event_type = 'purchase' THEN '/project/parts/p_' || k || '.py'
+         WHEN event_type = 'signup' THEN 'parts/../../etc/p_' || k
+         ELSE '/etc/../project/../../p_' || k || '.py' END AS raw_path
+  FROM ev),
+r AS (
+  SELECT call_id, raw_path,
+         {norm_path("CASE WHEN starts_with(raw_path, '/') THEN raw_path ELSE '/project/' || raw_path END")} AS resolved
+  FROM p)
+SELECT call_id, raw_path, resolved,
+       CAST(CASE WHEN resolved = '/project' OR starts_with(resolved, '/project/') THEN 1 ELSE 0 END AS BIGINT) AS inside,
+       CASE WHEN resolved = '/project' THEN ''
+            WHEN starts_with(resolved, '/project/') THEN substr(resolved, length('/project/') + 1) END AS rel_path,
+       CASE WHEN NOT (resolved = '/project' OR starts_with(resolved, '/project/'))
+            THEN '''' || raw_path || ''' is outside the project root' END AS message
+FROM r
+"""
