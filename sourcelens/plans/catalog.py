@@ -288,3 +288,118 @@ def within_root(spark, sf_dir):
         F.when(inside, rel).alias("rel_path"),
         F.when(~inside, F.concat(F.lit("'"), F.col("raw_path"), F.lit("' is outside the project root"))).alias("message"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Requests, ranges, diffs, decisions, turns, audits
+# ---------------------------------------------------------------------------
+@query
+def validate_requests(spark, sf_dir):
+    """F10 + S3 + X9 (+ F2 reported): the first failing check per request."""
+    from sourcelens.plans import jobs as J
+
+    files = S.doc_files(spark, sf_dir).select("path")
+    v = J.validate_requests(S.doc_requests(spark, sf_dir), files, python_only=False)
+    return v.select("doc_id", "path", "stage", F.col("message_error").alias("error"), "python_file",
+                    F.col("range.status").alias("range_status"))
+
+
+@query
+def range_violations(spark, sf_dir):
+    """F3 + X9: review lines outside the requested range reject the whole target."""
+    from sourcelens.plans import jobs as J
+
+    req = S.doc_requests(spark, sf_dir).select("path", "doc_id", "lines")
+    resp = A.parse_response(S.doc_responses(spark, sf_dir)).select("path", "mode", "grouped")
+    j = req.join(resp, "path", "inner").withColumn("rng", J.parse_line_range(F.col("lines")))
+    outcome, shown = J.range_outcome(F.col("mode"), F.col("rng"), F.col("grouped"))
+    return j.select(
+        "doc_id", "lines", "mode", F.col("rng.status").alias("range_status"), F.col("rng.start").alias("range_start"),
+        F.col("rng.end").alias("range_end"), outcome.alias("outcome"),
+        F.when(shown.isNotNull(), F.concat(F.lit(J.MSG_OUT_OF_RANGE), shown)).alias("message"),
+    )
+
+
+@query
+def diff_hunks(spark, sf_dir):
+    """Hunk headers of each injection, in-row from the edit positions."""
+    from sourcelens.operators import diff as D
+
+    files = S.doc_files(spark, sf_dir, annotated=True).select("path", "content")
+    j = A.attach_responses(files, S.doc_responses(spark, sf_dir)).where(F.col("mode") == "review")
+    n = _long(F.size(T.split_lines_keepends("content")))
+    h = j.select("path", F.explode(D.hunks_col(D.insert_edits(F.col("grouped"), n), n)).alias("h"))
+    return h.select("path", "h.hunk_no", "h.old_start", "h.old_len", "h.new_start", "h.new_len", "h.header")
+
+
+def _proposals(spark, sf_dir):
+    from sourcelens.plans import jobs as J
+
+    files = S.doc_files(spark, sf_dir, annotated=True).select("project", "path", "content")
+    return J.proposals(files, S.doc_responses(spark, sf_dir))
+
+
+@query
+def line_changes(spark, sf_dir):
+    """Lines added and removed per changed file (multiset)."""
+    from sourcelens.operators import diff as D
+
+    p = _proposals(spark, sf_dir).select("path", F.col("content").alias("before"), F.col("updated").alias("after"))
+    return D.line_changes(p)
+
+
+@query
+def unified_diffs(spark, sf_dir):
+    """E6 + S5: exact unified diff text of every changed file, with its artefact name."""
+    from sourcelens.operators import diff as D
+
+    p = _proposals(spark, sf_dir).select("path", F.col("content").alias("before"), F.col("updated").alias("after"))
+    d = D.unified_diffs(p)
+    return d.select("path", "diff", D.diff_name("path").alias("diff_path"),
+                    _long(F.size(F.split("diff", "\n@@ "))).alias("n_hunks"))
+
+
+@query
+def apply_decisions(spark, sf_dir):
+    """J4 + F6 + S4 input: accepted proposals replace the file, others keep it."""
+    from sourcelens.plans import jobs as J
+
+    p = _proposals(spark, sf_dir).where(F.col("mode") != "invalid")
+    d = J.apply_decisions(p, S.doc_decisions(spark, sf_dir))
+    return d.select("path", "mode", "outcome", "final_content", "diff_path")
+
+
+@query
+def final_turn(spark, sf_dir):
+    """W4 + O2: the turn a bounded tool loop ends on (max_rounds = 4)."""
+    from sourcelens.plans import jobs as J
+
+    return J.final_turns(S.turns(spark, sf_dir), max_rounds=4)
+
+
+@query
+def first_text_delta(spark, sf_dir):
+    """T2 batch twin: first text delta of each response."""
+    e = S.turn_events(spark, sf_dir).where(F.col("type") == "response.output_text.delta")
+    g = e.groupBy("response_id").agg(F.min(F.struct("seq", "ts", "payload")).alias("f"))
+    return g.select(
+        "response_id", F.col("f.seq").alias("seq"),
+        F.date_format("f.ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), F.col("f.payload").alias("payload"),
+    )
+
+
+@query
+def audit_responses(spark, sf_dir):
+    """C6 + W5: contract checks per response."""
+    from sourcelens.plans import jobs as J
+
+    files = S.doc_files(spark, sf_dir, annotated=True).select("path", "content")
+    return J.audit_responses(S.doc_responses(spark, sf_dir), files).drop("path")
+
+
+@query
+def run_summary(spark, sf_dir):
+    """Targets, changes and review counts per project and mode, with rollup totals."""
+    from sourcelens.plans import jobs as J
+
+    return J.run_summary(_proposals(spark, sf_dir))

@@ -388,3 +388,185 @@ SELECT call_id, raw_path, resolved,
             THEN '''' || raw_path || ''' is outside the project root' END AS message
 FROM r
 """
+
+
+DOC_REQUESTS = f"""doc_requests AS (
+  SELECT doc_id, path,
+    CASE WHEN doc_id % 13 = 0 THEN 'x-3' WHEN doc_id % 17 = 0 THEN '9-2'
+         WHEN doc_id % 2 = 0 THEN '1-' || {s('CAST(greatest(1, floor(n / 2)) AS BIGINT)')} END AS lines,
+    CASE WHEN doc_id % 30 = 0 THEN 'review this' WHEN doc_id % 10 = 0 OR doc_id % 23 = 0 THEN NULL
+         ELSE 'review this' END AS message,
+    doc_id % 4 = 0 AS dry_run, doc_id % 10 = 0 AS clean
+  FROM (SELECT doc_id, {DOC_PATH} AS path, len({keepends('text')}) AS n FROM documents))"""
+
+INT_RE = rf"^[{T.WS_CHARS}]*[+-]?[0-9]+(_[0-9]+)*[{T.WS_CHARS}]*$"
+
+
+def py_int(x: str) -> str:
+    return f"(CASE WHEN regexp_matches({x}, '{INT_RE}') THEN TRY_CAST(replace({strip(x)}, '_', '') AS BIGINT) END)"
+
+
+RANGES = f"""rq AS (
+  SELECT *, instr(lines, '-') AS pos,
+         CASE WHEN instr(lines, '-') > 0 THEN substr(lines, 1, instr(lines, '-') - 1) ELSE lines END AS st,
+         CASE WHEN instr(lines, '-') > 0 THEN substr(lines, instr(lines, '-') + 1) ELSE '' END AS et
+  FROM doc_requests),
+rq2 AS (SELECT *, {py_int('st')} AS a, {py_int('et')} AS b FROM rq),
+ranges AS (
+  SELECT *, CASE WHEN lines IS NULL THEN 'none'
+                 WHEN NOT (pos > 0 AND st <> '' AND et <> '' AND a IS NOT NULL AND b IS NOT NULL) THEN 'bad_shape'
+                 WHEN a < 1 OR b < 1 OR a > b THEN 'bad_order' ELSE 'ok' END AS range_status
+  FROM rq2)"""
+
+ORACLES["validate_requests"] = with_(DOC_REQUESTS, RANGES) + """
+SELECT doc_id, path,
+  CASE WHEN (clean AND dry_run) OR (clean AND message IS NOT NULL) OR (NOT clean AND message IS NULL) THEN 'options'
+       WHEN range_status IN ('bad_shape', 'bad_order') THEN 'range' ELSE 'ok' END AS stage,
+  CASE WHEN clean AND dry_run THEN '--clean cannot be used with --dry-run'
+       WHEN clean AND message IS NOT NULL THEN '--clean cannot be used with a review message'
+       WHEN NOT clean AND message IS NULL THEN 'A review message is required unless --clean is set'
+       WHEN range_status = 'bad_shape' THEN 'Line range must look like A-B'
+       WHEN range_status = 'bad_order' THEN 'Line range must be positive and ascending' END AS error,
+  CAST(0 AS BIGINT) AS python_file, range_status
+FROM ranges
+"""
+
+ORACLES["range_violations"] = with_(DOC_RESPONSES, PARSED, DOC_REQUESTS, RANGES) + """,
+keys AS (SELECT DISTINCT path, line_key, lineno FROM review_rows),
+bad AS (
+  SELECT g.doc_id, string_agg(k.line_key, ', ' ORDER BY length(k.line_key), k.line_key) AS offending
+  FROM ranges g JOIN keys k ON k.path = g.path
+  WHERE g.range_status = 'ok' AND (k.lineno IS NULL OR k.lineno < g.a OR k.lineno > g.b)
+  GROUP BY g.doc_id)
+SELECT g.doc_id, g.lines, m.mode, g.range_status,
+       CASE WHEN g.range_status = 'ok' THEN g.a END AS range_start,
+       CASE WHEN g.range_status = 'ok' THEN g.b END AS range_end,
+       CASE WHEN g.range_status IN ('bad_shape', 'bad_order') THEN 'range_error'
+            WHEN m.mode <> 'review' THEN 'not_checked'
+            WHEN g.range_status = 'none' OR b.offending IS NULL THEN 'pass' ELSE 'reject' END AS outcome,
+       CASE WHEN g.range_status = 'ok' AND m.mode = 'review' AND b.offending IS NOT NULL
+            THEN 'Model returned reviews outside requested line range: ' || b.offending END AS message
+FROM ranges g JOIN resp_mode m ON m.path = g.path LEFT JOIN bad b ON b.doc_id = g.doc_id
+"""
+
+
+def rng(start: str, length: str) -> str:
+    return (f"(CASE WHEN {length} = 1 THEN {s(start + ' + 1')} WHEN {length} = 0 THEN {s(start)} || ',0' "
+            f"ELSE {s(start + ' + 1')} || ',' || {s(length)} END)")
+
+
+ORACLES["diff_hunks"] = with_(DOC_FILES_ANNOT, DOC_RESPONSES, PARSED, INJECTED) + f""",
+ed AS (
+  SELECT r.path, r.lineno, count(*) AS k, z.n_lines FROM review_rows r JOIN fsize z USING (path)
+  WHERE r.lineno BETWEEN 1 AND z.n_lines GROUP BY r.path, r.lineno, z.n_lines),
+g AS (
+  SELECT *, CASE WHEN lag(lineno) OVER w IS NULL OR lineno - lag(lineno) OVER w > 6 THEN 1 ELSE 0 END AS brk
+  FROM ed WINDOW w AS (PARTITION BY path ORDER BY lineno)),
+h AS (SELECT *, sum(brk) OVER (PARTITION BY path ORDER BY lineno ROWS UNBOUNDED PRECEDING) AS hunk_no FROM g),
+hh AS (
+  SELECT path, hunk_no, min(lineno) AS first, max(lineno) AS last, sum(k) AS added, max(n_lines) AS n
+  FROM h GROUP BY path, hunk_no),
+hb AS (
+  SELECT *, coalesce(sum(added) OVER (PARTITION BY path ORDER BY hunk_no
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+         greatest(first - 1 - 3, 0) AS old0, least(n, last - 1 + 3) - greatest(first - 1 - 3, 0) AS old_len
+  FROM hh)
+SELECT path, CAST(hunk_no AS BIGINT) AS hunk_no, CAST(old0 + 1 AS BIGINT) AS old_start, CAST(old_len AS BIGINT) AS old_len,
+       CAST(old0 + before + 1 AS BIGINT) AS new_start, CAST(old_len + added AS BIGINT) AS new_len,
+       '@@ -' || {rng('old0', 'old_len')} || ' +' || {rng('(old0 + before)', '(old_len + added)')} || ' @@' AS header
+FROM hb
+"""
+
+UPDATED = f"""updated AS (
+  SELECT f.project, f.path, f.content, m.mode,
+    CASE WHEN m.mode = 'review' THEN i.injected_text
+         WHEN m.mode = 'rewrite' THEN
+           CASE WHEN suffix(f.content, chr(10)) AND NOT suffix(array_to_string(list_slice(m.rl, m.s + 1, m.e - 1), chr(10)), chr(10))
+                THEN array_to_string(list_slice(m.rl, m.s + 1, m.e - 1), chr(10)) || chr(10)
+                ELSE array_to_string(list_slice(m.rl, m.s + 1, m.e - 1), chr(10)) END
+         ELSE f.content END AS updated,
+    CASE WHEN m.mode = 'review' THEN (SELECT count(*) FROM review_rows r WHERE r.path = f.path) ELSE 0 END AS added,
+    CASE WHEN m.mode = 'review' THEN i.injected ELSE 0 END AS injected
+  FROM doc_files_a f JOIN resp_mode m USING (path) LEFT JOIN injected i USING (path))"""
+
+ORACLES["line_changes"] = with_(DOC_FILES_ANNOT, DOC_RESPONSES, PARSED, INJECTED, UPDATED) + f""",
+bl AS (SELECT path, unnest({keepends('content')}) AS line FROM updated WHERE content <> updated),
+al AS (SELECT path, unnest({keepends('updated')}) AS line FROM updated WHERE content <> updated),
+plus AS (SELECT path, line FROM al EXCEPT ALL SELECT path, line FROM bl),
+minus AS (SELECT path, line FROM bl EXCEPT ALL SELECT path, line FROM al)
+SELECT path, '+' AS change, line, CAST(count(*) AS BIGINT) AS n FROM plus GROUP BY path, line
+UNION ALL
+SELECT path, '-', line, CAST(count(*) AS BIGINT) FROM minus GROUP BY path, line
+"""
+
+_STEM = "regexp_replace(regexp_extract(path, '([^/]*)$', 1), '^(.+)\\.[^.]*$', '\\1')"
+ORACLES["apply_decisions"] = with_(DOC_FILES_ANNOT, DOC_RESPONSES, PARSED, INJECTED, UPDATED) + f""",
+doc_decisions AS (
+  SELECT {DOC_PATH} AS path, CASE WHEN doc_id % 3 = 0 THEN ' Y ' ELSE 'n' END AS answer
+  FROM documents WHERE doc_id % 3 <> 2)
+SELECT u.path, u.mode,
+  CASE WHEN u.updated = u.content THEN 'no_changes'
+       WHEN lower({strip('d.answer')}) = 'y' THEN 'applied' ELSE 'rejected' END AS outcome,
+  CASE WHEN u.updated <> u.content AND lower({strip('d.answer')}) = 'y' THEN u.updated ELSE u.content END
+    AS final_content,
+  CASE WHEN u.updated <> u.content THEN 'review_' || {_STEM.replace('path', 'u.path')} || '_' || substr(sha1(u.path), 1, 10)
+       || '.diff' END AS diff_path
+FROM updated u LEFT JOIN doc_decisions d USING (path)
+WHERE u.mode <> 'invalid'
+"""
+
+ORACLES["final_turn"] = """
+WITH t AS (SELECT conv_id, turn + 1 AS turn, text, length(text) % 3 <> 0 AS has_tool FROM conversations),
+g AS (
+  SELECT conv_id, count(*) AS n_turns,
+         min(turn) FILTER (WHERE NOT has_tool AND turn <= 5) AS answered_turn,
+         arg_min(text, turn) FILTER (WHERE NOT has_tool AND turn <= 5) AS answered_text,
+         max(text) FILTER (WHERE turn = 5) AS limit_text
+  FROM t GROUP BY conv_id)
+SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns,
+  CAST(CASE WHEN answered_turn IS NOT NULL THEN answered_turn WHEN limit_text IS NOT NULL THEN 5 END AS BIGINT)
+    AS final_turn,
+  CASE WHEN answered_turn IS NOT NULL THEN 'answered' WHEN limit_text IS NOT NULL THEN 'limit' ELSE 'unfinished' END
+    AS outcome,
+  CASE WHEN answered_turn IS NOT NULL THEN answered_text ELSE limit_text END AS final_text
+FROM g
+"""
+
+ORACLES["first_text_delta"] = """
+SELECT user_id AS response_id, min(event_id) AS seq,
+       strftime(arg_min(ts, event_id), '%Y-%m-%d %H:%M:%S.%f') AS ts, arg_min(props, event_id) AS payload
+FROM events WHERE event_type = 'view' GROUP BY user_id
+"""
+
+ORACLES["audit_responses"] = with_(DOC_FILES_ANNOT, DOC_RESPONSES) + f""",
+r AS (
+  SELECT doc_id, path, rl, list_position(rl, 'FILE_START') AS s, list_position(rl, 'FILE_END') AS e,
+         coalesce(list_position(rl, 'FILE_END') > list_position(rl, 'FILE_START'), false) AS rewrite
+  FROM (SELECT doc_id, path, {nolines('output_text')} AS rl FROM doc_responses)),
+ln AS (
+  SELECT r.doc_id, r.rewrite, r.s, r.e, x.i, {strip('x.l')} AS st, len({keepends('f.content')}) AS n_lines
+  FROM r JOIN doc_files_a f USING (path),
+       LATERAL (SELECT unnest(r.rl) AS l, generate_subscripts(r.rl, 1) AS i) x),
+agg AS (
+  SELECT doc_id, any_value(rewrite) AS rewrite,
+    count(*) FILTER (WHERE st <> '' AND NOT (rewrite AND i > s AND i < e) AND NOT regexp_matches(st, '{REVIEW_RE}')
+                     AND st NOT IN ('FILE_START', 'FILE_END')) AS prose_lines,
+    count(*) FILTER (WHERE starts_with(st, '```')) AS fence_lines,
+    count(*) FILTER (WHERE regexp_matches(st, '{REVIEW_RE}')) AS review_lines,
+    count(*) FILTER (WHERE regexp_matches(st, '{REVIEW_RE}') AND coalesce(
+        NOT (TRY_CAST(regexp_extract(st, '{REVIEW_RE}', 1) AS BIGINT) BETWEEN 1 AND n_lines), true)) AS out_of_target
+  FROM ln GROUP BY doc_id)
+SELECT doc_id, CAST(prose_lines AS BIGINT) AS prose_lines, CAST(fence_lines AS BIGINT) AS fence_lines,
+       CAST(review_lines AS BIGINT) AS review_lines,
+       CAST(CASE WHEN rewrite AND review_lines > 0 THEN 1 ELSE 0 END AS BIGINT) AS both_modes,
+       CAST(CASE WHEN review_lines > 5 THEN 1 ELSE 0 END AS BIGINT) AS too_many,
+       CAST(out_of_target AS BIGINT) AS out_of_target, CAST(least(review_lines, 5) AS BIGINT) AS kept_findings
+FROM agg
+"""
+
+ORACLES["run_summary"] = with_(DOC_FILES_ANNOT, DOC_RESPONSES, PARSED, INJECTED, UPDATED) + """
+SELECT project, mode, CAST(count(*) AS BIGINT) AS targets,
+       CAST(count(*) FILTER (WHERE updated <> content) AS BIGINT) AS changed,
+       CAST(sum(added) AS BIGINT) AS added, CAST(sum(injected) AS BIGINT) AS injected
+FROM updated GROUP BY ROLLUP (project, mode)
+"""
