@@ -28,6 +28,7 @@ LINE_END_RE = rf"(?:\r\n|[{BREAK_CHARS}])\z"
 STRIP_RE = rf"^[{WS_CHARS}]+|[{WS_CHARS}]+\z"
 WS_RUN_RE = rf"[{WS_CHARS}]+"
 INDENT_RE = rf"^[{WS_CHARS}]*"
+COMMENT_LINE_RE = rf"^[{WS_CHARS}]*# REVIEW:"
 
 # The review line contract and markers of a rewrite response.
 REVIEW_RE = r"^REVIEW:([0-9]+):\s*(.+)$"
@@ -40,18 +41,33 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# Split points: after CRLF, after any other break, after a CR not followed by LF.
+_SPLIT_AFTER_BREAK = r"(?<=\r\n|[\n\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]|\r(?!\n))"
+_BREAK = rf"\r\n|[{BREAK_CHARS}]"
+
+
 def split_lines_keepends(text) -> Column:
-    """``str.splitlines(keepends=True)`` as ARRAY<STRING>; NULL stays NULL."""
-    return F.regexp_extract_all(_c(text), F.lit(LINE_RE), 0)
+    """``str.splitlines(keepends=True)`` as ARRAY<STRING>; NULL stays NULL.
+
+    A zero-width split after each break keeps the ends; the only empty piece possible is
+    the one after a final break (or an empty text), which ``splitlines`` does not emit.
+    """
+    return F.array_remove(F.split(_c(text), _SPLIT_AFTER_BREAK, -1), "")
 
 
 def drop_line_end(line) -> Column:
     return F.regexp_replace(_c(line), LINE_END_RE, "")
 
 
+def ends_with_break(text) -> Column:
+    return F.substring(_c(text), -1, 1).rlike(f"[{BREAK_CHARS}]")
+
+
 def split_lines(text) -> Column:
-    """X1 without line ends: ``str.splitlines()``."""
-    return F.transform(split_lines_keepends(text), drop_line_end)
+    """X1 without line ends: ``str.splitlines()`` (blank lines kept, no phantom last line)."""
+    t = _c(text)
+    parts = F.split(t, _BREAK, -1)
+    return F.when((t == "") | ends_with_break(t), F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
 
 
 def normalise_newlines(text) -> Column:

@@ -55,13 +55,16 @@ def parse_response(df: DataFrame, text_col: str = "output_text") -> DataFrame:
     Markers are lines exactly equal to FILE_START / FILE_END, first occurrence each;
     reviews are only read in review mode; an empty rewrite body is '' (not NULL).
     """
-    rl = T.split_lines(text_col)
-    start = F.array_position(rl, T.FILE_START)
-    end = F.array_position(rl, T.FILE_END)
+    out = df.withColumn("_rl", T.split_lines(text_col))
+    rl = F.col("_rl")
+    out = out.withColumn("_start", F.array_position(rl, T.FILE_START)).withColumn(
+        "_end", F.array_position(rl, T.FILE_END)
+    )
+    start, end = F.col("_start"), F.col("_end")
     mode = F.when((start == 0) | (end == 0), F.lit("review")).when(start >= end, F.lit("invalid")).otherwise(
         F.lit("rewrite")
     )
-    out = df.withColumn("mode", mode)
+    out = out.withColumn("mode", mode)
     rewritten = F.when(
         F.col("mode") == "rewrite",
         F.array_join(F.slice(rl, start + 1, F.greatest(end - start - 1, F.lit(0))), "\n"),
@@ -70,7 +73,7 @@ def parse_response(df: DataFrame, text_col: str = "output_text") -> DataFrame:
         F.array().cast(f"array<{REVIEW_STRUCT}>")
     )
     out = out.withColumn("rewritten_source", rewritten).withColumn("reviews", reviews)
-    return out.withColumn("grouped", group_reviews_col(F.col("reviews")))
+    return out.withColumn("grouped", group_reviews_col(F.col("reviews"))).drop("_rl", "_start", "_end")
 
 
 def review_map(grouped: Column) -> Column:
@@ -85,8 +88,12 @@ def inject_col(content: Column, grouped: Column) -> Column:
     Out-of-file lines are skipped. A blank target's indent includes its newline, so an
     extra blank line appears (the reference behaviour, kept on purpose).
     """
+    return inject_lines(T.split_lines_keepends(content), grouped)
+
+
+def inject_lines(lines: Column, grouped: Column) -> Column:
+    """J3 on an already split ARRAY of lines (with ends)."""
     m = review_map(grouped)
-    lines = T.split_lines_keepends(content)
 
     def one(l, i):
         comments = F.try_element_at(m, (i + 1).cast("bigint"))
@@ -108,7 +115,8 @@ def injected_count_col(grouped: Column, n_lines: Column) -> Column:
 def clean_col(content: Column) -> Column:
     """A4 + F5: text without whole-line ``# REVIEW:`` comments (struct: cleaned, removed)."""
     lines = T.split_lines_keepends(content)
-    kept = F.filter(lines, lambda l: ~F.startswith(T.py_strip(l), F.lit(T.REVIEW_PREFIX)))
+    # strip().startswith(prefix) <=> the prefix follows the leading whitespace
+    kept = F.filter(lines, lambda l: ~l.rlike(T.COMMENT_LINE_RE))
     return F.struct(
         F.array_join(kept, "").alias("cleaned"),
         (F.size(lines) - F.size(kept)).cast("bigint").alias("removed"),
@@ -127,15 +135,17 @@ def attach_responses(files: DataFrame, responses: DataFrame) -> DataFrame:
 
 def apply_results(df: DataFrame) -> DataFrame:
     """Per target: updated text, counts, changed flag (review inject or rewrite, C1 core)."""
-    n_lines = F.size(T.split_lines_keepends("content"))
+    df = df.withColumn("_lines", T.split_lines_keepends("content"))
+    n_lines = F.size("_lines")
     updated = (
-        F.when(F.col("mode") == "review", inject_col(F.col("content"), F.col("grouped")))
+        F.when(F.col("mode") == "review", inject_lines(F.col("_lines"), F.col("grouped")))
         .when(F.col("mode") == "rewrite", T.keep_final_newline(F.col("content"), F.col("rewritten_source")))
         .otherwise(F.col("content"))
     )
     return (
         df.withColumn("n_lines", n_lines.cast("bigint"))
         .withColumn("updated", updated)
+        .drop("_lines")
         .withColumn("added", F.size("reviews").cast("bigint"))
         .withColumn("injected", injected_count_col(F.col("grouped"), F.col("n_lines")))
         .withColumn("changed", ~F.col("updated").eqNullSafe(F.col("content")))

@@ -83,6 +83,9 @@ def extract(files: DataFrame) -> DataFrame:
 
     Persist or write the result (``write_index``) when several questions are asked of it.
     """
+    from sourcelens.session import ship_package
+
+    ship_package(files.sparkSession)
     return files.select("project", "path", "content").mapInArrow(_extract_batches, INDEX_SCHEMA)
 
 

@@ -102,13 +102,14 @@ def group_reviews(spark, sf_dir):
 def _injected(spark, sf_dir) -> DataFrame:
     files = S.doc_files(spark, sf_dir, annotated=True).select("path", "content")
     j = A.attach_responses(files, S.doc_responses(spark, sf_dir)).where(F.col("mode") == "review")
-    n_lines = _long(F.size(T.split_lines_keepends("content")))
+    j = j.withColumn("lines", T.split_lines_keepends("content"))
+    n_lines = _long(F.size("lines"))
     return j.select(
         "path",
         "content",
         n_lines.alias("n_lines"),
         A.injected_count_col(F.col("grouped"), n_lines).alias("injected"),
-        A.inject_col(F.col("content"), F.col("grouped")).alias("injected_text"),
+        A.inject_lines(F.col("lines"), F.col("grouped")).alias("injected_text"),
     )
 
 
@@ -327,7 +328,8 @@ def diff_hunks(spark, sf_dir):
 
     files = S.doc_files(spark, sf_dir, annotated=True).select("path", "content")
     j = A.attach_responses(files, S.doc_responses(spark, sf_dir)).where(F.col("mode") == "review")
-    n = _long(F.size(T.split_lines_keepends("content")))
+    j = j.withColumn("n", _long(F.size(T.split_lines_keepends("content"))))
+    n = F.col("n")
     h = j.select("path", F.explode(D.hunks_col(D.insert_edits(F.col("grouped"), n), n)).alias("h"))
     return h.select("path", "h.hunk_no", "h.old_start", "h.old_len", "h.new_start", "h.new_len", "h.header")
 

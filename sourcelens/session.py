@@ -54,3 +54,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.sparkContext.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
     return path
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``sourcelens`` importable in Python workers (zip shipped with ``addPyFile``).
+
+    Needed by every operator whose functions run in tasks (mapInArrow / mapInPandas).
+    Idempotent per application.
+    """
+    import zipfile
+    from pathlib import Path
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = Path(__file__).resolve().parent
+    out = Path(tempfile.mkdtemp(prefix="sourcelens-pkg-")) / "sourcelens.zip"
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in pkg.rglob("*.py"):
+            z.write(f, f.relative_to(pkg.parent).as_posix())
+    sc.addPyFile(str(out))
+    _SHIPPED.add(app)

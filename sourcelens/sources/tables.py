@@ -13,8 +13,25 @@ from pyspark.sql import functions as F
 from sourcelens.functions import text as T
 
 
+# Tables whose rows carry text that later steps split, parse or rewrite row by row.
+HEAVY_TABLES = {"documents", "conversations", "events", "lineitem", "pages"}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give row-local heavy work at least one partition per core.
+
+    Only when the scan yields fewer splits than the cluster's parallelism (one big
+    row group, a handful of files); a large input already has far more splits than
+    cores and is left exactly as read, with no extra shuffle.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want) if have < want else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in HEAVY_TABLES else df
 
 
 def doc_files(spark: SparkSession, sf_dir: str, annotated: bool = False) -> DataFrame:
@@ -44,9 +61,11 @@ def doc_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         "lang",
         F.concat(F.col("source"), F.lit("/doc_"), F.col("doc_id").cast("string")).alias("path"),
-        T.split_lines("text").alias("dl"),
+        T.split_lines_keepends("text").alias("dl"),
+    )
+    d = d.select(
+        "doc_id", "lang", "path", F.size("dl").alias("n"), F.transform(F.slice("dl", 1, 3), T.drop_line_end).alias("head3")
     )
-    d = d.select("doc_id", "lang", "path", F.size("dl").alias("n"), F.slice("dl", 1, 3).alias("head3"))
     low = (
         table(spark, sf_dir, "labels")
         .where(F.col("quality") == 0)
