@@ -24,6 +24,9 @@ def join_dimension(fact: DataFrame, dim: DataFrame, keys: list[str], how: str =
     copied ``salts`` times and fact rows pick a salt from a hash of all their columns, so
     one hot key (say one project holding a third of all files) spreads over ``salts`` tasks.
     """
+    # Materialise the dimension once (reliable checkpoint dir) so the size check and
+    # the join read the same result instead of computing it twice.
+    dim = dim.checkpoint(eager=True)
     if fits_broadcast(dim, max_rows):
         return fact.join(F.broadcast(dim), keys, how)
     salt = "__salt"

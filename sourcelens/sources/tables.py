@@ -14,7 +14,7 @@ from sourcelens.functions import text as T
 
 
 # Tables whose rows carry text that later steps split, parse or rewrite row by row.
-HEAVY_TABLES = {"documents", "conversations", "events", "lineitem", "pages"}
+HEAVY_TABLES = {"documents", "conversations", "events", "lineitem", "pages", "part", "orders"}
 
 
 def spread(df: DataFrame) -> DataFrame:
