@@ -405,3 +405,33 @@ def run_summary(spark, sf_dir):
     from sourcelens.plans import jobs as J
 
     return J.run_summary(_proposals(spark, sf_dir))
+
+
+@query
+def run_conversations(spark, sf_dir):
+    """C5 + Z2 + J5: the bounded tool loop replayed round by round over all conversations.
+
+    Recorded turns answer each round; the tool calls of a conversation are attached to turn
+    ``1 + call_id % 5`` and dispatched in the round of that turn (max_rounds = 4).
+    """
+    from sourcelens.operators import lookup as L
+    from sourcelens.operators import loop as P
+
+    files, idx = code_index(spark, sf_dir)
+    turns = S.turns(spark, sf_dir)
+    calls = S.tool_calls(spark, sf_dir).withColumn("project", F.lit(S.CODE_PROJECT)).withColumn(
+        "turn", 1 + F.col("call_id") % 5
+    )
+    ctx = L.LookupContext(files, idx, PROJECT_ROOT)
+
+    def dispatch_round(active):
+        round_calls = calls.join(active, ["conv_id", "turn"], "left_semi")
+        out = L.dispatch(round_calls, ctx)
+        return out.join(round_calls.select("call_id", "conv_id"), "call_id").select("conv_id", "call_id", "status")
+
+    final, outputs = P.run_conversations(turns, P.recorded_responder(turns), dispatch_round, max_rounds=4)
+    n = outputs.groupBy("conv_id").agg(F.count_distinct("call_id").cast("bigint").alias("n_tool_calls"))
+    return final.join(n, "conv_id", "left").select(
+        "conv_id", F.col("final_turn").cast("bigint").alias("final_turn"), "outcome", "final_text",
+        F.coalesce("n_tool_calls", F.lit(0).cast("bigint")).alias("n_tool_calls"),
+    )

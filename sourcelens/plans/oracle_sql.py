@@ -570,3 +570,27 @@ SELECT project, mode, CAST(count(*) AS BIGINT) AS targets,
        CAST(sum(added) AS BIGINT) AS added, CAST(sum(injected) AS BIGINT) AS injected
 FROM updated GROUP BY ROLLUP (project, mode)
 """
+
+ORACLES["run_conversations"] = """
+WITH t AS (SELECT conv_id, turn + 1 AS turn, text, length(text) % 3 <> 0 AS has_tool FROM conversations),
+g AS (
+  SELECT conv_id, count(*) AS n_turns,
+         min(turn) FILTER (WHERE NOT has_tool AND turn <= 5) AS answered_turn,
+         arg_min(text, turn) FILTER (WHERE NOT has_tool AND turn <= 5) AS answered_text,
+         max(text) FILTER (WHERE turn = 5) AS limit_text
+  FROM t GROUP BY conv_id),
+f AS (
+  SELECT conv_id, n_turns,
+    CAST(CASE WHEN answered_turn IS NOT NULL THEN answered_turn WHEN limit_text IS NOT NULL THEN 5 END AS BIGINT)
+      AS final_turn,
+    CASE WHEN answered_turn IS NOT NULL THEN 'answered' WHEN limit_text IS NOT NULL THEN 'limit' ELSE 'unfinished' END
+      AS outcome,
+    CASE WHEN answered_turn IS NOT NULL THEN answered_text ELSE limit_text END AS final_text
+  FROM g),
+calls AS (SELECT event_id AS call_id, user_id AS conv_id, 1 + event_id % 5 AS turn FROM events)
+SELECT f.conv_id, f.final_turn, f.outcome, f.final_text,
+  CAST((SELECT count(*) FROM calls c WHERE c.conv_id = f.conv_id AND c.turn <=
+        CASE f.outcome WHEN 'answered' THEN f.final_turn - 1 WHEN 'limit' THEN 4 ELSE f.n_turns END) AS BIGINT)
+    AS n_tool_calls
+FROM f
+"""
