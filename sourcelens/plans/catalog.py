@@ -435,3 +435,13 @@ def run_conversations(spark, sf_dir):
         "conv_id", F.col("final_turn").cast("bigint").alias("final_turn"), "outcome", "final_text",
         F.coalesce("n_tool_calls", F.lit(0).cast("bigint")).alias("n_tool_calls"),
     )
+
+
+@query
+def review_corpus(spark, sf_dir):
+    """C1 + C2 + C3 end to end over every request (documents corpus, python_only off)."""
+    from sourcelens.plans import jobs as J
+
+    files = S.doc_files(spark, sf_dir, annotated=True).select("path", "content")
+    return J.review_corpus(S.doc_requests(spark, sf_dir), files, S.doc_responses(spark, sf_dir),
+                           S.doc_decisions(spark, sf_dir), python_only=False)

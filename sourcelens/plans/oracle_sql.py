@@ -594,3 +594,58 @@ SELECT f.conv_id, f.final_turn, f.outcome, f.final_text,
     AS n_tool_calls
 FROM f
 """
+
+ORACLES["review_corpus"] = with_(DOC_FILES_ANNOT, DOC_RESPONSES, PARSED, INJECTED, UPDATED, DOC_REQUESTS, RANGES) + f""",
+keys AS (SELECT DISTINCT path, line_key, lineno FROM review_rows),
+bad AS (
+  SELECT g.doc_id, string_agg(k.line_key, ', ' ORDER BY length(k.line_key), k.line_key) AS offending
+  FROM ranges g JOIN keys k ON k.path = g.path
+  WHERE g.range_status = 'ok' AND (k.lineno IS NULL OR k.lineno < g.a OR k.lineno > g.b)
+  GROUP BY g.doc_id),
+doc_decisions AS (
+  SELECT {DOC_PATH} AS path, CASE WHEN doc_id % 3 = 0 THEN ' Y ' ELSE 'n' END AS answer
+  FROM documents WHERE doc_id % 3 <> 2),
+cl AS (
+  SELECT path,
+         array_to_string(list_filter(ls, lambda l: NOT starts_with({strip('l')}, '# REVIEW:')), '') AS cleaned_text,
+         len(ls) - len(list_filter(ls, lambda l: NOT starts_with({strip('l')}, '# REVIEW:'))) AS removed
+  FROM (SELECT path, {keepends('content')} AS ls FROM doc_files_a)),
+j AS (
+  SELECT g.doc_id, g.path, g.clean, g.dry_run, g.message, g.range_status, u.content, u.updated, u.mode, u.added,
+         b.offending, d.answer, cl.cleaned_text, cl.removed,
+         CASE WHEN (g.clean AND g.dry_run) THEN '--clean cannot be used with --dry-run'
+              WHEN g.clean AND g.message IS NOT NULL THEN '--clean cannot be used with a review message'
+              WHEN NOT g.clean AND g.message IS NULL THEN 'A review message is required unless --clean is set'
+              WHEN g.range_status = 'bad_shape' THEN 'Line range must look like A-B'
+              WHEN g.range_status = 'bad_order' THEN 'Line range must be positive and ascending' END AS err,
+         coalesce(lower({strip('d.answer')}) = 'y', false) AS yes
+  FROM ranges g JOIN updated u ON u.path = g.path LEFT JOIN bad b ON b.doc_id = g.doc_id
+       LEFT JOIN doc_decisions d ON d.path = g.path JOIN cl ON cl.path = g.path),
+o AS (
+  SELECT *,
+    CASE WHEN err IS NOT NULL THEN 'error'
+         WHEN clean THEN 'cleaned'
+         WHEN mode = 'invalid' THEN 'error'
+         WHEN mode = 'review' AND offending IS NOT NULL THEN 'error'
+         WHEN dry_run AND updated = content THEN 'no_changes'
+         WHEN dry_run AND yes THEN 'applied'
+         WHEN dry_run THEN 'rejected' ELSE 'done' END AS outcome
+  FROM j)
+SELECT doc_id, path, outcome,
+  CASE WHEN err IS NOT NULL THEN err
+       WHEN clean THEN {s('removed')} || ' review comments removed from ' || path
+       WHEN mode = 'invalid' THEN 'Invalid copilot rewrite response: FILE_END appears before FILE_START'
+       WHEN mode = 'review' AND offending IS NOT NULL
+         THEN 'Model returned reviews outside requested line range: ' || offending
+       WHEN dry_run AND updated = content THEN 'No changes to apply.'
+       WHEN dry_run AND NOT yes THEN 'Diff available at review_' || {_STEM} || '_' || substr(sha1(path), 1, 10) || '.diff'
+       WHEN mode = 'rewrite' THEN 'updated ' || path
+       ELSE {s('added')} || ' reviews added to ' || path END AS message,
+  CAST(CASE WHEN outcome = 'cleaned' THEN cleaned_text <> content
+            WHEN outcome = 'applied' THEN true
+            WHEN outcome = 'done' THEN updated <> content ELSE false END AS BIGINT) AS written,
+  CASE WHEN outcome = 'cleaned' AND cleaned_text <> content THEN cleaned_text
+       WHEN outcome = 'applied' OR (outcome = 'done' AND updated <> content) THEN updated
+       ELSE content END AS final_content
+FROM o
+"""
