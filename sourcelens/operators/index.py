@@ -204,20 +204,21 @@ def symbol_hits(index: DataFrame) -> DataFrame:
     return u.withColumn("hit", F.concat(label, F.col("path"), F.lit(":"), F.col("lineno").cast("string")))
 
 
-def search_symbols(requested: DataFrame, index: DataFrame) -> DataFrame:
+def search_symbols(requested: DataFrame, index: DataFrame, small: bool | None = None) -> DataFrame:
     """Requested ``(project, symbol)`` against the hit relation; not-found rows added.
 
-    Inner join for the hits (AQE may split a hot name such as ``run``), and an anti join
-    against the *distinct* hit names for the misses, so the hot side is pre-aggregated
-    before it is shuffled.
+    The requested names go to the index (broadcast when proven small), so the index is
+    filtered where it is read and a hot name such as ``run`` is never a shuffle key.
+    Misses are an anti join against the found names only.
     """
-    hits = symbol_hits(index)
+    from sourcelens.plans.joins import join_small
+
+    hits = symbol_hits(index).withColumnRenamed("name", "symbol")
     req = requested.select("project", "symbol").distinct()
-    found = req.join(hits.withColumnRenamed("name", "symbol"), ["project", "symbol"], "inner").select(
+    found = join_small(hits, req, ["project", "symbol"], "inner", known_small=small).select(
         "project", "symbol", "path", "bfs_order", "lineno", "kind", "hit"
     )
-    names = hits.select("project", F.col("name").alias("symbol")).distinct()
-    missing = req.join(names, ["project", "symbol"], "left_anti").select(
+    missing = req.join(found.select("project", "symbol").distinct(), ["project", "symbol"], "left_anti").select(
         "project",
         "symbol",
         F.lit(None).cast("string").alias("path"),
@@ -229,25 +230,30 @@ def search_symbols(requested: DataFrame, index: DataFrame) -> DataFrame:
     return found.unionByName(missing)
 
 
-def get_definitions(requested: DataFrame, index: DataFrame) -> DataFrame:
+def get_definitions(requested: DataFrame, index: DataFrame, small: bool | None = None) -> DataFrame:
     """J7 + W2 + E5: first definition in walk order per requested ``(project, path, name)``.
 
-    ``min_by`` over the lowest ``bfs_order`` (a window group limit, no sort of the group);
-    the source text is joined only for the winners. Misses and unparseable files
-    produce the reference's messages.
+    The index is semi-joined with the requests first (broadcast when proven small), then
+    ``min_by`` over ``bfs_order`` picks the first hit per request (no sort of the group);
+    source text is fetched only for the winners. Misses and unparseable files produce the
+    reference's messages.
     """
+    from sourcelens.plans.joins import join_small, small_side
+
     req = requested.select("project", "path", "name").distinct()
-    d = definitions(index)
+    if small is None:
+        req, small = small_side(req)
+    # every side below has at most as many rows as the requests
+    d = join_small(definitions(index), req, ["project", "path", "name"], "left_semi", known_small=small)
     first = d.groupBy("project", "path", "name").agg(
         F.min("bfs_order").alias("bfs_order"), F.min_by("lineno", "bfs_order").alias("lineno")
     )
-    src = definition_source(index)
-    status = parse_status(index)
-    j = (
-        req.join(first, ["project", "path", "name"], "left")
-        .join(src, ["project", "path", "bfs_order"], "left")
-        .join(status, ["project", "path"], "left")
-    )
+    winners = req.join(first, ["project", "path", "name"], "left")
+    src = join_small(definition_source(index), first.select("project", "path", "bfs_order"),
+                     ["project", "path", "bfs_order"], "inner", known_small=small)
+    status = join_small(parse_status(index), req.select("project", "path").distinct(), ["project", "path"],
+                        "left_semi", known_small=small)
+    j = winners.join(src, ["project", "path", "bfs_order"], "left").join(status, ["project", "path"], "left")
     output = (
         F.when(F.col("status") == "ok",
                F.when(F.col("lineno").isNotNull(), F.coalesce(F.col("source"), F.concat(

@@ -85,6 +85,7 @@ class LookupContext:
     files: DataFrame  # project, path, content
     index: DataFrame  # records of index.extract
     root: str = "/project"
+    small_requests: bool | None = None  # set per round by dispatch: all request sides are bounded by it
 
 
 @dataclass
@@ -105,7 +106,12 @@ def _read_file(ctx: LookupContext, calls: DataFrame) -> DataFrame:
     p = arg("file_path")
     _, inside, rel = resolve_path(p, ctx.root)
     c = calls.select("call_id", "project", p.alias("file_path"), inside.alias("inside"), rel.alias("rel"))
-    files = ctx.files.select("project", F.col("path").alias("rel"), "content")
+    from sourcelens.plans.joins import join_small
+
+    # The file table is the large side: filter it by the requested paths where it is read.
+    wanted = c.where("inside").select("project", "rel").distinct()
+    files = join_small(ctx.files.select("project", F.col("path").alias("rel"), "content"), wanted,
+                       ["project", "rel"], "left_semi", known_small=ctx.small_requests)
     j = c.join(files, ["project", "rel"], "left")
     output = (
         F.when(~F.col("inside"), outside_message(F.col("file_path")))
@@ -123,7 +129,8 @@ def _get_function(ctx: LookupContext, calls: DataFrame) -> DataFrame:
     c = calls.select("call_id", "project", p.alias("file_path"), inside.alias("inside"), rel.alias("rel"),
                      arg("name").alias("name"))
     ok = c.where("inside")
-    defs = I.get_definitions(ok.select("project", F.col("rel").alias("path"), "name"), ctx.index)
+    defs = I.get_definitions(ok.select("project", F.col("rel").alias("path"), "name"), ctx.index,
+                             small=ctx.small_requests)
     found = ok.join(defs.withColumnRenamed("path", "rel"), ["project", "rel", "name"], "left").select(
         "call_id",
         F.when(F.col("output").startswith("Error parsing"), "tool_error").otherwise("ok").alias("status"),
@@ -150,7 +157,7 @@ def _search_symbol(ctx: LookupContext, calls: DataFrame) -> DataFrame:
     no single row ever holds more than one file's hits.
     """
     c = calls.select("call_id", "project", arg("symbol").alias("symbol"))
-    hits = I.search_symbols(c.select("project", "symbol"), ctx.index)
+    hits = I.search_symbols(c.select("project", "symbol"), ctx.index, small=ctx.small_requests)
     j = c.join(hits, ["project", "symbol"], "inner")
     g = j.groupBy("call_id", "path").agg(
         F.array_sort(F.collect_list(F.struct("bfs_order", "hit"))).alias("h")
@@ -175,10 +182,17 @@ def dispatch(calls: DataFrame, ctx: LookupContext, registry: Registry | None = N
     Decode errors, non-object arguments and unknown tools become error outputs (in that
     order of checks); registered tools run as one join per tool over all their calls.
     """
+    from dataclasses import replace
+
+    from sourcelens.plans.joins import small_side
+
     registry = registry or default_registry()
     c = classify_arguments(calls)
     if "project" not in c.columns:
         c = c.withColumn("project", F.lit(None).cast("string"))
+    # One bounded count per round: every per-tool request side is a subset of these calls.
+    c, small = small_side(c)
+    ctx = replace(ctx, small_requests=small)
     known = F.col("name").isin(registry.names())
     err = (
         F.when(F.col("arg_status") == "invalid",

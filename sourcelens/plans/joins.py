@@ -33,3 +33,23 @@ def join_dimension(fact: DataFrame, dim: DataFrame, keys: list[str], how: str =
     f = fact.withColumn(salt, F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salts)))
     d = dim.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return f.join(d, keys + [salt], how).drop(salt)
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
+    """Materialise a request-like side once and say whether it may be broadcast."""
+    df = df.checkpoint(eager=True)
+    return df, fits_broadcast(df, max_rows)
+
+
+def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",
+               max_rows: int = BROADCAST_MAX_ROWS, known_small: bool | None = None) -> DataFrame:
+    """Join a large table to a request side (``big`` on the left).
+
+    A request side proven small (bounded count) is broadcast, so the large side is
+    filtered where it is read and never shuffled; otherwise it is an ordinary shuffle
+    join and AQE splits skewed keys. ``known_small`` passes on a bound the caller has
+    already proven (e.g. every request side of a round is at most the round's calls).
+    """
+    if known_small is None:
+        small, known_small = small_side(small, max_rows)
+    return big.join(F.broadcast(small) if known_small else small, keys, how)
