@@ -13,6 +13,10 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # No broadcast from compressed-file size estimates; broadcasts are either explicit after
+    # a bounded count (plans/joins.py) or chosen by AQE from measured shuffle sizes.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
     # Python ast / difflib work runs over small Arrow batches: big files stay bounded.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
