@@ -129,8 +129,12 @@ def attach_responses(files: DataFrame, responses: DataFrame) -> DataFrame:
     Responses are narrowed to their parsed columns before the join so the raw model
     text never crosses the shuffle.
     """
+    from sourcelens.plans.joins import join_small
+
     parsed = parse_response(responses).select("path", "mode", "rewritten_source", "reviews", "grouped")
-    return files.join(parsed, "path", "inner")
+    # Broadcast the parsed side when a bounded count proves it small; otherwise one
+    # shuffle join on path (files move once, keyed by path).
+    return join_small(files, parsed, ["path"], "inner")
 
 
 def apply_results(df: DataFrame) -> DataFrame:

@@ -73,7 +73,9 @@ def doc_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .distinct()
         .withColumn("low_quality", F.lit(True))
     )
-    d = d.join(low, "doc_id", "left")
+    from sourcelens.plans.joins import join_small
+
+    d = join_small(d, low, ["doc_id"], "left")
     i, n = F.col("doc_id"), F.col("n")
     s = lambda c: c.cast("string")
     parts = F.array(
