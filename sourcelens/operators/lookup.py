@@ -157,8 +157,11 @@ def _search_symbol(ctx: LookupContext, calls: DataFrame) -> DataFrame:
     no single row ever holds more than one file's hits.
     """
     c = calls.select("call_id", "project", arg("symbol").alias("symbol"))
+    from sourcelens.plans.joins import join_small
+
     hits = I.search_symbols(c.select("project", "symbol"), ctx.index, small=ctx.small_requests)
-    j = c.join(hits, ["project", "symbol"], "inner")
+    # calls of a round are the bounded side: a hot symbol never becomes a shuffle key
+    j = join_small(hits, c, ["project", "symbol"], "inner", known_small=ctx.small_requests)
     g = j.groupBy("call_id", "path").agg(
         F.array_sort(F.collect_list(F.struct("bfs_order", "hit"))).alias("h")
     )

@@ -11,13 +11,14 @@ BROADCAST_MAX_ROWS = 200_000
 DEFAULT_SALTS = 32
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (stops counting past the bound)."""
+    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
     return df.limit(max_rows + 1).count() <= max_rows
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "left",
-                   max_rows: int = BROADCAST_MAX_ROWS, salts: int = DEFAULT_SALTS) -> DataFrame:
+                   max_rows: int | None = None, salts: int = DEFAULT_SALTS) -> DataFrame:
     """Join a fact side to a dimension side with at most one row per key.
 
     Broadcast when the dimension is proven small. Otherwise salt: each dimension row is
@@ -35,14 +36,14 @@ def join_dimension(fact: DataFrame, dim: DataFrame, keys: list[str], how: str =
     return f.join(d, keys + [salt], how).drop(salt)
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
+def small_side(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
     """Materialise a request-like side once and say whether it may be broadcast."""
     df = df.checkpoint(eager=True)
     return df, fits_broadcast(df, max_rows)
 
 
 def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS, known_small: bool | None = None) -> DataFrame:
+               max_rows: int | None = None, known_small: bool | None = None) -> DataFrame:
     """Join a large table to a request side (``big`` on the left).
 
     A request side proven small (bounded count) is broadcast, so the large side is

@@ -76,10 +76,10 @@ def live_annotations(responses: DataFrame, files: DataFrame, out_dir: str, check
     from sourcelens.plans.jobs import proposals
 
     def apply_batch(batch: DataFrame, epoch: int) -> None:
+        # One directory per epoch, overwritten on replay: a retried batch never duplicates.
         p = proposals(files, batch).where("changed")
-        (p.select("project", "path", F.col("updated").alias("content"), "mode", "added", "injected",
-                  F.lit(epoch).cast("bigint").alias("epoch"))
-         .write.mode("append").parquet(out_dir))
+        (p.select("project", "path", F.col("updated").alias("content"), "mode", "added", "injected")
+         .write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/epoch={epoch}"))
 
     w = responses.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if trigger is None else w.trigger(**trigger)
