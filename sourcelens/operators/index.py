@@ -212,13 +212,15 @@ def search_symbols(requested: DataFrame, index: DataFrame, small: bool | None =
     Misses are an anti join against the found names only.
     """
     from sourcelens.plans.joins import join_small
+    from sourcelens.session import checkpoint
 
     hits = symbol_hits(index).withColumnRenamed("name", "symbol")
     req = requested.select("project", "symbol").distinct()
     # Materialised once: the output and the anti join both read it (one index scan).
     found = join_small(hits, req, ["project", "symbol"], "inner", known_small=small).select(
         "project", "symbol", "path", "bfs_order", "lineno", "kind", "hit"
-    ).checkpoint(eager=True)
+    )
+    found = checkpoint(found)
     missing = req.join(found.select("project", "symbol").distinct(), ["project", "symbol"], "left_anti").select(
         "project",
         "symbol",

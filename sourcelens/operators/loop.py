@@ -14,6 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sourcelens.session import checkpoint
+
 TURN_COLS = ["conv_id", "turn", "output_text", "has_tool_call"]
 
 
@@ -62,7 +64,7 @@ def run_conversations(
     active = ids.withColumn("turn", F.lit(1).cast("bigint"))
     finals, outputs = [], []
     for r in range(1, limit + 1):
-        resp = respond(active).checkpoint(eager=True)
+        resp = checkpoint(respond(active))
         done = resp.where(~F.col("has_tool_call") | (F.col("turn") == limit))
         finals.append(done.select(
             "conv_id", F.col("turn").alias("final_turn"),
@@ -73,8 +75,8 @@ def run_conversations(
             break
         cont = resp.where(F.col("has_tool_call")).select("conv_id", "turn")
         if dispatch_round is not None:
-            outputs.append(dispatch_round(cont).checkpoint(eager=True))
-        active = cont.select("conv_id", (F.col("turn") + 1).alias("turn")).checkpoint(eager=True)
+            outputs.append(checkpoint(dispatch_round(cont)))
+        active = checkpoint(cont.select("conv_id", (F.col("turn") + 1).alias("turn")))
         if active.isEmpty():
             break
     final = finals[0]

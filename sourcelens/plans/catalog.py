@@ -163,13 +163,13 @@ _INDEX_MEMO: dict = {}
 def code_index(spark, sf_dir):
     """Files and their index records; the parse runs once per session and is checkpointed."""
     from sourcelens.operators import index as I
-    from sourcelens.session import ensure_checkpoint_dir
+    from sourcelens.session import checkpoint, ensure_checkpoint_dir
 
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _INDEX_MEMO:
         ensure_checkpoint_dir(spark)
-        files = S.code_files(spark, sf_dir).checkpoint(eager=True)
-        _INDEX_MEMO[key] = (files, I.extract(files).checkpoint(eager=True))
+        files = checkpoint(S.code_files(spark, sf_dir))
+        _INDEX_MEMO[key] = (files, checkpoint(I.extract(files)))
     return _INDEX_MEMO[key]
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sourcelens.session import checkpoint
+
 # A side is broadcast only after a bounded count proves it has at most this many rows.
 BROADCAST_MAX_ROWS = 200_000
 # Salt fan-out used when a dimension side is too large to broadcast.
@@ -27,7 +29,7 @@ def join_dimension(fact: DataFrame, dim: DataFrame, keys: list[str], how: str =
     """
     # Materialise the dimension once (reliable checkpoint dir) so the size check and
     # the join read the same result instead of computing it twice.
-    dim = dim.checkpoint(eager=True)
+    dim = checkpoint(dim)
     if fits_broadcast(dim, max_rows):
         return fact.join(F.broadcast(dim), keys, how)
     salt = "__salt"
@@ -38,7 +40,7 @@ def join_dimension(fact: DataFrame, dim: DataFrame, keys: list[str], how: str =
 
 def small_side(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
     """Materialise a request-like side once and say whether it may be broadcast."""
-    df = df.checkpoint(eager=True)
+    df = checkpoint(df)
     return df, fits_broadcast(df, max_rows)
 
 

@@ -83,3 +83,9 @@ def ship_package(spark: SparkSession) -> None:
             z.write(f, f.relative_to(pkg.parent).as_posix())
     sc.addPyFile(str(out))
     _SHIPPED.add(app)
+
+
+def checkpoint(df):
+    """Eager reliable checkpoint into the session's shared checkpoint dir (never local)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
