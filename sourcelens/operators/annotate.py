@@ -132,7 +132,7 @@ def attach_responses(files: DataFrame, responses: DataFrame) -> DataFrame:
     from sourcelens.plans.joins import join_small
 
     parsed = parse_response(responses).select("path", "mode", "rewritten_source", "reviews", "grouped")
-    # Broadcast the parsed side when a bounded count proves it small; otherwise one
+    # Broadcast the parsed side when a bounded check proves it small; otherwise one
     # shuffle join on path (files move once, keyed by path).
     return join_small(files, parsed, ["path"], "inner")
 

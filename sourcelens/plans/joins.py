@@ -9,14 +9,38 @@ from sourcelens.session import checkpoint
 
 # A side is broadcast only after a bounded count proves it has at most this many rows.
 BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 64 << 20
 # Salt fan-out used when a dimension side is too large to broadcast.
 DEFAULT_SALTS = 32
 
 
+def _row_bytes(df: DataFrame):
+    """Approximate bytes of a row: text length for strings, JSON length for nested values."""
+    from pyspark.sql import types as Ty
+
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, (Ty.StringType, Ty.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, (Ty.ArrayType, Ty.MapType, Ty.StructType, Ty.VariantType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
+        else:
+            parts.append(F.lit(8))
+    total = parts[0]
+    for p in parts[1:]:
+        total = total + p
+    return total
+
+
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (stops counting past the bound)."""
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Counts a fully pruned projection (no column is computed) and stops past the bound,
+    so rejecting a large side costs little.
+    """
     max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "left",
@@ -27,10 +51,8 @@ def join_dimension(fact: DataFrame, dim: DataFrame, keys: list[str], how: str =
     copied ``salts`` times and fact rows pick a salt from a hash of all their columns, so
     one hot key (say one project holding a third of all files) spreads over ``salts`` tasks.
     """
-    # Materialise the dimension once (reliable checkpoint dir) so the size check and
-    # the join read the same result instead of computing it twice.
-    dim = checkpoint(dim)
-    if fits_broadcast(dim, max_rows):
+    dim, small = small_side(dim, max_rows)
+    if small:
         return fact.join(F.broadcast(dim), keys, how)
     salt = "__salt"
     f = fact.withColumn(salt, F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salts)))
@@ -38,10 +60,20 @@ def join_dimension(fact: DataFrame, dim: DataFrame, keys: list[str], how: str =
     return f.join(d, keys + [salt], how).drop(salt)
 
 
-def small_side(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Materialise a request-like side once and say whether it may be broadcast."""
+def small_side(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
+    """Say whether a side may be broadcast.
+
+    1. rows: a bounded count of a pruned projection; a large side is rejected here and
+       stays a lazy plan (never written anywhere);
+    2. bytes: a side small in rows is materialised once in the shared checkpoint dir and
+       its measured size must stay under ``max_bytes`` (wide rows such as whole files).
+    """
+    max_bytes = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
+    if not fits_broadcast(df, max_rows):
+        return df, False
     df = checkpoint(df)
-    return df, fits_broadcast(df, max_rows)
+    size = df.agg(F.sum(_row_bytes(df))).first()[0] or 0
+    return df, size <= max_bytes
 
 
 def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",
