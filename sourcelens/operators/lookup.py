@@ -128,10 +128,14 @@ def _get_function(ctx: LookupContext, calls: DataFrame) -> DataFrame:
     _, inside, rel = resolve_path(p, ctx.root)
     c = calls.select("call_id", "project", p.alias("file_path"), inside.alias("inside"), rel.alias("rel"),
                      arg("name").alias("name"))
+    from sourcelens.plans.joins import join_small
+
     ok = c.where("inside")
     defs = I.get_definitions(ok.select("project", F.col("rel").alias("path"), "name"), ctx.index,
                              small=ctx.small_requests)
-    found = ok.join(defs.withColumnRenamed("path", "rel"), ["project", "rel", "name"], "left").select(
+    # one answer per distinct request: at most as many rows as the round's calls
+    found = join_small(ok, defs.withColumnRenamed("path", "rel"), ["project", "rel", "name"], "left",
+                       known_small=ctx.small_requests).select(
         "call_id",
         F.when(F.col("output").startswith("Error parsing"), "tool_error").otherwise("ok").alias("status"),
         F.lit("").alias("chunk_key"),
@@ -213,16 +217,17 @@ def dispatch(calls: DataFrame, ctx: LookupContext, registry: Registry | None = N
     )
     c = c.withColumn("err", err).withColumn("err_status", status)
     outs = [c.where(F.col("err").isNotNull()).select(
-        "call_id", F.col("err_status").alias("status"), F.lit("").alias("chunk_key"), F.col("err").alias("output")
+        "call_id", "name", F.col("err_status").alias("status"), F.lit("").alias("chunk_key"),
+        F.col("err").alias("output"),
     )]
     ok = c.where(F.col("err").isNull())
     for name, tool in registry.tools.items():
-        outs.append(tool.run(ctx, ok.where(F.col("name") == name)).select(*OUTPUT_COLS))
+        out = tool.run(ctx, ok.where(F.col("name") == name)).select(*OUTPUT_COLS)
+        outs.append(out.withColumn("name", F.lit(name)))
     result = outs[0]
     for o in outs[1:]:
         result = result.unionByName(o)
-    names = calls.select("call_id", "name")
-    return result.join(names, "call_id", "inner").select("call_id", "name", *OUTPUT_COLS[1:])
+    return result.select("call_id", "name", *OUTPUT_COLS[1:])
 
 
 def argument_violations(calls: DataFrame, registry: Registry | None = None) -> DataFrame:

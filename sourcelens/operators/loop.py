@@ -76,7 +76,8 @@ def run_conversations(
         cont = resp.where(F.col("has_tool_call")).select("conv_id", "turn")
         if dispatch_round is not None:
             outputs.append(checkpoint(dispatch_round(cont)))
-        active = checkpoint(cont.select("conv_id", (F.col("turn") + 1).alias("turn")))
+        # a projection of the checkpointed round result: no lineage to cut here
+        active = cont.select("conv_id", (F.col("turn") + 1).alias("turn"))
         if active.isEmpty():
             break
     final = finals[0]

@@ -163,13 +163,15 @@ _INDEX_MEMO: dict = {}
 def code_index(spark, sf_dir):
     """Files and their index records; the parse runs once per session and is checkpointed."""
     from sourcelens.operators import index as I
-    from sourcelens.session import checkpoint, ensure_checkpoint_dir
+    from sourcelens.session import ensure_checkpoint_dir, write_and_read
 
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _INDEX_MEMO:
         ensure_checkpoint_dir(spark)
-        files = checkpoint(S.code_files(spark, sf_dir))
-        _INDEX_MEMO[key] = (files, checkpoint(I.extract(files)))
+        # Written as parquet tables in the shared checkpoint dir: lookups then read only
+        # the record type (partition pruning) and the columns they need.
+        files = write_and_read(S.code_files(spark, sf_dir), "code_files")
+        _INDEX_MEMO[key] = (files, write_and_read(I.extract(files), "code_index", partition_by="rec"))
     return _INDEX_MEMO[key]
 
 

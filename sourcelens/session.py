@@ -89,3 +89,25 @@ def checkpoint(df):
     """Eager reliable checkpoint into the session's shared checkpoint dir (never local)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shared_table_path(spark: SparkSession, name: str) -> str:
+    """A fresh location for an intermediate table under the shared checkpoint dir."""
+    import uuid
+
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/tables/{name}-{uuid.uuid4().hex}"
+
+
+def write_and_read(df, name: str, partition_by: str | None = None):
+    """Write ``df`` as parquet in the shared checkpoint dir and read it back.
+
+    Unlike an RDD checkpoint, later readers get column pruning, predicate pushdown and
+    partition pruning; the write also cuts the lineage.
+    """
+    path = shared_table_path(df.sparkSession, name)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.parquet(path)
+    return df.sparkSession.read.parquet(path)
