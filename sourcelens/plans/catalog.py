@@ -447,3 +447,54 @@ def review_corpus(spark, sf_dir):
     files = S.doc_files(spark, sf_dir, annotated=True).select("path", "content")
     return J.review_corpus(S.doc_requests(spark, sf_dir), files, S.doc_responses(spark, sf_dir),
                            S.doc_decisions(spark, sf_dir), python_only=False)
+
+
+@query
+def turn_progress(spark, sf_dir):
+    """T1 batch twin: progress records of the turn event stream (same function as streaming)."""
+    from sourcelens.streaming import turns as ST
+
+    p = ST.turn_progress(S.turn_events(spark, sf_dir))
+    return p.select("response_id", "seq", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "message")
+
+
+@query
+def turn_outcomes(spark, sf_dir):
+    """T3 batch twin: per response and hour window, last payload and counts per type."""
+    from sourcelens.streaming import turns as ST
+
+    o = ST.turn_outcomes(S.turn_events(spark, sf_dir))
+    return o.select(
+        "response_id", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+        "last_payload", "last_seq", _long(F.col("events")).alias("events"),
+        _long(F.col("tool_calls")).alias("tool_calls"), _long(F.col("text_deltas")).alias("text_deltas"),
+    )
+
+
+@query
+def truncate_content(spark, sf_dir):
+    """read_file truncation; limits from -20 to 179 cover negative, zero and positive."""
+    d = S.table(spark, sf_dir, "documents").select("doc_id", "text", (F.col("doc_id") % 200 - 20).alias("max_chars"))
+    return d.select("doc_id", _long(F.col("max_chars")).alias("max_chars"),
+                    T.truncate_content(F.col("text"), F.col("max_chars")).alias("output"))
+
+
+@query
+def compose_prompts(spark, sf_dir):
+    """X12 + A6: the first user turn of every valid review request, context built from the
+    document corpus's own index (prose does not parse, so skeletons are empty)."""
+    from sourcelens.operators import context as C
+    from sourcelens.operators import index as I
+    from sourcelens.plans import jobs as J
+
+    files = S.doc_files(spark, sf_dir).select("project", "path", "content")
+    idx = I.extract(files)
+    req = J.validate_requests(S.doc_requests(spark, sf_dir), files.select("path"), python_only=False)
+    req = req.where((F.col("stage") == "ok") & ~F.col("clean"))
+    ctx = C.build_contexts(files, idx, req.join(files.select("project", "path"), "path"))
+    skel_text = F.lit(I.SKELETON_HEADING)  # section text when no file of the project has definitions
+    context = F.concat_ws("\n\n", F.when(F.col("skeleton_chars") == len(I.SKELETON_HEADING), skel_text),
+                          F.col("imported_section"), F.col("target_section"))
+    j = req.join(ctx.select("path", "skeleton_chars", "imported_section", "target_section"), "path")
+    msg = J.scoped_message(F.col("message"), F.col("range.start"), F.col("range.end"))
+    return j.select("doc_id", J.compose_prompt(msg, context).alias("prompt"), _long(F.col("skeleton_chars")).alias("skeleton_chars"))

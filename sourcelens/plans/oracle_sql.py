@@ -649,3 +649,50 @@ SELECT doc_id, path, outcome,
        ELSE content END AS final_content
 FROM o
 """
+
+
+def summarise_sql(x: str) -> str:
+    sx = f"regexp_replace({strip(x)}, '{WS_RUN_RE}', ' ', 'g')"
+    return f"(CASE WHEN length({sx}) <= 120 THEN {sx} ELSE substr({sx}, 1, 117) || '...' END)"
+
+
+ORACLES["turn_progress"] = f"""
+SELECT user_id AS response_id, event_id AS seq, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
+  CASE event_type
+    WHEN 'signup' THEN 'response created: ' || {s('user_id')}
+    WHEN 'error' THEN 'model turn ' || {s('user_id')} || ' in progress'
+    WHEN 'purchase' THEN 'model requested tool `' || props || '`'
+    WHEN 'click' THEN 'tool args ready: ' || {summarise_sql('props')} END AS message
+FROM events WHERE event_type IN ('signup', 'error', 'purchase', 'click') AND user_id IS NOT NULL
+"""
+
+ORACLES["turn_outcomes"] = """
+SELECT user_id AS response_id, strftime(time_bucket(INTERVAL '1 hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+       arg_max(props, event_id) AS last_payload, max(event_id) AS last_seq, CAST(count(*) AS BIGINT) AS events,
+       CAST(count(*) FILTER (WHERE event_type = 'click') AS BIGINT) AS tool_calls,
+       CAST(count(*) FILTER (WHERE event_type = 'view') AS BIGINT) AS text_deltas
+FROM events GROUP BY user_id, time_bucket(INTERVAL '1 hour', ts)
+"""
+
+ORACLES["truncate_content"] = """
+SELECT doc_id, max_chars,
+  CASE WHEN max_chars <> 0 AND length(text) > max_chars
+       THEN (CASE WHEN max_chars > 0 THEN substr(text, 1, max_chars)
+                  ELSE substr(text, 1, greatest(length(text) + max_chars, 0)) END)
+            || chr(10) || chr(10) || '... truncated at ' || CAST(max_chars AS VARCHAR) || ' characters'
+       ELSE text END AS output
+FROM (SELECT doc_id, text, doc_id % 200 - 20 AS max_chars FROM documents)
+"""
+
+ORACLES["compose_prompts"] = with_(DOC_REQUESTS, RANGES) + f"""
+SELECT g.doc_id,
+  g.message || CASE WHEN g.range_status = 'ok'
+                    THEN chr(10) || chr(10) || 'Only comment on or change lines ' || {s('g.a')} || '-' || {s('g.b')}
+                         || '. Ignore all other lines.' ELSE '' END
+  || chr(10) || chr(10) || 'Use tools only when the provided context is insufficient.' || chr(10) || chr(10)
+  || '## Project Skeleton' || chr(10) || chr(10) || chr(10)
+  || '## Target File: doc_' || {s('g.doc_id')} || chr(10) || {numbered('d.text')} AS prompt,
+  CAST(20 AS BIGINT) AS skeleton_chars
+FROM ranges g JOIN documents d ON d.doc_id = g.doc_id
+WHERE NOT g.clean AND g.message IS NOT NULL AND g.range_status NOT IN ('bad_shape', 'bad_order')
+"""
