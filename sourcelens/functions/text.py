@@ -6,6 +6,8 @@ whole-stage codegen (regex and higher-order functions are JVM built-ins).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,17 +32,38 @@ WS_RUN_RE = rf"[{WS_CHARS}]+"
 INDENT_RE = rf"^[{WS_CHARS}]*"
 COMMENT_LINE_RE = rf"^[{WS_CHARS}]*# REVIEW:"
 
-# The review line contract and markers of a rewrite response.
+# The review line contract, markers of a rewrite response, and the note
+# appended to truncated file contents.
 REVIEW_RE = r"^REVIEW:([0-9]+):\s*(.+)$"
 REVIEW_PREFIX = "# REVIEW:"
 FILE_START = "FILE_START"
 FILE_END = "FILE_END"
+TRUNCATED_NOTE = "\n\n... truncated at {n} characters"
 
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+_PLACEHOLDER = re.compile(r"\{(\w+)\}")
+
+
+def fill(template: str, **values) -> Column:
+    """A text template as a Column: ``fill("'{name}' not found in {path}", name="n", path=col)``.
+
+    Placeholders take column names or Columns; everything else is literal text.
+    """
+    parts, pos = [], 0
+    for m in _PLACEHOLDER.finditer(template):
+        if m.start() > pos:
+            parts.append(F.lit(template[pos:m.start()]))
+        parts.append(_c(values[m.group(1)]).cast("string"))
+        pos = m.end()
+    if pos < len(template):
+        parts.append(F.lit(template[pos:]))
+    return F.concat(*parts)
+
+
 # Split points: after CRLF, after any other break, after a CR not followed by LF.
 _SPLIT_AFTER_BREAK = r"(?<=\r\n|[\n\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]|\r(?!\n))"
 _BREAK = rf"\r\n|[{BREAK_CHARS}]"
@@ -111,7 +134,7 @@ def truncate_content(text, max_chars) -> Column:
     keep = F.when(n >= 0, n).otherwise(F.greatest(F.length(t) + n, F.lit(0)))
     return F.when(
         n.isNotNull() & (n != 0) & (F.length(t) > n),
-        F.concat(F.left(t, keep), F.lit("\n\n... truncated at "), n.cast("string"), F.lit(" characters")),
+        F.concat(F.left(t, keep), fill(TRUNCATED_NOTE, n=n)),
     ).otherwise(t)
 
 

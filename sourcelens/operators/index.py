@@ -25,6 +25,19 @@ _FIELDS = [
 ]
 _ARROW_SCHEMA = pa.schema(_FIELDS)
 
+# Section texts and lookup messages ({...} are filled per row).
+SKELETON_HEADING = "## Project Skeleton\n"
+SKELETON_ENTRY = "### {path}\n{names}"
+SKELETON_NAME_SEP = ", "
+IMPORTED_HEADING = "## Imported Files\n"
+IMPORTED_SEP = "\n\n---\n\n"
+HIT_DEFINED = "DEFINED  {path}:{lineno}"
+HIT_CALLED = "CALLED   {path}:{lineno}"
+MSG_NOT_FOUND_IN_PROJECT = "'{symbol}' not found in project"
+MSG_NOT_FOUND_IN_FILE = "'{name}' not found in {path}"
+MSG_NO_SOURCE = "Could not extract source for '{name}'"
+MSG_PARSE_ERROR = "Error parsing '{path}': {error}"
+
 
 def _extract_batches(batches):
     """Per file: one 'file' status record plus def / call / import records in walk order."""
@@ -131,13 +144,10 @@ def skeleton_entries(index: DataFrame) -> DataFrame:
         "project",
         "path",
         F.size("defs").cast("bigint").alias("n_names"),
-        F.concat(F.lit("### "), F.col("path"), F.lit("\n"), F.array_join(F.col("defs.name"), ", ")).alias("entry"),
+        T.fill(SKELETON_ENTRY, path="path", names=F.array_join(F.col("defs.name"), SKELETON_NAME_SEP)).alias("entry"),
     )
 
 
-SKELETON_HEADING = "## Project Skeleton\n"
-
-
 def skeleton_sizes(entries: DataFrame) -> DataFrame:
     """Per project: character count of the skeleton section, from decomposable sums.
 
@@ -187,7 +197,7 @@ def imported_sections(resolved: DataFrame) -> DataFrame:
     return g.select(
         "project",
         "path",
-        F.concat(F.lit("## Imported Files\n"), F.array_join(F.col("r.resolved_content"), "\n\n---\n\n")).alias(
+        F.concat(F.lit(IMPORTED_HEADING), F.array_join(F.col("r.resolved_content"), IMPORTED_SEP)).alias(
             "imported_section"
         ),
     )
@@ -200,8 +210,9 @@ def symbol_hits(index: DataFrame) -> DataFrame:
     )
     c = calls(index).select("project", "path", "name", "lineno", "bfs_order", F.lit("CALLED").alias("kind"))
     u = d.unionByName(c)
-    label = F.when(F.col("kind") == "DEFINED", F.lit("DEFINED  ")).otherwise(F.lit("CALLED   "))
-    return u.withColumn("hit", F.concat(label, F.col("path"), F.lit(":"), F.col("lineno").cast("string")))
+    hit = F.when(F.col("kind") == "DEFINED", T.fill(HIT_DEFINED, path="path", lineno="lineno")).otherwise(
+        T.fill(HIT_CALLED, path="path", lineno="lineno"))
+    return u.withColumn("hit", hit)
 
 
 def search_symbols(requested: DataFrame, index: DataFrame, small: bool | None = None) -> DataFrame:
@@ -228,7 +239,7 @@ def search_symbols(requested: DataFrame, index: DataFrame, small: bool | None =
         F.lit(None).cast("int").alias("bfs_order"),
         F.lit(None).cast("int").alias("lineno"),
         F.lit("NONE").alias("kind"),
-        F.concat(F.lit("'"), F.col("symbol"), F.lit("' not found in project")).alias("hit"),
+        T.fill(MSG_NOT_FOUND_IN_PROJECT, symbol="symbol").alias("hit"),
     )
     return found.unionByName(missing)
 
@@ -259,12 +270,11 @@ def get_definitions(requested: DataFrame, index: DataFrame, small: bool | None =
     j = winners.join(src, ["project", "path", "bfs_order"], "left").join(status, ["project", "path"], "left")
     output = (
         F.when(F.col("status") == "ok",
-               F.when(F.col("lineno").isNotNull(), F.coalesce(F.col("source"), F.concat(
-                   F.lit("Could not extract source for '"), F.col("name"), F.lit("'"))))
-               .otherwise(F.concat(F.lit("'"), F.col("name"), F.lit("' not found in "), F.col("path"))))
+               F.when(F.col("lineno").isNotNull(), F.coalesce(F.col("source"), T.fill(MSG_NO_SOURCE, name="name")))
+               .otherwise(T.fill(MSG_NOT_FOUND_IN_FILE, name="name", path="path")))
         .when(F.col("status").isin("syntax_error", "error"),
-              F.concat(F.lit("Error parsing '"), F.col("path"), F.lit("': "), F.col("error")))
-        .otherwise(F.concat(F.lit("Error parsing '"), F.col("path"), F.lit("': file not found")))
+              T.fill(MSG_PARSE_ERROR, path="path", error="error"))
+        .otherwise(T.fill(MSG_PARSE_ERROR, path="path", error=F.lit("file not found")))
     )
     return j.select(
         "project", "path", "name",

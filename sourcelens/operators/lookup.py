@@ -18,6 +18,14 @@ from sourcelens.operators import index as I
 
 OUTPUT_COLS = ["call_id", "status", "chunk_key", "output"]
 
+# Texts of tool results and dispatch errors ({...} are filled per row).
+MSG_OUTSIDE_ROOT = "Error: '{path}' is outside the project root"
+MSG_READ_ERROR = "Error reading '{path}': file not found"
+MSG_NOT_FOUND_IN_FILE = "'{name}' not found in {path}"
+MSG_INVALID_JSON = "Error: invalid JSON arguments for tool '{name}'"
+MSG_NOT_OBJECT = "Error running tool '{name}': Tool arguments must decode to a JSON object"
+MSG_UNKNOWN_TOOL = "Error running tool '{name}': Tool \"{name}\" not found in registry"
+
 
 def classify_arguments(calls: DataFrame, col: str = "arguments") -> DataFrame:
     """Adds ``args`` (VARIANT) and ``arg_status`` in invalid / not_object / object."""
@@ -54,7 +62,7 @@ def resolve_path(path: Column, root: str) -> tuple[Column, Column, Column]:
 
 
 def outside_message(path: Column) -> Column:
-    return F.concat(F.lit("Error: '"), path, F.lit("' is outside the project root"))
+    return T.fill(MSG_OUTSIDE_ROOT, path=path)
 
 
 @dataclass
@@ -116,7 +124,7 @@ def _read_file(ctx: LookupContext, calls: DataFrame) -> DataFrame:
     output = (
         F.when(~F.col("inside"), outside_message(F.col("file_path")))
         .when(F.col("content").isNotNull(), F.col("content"))
-        .otherwise(F.concat(F.lit("Error reading '"), F.col("file_path"), F.lit("': file not found")))
+        .otherwise(T.fill(MSG_READ_ERROR, path="file_path"))
     )
     status = F.when(F.col("inside") & F.col("content").isNotNull(), "ok").otherwise("tool_error")
     return j.select("call_id", status.alias("status"), F.lit("").alias("chunk_key"), output.alias("output"))
@@ -144,7 +152,7 @@ def _get_function(ctx: LookupContext, calls: DataFrame) -> DataFrame:
         .when(F.col("output").startswith("Error parsing"),
               F.concat(F.lit("Error parsing '"), F.col("file_path"), F.lit("'"),
                        F.regexp_extract("output", r"^Error parsing '.*?'(.*)$", 1)))
-        .otherwise(F.concat(F.lit("'"), F.col("name"), F.lit("' not found in "), F.col("file_path")))
+        .otherwise(T.fill(MSG_NOT_FOUND_IN_FILE, name="name", path="file_path"))
         .alias("output"),
     )
     outside = c.where(~F.col("inside")).select(
@@ -203,12 +211,10 @@ def dispatch(calls: DataFrame, ctx: LookupContext, registry: Registry | None = N
     known = F.col("name").isin(registry.names())
     err = (
         F.when(F.col("arg_status") == "invalid",
-               F.concat(F.lit("Error: invalid JSON arguments for tool '"), F.col("name"), F.lit("'")))
+               T.fill(MSG_INVALID_JSON, name="name"))
         .when(F.col("arg_status") == "not_object",
-              F.concat(F.lit("Error running tool '"), F.col("name"),
-                       F.lit("': Tool arguments must decode to a JSON object")))
-        .when(~known, F.concat(F.lit("Error running tool '"), F.col("name"), F.lit("': Tool \""), F.col("name"),
-                               F.lit("\" not found in registry")))
+              T.fill(MSG_NOT_OBJECT, name="name"))
+        .when(~known, T.fill(MSG_UNKNOWN_TOOL, name="name"))
     )
     status = (
         F.when(F.col("arg_status") == "invalid", "invalid_json")
