@@ -18,8 +18,10 @@ JOB_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
-    # Python ast / difflib work runs over small Arrow batches: big files stay bounded.
+    # Python ast / difflib work runs over Arrow batches bounded in bytes as well as rows,
+    # so a batch of large files stays small in worker memory.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
 }
 
 
