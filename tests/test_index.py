@@ -174,3 +174,12 @@ def test_dispatch_errors_and_paths(indexed, spark):
     assert out[6]["output"] == "async def fetch():\n    await obj.other()"
     assert out[7]["output"] == "CALLED   a/b.py:15"
     assert out[8]["output"] == "Error reading 'missing.py': file not found"
+
+
+def test_source_partitions_pack_by_bytes(tree):
+    from sourcelens.sources.filesource import SourceTreeReader
+
+    root, _ = tree
+    few = SourceTreeReader({"roots": f"proj={root}", "suffix": ".py"}).partitions()
+    many = SourceTreeReader({"roots": f"proj={root}", "suffix": ".py", "partitionBytes": "1"}).partitions()
+    assert len(few) == 1 and len(many) == sum(len(p.files) for p in many) == 8
