@@ -384,7 +384,7 @@ def final_turn(spark, sf_dir):
 @query
 def first_text_delta(spark, sf_dir):
     """T2 batch twin: first text delta of each response."""
-    e = S.turn_events(spark, sf_dir).where(F.col("type") == "response.output_text.delta")
+    e = S.turn_events(spark, sf_dir, types=["response.output_text.delta"])
     g = e.groupBy("response_id").agg(F.min(F.struct("seq", "ts", "payload")).alias("f"))
     return g.select(
         "response_id", F.col("f.seq").alias("seq"),

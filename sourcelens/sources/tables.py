@@ -246,6 +246,13 @@ def turn_events_of(events: DataFrame) -> DataFrame:
     )
 
 
-def turn_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``turn_events(response_id, seq, type, payload, ts)`` from ``events``."""
-    return turn_events_of(table(spark, sf_dir, "events"))
+def turn_events(spark: SparkSession, sf_dir: str, types: list[str] | None = None) -> DataFrame:
+    """``turn_events(response_id, seq, type, payload, ts)`` from ``events``.
+
+    ``types`` filters on the source column before the mapping, so the predicate reaches
+    the parquet scan instead of running on a derived column.
+    """
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    if types is not None:
+        events = events.where(F.col("event_type").isin([k for k, v in EVENT_TYPES.items() if v in types]))
+    return turn_events_of(spread(events))
