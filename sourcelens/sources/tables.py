@@ -24,8 +24,11 @@ def spread(df: DataFrame) -> DataFrame:
     row group, a handful of files); a large input already has far more splits than
     cores and is left exactly as read, with no extra shuffle.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access: leave the scan as it is
+        return df
     return df.repartition(want) if have < want else df
 
 
