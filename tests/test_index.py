@@ -50,6 +50,7 @@ def tree():
         "nested.py": NESTED,
         "bad.py": "def broken(:\n    pass\n",
         "crlf.py": "def crlf():\r\n    return 1\r\n",
+        "d.py": "from a import c\nimport a.c as alias\n",
         "notes.txt": "not python\n",
     }
     for rel, text in files.items():
@@ -74,7 +75,7 @@ def test_scan_keeps_hidden_init_empty_and_flags_bad_utf8(indexed):
     files, _ = indexed
     rows = {r["path"]: r for r in files.collect()}
     assert set(rows) == {"pkg/__init__.py", ".hidden/mod.py", "a/b.py", "a/c.py", "nested.py", "bad.py",
-                         "crlf.py", "badutf.py"}
+                         "crlf.py", "badutf.py", "d.py"}
     assert rows["pkg/__init__.py"]["content"] == ""
     assert rows["badutf.py"]["read_status"] == "bad_utf8" and rows["badutf.py"]["content"] is None
     assert rows["crlf.py"]["content"] == "def crlf():\n    return 1\n"  # text-mode read
@@ -115,6 +116,9 @@ def test_imports_and_resolution(indexed):
     res = I.resolve_imports(idx, files.where(F.col("read_status") == "ok")).where(F.col("path") == "a/b.py")
     got = sorted(r["resolved_path"] for r in res.collect())
     assert got == ["a/c.py", "a/c.py"]  # duplicates kept; `import pkg` resolves nothing
+    d = I.resolve_imports(idx, files.where(F.col("read_status") == "ok")).where(F.col("path") == "d.py")
+    # `from a import c` looks up module `a` only; `import a.c as alias` resolves a/c.py
+    assert [(r["module"], r["resolved_path"]) for r in d.collect()] == [("a.c", "a/c.py")]
 
 
 def test_definition_source_and_calls(indexed, spark):
@@ -182,4 +186,4 @@ def test_source_partitions_pack_by_bytes(tree):
     root, _ = tree
     few = SourceTreeReader({"roots": f"proj={root}", "suffix": ".py"}).partitions()
     many = SourceTreeReader({"roots": f"proj={root}", "suffix": ".py", "partitionBytes": "1"}).partitions()
-    assert len(few) == 1 and len(many) == sum(len(p.files) for p in many) == 8
+    assert len(few) == 1 and len(many) == sum(len(p.files) for p in many) == 9
