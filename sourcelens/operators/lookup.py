@@ -28,7 +28,11 @@ MSG_UNKNOWN_TOOL = "Error running tool '{name}': Tool \"{name}\" not found in re
 
 
 def classify_arguments(calls: DataFrame, col: str = "arguments") -> DataFrame:
-    """Adds ``args`` (VARIANT) and ``arg_status`` in invalid / not_object / object."""
+    """Adds ``args`` (VARIANT) and ``arg_status`` in invalid / not_object / object.
+
+    Needs ``spark.sql.variant.allowDuplicateKeys=true`` (set by the job config) so that a
+    repeated key keeps its last value, as Python's decoder does, instead of failing.
+    """
     v = F.try_parse_json(F.col(col))
     status = (
         F.when(v.isNull(), F.lit("invalid"))

@@ -18,6 +18,8 @@ JOB_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
+    # Tool arguments are decoded like Python's json.loads: duplicate keys, last one wins.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Python ast / difflib work runs over Arrow batches bounded in bytes as well as rows,
     # so a batch of large files stays small in worker memory.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",

@@ -90,3 +90,12 @@ def test_exclude_sensitive_and_index_write(spark):
     assert sorted(d for d in os.listdir(out) if d.startswith("rec=")) == ["rec=def", "rec=file"]
     back = spark.read.parquet(out)
     assert [r["name"] for r in back.where("rec = 'def'").collect()] == ["ok"]
+
+
+def test_duplicate_json_keys_last_wins(spark):
+    import json
+
+    text = '{"file_path": "a.py", "file_path": "b.py"}'
+    df = L.classify_arguments(spark.createDataFrame([(text,)], "arguments string"))
+    r = df.select("arg_status", L.arg("file_path").alias("fp")).first()
+    assert (r["arg_status"], r["fp"]) == ("object", json.loads(text)["file_path"])
