@@ -282,3 +282,10 @@ def get_definitions(requested: DataFrame, index: DataFrame, small: bool | None =
         (F.col("lineno").isNotNull() & (F.col("status") == "ok")).cast("bigint").alias("found"),
         output.alias("output"),
     )
+
+
+def ordered_hits(hits: DataFrame) -> DataFrame:
+    """O1: final presentation order of search results: per symbol, files by path, and
+    definitions and calls interleaved in walk order within a file. A global sort, so use
+    it only on the final output (aggregates order their own arrays)."""
+    return hits.orderBy("project", "symbol", F.col("path").asc_nulls_last(), "bfs_order")
