@@ -44,18 +44,22 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "left",
-                   max_rows: int | None = None, salts: int = DEFAULT_SALTS) -> DataFrame:
+                   max_rows: int | None = None, salts: int = DEFAULT_SALTS,
+                   salt_by: list[str] | None = None) -> DataFrame:
     """Join a fact side to a dimension side with at most one row per key.
 
     Broadcast when the dimension is proven small. Otherwise salt: each dimension row is
-    copied ``salts`` times and fact rows pick a salt from a hash of all their columns, so
-    one hot key (say one project holding a third of all files) spreads over ``salts`` tasks.
+    copied ``salts`` times and fact rows pick a salt from a hash of ``salt_by`` (narrow row
+    columns), so one hot key (say one project holding a third of all files) spreads over
+    ``salts`` tasks.
     """
     dim, small = small_side(dim, max_rows)
     if small:
         return fact.join(F.broadcast(dim), keys, how)
     salt = "__salt"
-    f = fact.withColumn(salt, F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salts)))
+    # deterministic salt from narrow row columns (a retried task picks the same salts)
+    salt_cols = salt_by or [c for c in fact.columns if c not in keys] or fact.columns
+    f = fact.withColumn(salt, F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(salts)))
     d = dim.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return f.join(d, keys + [salt], how).drop(salt)
 
