@@ -27,6 +27,20 @@ def _long(c):
     return c.cast("bigint")
 
 
+_TABLE_MEMO: dict = {}
+
+
+def responses_table(spark, sf_dir):
+    """Recorded responses, derived from the tables once per session and kept as parquet in
+    the shared checkpoint dir (as a responses table would be), read by every query."""
+    from sourcelens.session import write_and_read
+
+    key = (spark.sparkContext.applicationId, sf_dir, "responses")
+    if key not in _TABLE_MEMO:
+        _TABLE_MEMO[key] = S.spread(write_and_read(S.doc_responses(spark, sf_dir), "doc_responses"))
+    return _TABLE_MEMO[key]
+
+
 @query
 def split_number_lines(spark, sf_dir):
     """X1 + W1 row form: one row per line."""
@@ -67,7 +81,7 @@ def summarise_text(spark, sf_dir):
 @query
 def parse_reviews(spark, sf_dir):
     """F4 + X5 on every response (the raw line parser, markers ignored)."""
-    r = S.doc_responses(spark, sf_dir)
+    r = responses_table(spark, sf_dir)
     rows = r.select("doc_id", F.explode(A.parse_reviews_col(T.split_lines("output_text"))).alias("r"))
     return rows.select(
         "doc_id", _long(F.col("r.seq")).alias("seq"), "r.line_key", "r.lineno", "r.comment"
@@ -77,14 +91,14 @@ def parse_reviews(spark, sf_dir):
 @query
 def parse_response_mode(spark, sf_dir):
     """X6 + A7: mode per response, rewrite body, number of reviews."""
-    p = A.parse_response(S.doc_responses(spark, sf_dir))
+    p = A.parse_response(responses_table(spark, sf_dir))
     return p.select("doc_id", "mode", "rewritten_source", _long(F.size("reviews")).alias("n_reviews"))
 
 
 @query
 def group_reviews(spark, sf_dir):
     """A2: comments per line in order of appearance (review-mode responses)."""
-    p = A.parse_response(S.doc_responses(spark, sf_dir))
+    p = A.parse_response(responses_table(spark, sf_dir))
     g = p.select("doc_id", "reviews", F.explode("grouped").alias("g"))
     first_seq = F.array_min(
         F.transform(F.filter("reviews", lambda r: r["line_key"] == F.col("g.line_key")), lambda r: r["seq"])
@@ -101,7 +115,7 @@ def group_reviews(spark, sf_dir):
 
 def _injected(spark, sf_dir) -> DataFrame:
     files = S.doc_files(spark, sf_dir, annotated=True).select("path", "content")
-    j = A.attach_responses(files, S.doc_responses(spark, sf_dir)).where(F.col("mode") == "review")
+    j = A.attach_responses(files, responses_table(spark, sf_dir)).where(F.col("mode") == "review")
     j = j.withColumn("lines", T.split_lines_keepends("content"))
     n_lines = _long(F.size("lines"))
     return j.select(
@@ -145,7 +159,7 @@ def review_counts(spark, sf_dir):
     files = S.doc_files(spark, sf_dir, annotated=True).select(
         "path", _long(F.size(T.split_lines_keepends("content"))).alias("n_lines")
     )
-    j = A.attach_responses(files, S.doc_responses(spark, sf_dir))
+    j = A.attach_responses(files, responses_table(spark, sf_dir))
     return j.select(
         "path",
         "mode",
@@ -313,7 +327,7 @@ def range_violations(spark, sf_dir):
     from sourcelens.plans import jobs as J
 
     req = S.doc_requests(spark, sf_dir).select("path", "doc_id", "lines")
-    resp = A.parse_response(S.doc_responses(spark, sf_dir)).select("path", "mode", "grouped")
+    resp = A.parse_response(responses_table(spark, sf_dir)).select("path", "mode", "grouped")
     j = req.join(resp, "path", "inner").withColumn("rng", J.parse_line_range(F.col("lines")))
     outcome, shown = J.range_outcome(F.col("mode"), F.col("rng"), F.col("grouped"))
     return j.select(
@@ -329,7 +343,7 @@ def diff_hunks(spark, sf_dir):
     from sourcelens.operators import diff as D
 
     files = S.doc_files(spark, sf_dir, annotated=True).select("path", "content")
-    j = A.attach_responses(files, S.doc_responses(spark, sf_dir)).where(F.col("mode") == "review")
+    j = A.attach_responses(files, responses_table(spark, sf_dir)).where(F.col("mode") == "review")
     j = j.withColumn("n", _long(F.size(T.split_lines_keepends("content"))))
     n = F.col("n")
     h = j.select("path", F.explode(D.hunks_col(D.insert_edits(F.col("grouped"), n), n)).alias("h"))
@@ -340,7 +354,7 @@ def _proposals(spark, sf_dir):
     from sourcelens.plans import jobs as J
 
     files = S.doc_files(spark, sf_dir, annotated=True).select("project", "path", "content")
-    return J.proposals(files, S.doc_responses(spark, sf_dir))
+    return J.proposals(files, responses_table(spark, sf_dir))
 
 
 @query
@@ -398,7 +412,7 @@ def audit_responses(spark, sf_dir):
     from sourcelens.plans import jobs as J
 
     files = S.doc_files(spark, sf_dir, annotated=True).select("path", "content")
-    return J.audit_responses(S.doc_responses(spark, sf_dir), files).drop("path")
+    return J.audit_responses(responses_table(spark, sf_dir), files).drop("path")
 
 
 @query
@@ -445,7 +459,7 @@ def review_corpus(spark, sf_dir):
     from sourcelens.plans import jobs as J
 
     files = S.doc_files(spark, sf_dir, annotated=True).select("path", "content")
-    return J.review_corpus(S.doc_requests(spark, sf_dir), files, S.doc_responses(spark, sf_dir),
+    return J.review_corpus(S.doc_requests(spark, sf_dir), files, responses_table(spark, sf_dir),
                            S.doc_decisions(spark, sf_dir), python_only=False)
 
 
