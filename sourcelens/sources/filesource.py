@@ -105,8 +105,6 @@ def scan_sources(spark, roots: dict[str, str], suffix: str = ".py", universal_ne
 
     ``universal_newlines`` applies text-mode reading (CRLF / CR to LF), as the CLI did.
     """
-    from pyspark.sql import functions as F
-
     from sourcelens.functions import text as T
     from sourcelens.session import ship_package
 
