@@ -40,7 +40,7 @@ def list_tree(root: str, suffix: str | None) -> list[tuple[str, int]]:
     for dirpath, dirnames, filenames in os.walk(root):
         dirnames.sort()
         for name in sorted(filenames):
-            if suffix and not (name.endswith(suffix) and len(name) > len(suffix)):
+            if suffix and not name.endswith(suffix):  # glob "*<suffix>": "*" may be empty
                 continue
             full = os.path.join(dirpath, name)
             try:
