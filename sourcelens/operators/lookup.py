@@ -210,7 +210,7 @@ def dispatch(calls: DataFrame, ctx: LookupContext, registry: Registry | None = N
     if "project" not in c.columns:
         c = c.withColumn("project", F.lit(None).cast("string"))
     # One bounded count per round: every per-tool request side is a subset of these calls.
-    c, small = small_side(c)
+    c, small = small_side(c)  # materialised: every tool branch reads the same round of calls
     ctx = replace(ctx, small_requests=small)
     known = F.col("name").isin(registry.names())
     err = (

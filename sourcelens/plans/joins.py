@@ -64,18 +64,21 @@ def join_dimension(fact: DataFrame, dim: DataFrame, keys: list[str], how: str =
     return f.join(d, keys + [salt], how).drop(salt)
 
 
-def small_side(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
+def small_side(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None,
+               materialize: bool = True) -> tuple[DataFrame, bool]:
     """Say whether a side may be broadcast.
 
     1. rows: a bounded count of a pruned projection; a large side is rejected here and
        stays a lazy plan (never written anywhere);
-    2. bytes: a side small in rows is materialised once in the shared checkpoint dir and
-       its measured size must stay under ``max_bytes`` (wide rows such as whole files).
+    2. bytes: a side small in rows is materialised once in the shared checkpoint dir
+       (unless ``materialize=False`` for sides that are cheap to recompute) and its
+       measured size must stay under ``max_bytes`` (wide rows such as whole files).
     """
     max_bytes = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
     if not fits_broadcast(df, max_rows):
         return df, False
-    df = checkpoint(df)
+    if materialize:  # expensive to recompute: keep the small result
+        df = checkpoint(df)
     size = df.agg(F.sum(_row_bytes(df))).first()[0] or 0
     return df, size <= max_bytes
 
