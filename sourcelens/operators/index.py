@@ -16,12 +16,13 @@ from sourcelens.functions import text as T
 
 INDEX_SCHEMA = (
     "project string, path string, rec string, kind string, name string, lineno int, "
-    "end_lineno int, bfs_order int, alias_pos int, source string, status string, error string"
+    "end_lineno int, bfs_order int, alias_pos int, source string, status string, error string, content_sha string"
 )
 _FIELDS = [
     ("project", pa.string()), ("path", pa.string()), ("rec", pa.string()), ("kind", pa.string()),
     ("name", pa.string()), ("lineno", pa.int32()), ("end_lineno", pa.int32()), ("bfs_order", pa.int32()),
     ("alias_pos", pa.int32()), ("source", pa.string()), ("status", pa.string()), ("error", pa.string()),
+    ("content_sha", pa.string()),
 ]
 _ARROW_SCHEMA = pa.schema(_FIELDS)
 
@@ -49,25 +50,26 @@ def _extract_batches(batches):
         out = {name: [] for name, _ in _FIELDS}
 
         def emit(project, path, rec, kind=None, name=None, lineno=None, end_lineno=None, order=None,
-                 alias_pos=None, source=None, status=None, error=None):
+                 alias_pos=None, source=None, status=None, error=None, sha=None):
             for k, v in (("project", project), ("path", path), ("rec", rec), ("kind", kind), ("name", name),
                          ("lineno", lineno), ("end_lineno", end_lineno), ("bfs_order", order),
-                         ("alias_pos", alias_pos), ("source", source), ("status", status), ("error", error)):
+                         ("alias_pos", alias_pos), ("source", source), ("status", status), ("error", error),
+                         ("content_sha", sha)):
                 out[k].append(v)
 
-        for project, path, content in zip(cols["project"], cols["path"], cols["content"]):
+        for project, path, content, sha in zip(cols["project"], cols["path"], cols["content"], cols["content_sha"]):
             if content is None:
-                emit(project, path, "file", status="unreadable")
+                emit(project, path, "file", status="unreadable", sha=sha)
                 continue
             try:
                 tree = ast.parse(content)
             except SyntaxError as e:
-                emit(project, path, "file", status="syntax_error", error=str(e))
+                emit(project, path, "file", status="syntax_error", error=str(e), sha=sha)
                 continue
             except Exception as e:  # deep nesting etc.: reported, never fatal
-                emit(project, path, "file", status="error", error=f"{type(e).__name__}: {e}")
+                emit(project, path, "file", status="error", error=f"{type(e).__name__}: {e}", sha=sha)
                 continue
-            emit(project, path, "file", status="ok")
+            emit(project, path, "file", status="ok", sha=sha)
             for order, node in enumerate(ast.walk(tree)):
                 kind = def_kinds.get(type(node))
                 if kind is not None:
@@ -99,7 +101,24 @@ def extract(files: DataFrame) -> DataFrame:
     from sourcelens.session import ship_package
 
     ship_package(files.sparkSession)
-    return files.select("project", "path", "content").mapInArrow(_extract_batches, INDEX_SCHEMA)
+    src = files.select("project", "path", "content", F.sha2(F.col("content"), 256).alias("content_sha"))
+    return src.mapInArrow(_extract_batches, INDEX_SCHEMA)
+
+
+def refresh_index(files: DataFrame, index: DataFrame) -> DataFrame:
+    """Incremental re-index: parse only files whose content hash is new or changed.
+
+    An anti join on (project, path, content_sha) against the index's per-file records picks
+    the files to parse; their old records and those of deleted files are dropped, the rest
+    of the index is kept as it is. Write the result as a new index version.
+    """
+    hashed = files.select("project", "path", "content", F.sha2(F.col("content"), 256).alias("content_sha"))
+    known = index.where(F.col("rec") == "file").select("project", "path", "content_sha")
+    changed = hashed.join(known, ["project", "path", "content_sha"], "left_anti")
+    keep_paths = hashed.join(changed.select("project", "path"), ["project", "path"], "left_anti").select(
+        "project", "path")
+    kept = index.join(keep_paths, ["project", "path"], "left_semi")
+    return kept.unionByName(extract(changed.drop("content_sha")))
 
 
 def write_index(index: DataFrame, out_dir: str) -> None:

@@ -187,3 +187,18 @@ def test_source_partitions_pack_by_bytes(tree):
     few = SourceTreeReader({"roots": f"proj={root}", "suffix": ".py"}).partitions()
     many = SourceTreeReader({"roots": f"proj={root}", "suffix": ".py", "partitionBytes": "1"}).partitions()
     assert len(few) == 1 and len(many) == sum(len(p.files) for p in many) == 9
+
+
+def test_refresh_index_parses_only_changed_files(spark):
+    files_v1 = spark.createDataFrame(
+        [("p", "a.py", "def a():\n    pass\n"), ("p", "b.py", "def b():\n    pass\n"), ("p", "c.py", "def c(): pass\n")],
+        "project string, path string, content string")
+    idx_v1 = I.extract(files_v1).cache()
+    files_v2 = spark.createDataFrame(
+        [("p", "a.py", "def a():\n    pass\n"), ("p", "b.py", "def b2():\n    pass\n"), ("p", "d.py", "def d(): pass\n")],
+        "project string, path string, content string")
+    refreshed = I.refresh_index(files_v2, idx_v1)
+    defs = sorted((r["path"], r["name"]) for r in I.definitions(refreshed).collect())
+    assert defs == [("a.py", "a"), ("b.py", "b2"), ("d.py", "d")]
+    fresh = sorted((r["path"], r["name"]) for r in I.definitions(I.extract(files_v2)).collect())
+    assert defs == fresh
