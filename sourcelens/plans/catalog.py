@@ -435,9 +435,12 @@ def run_conversations(spark, sf_dir):
 
     files, idx = code_index(spark, sf_dir)
     turns = S.turns(spark, sf_dir)
-    calls = S.tool_calls(spark, sf_dir).withColumn("project", F.lit(S.CODE_PROJECT)).withColumn(
+    from sourcelens.session import write_and_read
+
+    # read by every round: written once instead of rescanning events per round
+    calls = write_and_read(S.tool_calls(spark, sf_dir).withColumn("project", F.lit(S.CODE_PROJECT)).withColumn(
         "turn", 1 + F.col("call_id") % 5
-    )
+    ), "round_calls")
     ctx = L.LookupContext(files, idx, PROJECT_ROOT)
 
     def dispatch_round(active):

@@ -37,6 +37,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(df) if name in HEAVY_TABLES else df
 
 
+def read_files_table(spark: SparkSession, path: str, project: str = "project", path_col: str = "path",
+                     content: str = "content", fmt: str = "parquet") -> DataFrame:
+    """S2 for any corpus table: project it onto ``files(project, path, content)``.
+
+    Only the three columns are read (column pruning at the scan); filters a caller adds on
+    ``project`` or ``path`` are pushed down to it.
+    """
+    df = spark.read.format(fmt).load(path)
+    return df.select(F.col(project).alias("project"), F.col(path_col).alias("path"), F.col(content).alias("content"))
+
+
 def doc_files(spark: SparkSession, sf_dir: str, annotated: bool = False) -> DataFrame:
     """``files(project, path, content)`` from ``documents``.
 

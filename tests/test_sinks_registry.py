@@ -99,3 +99,15 @@ def test_duplicate_json_keys_last_wins(spark):
     df = L.classify_arguments(spark.createDataFrame([(text,)], "arguments string"))
     r = df.select("arg_status", L.arg("file_path").alias("fp")).first()
     assert (r["arg_status"], r["fp"]) == ("object", json.loads(text)["file_path"])
+
+
+def test_read_files_table_projects_and_prunes(spark):
+    from tests.test_plans import plan_of
+    from sourcelens.sources.tables import read_files_table
+
+    df = read_files_table(spark, "/root/testdata/sf0.001/documents.parquet", project="source",
+                          path_col="lang", content="text").where(F.col("project") == "src1")
+    plan = plan_of(df)
+    assert "ReadSchema: struct<text:string,lang:string,source:string>" in plan
+    assert "EqualTo(source,src1)" in plan
+    assert df.columns == ["project", "path", "content"] and df.count() > 0
