@@ -16,12 +16,14 @@ from sourcelens.functions import text as T
 
 INDEX_SCHEMA = (
     "project string, path string, rec string, kind string, name string, lineno int, "
-    "end_lineno int, bfs_order int, alias_pos int, source string, status string, error string, content_sha string"
+    "end_lineno int, bfs_order int, alias_pos int, seg_start int, seg_end int, status string, error string, "
+    "content_sha string"
 )
 _FIELDS = [
     ("project", pa.string()), ("path", pa.string()), ("rec", pa.string()), ("kind", pa.string()),
     ("name", pa.string()), ("lineno", pa.int32()), ("end_lineno", pa.int32()), ("bfs_order", pa.int32()),
-    ("alias_pos", pa.int32()), ("source", pa.string()), ("status", pa.string()), ("error", pa.string()),
+    ("alias_pos", pa.int32()), ("seg_start", pa.int32()), ("seg_end", pa.int32()), ("status", pa.string()),
+    ("error", pa.string()),
     ("content_sha", pa.string()),
 ]
 _ARROW_SCHEMA = pa.schema(_FIELDS)
@@ -40,6 +42,29 @@ MSG_NO_SOURCE = "Could not extract source for '{name}'"
 MSG_PARSE_ERROR = "Error parsing '{path}': {error}"
 
 
+def _segment_offsets(content: str):
+    """Character offsets of a node's source segment, as ``ast.get_source_segment`` cuts it.
+
+    The segment runs from (lineno, col_offset) to (end_lineno, end_col_offset); lines are
+    split on CRLF, CR and LF (the parser's line breaks) and column offsets are UTF-8 bytes.
+    """
+    import re
+
+    starts = [0] + [m.end() for m in re.finditer(r"\r\n|\r|\n", content)]
+
+    def char_at(lineno: int, col: int) -> int:
+        begin = starts[lineno - 1]
+        end = starts[lineno] if lineno < len(starts) else len(content)
+        return begin + len(content[begin:end].encode("utf-8")[:col].decode("utf-8", errors="ignore"))
+
+    def segment(node):
+        if getattr(node, "end_lineno", None) is None or getattr(node, "end_col_offset", None) is None:
+            return None, None
+        return char_at(node.lineno, node.col_offset), char_at(node.end_lineno, node.end_col_offset)
+
+    return segment
+
+
 def _extract_batches(batches):
     """Per file: one 'file' status record plus def / call / import records in walk order."""
     import ast
@@ -50,11 +75,11 @@ def _extract_batches(batches):
         out = {name: [] for name, _ in _FIELDS}
 
         def emit(project, path, rec, kind=None, name=None, lineno=None, end_lineno=None, order=None,
-                 alias_pos=None, source=None, status=None, error=None, sha=None):
+                 alias_pos=None, seg=(None, None), status=None, error=None, sha=None):
             for k, v in (("project", project), ("path", path), ("rec", rec), ("kind", kind), ("name", name),
                          ("lineno", lineno), ("end_lineno", end_lineno), ("bfs_order", order),
-                         ("alias_pos", alias_pos), ("source", source), ("status", status), ("error", error),
-                         ("content_sha", sha)):
+                         ("alias_pos", alias_pos), ("seg_start", seg[0]), ("seg_end", seg[1]),
+                         ("status", status), ("error", error), ("content_sha", sha)):
                 out[k].append(v)
 
         for project, path, content, sha in zip(cols["project"], cols["path"], cols["content"], cols["content_sha"]):
@@ -70,12 +95,14 @@ def _extract_batches(batches):
                 emit(project, path, "file", status="error", error=f"{type(e).__name__}: {e}", sha=sha)
                 continue
             emit(project, path, "file", status="ok", sha=sha)
+            segment = None
             for order, node in enumerate(ast.walk(tree)):
                 kind = def_kinds.get(type(node))
                 if kind is not None:
+                    segment = segment or _segment_offsets(content)
+                    # E5 as offsets into the file: the text is cut only for lookups that need it
                     emit(project, path, "def", kind=kind, name=node.name, lineno=node.lineno,
-                         end_lineno=node.end_lineno, order=order,
-                         source=ast.get_source_segment(content, node))
+                         end_lineno=node.end_lineno, order=order, seg=segment(node))
                 elif isinstance(node, ast.Call):
                     f = node.func
                     name = f.id if isinstance(f, ast.Name) else f.attr if isinstance(f, ast.Attribute) else None
@@ -132,9 +159,21 @@ def definitions(index: DataFrame) -> DataFrame:
     )
 
 
-def definition_source(index: DataFrame) -> DataFrame:
-    """E5: source segments, kept apart from the narrow symbol rows."""
-    return index.where(F.col("rec") == "def").select("project", "path", "bfs_order", "source")
+def definition_source(defs: DataFrame, files: DataFrame, small: bool | None = None) -> DataFrame:
+    """E5: source text of the given definitions ``(project, path, seg_start, seg_end, ...)``.
+
+    The index keeps only character offsets; the text is cut from the file content here, for
+    the requested definitions only (their files are filtered where the file table is read).
+    """
+    from sourcelens.plans.joins import join_small
+
+    paths = defs.select("project", "path").distinct()
+    content = join_small(files.select("project", "path", "content"), paths, ["project", "path"], "left_semi",
+                         known_small=small)
+    j = defs.join(content, ["project", "path"], "left")
+    text = F.when(F.col("seg_start").isNotNull(),
+                  F.substring(F.col("content"), F.col("seg_start") + 1, F.col("seg_end") - F.col("seg_start")))
+    return j.withColumn("source", text).drop("content")
 
 
 def calls(index: DataFrame) -> DataFrame:
@@ -263,7 +302,7 @@ def search_symbols(requested: DataFrame, index: DataFrame, small: bool | None =
     return found.unionByName(missing)
 
 
-def get_definitions(requested: DataFrame, index: DataFrame, small: bool | None = None) -> DataFrame:
+def get_definitions(requested: DataFrame, index: DataFrame, files: DataFrame, small: bool | None = None) -> DataFrame:
     """J7 + W2 + E5: first definition in walk order per requested ``(project, path, name)``.
 
     The index is semi-joined with the requests first (broadcast when proven small), then
@@ -277,16 +316,17 @@ def get_definitions(requested: DataFrame, index: DataFrame, small: bool | None =
     if small is None:
         req, small = small_side(req)
     # every side below has at most as many rows as the requests
-    d = join_small(definitions(index), req, ["project", "path", "name"], "left_semi", known_small=small)
+    d = join_small(index.where(F.col("rec") == "def").select(
+        "project", "path", "name", "lineno", "bfs_order", "seg_start", "seg_end"),
+        req, ["project", "path", "name"], "left_semi", known_small=small)
     first = d.groupBy("project", "path", "name").agg(
-        F.min("bfs_order").alias("bfs_order"), F.min_by("lineno", "bfs_order").alias("lineno")
-    )
-    winners = req.join(first, ["project", "path", "name"], "left")
-    src = join_small(definition_source(index), first.select("project", "path", "bfs_order"),
-                     ["project", "path", "bfs_order"], "inner", known_small=small)
+        F.min_by(F.struct("lineno", "seg_start", "seg_end"), "bfs_order").alias("w")
+    ).select("project", "path", "name", "w.lineno", "w.seg_start", "w.seg_end")
+    src = definition_source(first, files, small)
+    winners = req.join(src, ["project", "path", "name"], "left")
     status = join_small(parse_status(index), req.select("project", "path").distinct(), ["project", "path"],
                         "left_semi", known_small=small)
-    j = winners.join(src, ["project", "path", "bfs_order"], "left").join(status, ["project", "path"], "left")
+    j = winners.join(status, ["project", "path"], "left")
     output = (
         F.when(F.col("status") == "ok",
                F.when(F.col("lineno").isNotNull(), F.coalesce(F.col("source"), T.fill(MSG_NO_SOURCE, name="name")))

@@ -143,7 +143,7 @@ def _get_function(ctx: LookupContext, calls: DataFrame) -> DataFrame:
     from sourcelens.plans.joins import join_small
 
     ok = c.where("inside")
-    defs = I.get_definitions(ok.select("project", F.col("rel").alias("path"), "name"), ctx.index,
+    defs = I.get_definitions(ok.select("project", F.col("rel").alias("path"), "name"), ctx.index, ctx.files,
                              small=ctx.small_requests)
     # one answer per distinct request: at most as many rows as the round's calls
     found = join_small(ok, defs.withColumnRenamed("path", "rel"), ["project", "rel", "name"], "left",

@@ -248,7 +248,7 @@ def get_definitions(spark, sf_dir):
         )).alias("name"),
     )
     orders = files.where(F.col("path").startswith("orders/")).select("project", "path", F.lit("run").alias("name"))
-    r = I.get_definitions(req.unionByName(orders), idx)
+    r = I.get_definitions(req.unionByName(orders), idx, files)
     return r.select("path", "name", "lineno", "found", "output")
 
 

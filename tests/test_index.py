@@ -104,7 +104,8 @@ def test_parse_status_and_syntax_error_message(indexed, tree):
     except SyntaxError as e:
         assert st["bad.py"]["error"] == str(e)
     req = idx.sparkSession.createDataFrame([("proj", "bad.py", "broken")], "project string, path string, name string")
-    out = I.get_definitions(req, idx).first()["output"]
+    files, _ = indexed
+    out = I.get_definitions(req, idx, files.where(F.col("read_status") == "ok")).first()["output"]
     assert out.startswith("Error parsing 'bad.py': ")
 
 
@@ -122,12 +123,13 @@ def test_imports_and_resolution(indexed):
 
 
 def test_definition_source_and_calls(indexed, spark):
-    _, idx = indexed
+    files, idx = indexed
     req = spark.createDataFrame(
         [("proj", "a/b.py", "decorated"), ("proj", "nested.py", "g"), ("proj", "nested.py", "nope")],
         "project string, path string, name string",
     )
-    out = {(r["path"], r["name"]): r for r in I.get_definitions(req, idx).collect()}
+    ok = files.where(F.col("read_status") == "ok")
+    out = {(r["path"], r["name"]): r for r in I.get_definitions(req, idx, ok).collect()}
     assert out[("a/b.py", "decorated")]["output"] == "def decorated(a):\n    obj.method(a)\n    return helper(a)"
     assert out[("a/b.py", "decorated")]["lineno"] == 9
     assert out[("nested.py", "g")]["lineno"] == 6  # first in walk order, not in line order
@@ -202,3 +204,25 @@ def test_refresh_index_parses_only_changed_files(spark):
     assert defs == [("a.py", "a"), ("b.py", "b2"), ("d.py", "d")]
     fresh = sorted((r["path"], r["name"]) for r in I.definitions(I.extract(files_v2)).collect())
     assert defs == fresh
+
+
+SEGMENT_SOURCES = [
+    "@deco('é€')\nclass A: x = 'é€'\n",
+    "def f(a='ü'):\r\n    return a\r\n\r\nclass B:\r\n    def g(self): return 'ß'\r\n",
+    "@dec\nasync def h():\n    await x\n\nif True:\n    def inner(): pass\n",
+    "s = 'a\\\nb'; t = 1\ndef z(): return '😀'\n",
+]
+
+
+def test_segment_offsets_equal_get_source_segment(spark):
+    files = spark.createDataFrame([("p", f"f{i}.py", t) for i, t in enumerate(SEGMENT_SOURCES)],
+                                  "project string, path string, content string")
+    idx = I.extract(files)
+    defs = idx.where("rec = 'def'").select("project", "path", "name", "lineno", "seg_start", "seg_end")
+    got = {(r["path"], r["name"], r["lineno"]): r["source"] for r in I.definition_source(defs, files).collect()}
+    expected = {}
+    for i, t in enumerate(SEGMENT_SOURCES):
+        for n in ast.walk(ast.parse(t)):
+            if isinstance(n, (ast.FunctionDef, ast.AsyncFunctionDef, ast.ClassDef)):
+                expected[(f"f{i}.py", n.name, n.lineno)] = ast.get_source_segment(t, n)
+    assert got == expected and len(expected) == 7

@@ -21,9 +21,9 @@ def plan_of(df, mode="formatted"):
 
 
 def test_lookup_broadcasts_requests_and_prunes_index(spark):
-    _, idx = C.code_index(spark, SF)
     req = spark.createDataFrame([("shop", "parts/p_1.py", "make_1")], "project string, path string, name string")
-    plan = plan_of(I.get_definitions(req, idx))
+    files, idx = C.code_index(spark, SF)
+    plan = plan_of(I.get_definitions(req, idx, files))
     assert "BroadcastHashJoin LeftSemi" in plan
     # definitions are read per record type (partition pruning) and without their source text
     assert "(rec#" in plan and "= def)" in plan
