@@ -115,3 +115,75 @@ def scan_sources(spark, roots: dict[str, str], suffix: str = ".py", universal_ne
     if universal_newlines:
         df = df.withColumn("content", T.normalise_newlines("content"))
     return df
+
+
+def _walk_units(root: str, depth: int) -> list[tuple[str, bool]]:
+    """What the driver lists: files in the first ``depth`` levels and the directories at
+    that depth (each walked later by a task), as (relative path, is_directory).
+
+    Mirrors ``os.walk``: symlinked directories are not descended into.
+    """
+    files, frontier = [], [""]
+    for _ in range(depth):
+        deeper = []
+        for rel in frontier:
+            try:
+                entries = sorted(os.scandir(os.path.join(root, rel) if rel else root), key=lambda e: e.name)
+            except OSError:
+                continue
+            for e in entries:
+                path = f"{rel}/{e.name}" if rel else e.name
+                if e.is_dir():
+                    if not e.is_symlink():
+                        deeper.append(path)
+                else:
+                    files.append(path)
+        frontier = deeper
+    return [(f, False) for f in files] + [(d, True) for d in frontier]
+
+
+def scan_sources_distributed(spark, roots: dict[str, str], suffix: str = ".py", depth: int = 1,
+                             read_partitions: int | None = None, universal_newlines: bool = True):
+    """S1 for very large trees: listing and reading both run in tasks.
+
+    The driver lists only the first ``depth`` directory levels; each directory below is
+    walked by a task, the file list is spread round-robin over ``read_partitions`` tasks,
+    and those tasks read the contents. Same output as ``scan_sources``.
+    """
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from sourcelens.functions import text as T
+    from sourcelens.session import ship_package
+
+    ship_package(spark)
+    units = [(p, r, u, d) for p, r in roots.items() for u, d in _walk_units(r, depth)]
+    todo = spark.createDataFrame(units, "project string, root string, unit string, is_dir boolean")
+
+    def list_units(it):
+        for pdf in it:
+            rows = []
+            for project, root, unit, is_dir in zip(pdf["project"], pdf["root"], pdf["unit"], pdf["is_dir"]):
+                if is_dir:
+                    for rel, size in list_tree(os.path.join(root, unit), suffix):
+                        rows.append((project, root, f"{unit}/{rel}", size))
+                elif not suffix or unit.rsplit("/", 1)[-1].endswith(suffix):
+                    full = os.path.join(root, unit)
+                    rows.append((project, root, unit, os.stat(full).st_size if os.path.exists(full) else 0))
+            yield pd.DataFrame(rows, columns=["project", "root", "rel", "size"])
+
+    listed = todo.repartition(max(1, len(units))).mapInPandas(
+        list_units, "project string, root string, rel string, size bigint")
+    n = read_partitions or spark.sparkContext.defaultParallelism
+
+    def read_files(it):
+        reader = SourceTreeReader({"roots": "", "suffix": suffix or ""})
+        for pdf in it:
+            batch = FileBatch(list(zip(pdf["project"], pdf["root"], pdf["rel"], pdf["size"])))
+            yield pd.DataFrame(list(reader.read(batch)),
+                               columns=["project", "path", "content", "content_sha", "read_status", "size"])
+
+    df = listed.repartition(n).mapInPandas(read_files, SCHEMA)
+    if universal_newlines:
+        df = df.withColumn("content", T.normalise_newlines(F.col("content")))
+    return df

@@ -226,3 +226,13 @@ def test_segment_offsets_equal_get_source_segment(spark):
             if isinstance(n, (ast.FunctionDef, ast.AsyncFunctionDef, ast.ClassDef)):
                 expected[(f"f{i}.py", n.name, n.lineno)] = ast.get_source_segment(t, n)
     assert got == expected and len(expected) == 7
+
+
+def test_distributed_scan_equals_source_scan(spark, tree):
+    from sourcelens.sources.filesource import scan_sources_distributed
+
+    root, _ = tree
+    a = scan_sources(spark, {"proj": root})
+    for depth in (1, 2):
+        b = scan_sources_distributed(spark, {"proj": root}, depth=depth, read_partitions=3)
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
