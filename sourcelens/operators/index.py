@@ -235,13 +235,16 @@ def resolve_imports(index: DataFrame, files: DataFrame) -> DataFrame:
     """Imports joined to the module map on (project, key); content joined last.
 
     Inner equi-join: unresolved imports drop out, duplicates stay. A module imported by
-    many targets is a hot key on the imports side; AQE's skew join splits it.
+    many targets is a hot key on the imports side; it is salted (``join_hot_keys``).
     """
+    from sourcelens.plans.joins import join_hot_keys
+
     imp = imports(index)
     mods = modules(files).select("project", F.col("module_key").alias("module"), F.col("path").alias("resolved_path"))
-    j = imp.join(mods, ["project", "module"], "inner")
+    # a module imported by a large share of all files is a hot key in both joins: salted
+    j = join_hot_keys(imp, mods, ["project", "module"], "inner", salt_by=["path", "bfs_order", "alias_pos"])
     content = files.select("project", F.col("path").alias("resolved_path"), F.col("content").alias("resolved_content"))
-    return j.join(content, ["project", "resolved_path"], "inner")
+    return join_hot_keys(j, content, ["project", "resolved_path"], "inner", salt_by=["path", "bfs_order", "alias_pos"])
 
 
 def imported_sections(resolved: DataFrame) -> DataFrame:

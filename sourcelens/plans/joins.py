@@ -95,3 +95,33 @@ def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "in
     if known_small is None:
         small, known_small = small_side(small, max_rows)
     return big.join(F.broadcast(small) if known_small else small, keys, how)
+
+
+# Keys with more fact rows than this are salted by ``join_hot_keys``.
+HOT_KEY_ROWS = 100_000
+MAX_HOT_KEYS = 1_000
+
+
+def join_hot_keys(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "inner",
+                  salts: int = DEFAULT_SALTS, hot_rows: int | None = None, salt_by: list[str] | None = None) -> DataFrame:
+    """Join a fact side whose keys may be hot to a dimension side with one row per key.
+
+    One aggregation pass (map-side partial counts) finds the keys with more than
+    ``hot_rows`` fact rows; only those are salted: their fact rows spread over ``salts``
+    tasks by a hash of ``salt_by`` and their dimension row is copied ``salts`` times. All
+    other keys join as usual, so results are exact for every key. At most ``MAX_HOT_KEYS``
+    keys (the largest) are salted; that bounds the broadcast list, not the result.
+    """
+    hot_rows = HOT_KEY_ROWS if hot_rows is None else hot_rows
+    counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    hot = checkpoint(counts.orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).select(*keys).withColumn("_hot", F.lit(True)))
+    if hot.isEmpty():
+        return fact.join(dim, keys, how)
+    salt_cols = salt_by or [c for c in fact.columns if c not in keys] or fact.columns
+    f = fact.join(F.broadcast(hot), keys, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(salts)))
+        .otherwise(F.lit(0).cast("bigint"))).drop("_hot")
+    d = dim.join(F.broadcast(hot), keys, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
+                           .otherwise(F.array(F.lit(0).cast("bigint"))))).drop("_hot")
+    return f.join(d, keys + ["_salt"], how).drop("_salt")

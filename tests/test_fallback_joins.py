@@ -1,6 +1,6 @@
-"""The paths beyond the broadcast bound (shuffle joins, salted dimension joins) give the
-same results as the broadcast paths: every query is re-checked against its oracle with
-the bound forced to zero."""
+"""The paths beyond the broadcast bound (shuffle joins, salted dimension joins, hot-key
+salting) give the same results as the default paths: the queries are re-checked against
+their oracles with the bounds forced to zero."""
 
 import pytest
 
@@ -8,12 +8,13 @@ from sourcelens.plans import joins
 
 SF = "/root/testdata/sf0.001"
 NAMES = ["inject_reviews", "review_counts", "search_symbols", "get_definitions", "build_contexts",
-         "dispatch_tool_calls", "audit_responses", "review_corpus", "run_conversations"]
+         "dispatch_tool_calls", "audit_responses", "review_corpus", "run_conversations", "resolve_imports"]
 
 
 @pytest.fixture()
 def no_broadcast(monkeypatch, spark):
     monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
+    monkeypatch.setattr(joins, "HOT_KEY_ROWS", 0)  # every key counts as hot: the salted path runs
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     yield
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")

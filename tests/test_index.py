@@ -236,3 +236,23 @@ def test_distributed_scan_equals_source_scan(spark, tree):
     for depth in (1, 2):
         b = scan_sources_distributed(spark, {"proj": root}, depth=depth, read_partitions=3)
         assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_hot_module_is_salted_and_exact(spark):
+    from sourcelens.plans import joins
+
+    rows = [("p", "hot.py", "def h():\n    pass\n"), ("p", "other.py", "x = 1\n")]
+    rows += [("p", f"m{i}.py", "import hot\n" * 5 + ("import other\n" if i % 7 == 0 else "")) for i in range(300)]
+    files = spark.createDataFrame(rows, "project string, path string, content string")
+    idx = I.extract(files).cache()
+    plain = I.imports(idx).join(
+        I.modules(files).select("project", F.col("module_key").alias("module"), F.col("path").alias("resolved_path")),
+        ["project", "module"]).select("path", "lineno", "resolved_path")
+    old = joins.HOT_KEY_ROWS
+    joins.HOT_KEY_ROWS = 100  # the hot module (1,500 imports) is salted, `other` is not
+    try:
+        got = I.resolve_imports(idx, files).select("path", "lineno", "resolved_path")
+        assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+        assert got.count() == plain.count() == 300 * 5 + 43
+    finally:
+        joins.HOT_KEY_ROWS = old
