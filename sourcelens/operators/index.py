@@ -283,16 +283,19 @@ def search_symbols(requested: DataFrame, index: DataFrame, small: bool | None =
     filtered where it is read and a hot name such as ``run`` is never a shuffle key.
     Misses are an anti join against the found names only.
     """
-    from sourcelens.plans.joins import join_small
+    from sourcelens.plans.joins import join_hot_keys, small_side
     from sourcelens.session import checkpoint
 
     hits = symbol_hits(index).withColumnRenamed("name", "symbol")
     req = requested.select("project", "symbol").distinct()
+    if small is None:
+        req, small = small_side(req)
+    if small:
+        j = hits.join(F.broadcast(req), ["project", "symbol"], "inner")
+    else:  # too many names to broadcast: hot names (``run``) are salted, the rest shuffle-joined
+        j = join_hot_keys(hits, req, ["project", "symbol"], "inner", salt_by=["path", "bfs_order"])
     # Materialised once: the output and the anti join both read it (one index scan).
-    found = join_small(hits, req, ["project", "symbol"], "inner", known_small=small).select(
-        "project", "symbol", "path", "bfs_order", "lineno", "kind", "hit"
-    )
-    found = checkpoint(found)
+    found = checkpoint(j.select("project", "symbol", "path", "bfs_order", "lineno", "kind", "hit"))
     missing = req.join(found.select("project", "symbol").distinct(), ["project", "symbol"], "left_anti").select(
         "project",
         "symbol",
