@@ -67,7 +67,12 @@ def compare(spark, sf_dir: str, names=None) -> dict:
             continue
         rel = con.sql(oracles[name])
         o_cols = rel.columns
+        o_types = dict(zip(o_cols, [str(t) for t in rel.types]))
         o_rows = rel.fetchall()
+        same_type = {("bigint", "BIGINT"), ("string", "VARCHAR"), ("int", "INTEGER"), ("double", "DOUBLE"),
+                     ("boolean", "BOOLEAN")}
+        type_diffs = {f.name: (f.dataType.simpleString(), o_types.get(f.name)) for f in df.schema.fields
+                      if (f.dataType.simpleString(), o_types.get(f.name)) not in same_type}
         ok_cols = sorted(s_cols) == sorted(o_cols)
         ok_n = len(s_rows) == len(o_rows)
         ok_v = ok_cols and rows_of(s_cols, s_rows) == rows_of(o_cols, o_rows)
@@ -77,6 +82,8 @@ def compare(spark, sf_dir: str, names=None) -> dict:
             "oracle_rows": len(o_rows),
             "spark_s": round(t1 - t0, 2),
         }
+        if type_diffs:
+            entry["type_diffs"] = type_diffs
         if not ok_cols:
             entry["cols"] = (sorted(s_cols), sorted(o_cols))
         elif not ok_v:

@@ -12,3 +12,4 @@ def test_all_queries_match_their_oracles(spark):
     assert not bad, bad
     assert set(rep) == set(E.queries())
     assert [k for k, v in rep.items() if v["status"] == "rows-only"] == ["unified_diffs"]
+    assert {k: v["type_diffs"] for k, v in rep.items() if v.get("type_diffs")} == {}
