@@ -62,3 +62,31 @@ def test_live_annotations_match_batch(spark):
     expected = proposals(files, responses).where("changed").select("path", F.col("updated").alias("content"))
     assert got.select("path", "content").exceptAll(expected).count() == 0
     assert expected.exceptAll(got.select("path", "content")).count() == 0
+
+
+def test_turn_outcomes_never_change_an_emitted_window(spark):
+    """Append mode emits a window once, after the watermark passes its end; an event for
+    that window arriving later is dropped (Spark only guarantees dropping late data once
+    the window's state is finalised, which is what this checks)."""
+    import datetime as dt
+    import os
+    import time
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    src = tempfile.mkdtemp(prefix="t3-late-")
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
+    batches = [
+        [(1, t0, 7, "view", 1.0, '{"k": 1}'), (2, t0 + dt.timedelta(hours=3), 7, "view", 1.0, '{"k": 2}')],
+        [(3, t0 + dt.timedelta(hours=5), 7, "view", 1.0, '{"k": 3}')],       # closes the 10:00 window
+        [(4, t0 + dt.timedelta(minutes=5), 7, "click", 1.0, '{"k": 4}')],    # 10:05, after it was emitted
+    ]
+    cols = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+    for i, rows in enumerate(batches):  # one file per micro-batch, ordered by modification time
+        pq.write_table(pa.Table.from_pylist([dict(zip(cols, r)) for r in rows]), os.path.join(src, f"events-{i}.parquet"))
+        time.sleep(1.1)
+    stream = ST.read_events_stream(spark, src, max_files_per_trigger=1)
+    got = ST.run_to_memory(ST.turn_outcomes(stream, window="1 hour", watermark="1 hour"), "t3_late")
+    rows = [r for r in got.collect() if r["window_start"].hour == 10]
+    assert len(rows) == 1 and rows[0]["events"] == 1 and rows[0]["tool_calls"] == 0
