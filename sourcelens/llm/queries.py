@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, pii, secret_scan
+from . import chat_format, packing, pii, secret_scan, token_files
 from .common import prepare, scratch, table
 
 
@@ -22,6 +22,13 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.read_back(chat_format.render(chat_format.canonical_turns(made))))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents to dictionary-compressed token files and back."""
+    prepare(spark)
+    base, manifest = token_files.write(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", "space", end_id=0)
+    return token_files.read(base, manifest)
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weakly supervised PII spans of every whole document."""
     prepare(spark)
@@ -30,6 +37,13 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(found, pii.fit(found))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best-fit-decreasing packing of all documents into windows of 2048 tokens."""
+    prepare(spark)
+    return packing.pack(table(spark, sf_dir, "documents"), "word_bpe_49k.json", "word", end_id=1, capacity=2048,
+                        keep_ids=False)
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every whole document, judged by corpus-wide ownership."""
     prepare(spark)
@@ -40,7 +54,9 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_chat_format": op2_chat_format,
+    "op4_token_files": op4_token_files,
     "op5_pii": op5_pii,
+    "op9_packing": op9_packing,
     "op10_secret_scan": op10_secret_scan,
 }
 #: Lengths of escaped strings: every backslash and every control string grows by one code point.
