@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, packing, pii, secret_scan, token_files
+from . import chat_format, near_dup, packing, pii, secret_scan, token_files
 from .common import prepare, scratch, table
 
 
@@ -37,6 +37,12 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(found, pii.fit(found))
 
 
+def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: 4-word shingles, similarity 0.8."""
+    prepare(spark)
+    return near_dup.components(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best-fit-decreasing packing of all documents into windows of 2048 tokens."""
     prepare(spark)
@@ -56,6 +62,7 @@ QUERIES = {
     "op2_chat_format": op2_chat_format,
     "op4_token_files": op4_token_files,
     "op5_pii": op5_pii,
+    "op8_near_dup": op8_near_dup,
     "op9_packing": op9_packing,
     "op10_secret_scan": op10_secret_scan,
 }
@@ -78,4 +85,28 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(text_len + role_len + {len(chat_format.START + chat_format.MIDDLE + chat_format.END) + 1}) AS BIGINT)
     AS formatted_chars
 FROM sized GROUP BY conv_id""",
+    "op8_near_dup": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [list_aggregate(w, 'string_agg', ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3]))
+    END AS s FROM words
+), classes AS (
+  SELECT hash(list_sort(s)) AS c, min(doc_id) AS node, any_value(s) AS s, len(any_value(s)) AS n
+  FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)
+), each AS (SELECT node, n, unnest(s) AS x FROM classes),
+common AS (
+  SELECT a.node AS a, b.node AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS k
+  FROM each a JOIN each b ON a.x = b.x AND a.node <> b.node AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * 80
+  GROUP BY a.node, b.node
+), links AS (SELECT a, b FROM common WHERE 100 * k >= 80 * (na + nb - k)),
+reach(node, other) AS (
+  SELECT node, node FROM classes UNION SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a
+), least_of AS (SELECT node, min(other) AS component FROM reach GROUP BY node)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(l.component, s.doc_id) AS component_id,
+  coalesce(l.component, s.doc_id) = s.doc_id AS kept
+FROM sets s LEFT JOIN classes c ON len(s.s) > 0 AND c.c = hash(list_sort(s.s)) LEFT JOIN least_of l ON l.node = c.node""",
 }
