@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, near_dup, packing, pii, secret_scan, token_files
+from . import chat_format, decontam, html_text, near_dup, packing, pii, secret_scan, token_files
 from .common import prepare, scratch, table
 
 
@@ -37,6 +37,18 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(found, pii.fit(found))
 
 
+def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items leaked into each document, by greedy string tiling."""
+    prepare(spark)
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by tree scoring."""
+    prepare(spark)
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 4-word shingles, similarity 0.8."""
     prepare(spark)
@@ -62,6 +74,8 @@ QUERIES = {
     "op2_chat_format": op2_chat_format,
     "op4_token_files": op4_token_files,
     "op5_pii": op5_pii,
+    "op6_decontam": op6_decontam,
+    "op7_html_text": op7_html_text,
     "op8_near_dup": op8_near_dup,
     "op9_packing": op9_packing,
     "op10_secret_scan": op10_secret_scan,
