@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontam, html_text, near_dup, packing, pii, secret_scan, token_files
+from . import chat_format, decontam, html_text, near_dup, packing, pii, secret_scan, token_files, toxicity
 from .common import prepare, scratch, table
 
 
@@ -22,6 +22,16 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.read_back(chat_format.render(chat_format.canonical_turns(made))))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole document by the subsequence-kernel machine."""
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents to dictionary-compressed token files and back."""
     prepare(spark)
@@ -72,6 +82,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_chat_format": op2_chat_format,
+    "op3_toxicity": op3_toxicity,
     "op4_token_files": op4_token_files,
     "op5_pii": op5_pii,
     "op6_decontam": op6_decontam,
