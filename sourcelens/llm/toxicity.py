@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_rows, scratch, text_of
+from .words import shingles, word_hashes
 
 #: Labelled rows to learn from.
 SAMPLE = 40_000
@@ -136,11 +137,8 @@ def _spread(words: list[str], count: int) -> list[str]:
     words = words[:1_000]
     if len(words) <= count:
         return words
-    close = np.zeros(len(words))
-    gram = None
     chosen = [0]
-    gram = _gram(words, [words[0]])[:, 0]
-    close = gram.copy()
+    close = _gram(words, [words[0]])[:, 0]
     while len(chosen) < count:
         k = int(np.argmin(close))
         if k in chosen:
@@ -150,7 +148,7 @@ def _spread(words: list[str], count: int) -> list[str]:
     return [words[k] for k in chosen]
 
 
-def train_machine(positive: list[str], negative: list[str], balance: float = 1.0, cost: float = 4.0) -> tuple[np.ndarray, float]:
+def train_machine(positive: list[str], negative: list[str], balance: float = 0.3, cost: float = 4.0) -> tuple[np.ndarray, float]:
     """Squared-hinge machine over Nyström features, folded into weights per subsequence."""
     marks = _spread(positive, LANDMARKS) + _spread(negative, LANDMARKS)
     words = positive + negative
@@ -202,6 +200,24 @@ def _joined(words: list[str]) -> list[str]:
     return out
 
 
+def _once(sample: DataFrame) -> DataFrame:
+    """The sample without near copies: rows of one label that share one of their three least shingle hashes
+    with a row of smaller doc_id go, so a copied text does not make its words look significant."""
+
+    def sketch(batches):
+        for batch in batches:
+            found = [shingles(word_hashes(t), 3)[:3].view(np.int64) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"),
+                                              pa.array(found, pa.list_(pa.int64()))], ["doc_id", "toxic", "marks"])
+
+    each = scratch(sample.select("doc_id", "toxic", "text").mapInArrow(
+        sketch, "doc_id long, toxic int, marks array<long>").select("doc_id", "toxic", F.explode("marks").alias("mark")),
+        "toxic-marks")
+    first = each.groupBy("mark", "toxic").agg(F.min("doc_id").alias("first"))
+    later = each.join(first, ["mark", "toxic"]).where(F.col("first") < F.col("doc_id")).select("doc_id").distinct()
+    return sample.join(F.broadcast(scratch(later, "toxic-later")), "doc_id", "left_anti")
+
+
 def _word_counts(sample: DataFrame) -> DataFrame:
     """word, toxic and clean: documents of either label that hold it."""
 
@@ -251,7 +267,7 @@ class Scorer:
 
     def clear(self):
         self.places, self.known = _Worst(), np.zeros(0, np.float32)
-        self.single = np.zeros(0, np.int8)  # 1: one character, 0: none, so it is passed over, -1: more
+        self.single = np.zeros(0, np.int8)  # 1: words of one character
 
     def worst(self, texts: list[str]) -> list[float]:
         rows = []
@@ -262,8 +278,7 @@ class Scorer:
             fresh = [bare(w) for w in self.places.waiting]
             own = [self.model.margins(fresh[i:i + 20_000]) for i in range(0, len(fresh), 20_000)]
             self.known = np.concatenate([self.known, *own])
-            self.single = np.concatenate([self.single, np.array(
-                [1 if len(w) == 1 else -1 if w else 0 for w in fresh], np.int8)])
+            self.single = np.concatenate([self.single, np.array([len(w) == 1 for w in fresh], np.int8)])
             self.places.waiting = []
         out = []
         for words, own in rows:
@@ -271,9 +286,8 @@ class Scorer:
                 out.append(NOTHING)
                 continue
             most = float(self.known[own].max())
-            kind = self.single[own]
-            if (kind == 1).sum() >= 3:
-                spaced = [w for w in _joined([bare(words[i]) for i in range(len(words))])]
+            if self.single[own].sum() >= 3:
+                spaced = _joined([bare(w) for w in words])
                 if spaced:
                     most = max(most, float(self.model.margins(spaced).max()))
             out.append(most)
@@ -341,7 +355,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     if not sizes.get(0) or not sizes.get(1):
         share = sizes.get(1, 0) / max(1, sum(sizes.values()))
         return Model(None, 0.0, 0.0, 0.0, share)
-    counts = scratch(_word_counts(rows), "toxic-words")
+    counts = scratch(_word_counts(_once(rows)), "toxic-words")
     totals = counts.agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).first()
     share = (totals["t"] or 0) / max(1, (totals["t"] or 0) + (totals["c"] or 0))
     # A neutral word that no clean document holds has this many toxic ones with a chance below 1e-5.
