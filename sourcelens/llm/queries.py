@@ -5,10 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontam, html_text, near_dup, packing, pii, secret_scan, token_files, toxicity
+from . import (
+    chat_format,
+    decontam,
+    html_text,
+    near_dup,
+    packing,
+    permutation_index,
+    pii,
+    secret_scan,
+    token_files,
+    toxicity,
+)
 from .common import prepare, scratch, table
 
 
+def op1_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors of every hundredth vector, by the permutation index."""
+    prepare(spark)
+    return permutation_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schema-fingerprint chat formatting of all conversations and conversation -7."""
     prepare(spark)
@@ -81,6 +98,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_permutation_index": op1_permutation_index,
     "op2_chat_format": op2_chat_format,
     "op3_toxicity": op3_toxicity,
     "op4_token_files": op4_token_files,
