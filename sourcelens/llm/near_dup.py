@@ -224,3 +224,24 @@ def components(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "
     return signed.drop("signature").join(target, "class", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
         (F.coalesce("component", "doc_id") == F.col("doc_id")).alias("kept"))
+
+
+def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
+    """The documents, with all their columns, without those whose component has a smaller doc_id.
+
+    Of rows that repeat a doc_id and its text, one stays. Rows without a doc_id stay.
+    """
+    found = scratch(components(docs.select("doc_id", text), words, percent, text), "near-result")
+    gone = found.where("not kept").select("doc_id").distinct()
+    again = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select("doc_id")
+    gone, again = scratch(gone, "near-gone"), scratch(again, "near-again")
+    if gone.count() <= SENT_IDS:
+        gone = F.broadcast(gone)
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    if again.isEmpty():
+        return left
+    if again.count() <= SENT_IDS:
+        again = F.broadcast(again)
+    single = left.join(again, "doc_id", "left_anti").select(*docs.columns)
+    several = left.join(again, "doc_id", "left_semi").select(*docs.columns)
+    return single.unionByName(several.dropDuplicates(["doc_id", text]))

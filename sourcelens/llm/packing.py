@@ -189,7 +189,9 @@ def placed(ranked: DataFrame, runs: list[Run], filled: list[tuple[int, int, int]
                 [*(batch.column(c) for c in fields), *(pa.array(x) for x in (window, offset, total, padded))],
                 [*fields, "sequence_id", "offset", "sequence_tokens", "padded_tokens"])
 
-    return ranked.mapInArrow(place, schema).withColumn("length", F.col("length").cast("long"))
+    first = ["doc_id", "start", "length"]
+    out = ranked.mapInArrow(place, schema).withColumn("length", F.col("length").cast("long"))
+    return out.select(*first, *(c for c in out.columns if c not in first))
 
 
 def sequences(packed: DataFrame) -> DataFrame:
