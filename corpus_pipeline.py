@@ -41,7 +41,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind; ``n_chars`` follows the text."""
     prepare(spark)
-    model = pii.fit(pii.candidates(docs.select("text")))
+    model = pii.fit(scratch(pii.candidates(docs.select("text")).select("pii_candidates"), "pipeline-pii"))
     masked = pii.mask(docs, model)
     if "n_chars" in masked.columns:
         kind = dict(masked.dtypes)["n_chars"]

@@ -45,7 +45,8 @@ def _hashed(kind: str, rank: int, spans: Column) -> Column:
     return F.transform(spans, lambda x: F.struct(
         x["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), x["end"].alias("end"),
         F.sha2(x[field], 256).alias("hash"),
-        ((F.size(F.array_distinct(F.split(x[field], ""))) >= LEAST_VARIETY) & ~x[field].rlike(PLACEHOLDER))
+        ((F.size(F.array_distinct(F.transform(F.split(x[field], ""), F.ascii))) >= LEAST_VARIETY)
+         & ~x[field].rlike(PLACEHOLDER))
         .alias("varied")))
 
 
