@@ -124,17 +124,17 @@ def clean_col(content: Column) -> Column:
 
 
 def attach_responses(files: DataFrame, responses: DataFrame) -> DataFrame:
-    """Join parsed responses to their files on path (the one shuffle of this path).
+    """Join parsed responses to their files on (project, path), the one shuffle of this path.
 
     Responses are narrowed to their parsed columns before the join so the raw model
     text never crosses the shuffle.
     """
     from sourcelens.plans.joins import join_small
 
-    parsed = parse_response(responses).select("path", "mode", "rewritten_source", "reviews", "grouped")
+    parsed = parse_response(responses).select("project", "path", "mode", "rewritten_source", "reviews", "grouped")
     # Broadcast the parsed side when a bounded check proves it small; otherwise one
-    # shuffle join on path (files move once, keyed by path).
-    return join_small(files, parsed, ["path"], "inner")
+    # shuffle join on both (files move once).
+    return join_small(files, parsed, ["project", "path"], "inner")
 
 
 def apply_results(df: DataFrame) -> DataFrame:

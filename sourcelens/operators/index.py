@@ -222,6 +222,12 @@ def skeleton_sizes(entries: DataFrame) -> DataFrame:
     )
 
 
+def skeleton_texts(entries: DataFrame) -> DataFrame:
+    """Per project: the skeleton section itself, entries in ``path`` order."""
+    return entries.groupBy("project").agg(F.array_sort(F.collect_list(F.struct("path", "entry"))).alias("e")).select(
+        "project", F.concat(F.lit(SKELETON_HEADING), F.array_join(F.col("e.entry"), "\n")).alias("skeleton_text"))
+
+
 def modules(files: DataFrame) -> DataFrame:
     """``modules(project, module_key, path)``: dotted key of every .py file.
 

@@ -114,11 +114,12 @@ def group_reviews(spark, sf_dir):
 
 
 def _injected(spark, sf_dir) -> DataFrame:
-    files = S.doc_files(spark, sf_dir, annotated=True).select("path", "content")
+    files = S.doc_files(spark, sf_dir, annotated=True).select("project", "path", "content")
     j = A.attach_responses(files, responses_table(spark, sf_dir)).where(F.col("mode") == "review")
     j = j.withColumn("lines", T.split_lines_keepends("content"))
     n_lines = _long(F.size("lines"))
     return j.select(
+        "project",
         "path",
         "content",
         n_lines.alias("n_lines"),
@@ -132,7 +133,7 @@ def inject_reviews(spark, sf_dir):
     """J3 + F7 + X3: comments inserted above their lines."""
     i = _injected(spark, sf_dir)
     return i.select(
-        "path", "n_lines", "injected", "injected_text",
+        "project", "path", "n_lines", "injected", "injected_text",
         _long(F.col("injected_text") != F.col("content")).alias("changed"),
     )
 
@@ -140,16 +141,16 @@ def inject_reviews(spark, sf_dir):
 @query
 def clean_reviews(spark, sf_dir):
     """A4 + F5 on injected files."""
-    i = _injected(spark, sf_dir).select("path", A.clean_col(F.col("injected_text")).alias("c"))
-    return i.select("path", "c.removed", F.col("c.cleaned").alias("cleaned_text"))
+    i = _injected(spark, sf_dir).select("project", "path", A.clean_col(F.col("injected_text")).alias("c"))
+    return i.select("project", "path", "c.removed", F.col("c.cleaned").alias("cleaned_text"))
 
 
 @query
 def round_trip_check(spark, sf_dir):
     """clean(inject(x)) == x, per file."""
-    i = _injected(spark, sf_dir).select("path", "content", "injected", A.clean_col(F.col("injected_text")).alias("c"))
+    i = _injected(spark, sf_dir).select("project", "path", "content", "injected", A.clean_col(F.col("injected_text")).alias("c"))
     return i.select(
-        "path", "injected", "c.removed", _long(F.col("c.cleaned") == F.col("content")).alias("round_trip_ok")
+        "project", "path", "injected", "c.removed", _long(F.col("c.cleaned") == F.col("content")).alias("round_trip_ok")
     )
 
 
@@ -157,10 +158,11 @@ def round_trip_check(spark, sf_dir):
 def review_counts(spark, sf_dir):
     """A3: parsed reviews (incl. out-of-file) and those that land in the file."""
     files = S.doc_files(spark, sf_dir, annotated=True).select(
-        "path", _long(F.size(T.split_lines_keepends("content"))).alias("n_lines")
+        "project", "path", _long(F.size(T.split_lines_keepends("content"))).alias("n_lines")
     )
     j = A.attach_responses(files, responses_table(spark, sf_dir))
     return j.select(
+        "project",
         "path",
         "mode",
         _long(F.size("reviews")).alias("added"),
@@ -315,9 +317,9 @@ def validate_requests(spark, sf_dir):
     """F10 + S3 + X9 (+ F2 reported): the first failing check per request."""
     from sourcelens.plans import jobs as J
 
-    files = S.doc_files(spark, sf_dir).select("path")
+    files = S.doc_files(spark, sf_dir).select("project", "path")
     v = J.validate_requests(S.doc_requests(spark, sf_dir), files, python_only=False)
-    return v.select("doc_id", "path", "stage", F.col("message_error").alias("error"), "python_file",
+    return v.select("doc_id", "project", "path", "stage", F.col("message_error").alias("error"), "python_file",
                     F.col("range.status").alias("range_status"))
 
 
@@ -326,9 +328,9 @@ def range_violations(spark, sf_dir):
     """F3 + X9: review lines outside the requested range reject the whole target."""
     from sourcelens.plans import jobs as J
 
-    req = S.doc_requests(spark, sf_dir).select("path", "doc_id", "lines")
-    resp = A.parse_response(responses_table(spark, sf_dir)).select("path", "mode", "grouped")
-    j = req.join(resp, "path", "inner").withColumn("rng", J.parse_line_range(F.col("lines")))
+    req = S.doc_requests(spark, sf_dir).select("project", "path", "doc_id", "lines")
+    resp = A.parse_response(responses_table(spark, sf_dir)).select("project", "path", "mode", "grouped")
+    j = req.join(resp, ["project", "path"], "inner").withColumn("rng", J.parse_line_range(F.col("lines")))
     outcome, shown = J.range_outcome(F.col("mode"), F.col("rng"), F.col("grouped"))
     return j.select(
         "doc_id", "lines", "mode", F.col("rng.status").alias("range_status"), F.col("rng.start").alias("range_start"),
@@ -342,12 +344,12 @@ def diff_hunks(spark, sf_dir):
     """Hunk headers of each injection, in-row from the edit positions."""
     from sourcelens.operators import diff as D
 
-    files = S.doc_files(spark, sf_dir, annotated=True).select("path", "content")
+    files = S.doc_files(spark, sf_dir, annotated=True).select("project", "path", "content")
     j = A.attach_responses(files, responses_table(spark, sf_dir)).where(F.col("mode") == "review")
     j = j.withColumn("n", _long(F.size(T.split_lines_keepends("content"))))
     n = F.col("n")
-    h = j.select("path", F.explode(D.hunks_col(D.insert_edits(F.col("grouped"), n), n)).alias("h"))
-    return h.select("path", "h.hunk_no", "h.old_start", "h.old_len", "h.new_start", "h.new_len", "h.header")
+    h = j.select("project", "path", F.explode(D.hunks_col(D.insert_edits(F.col("grouped"), n), n)).alias("h"))
+    return h.select("project", "path", "h.hunk_no", "h.old_start", "h.old_len", "h.new_start", "h.new_len", "h.header")
 
 
 def _proposals(spark, sf_dir):
@@ -362,7 +364,7 @@ def line_changes(spark, sf_dir):
     """Lines added and removed per changed file (multiset)."""
     from sourcelens.operators import diff as D
 
-    p = _proposals(spark, sf_dir).select("path", F.col("content").alias("before"), F.col("updated").alias("after"))
+    p = _proposals(spark, sf_dir).select("project", "path", F.col("content").alias("before"), F.col("updated").alias("after"))
     return D.line_changes(p)
 
 
@@ -371,9 +373,9 @@ def unified_diffs(spark, sf_dir):
     """E6 + S5: exact unified diff text of every changed file, with its artefact name."""
     from sourcelens.operators import diff as D
 
-    p = _proposals(spark, sf_dir).select("path", F.col("content").alias("before"), F.col("updated").alias("after"))
+    p = _proposals(spark, sf_dir).select("project", "path", F.col("content").alias("before"), F.col("updated").alias("after"))
     d = D.unified_diffs(p)
-    return d.select("path", "diff", D.diff_name("path").alias("diff_path"),
+    return d.select("project", "path", "diff", D.diff_name("path", project="project").alias("diff_path"),
                     _long(F.size(F.split("diff", "\n@@ "))).alias("n_hunks"))
 
 
@@ -384,15 +386,15 @@ def apply_decisions(spark, sf_dir):
 
     p = _proposals(spark, sf_dir).where(F.col("mode") != "invalid")
     d = J.apply_decisions(p, S.doc_decisions(spark, sf_dir))
-    return d.select("path", "mode", "outcome", "final_content", "diff_path")
+    return d.select("project", "path", "mode", "outcome", "final_content", "diff_path")
 
 
 @query
 def final_turn(spark, sf_dir):
-    """W4 + O2: the turn a bounded tool loop ends on (max_rounds = 4)."""
+    """W4 + O2: the turn a bounded tool loop ends on (8 rounds)."""
     from sourcelens.plans import jobs as J
 
-    return J.final_turns(S.turns(spark, sf_dir), max_rounds=4)
+    return J.final_turns(S.turns(spark, sf_dir))
 
 
 @query
@@ -411,8 +413,8 @@ def audit_responses(spark, sf_dir):
     """C6 + W5: contract checks per response."""
     from sourcelens.plans import jobs as J
 
-    files = S.doc_files(spark, sf_dir, annotated=True).select("path", "content")
-    return J.audit_responses(responses_table(spark, sf_dir), files).drop("path")
+    files = S.doc_files(spark, sf_dir, annotated=True).select("project", "path", "content")
+    return J.audit_responses(responses_table(spark, sf_dir), files).drop("project", "path")
 
 
 @query
@@ -428,7 +430,7 @@ def run_conversations(spark, sf_dir):
     """C5 + Z2 + J5: the bounded tool loop replayed round by round over all conversations.
 
     Recorded turns answer each round; the tool calls of a conversation are attached to turn
-    ``1 + call_id % 5`` and dispatched in the round of that turn (max_rounds = 4).
+    ``1 + call_id % 5`` and dispatched in the round of that turn (8 rounds).
     """
     from sourcelens.operators import lookup as L
     from sourcelens.operators import loop as P
@@ -448,7 +450,7 @@ def run_conversations(spark, sf_dir):
         out = L.dispatch(round_calls, ctx)
         return out.join(round_calls.select("call_id", "conv_id"), "call_id").select("conv_id", "call_id", "status")
 
-    final, outputs = P.run_conversations(turns, P.recorded_responder(turns), dispatch_round, max_rounds=4)
+    final, outputs = P.run_conversations(turns, P.recorded_responder(turns), dispatch_round, max_rounds=8)
     n = outputs.groupBy("conv_id").agg(F.count_distinct("call_id").cast("bigint").alias("n_tool_calls"))
     return final.join(n, "conv_id", "left").select(
         "conv_id", F.col("final_turn").cast("bigint").alias("final_turn"), "outcome", "final_text",
@@ -461,7 +463,7 @@ def review_corpus(spark, sf_dir):
     """C1 + C2 + C3 end to end over every request (documents corpus, python_only off)."""
     from sourcelens.plans import jobs as J
 
-    files = S.doc_files(spark, sf_dir, annotated=True).select("path", "content")
+    files = S.doc_files(spark, sf_dir, annotated=True).select("project", "path", "content")
     return J.review_corpus(S.doc_requests(spark, sf_dir), files, responses_table(spark, sf_dir),
                            S.doc_decisions(spark, sf_dir), python_only=False)
 
@@ -504,14 +506,15 @@ def compose_prompts(spark, sf_dir):
     from sourcelens.operators import index as I
     from sourcelens.plans import jobs as J
 
+    from sourcelens.session import write_and_read
+
     files = S.doc_files(spark, sf_dir).select("project", "path", "content")
-    idx = I.extract(files)
-    req = J.validate_requests(S.doc_requests(spark, sf_dir), files.select("path"), python_only=False)
+    idx = write_and_read(I.extract(files), "doc_index", partition_by="rec")
+    req = J.validate_requests(S.doc_requests(spark, sf_dir), files.select("project", "path"), python_only=False)
     req = req.where((F.col("stage") == "ok") & ~F.col("clean"))
-    ctx = C.build_contexts(files, idx, req.join(files.select("project", "path"), "path"))
-    skel_text = F.lit(I.SKELETON_HEADING)  # section text when no file of the project has definitions
-    context = F.concat_ws("\n\n", F.when(F.col("skeleton_chars") == len(I.SKELETON_HEADING), skel_text),
-                          F.col("imported_section"), F.col("target_section"))
-    j = req.join(ctx.select("path", "skeleton_chars", "imported_section", "target_section"), "path")
+    keys = ["project", "path"]
+    ctx = C.build_contexts(files, idx, req.select(*keys).distinct(), with_text=True)
+    j = req.join(ctx.select(*keys, "skeleton_chars", "context"), keys)
     msg = J.scoped_message(F.col("message"), F.col("range.start"), F.col("range.end"))
-    return j.select("doc_id", J.compose_prompt(msg, context).alias("prompt"), _long(F.col("skeleton_chars")).alias("skeleton_chars"))
+    return j.select("doc_id", J.compose_prompt(msg, F.col("context")).alias("prompt"),
+                    _long(F.col("skeleton_chars")).alias("skeleton_chars"))

@@ -33,7 +33,7 @@ def line_key(d: str) -> str:
     return f"(CASE WHEN ltrim({d}, '0') = '' THEN '0' ELSE ltrim({d}, '0') END)"
 
 
-DOC_PATH = "(source || '/doc_' || CAST(doc_id AS VARCHAR))"
+DOC_PATH = "('doc_' || CAST(doc_id AS VARCHAR))"
 
 DOC_FILES = f"""doc_files AS (
   SELECT doc_id, source AS project, {DOC_PATH} AS path, text AS content FROM documents)"""
@@ -58,10 +58,10 @@ doc_responses AS (
     CASE WHEN d.doc_id % 4 = 0 THEN 'REVIEW:1:' END,
     CASE WHEN l.low_quality THEN 'REVIEW:1: low quality' END,
     CASE WHEN d.doc_id % 7 = 0 AND d.doc_id % 29 <> 0
-         THEN 'FILE_START' || chr(10) || array_to_string(d.head3, chr(10)) || chr(10) || 'FILE_END' END,
+         THEN 'FILE_START' || chr(10) || array_to_string(d.rewrite, chr(10)) || chr(10) || 'FILE_END' END,
     CASE WHEN d.doc_id % 29 = 0 THEN 'FILE_END' || chr(10) || 'FILE_START' END
   ) AS output_text
-  FROM (SELECT doc_id, lang, path, len(dl) AS n, list_slice(dl, 1, 3) AS head3 FROM doc_lines) d
+  FROM (SELECT doc_id, lang, path, len(dl) AS n, list_concat(['# doc ' || CAST(doc_id AS VARCHAR)], dl) AS rewrite FROM doc_lines) d
   LEFT JOIN low_q l USING (doc_id))"""
 
 # Parsed responses: mode, rewrite, and review rows (review mode only).
@@ -509,7 +509,7 @@ SELECT u.path, u.mode,
        WHEN lower({strip('d.answer')}) = 'y' THEN 'applied' ELSE 'rejected' END AS outcome,
   CASE WHEN u.updated <> u.content AND lower({strip('d.answer')}) = 'y' THEN u.updated ELSE u.content END
     AS final_content,
-  CASE WHEN u.updated <> u.content THEN 'review_' || {_STEM.replace('path', 'u.path')} || '_' || substr(sha1(u.path), 1, 10)
+  CASE WHEN u.updated <> u.content THEN 'review_' || {_STEM.replace('path', 'u.path')} || '_' || substr(sha1(u.project || '/' || u.path), 1, 10)
        || '.diff' END AS diff_path
 FROM updated u LEFT JOIN doc_decisions d USING (path)
 WHERE u.mode <> 'invalid'
@@ -519,12 +519,12 @@ ORACLES["final_turn"] = """
 WITH t AS (SELECT conv_id, turn + 1 AS turn, text, length(text) % 3 <> 0 AS has_tool FROM conversations),
 g AS (
   SELECT conv_id, count(*) AS n_turns,
-         min(turn) FILTER (WHERE NOT has_tool AND turn <= 5) AS answered_turn,
-         arg_min(text, turn) FILTER (WHERE NOT has_tool AND turn <= 5) AS answered_text,
-         max(text) FILTER (WHERE turn = 5) AS limit_text
+         min(turn) FILTER (WHERE NOT has_tool AND turn <= 9) AS answered_turn,
+         arg_min(text, turn) FILTER (WHERE NOT has_tool AND turn <= 9) AS answered_text,
+         max(text) FILTER (WHERE turn = 9) AS limit_text
   FROM t GROUP BY conv_id)
 SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns,
-  CAST(CASE WHEN answered_turn IS NOT NULL THEN answered_turn WHEN limit_text IS NOT NULL THEN 5 END AS BIGINT)
+  CAST(CASE WHEN answered_turn IS NOT NULL THEN answered_turn WHEN limit_text IS NOT NULL THEN 9 END AS BIGINT)
     AS final_turn,
   CASE WHEN answered_turn IS NOT NULL THEN 'answered' WHEN limit_text IS NOT NULL THEN 'limit' ELSE 'unfinished' END
     AS outcome,
@@ -575,13 +575,13 @@ ORACLES["run_conversations"] = """
 WITH t AS (SELECT conv_id, turn + 1 AS turn, text, length(text) % 3 <> 0 AS has_tool FROM conversations),
 g AS (
   SELECT conv_id, count(*) AS n_turns,
-         min(turn) FILTER (WHERE NOT has_tool AND turn <= 5) AS answered_turn,
-         arg_min(text, turn) FILTER (WHERE NOT has_tool AND turn <= 5) AS answered_text,
-         max(text) FILTER (WHERE turn = 5) AS limit_text
+         min(turn) FILTER (WHERE NOT has_tool AND turn <= 9) AS answered_turn,
+         arg_min(text, turn) FILTER (WHERE NOT has_tool AND turn <= 9) AS answered_text,
+         max(text) FILTER (WHERE turn = 9) AS limit_text
   FROM t GROUP BY conv_id),
 f AS (
   SELECT conv_id, n_turns,
-    CAST(CASE WHEN answered_turn IS NOT NULL THEN answered_turn WHEN limit_text IS NOT NULL THEN 5 END AS BIGINT)
+    CAST(CASE WHEN answered_turn IS NOT NULL THEN answered_turn WHEN limit_text IS NOT NULL THEN 9 END AS BIGINT)
       AS final_turn,
     CASE WHEN answered_turn IS NOT NULL THEN 'answered' WHEN limit_text IS NOT NULL THEN 'limit' ELSE 'unfinished' END
       AS outcome,
@@ -590,7 +590,7 @@ f AS (
 calls AS (SELECT event_id AS call_id, user_id AS conv_id, 1 + event_id % 5 AS turn FROM events)
 SELECT f.conv_id, f.final_turn, f.outcome, f.final_text,
   CAST((SELECT count(*) FROM calls c WHERE c.conv_id = f.conv_id AND c.turn <=
-        CASE f.outcome WHEN 'answered' THEN f.final_turn - 1 WHEN 'limit' THEN 4 ELSE f.n_turns END) AS BIGINT)
+        CASE f.outcome WHEN 'answered' THEN f.final_turn - 1 WHEN 'limit' THEN 8 ELSE f.n_turns END) AS BIGINT)
     AS n_tool_calls
 FROM f
 """
@@ -611,7 +611,7 @@ cl AS (
          len(ls) - len(list_filter(ls, lambda l: NOT starts_with({strip('l')}, '# REVIEW:'))) AS removed
   FROM (SELECT path, {keepends('content')} AS ls FROM doc_files_a)),
 j AS (
-  SELECT g.doc_id, g.path, g.clean, g.dry_run, g.message, g.range_status, u.content, u.updated, u.mode, u.added,
+  SELECT g.doc_id, g.path, g.clean, g.dry_run, g.message, g.range_status, u.project, u.content, u.updated, u.mode, u.added,
          b.offending, d.answer, cl.cleaned_text, cl.removed,
          CASE WHEN (g.clean AND g.dry_run) THEN '--clean cannot be used with --dry-run'
               WHEN g.clean AND g.message IS NOT NULL THEN '--clean cannot be used with a review message'
@@ -638,7 +638,7 @@ SELECT doc_id, path, outcome,
        WHEN mode = 'review' AND offending IS NOT NULL
          THEN 'Model returned reviews outside requested line range: ' || offending
        WHEN dry_run AND updated = content THEN 'No changes to apply.'
-       WHEN dry_run AND NOT yes THEN 'Diff available at review_' || {_STEM} || '_' || substr(sha1(path), 1, 10) || '.diff'
+       WHEN dry_run AND NOT yes THEN 'Diff available at review_' || {_STEM} || '_' || substr(sha1(project || '/' || path), 1, 10) || '.diff'
        WHEN mode = 'rewrite' THEN 'updated ' || path
        ELSE {s('added')} || ' reviews added to ' || path END AS message,
   CAST(CASE WHEN outcome = 'cleaned' THEN cleaned_text <> content
@@ -651,6 +651,13 @@ FROM o
 """
 
 
+# Outputs that name a document's path name its project too.
+for _name in ("inject_reviews", "clean_reviews", "round_trip_check", "review_counts", "validate_requests", "diff_hunks",
+              "line_changes", "apply_decisions", "review_corpus"):
+    ORACLES[_name] = (f"SELECT q.*, d.source AS project FROM ({ORACLES[_name]}) q "
+                      "JOIN documents d ON q.path = 'doc_' || CAST(d.doc_id AS VARCHAR)")
+
+
 def summarise_sql(x: str) -> str:
     sx = f"regexp_replace({strip(x)}, '{WS_RUN_RE}', ' ', 'g')"
     return f"(CASE WHEN length({sx}) <= 120 THEN {sx} ELSE substr({sx}, 1, 117) || '...' END)"

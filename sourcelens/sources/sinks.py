@@ -15,9 +15,13 @@ def changed_only(df: DataFrame, before: str = "content", after: str = "updated")
 
 
 def write_updates(df: DataFrame, out_dir: str, before: str = "content", after: str = "updated") -> None:
-    """S4 as a table: only changed files are written, partitioned by project."""
+    """S4 as a table: only changed files are written, partitioned by project.
+
+    The table is the latest run's: every write replaces it whole, so a rerun never leaves
+    two rows for one file.
+    """
     changed_only(df, before, after).select("project", "path", F.col(after).alias("content")).write.mode(
-        "append"
+        "overwrite"
     ).partitionBy("project").parquet(out_dir)
 
 
@@ -27,39 +31,54 @@ def apply_updates(files: DataFrame, updates: DataFrame) -> DataFrame:
     return keep.unionByName(updates.select(*files.columns), allowMissingColumns=True)
 
 
+# Fixed value: status of a path that would leave its root.
+OUTSIDE_ROOT = "error: outside the project root"
+
+
 def _write_batches(it):
     import os
+    import uuid
 
     for pdf in it:
         status = []
-        for root, path, text in zip(pdf["root"], pdf["path"], pdf["content"]):
+        for root, path, text, inside in zip(pdf["root"], pdf["path"], pdf["content"], pdf["inside"]):
+            if root is None or not inside:
+                status.append(OUTSIDE_ROOT if root is not None else "error: no root for the project")
+                continue
             target = os.path.join(root, path)
+            fresh = f"{target}.{uuid.uuid4().hex}.part"
             try:
                 os.makedirs(os.path.dirname(target), exist_ok=True)
-                with open(target, "w", encoding="utf-8", newline="") as fh:
+                with open(fresh, "w", encoding="utf-8", newline="") as fh:
                     fh.write(text)
+                os.replace(fresh, target)  # a killed task leaves the old file whole
                 status.append("written")
             except OSError as e:
                 status.append(f"error: {e}")
-        yield pd.DataFrame({"path": pdf["path"], "status": status})
+        yield pd.DataFrame({"project": pdf["project"], "path": pdf["path"], "status": status})
 
 
 def write_files(df: DataFrame, roots: dict[str, str], before: str = "content", after: str = "updated") -> DataFrame:
-    """S4 to a shared file tree: executors write changed files in place; returns statuses.
+    """S4 to a shared file tree: executors replace changed files; returns (project, path, status).
 
-    Unchanged files are never touched. ``roots`` maps project -> root directory.
+    Unchanged files are never touched, paths that resolve outside their project's root (F1)
+    are refused. ``roots`` maps project -> root directory.
     """
+    from sourcelens.operators.lookup import resolve_path
     from sourcelens.session import ship_package
 
     ship_package(df.sparkSession)
     root_map = F.create_map(*[x for p, r in roots.items() for x in (F.lit(p), F.lit(r))])
+    _, inside, rel = resolve_path(F.col("path"), "/root")
     c = changed_only(df, before, after).select(
-        root_map[F.col("project")].alias("root"), "path", F.col(after).alias("content")
+        "project", root_map[F.col("project")].alias("root"), "path", F.col(after).alias("content"),
+        (inside & (rel != "") & ~F.col("path").startswith("/")).alias("inside"),
     )
-    return c.mapInPandas(_write_batches, "path string, status string")
+    return c.mapInPandas(_write_batches, "project string, path string, status string")
 
 
 def write_diffs(pairs: DataFrame, out_dir: str, prefix: str = "review") -> None:
     """Unified diffs of changed files with their artefact names, as a table."""
     d = D.unified_diffs(pairs)
-    d.select("path", D.diff_name("path", prefix).alias("diff_path"), "diff").write.mode("overwrite").parquet(out_dir)
+    d.select("project", "path", D.diff_name("path", prefix, "project").alias("diff_path"), "diff").write.mode(
+        "overwrite").parquet(out_dir)

@@ -48,6 +48,11 @@ def read_files_table(spark: SparkSession, path: str, project: str = "project", p
     return df.select(F.col(project).alias("project"), F.col(path_col).alias("path"), F.col(content).alias("content"))
 
 
+def _doc_path():
+    """A document's path within its project (its source)."""
+    return F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("path")
+
+
 def doc_files(spark: SparkSession, sf_dir: str, annotated: bool = False) -> DataFrame:
     """``files(project, path, content)`` from ``documents``.
 
@@ -64,21 +69,27 @@ def doc_files(spark: SparkSession, sf_dir: str, annotated: bool = False) -> Data
     return d.select(
         "doc_id",
         F.col("source").alias("project"),
-        F.concat(F.col("source"), F.lit("/doc_"), F.col("doc_id").cast("string")).alias("path"),
+        _doc_path(),
         content.alias("content"),
     )
 
 
 def doc_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``responses(doc_id, path, output_text)``: recorded model answers, one per document."""
+    """``responses(doc_id, project, path, output_text)``: recorded model answers, one per document.
+
+    Rewrites hold the whole document below a new first line.
+    """
     d = table(spark, sf_dir, "documents").select(
         "doc_id",
         "lang",
-        F.concat(F.col("source"), F.lit("/doc_"), F.col("doc_id").cast("string")).alias("path"),
+        F.col("source").alias("project"),
+        _doc_path(),
         T.split_lines_keepends("text").alias("dl"),
     )
     d = d.select(
-        "doc_id", "lang", "path", F.size("dl").alias("n"), F.transform(F.slice("dl", 1, 3), T.drop_line_end).alias("head3")
+        "doc_id", "lang", "project", "path", F.size("dl").alias("n"),
+        F.concat(F.array(F.concat(F.lit("# doc "), F.col("doc_id").cast("string"))), F.transform("dl", T.drop_line_end))
+        .alias("rewrite"),
     )
     low = (
         table(spark, sf_dir, "labels")
@@ -103,18 +114,19 @@ def doc_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("low_quality"), F.lit("REVIEW:1: low quality")),
         F.when(
             (i % 7 == 0) & (i % 29 != 0),
-            F.concat(F.lit("FILE_START\n"), F.array_join("head3", "\n"), F.lit("\nFILE_END")),
+            F.concat(F.lit("FILE_START\n"), F.array_join("rewrite", "\n"), F.lit("\nFILE_END")),
         ),
         F.when(i % 29 == 0, F.lit("FILE_END\nFILE_START")),
     )
-    return d.select("doc_id", "path", F.array_join(parts, "\n").alias("output_text"))
+    return d.select("doc_id", "project", "path", F.array_join(parts, "\n").alias("output_text"))
 
 
 def doc_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``requests(doc_id, path, lines, message, dry_run, clean)``."""
+    """``requests(doc_id, project, path, lines, message, dry_run, clean)``."""
     d = table(spark, sf_dir, "documents").select(
         "doc_id",
-        F.concat(F.col("source"), F.lit("/doc_"), F.col("doc_id").cast("string")).alias("path"),
+        F.col("source").alias("project"),
+        _doc_path(),
         F.size(T.split_lines_keepends("text")).alias("n"),
     )
     i = F.col("doc_id")
@@ -128,6 +140,7 @@ def doc_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return d.select(
         "doc_id",
+        "project",
         "path",
         lines.alias("lines"),
         message.cast("string").alias("message"),
@@ -137,12 +150,12 @@ def doc_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``decisions(path, answer)``: ' Y ' / 'n' / no row."""
+    """``decisions(project, path, answer)``: ' Y ' / 'n' / no row."""
     d = table(spark, sf_dir, "documents").select(
-        "doc_id", F.concat(F.col("source"), F.lit("/doc_"), F.col("doc_id").cast("string")).alias("path")
+        "doc_id", F.col("source").alias("project"), _doc_path()
     )
     return d.where(F.col("doc_id") % 3 != 2).select(
-        "path", F.when(F.col("doc_id") % 3 == 0, F.lit(" Y ")).otherwise(F.lit("n")).alias("answer")
+        "project", "path", F.when(F.col("doc_id") % 3 == 0, F.lit(" Y ")).otherwise(F.lit("n")).alias("answer")
     )
 
 

@@ -41,14 +41,39 @@ def test_write_files_touches_changed_files_only(spark):
     assert os.stat(os.path.join(root, "b.py")).st_mtime_ns == before_b
 
 
+def test_write_files_stays_inside_the_root(spark):
+    top = tempfile.mkdtemp(prefix="tree-")
+    root = os.path.join(top, "root")
+    os.makedirs(root)
+    rows = [("p", "../escaped.py"), ("p", os.path.join(top, "absolute.py")), ("p", "a/../../up.py"), ("p", "ok/in.py"),
+            ("q", "none.py")]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows],
+                               "project string, path string, content string, updated string")
+    for _ in range(2):  # a second run gives the same tree
+        status = {r["path"]: r["status"] for r in sinks.write_files(df, {"p": root}).collect()}
+        assert status["ok/in.py"] == "written" and status["none.py"].startswith("error")
+        assert all(status[p] == sinks.OUTSIDE_ROOT for _, p in rows[:3])
+    assert sorted(os.listdir(top)) == ["root"] and os.listdir(os.path.join(root, "ok")) == ["in.py"]
+
+
+def test_write_updates_twice_keeps_one_row_per_file(spark):
+    df = spark.createDataFrame([("p", "a.py", "x", "y"), ("q", "a.py", "x", "z")],
+                               "project string, path string, content string, updated string")
+    out = tempfile.mkdtemp(prefix="upd-")
+    sinks.write_updates(df, out)
+    sinks.write_updates(df, out)
+    assert sorted((r["project"], r["content"]) for r in spark.read.parquet(out).collect()) == [("p", "y"), ("q", "z")]
+
+
 def test_write_diffs_names(spark):
     import hashlib
 
-    df = spark.createDataFrame([("src/mod.py", "a\n", "# REVIEW: x\na\n")], "path string, before string, after string")
+    df = spark.createDataFrame([("p", "src/mod.py", "a\n", "# REVIEW: x\na\n")],
+                               "project string, path string, before string, after string")
     out = tempfile.mkdtemp(prefix="diffs-")
     sinks.write_diffs(df, out, prefix="review")
     r = spark.read.parquet(out).first()
-    assert r["diff_path"] == f"review_mod_{hashlib.sha1(b'src/mod.py').hexdigest()[:10]}.diff"
+    assert r["diff_path"] == f"review_mod_{hashlib.sha1(b'p/src/mod.py').hexdigest()[:10]}.diff"
     assert r["diff"].startswith("--- src/mod.py\n+++ src/mod.py\n@@ -1 +1,2 @@\n+# REVIEW: x\n")
 
 
