@@ -6,10 +6,11 @@ out: enumerating these allowed errors finds every pair within that distance. A p
 exceeds the distance with probability below 1e-5, and even then meets with overwhelming probability.
 
 Documents with equal shingle sets form one class and go on as one representative. Within a bucket of equal
-keys, pairs are not enumerated: first every member is tested against the bucket's least member; then, only
-where a bucket still holds several components, each member is tested against its nearest members of other
-components by signature distance, twice as many in every round, until none is left untested. Tests compare
-full shingle sets, so links are exact; what is lost at most are pairs beyond the signature distance.
+keys, pairs are not enumerated: every member is first tested against a few members of the bucket, which joins
+most groups of near copies into one component. Buckets that still hold several components are then gone
+through exactly, in blocks of bounded size: a task compares the members' whole sets by an inverted list and
+returns at most one link for each two components it joins. Tests compare full shingle sets, so links are
+exact; what is lost at most are pairs beyond the signature distance.
 
 Null and empty texts have no shingles and are linked with nothing. Repeated rows fall into one class. An
 empty table gives an empty table. Extra columns are ignored.
@@ -27,10 +28,10 @@ from .words import mixed, shingles, word_hashes
 
 CHUNKS, WIDTH = 12, 4
 SYMBOLS = CHUNKS * WIDTH
-#: The signature distance up to which every pair is a candidate.
-DISTANCE = 2 * CHUNKS - 1
-#: Members of one bucket that a task compares at once; larger buckets are split into pairs of blocks.
-BLOCK = 4_096
+#: Members of each bucket that all its other members are tested against first.
+STARS = 3
+#: Shingles in one block of a bucket's members; larger buckets are split into pairs of blocks.
+BLOCK = 1 << 20
 #: Up to so many document ids are sent to all tasks; more are joined by a shuffle.
 SENT_IDS = 1_000_000
 #: Shingles whose hashes are held at once for one document.
@@ -95,22 +96,26 @@ def could_link(a, b, percent: int):
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int, text: str) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets have ``100 * common >= percent * together``."""
-    ids = scratch(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "near-ids")
+def full_sets(docs: DataFrame, ids: DataFrame, words: int, text: str) -> DataFrame:
+    """(node, found): the whole shingle set of each document in ``ids`` (node)."""
     if ids.count() <= SENT_IDS:
         ids = F.broadcast(ids)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(text).alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("node"), text_of(text).alias("text"))
 
     def sets(batches):
         for batch in batches:
             found = [shingles(word_hashes(t), words).view(np.int64) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "found"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "found"])
+
+    return scratch(rows.join(ids, "node", "left_semi").mapInArrow(sets, "node long, found array<long>"), "near-sets")
 
-    full = scratch(rows.join(ids, "doc_id", "left_semi").mapInArrow(sets, "doc_id long, found array<long>"), "near-sets")
-    both = (pairs.join(full.select(F.col("doc_id").alias("a"), F.col("found").alias("fa")), "a")
-            .join(full.select(F.col("doc_id").alias("b"), F.col("found").alias("fb")), "b"))
+
+def confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int, text: str) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets have ``100 * common >= percent * together``."""
+    ids = scratch(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "near-ids")
+    full = full_sets(docs, ids, words, text)
+    both = (pairs.join(full.select(F.col("node").alias("a"), F.col("found").alias("fa")), "a")
+            .join(full.select(F.col("node").alias("b"), F.col("found").alias("fb")), "b"))
     common = F.size(F.array_intersect("fa", "fb"))
     sized = both.select("a", "b", (F.size("fa") + F.size("fb")).alias("total"), common.alias("common"))
     return sized.where(F.col("common") * 100 >= (F.col("total") - F.col("common")) * percent).select("a", "b")
@@ -142,36 +147,62 @@ def unite(labels: DataFrame, links: DataFrame) -> DataFrame:
             "node", F.coalesce("to", "component").alias("component")), "near-labels")
 
 
-def nearest_others(members: DataFrame, most: int) -> DataFrame:
-    """Candidate pairs inside buckets that hold several components.
+def joining_links(frame, percent: int):
+    """Links that join components among the members of one pair of blocks: columns a, b.
 
-    ``members`` has key, node, n, component, signature, block, other_block. For each member and block of
-    partners: its ``most`` nearest members of other components within ``DISTANCE``. ``open`` tells that a
-    member had more.
+    Every two members of different components have one outside of the largest component; those are compared
+    with all members by counting shared shingles over an inverted list.
     """
-
-    def near(frame):
-        import pandas as pd
-
-        own = frame[frame.side == 0]
-        other = frame[frame.side == 1]
-        a = np.frombuffer(b"".join(own.signature), "<u2").reshape(-1, SYMBOLS)
-        b = np.frombuffer(b"".join(other.signature), "<u2").reshape(-1, SYMBOLS)
-        bc, bn = other.component.to_numpy(), other.node.to_numpy()
-        out_a, out_b, out_open = [], [], []
-        for row, node, component in zip(a, own.node.to_numpy(), own.component.to_numpy()):
-            far = (b != row).sum(axis=1)
-            able = np.flatnonzero((far <= DISTANCE) & (bc != component))
-            if len(able):
-                pick = able[np.lexsort((bn[able], far[able]))][:most]
-                out_a += [int(node)] * len(pick)
-                out_b += bn[pick].tolist()
-                out_open += [len(able) > most] * len(pick)
-        a, b = np.array(out_a, np.int64), np.array(out_b, np.int64)
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "open": np.array(out_open, bool)})
-
-    return (members.groupBy("key", "block", "other_block").applyInPandas(near, "a long, b long, open boolean")
-            .groupBy("a", "b").agg(F.max("open").alias("open")))
+    import pandas as pd
+
+    frame = frame.drop_duplicates("node")
+    node, label = frame["node"].to_numpy(), frame["component"].to_numpy()
+    found = list(frame["found"])
+    size = np.array([len(f) for f in found])
+    owner = np.repeat(np.arange(len(found)), size)
+    every = np.concatenate(found) if found else np.zeros(0, np.int64)
+    order = np.argsort(every, kind="stable")
+    every, owner = every[order], owner[order]
+    names, count = np.unique(label, return_counts=True)
+    parent = {int(x): int(x) for x in names}
+
+    def top(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    a, b = [], []
+    for i in np.flatnonzero(label != names[np.argmax(count)]):
+        lo, hi = np.searchsorted(every, found[i], "left"), np.searchsorted(every, found[i], "right")
+        sharing = np.concatenate([owner[x:y] for x, y in zip(lo, hi)])
+        common = np.bincount(sharing, minlength=len(found))
+        for j in np.flatnonzero((100 * common >= percent * (size + size[i] - common)) & (label != label[i])):
+            x, y = top(int(label[i])), top(int(label[j]))
+            if x != y:
+                parent[x] = y
+                a.append(int(node[i]))
+                b.append(int(node[j]))
+    return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+
+def links_in_mixed_buckets(docs: DataFrame, members: DataFrame, labels: DataFrame, words: int, percent: int,
+                           text: str) -> DataFrame:
+    """Links between components that share a bucket of more than two members, found on whole sets."""
+    named = scratch(members.select("key", "node", "n").join(labels, "node"), "near-named")
+    mixed = scratch(named.groupBy("key").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"),
+        F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks")).where("lo < hi and size > 2").select("key", "blocks"),
+        "near-mixed")
+    held = scratch(named.join(mixed, "key"), "near-held")
+    full = full_sets(docs, scratch(held.select("node").distinct(), "near-ids"), words, text)
+    placed = held.join(full, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # each pair of blocks (block <= other) once
+    other = placed.withColumn("each", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cut = other.select("key", F.least("own", "each").alias("block"), F.greatest("own", "each").alias("other"),
+                       "node", "component", "found")
+    return (cut.groupBy("key", "block", "other")
+            .applyInPandas(lambda frame: joining_links(frame, percent), "a long, b long").distinct())
 
 
 def components(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
@@ -181,43 +212,20 @@ def components(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "
         F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"),
         F.count("*").alias("copies")), "near-classes")
     keys = scratch(bucket_keys(classes), "near-keys")
-    shared = scratch(keys.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"))
-                     .where(F.col("least") < F.col("most")).select("key", "least"), "near-shared")
+    picks = [F.min("node")] + [F.min_by("node", F.xxhash64("node", F.lit(i))) for i in range(1, STARS)]
+    shared = scratch(keys.groupBy("key").agg(F.array(*picks).alias("stars"), F.count("*").alias("size"))
+                     .where("size > 1").select("key", "stars"), "near-shared")
     members = scratch(keys.join(shared, "key"), "near-members")
     sizes = classes.groupBy("node").agg(F.max("n").alias("n"))
-    stars = (members.where(F.col("least") < F.col("node")).select(F.col("least").alias("a"), F.col("node").alias("b"), "n")
-             .distinct()
-             .join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
-             .where(could_link(F.col("n"), F.col("na"), percent)).select("a", "b").distinct())
-    pairs = scratch(stars, "near-pairs")
-    nodes = scratch(members.select("node").distinct(), "near-nodes")
-    labels = nodes.select("node", F.col("node").alias("component"))
-    links = scratch(confirmed(docs, pairs, words, percent, text), "near-links")
-    labels = unite(labels, links)
-    tested, most = pairs, 2
-    while True:
-        mixed_keys = (members.join(labels, "node").groupBy("key")
-                      .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
-                      .where("lo < hi and size > 2").select("key", "size"))
-        open_ = scratch(members.select("key", "node").join(mixed_keys, "key").join(labels, "node"), "near-open")
-        if open_.isEmpty():
-            break
-        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-        placed = open_.join(classes.select("node", "signature"), "node").withColumn(
-            "own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-        half = [placed.withColumn(a, F.col("own")).withColumn(b, F.explode(F.sequence(F.lit(0), blocks - 1)))
-                .withColumn("side", F.lit(side))
-                for side, (a, b) in enumerate((("block", "other_block"), ("other_block", "block")))]
-        found = scratch(nearest_others(half[0].unionByName(half[1]).select(
-            "key", "node", "component", "signature", "block", "other_block", "side"), most), "near-found")
-        fresh = scratch(found.select("a", "b").join(tested, ["a", "b"], "left_anti"), "near-pairs")
-        if not fresh.isEmpty():
-            links = scratch(confirmed(docs, fresh, words, percent, text), "near-links")
-            labels = unite(labels, links)
-            tested = scratch(tested.unionByName(fresh), "near-tested")
-        elif found.where("open").isEmpty():
-            break
-        most *= 2
+    stars = members.select("node", "n", F.explode(F.array_distinct("stars")).alias("star")).where("star <> node").select(
+        F.least("star", "node").alias("a"), F.greatest("star", "node").alias("b")).distinct()
+    for side in ("a", "b"):
+        stars = stars.join(sizes.select(F.col("node").alias(side), F.col("n").alias(f"n{side}")), side)
+    pairs = scratch(stars.where(could_link(F.col("na"), F.col("nb"), percent)).select("a", "b"), "near-pairs")
+    labels = scratch(members.select("node").distinct().withColumn("component", F.col("node")), "near-nodes")
+    labels = unite(labels, scratch(confirmed(docs, pairs, words, percent, text), "near-links"))
+    found = links_in_mixed_buckets(docs, members, labels, words, percent, text)
+    labels = unite(labels, scratch(found, "near-links"))
     changed = classes.select("class", "node", "copies").join(labels, "node", "left").where(
         (F.col("copies") > 1) | (F.col("component") < F.col("node")))
     target = scratch(changed.select("class", F.coalesce("component", "node").alias("component")), "near-components")
