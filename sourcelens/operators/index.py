@@ -237,20 +237,22 @@ def modules(files: DataFrame) -> DataFrame:
     return py.groupBy("project", T.module_key("path").alias("module_key")).agg(F.min("path").alias("path"))
 
 
-def resolve_imports(index: DataFrame, files: DataFrame) -> DataFrame:
-    """Imports joined to the module map on (project, key); content joined last.
+def resolve_imports(index: DataFrame, files: DataFrame, content=None) -> DataFrame:
+    """Imports joined to the module map on (project, key), with the module's content.
 
-    Inner equi-join: unresolved imports drop out, duplicates stay. A module imported by
-    many targets is a hot key on the imports side; it is salted (``join_hot_keys``).
+    Inner equi-join: unresolved imports drop out, duplicates stay. Every module meets its
+    content once, then one join takes it to the imports; a module imported by many targets
+    is a hot key there and is salted (``join_hot_keys``). ``content`` (default: the text) is
+    what is wanted of a module's file, so a length costs no text in any shuffle.
     """
     from sourcelens.plans.joins import join_hot_keys
 
     imp = imports(index)
     mods = modules(files).select("project", F.col("module_key").alias("module"), F.col("path").alias("resolved_path"))
-    # a module imported by a large share of all files is a hot key in both joins: salted
-    j = join_hot_keys(imp, mods, ["project", "module"], "inner", salt_by=["path", "bfs_order", "alias_pos"])
-    content = files.select("project", F.col("path").alias("resolved_path"), F.col("content").alias("resolved_content"))
-    return join_hot_keys(j, content, ["project", "resolved_path"], "inner", salt_by=["path", "bfs_order", "alias_pos"])
+    wanted = F.col("content") if content is None else content
+    texts = files.select("project", F.col("path").alias("resolved_path"), wanted.alias("resolved_content"))
+    dim = mods.join(texts, ["project", "resolved_path"])
+    return join_hot_keys(imp, dim, ["project", "module"], "inner", salt_by=["path", "bfs_order", "alias_pos"])
 
 
 def imported_sections(resolved: DataFrame) -> DataFrame:

@@ -117,7 +117,9 @@ def _read_file(ctx: LookupContext, calls: DataFrame) -> DataFrame:
     """Path check, then a left join to the file table."""
     p = arg("file_path")
     _, inside, rel = resolve_path(p, ctx.root)
-    c = calls.select("call_id", "project", p.alias("file_path"), inside.alias("inside"), rel.alias("rel"))
+    most = F.get_json_object("arguments", "$.max_chars").try_cast("bigint")
+    c = calls.select("call_id", "project", p.alias("file_path"), inside.alias("inside"), rel.alias("rel"),
+                     most.alias("max_chars"))
     from sourcelens.plans.joins import join_small
 
     # The file table is the large side: filter it by the requested paths where it is read.
@@ -127,7 +129,7 @@ def _read_file(ctx: LookupContext, calls: DataFrame) -> DataFrame:
     j = c.join(files, ["project", "rel"], "left")
     output = (
         F.when(~F.col("inside"), outside_message(F.col("file_path")))
-        .when(F.col("content").isNotNull(), F.col("content"))
+        .when(F.col("content").isNotNull(), T.truncate_content(F.col("content"), F.col("max_chars")))
         .otherwise(T.fill(MSG_READ_ERROR, path="file_path"))
     )
     status = F.when(F.col("inside") & F.col("content").isNotNull(), "ok").otherwise("tool_error")
@@ -146,8 +148,8 @@ def _get_function(ctx: LookupContext, calls: DataFrame) -> DataFrame:
     defs = I.get_definitions(ok.select("project", F.col("rel").alias("path"), "name"), ctx.index, ctx.files,
                              small=ctx.small_requests)
     # one answer per distinct request: at most as many rows as the round's calls
-    found = join_small(ok, defs.withColumnRenamed("path", "rel"), ["project", "rel", "name"], "left",
-                       known_small=ctx.small_requests).select(
+    # the answers carry source text: broadcast only after their own size was measured
+    found = join_small(ok, defs.withColumnRenamed("path", "rel"), ["project", "rel", "name"], "left").select(
         "call_id",
         F.when(F.col("output").startswith("Error parsing"), "tool_error").otherwise("ok").alias("status"),
         F.lit("").alias("chunk_key"),
@@ -176,20 +178,20 @@ def _search_symbol(ctx: LookupContext, calls: DataFrame) -> DataFrame:
     from sourcelens.plans.joins import join_small
 
     hits = I.search_symbols(c.select("project", "symbol"), ctx.index, small=ctx.small_requests)
-    # calls of a round are the bounded side: a hot symbol never becomes a shuffle key
-    j = join_small(hits, c, ["project", "symbol"], "inner", known_small=ctx.small_requests)
-    g = j.groupBy("call_id", "path").agg(
+    # one file's chunk for a symbol is built once, however many calls ask for the symbol
+    chunks = hits.groupBy("project", "symbol", "path").agg(
         F.array_sort(F.collect_list(F.struct("bfs_order", "hit"))).alias("h")
-    )
-    return g.select(
-        "call_id", F.lit("ok").alias("status"), F.coalesce(F.col("path"), F.lit("")).alias("chunk_key"),
-        F.array_join(F.col("h.hit"), "\n").alias("output"),
-    )
+    ).select("project", "symbol", F.coalesce(F.col("path"), F.lit("")).alias("chunk_key"),
+             F.array_join(F.col("h.hit"), "\n").alias("output"))
+    # calls of a round are the bounded side: a hot symbol never becomes a shuffle key
+    j = join_small(chunks, c, ["project", "symbol"], "inner", known_small=ctx.small_requests)
+    return j.select("call_id", F.lit("ok").alias("status"), "chunk_key", "output")
 
 
 def default_registry() -> Registry:
     r = Registry()
-    r.register(Tool("read_file", [ToolParam("file_path", "string")], _read_file))
+    r.register(Tool("read_file", [ToolParam("file_path", "string"), ToolParam("max_chars", "integer", required=False)],
+                    _read_file))
     r.register(Tool("get_function", [ToolParam("file_path", "string"), ToolParam("name", "string")], _get_function))
     r.register(Tool("search_symbol", [ToolParam("symbol", "string")], _search_symbol))
     return r

@@ -37,7 +37,7 @@ def responses_table(spark, sf_dir):
 
     key = (spark.sparkContext.applicationId, sf_dir, "responses")
     if key not in _TABLE_MEMO:
-        _TABLE_MEMO[key] = S.spread(write_and_read(S.doc_responses(spark, sf_dir), "doc_responses"))
+        _TABLE_MEMO[key] = write_and_read(S.doc_responses(spark, sf_dir), "doc_responses")
     return _TABLE_MEMO[key]
 
 
@@ -227,10 +227,10 @@ def resolve_imports(spark, sf_dir):
     from sourcelens.operators import index as I
 
     files, idx = code_index(spark, sf_dir)
-    r = I.resolve_imports(idx, files)
+    r = I.resolve_imports(idx, files, F.length("content"))
     return r.select(
         "path", _long(F.col("lineno")).alias("lineno"), "module", "resolved_path",
-        _long(F.length("resolved_content")).alias("resolved_chars"),
+        _long(F.col("resolved_content")).alias("resolved_chars"),
     )
 
 
@@ -458,6 +458,43 @@ def run_conversations(spark, sf_dir):
     )
 
 
+@query
+def tool_feedback(spark, sf_dir):
+    """C5 + Z2 + J5 with feedback: each round's calls depend on the outputs of the round before.
+
+    One conversation per part: the first turn reads the part's module, the second asks for the
+    function whose name it found in that output, the third answers with the definition it got.
+    """
+    from sourcelens.operators import lookup as L
+    from sourcelens.operators import loop as P
+
+    files, idx = code_index(spark, sf_dir)
+    ctx = L.LookupContext(files, idx, PROJECT_ROOT)
+    convs = S.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("conv_id"), F.concat(F.lit("parts/p_"), F.col("p_partkey").cast("string"), F.lit(".py"))
+        .alias("prompt"))
+
+    def respond(active):
+        seen = F.get("tool_outputs", F.lit(0))["output"]
+        own = F.concat(F.lit("parts/p_"), F.col("conv_id").cast("string"), F.lit(".py"))
+        found = F.regexp_extract(seen, r"def (make_[0-9]+)\(", 1)
+        args = F.when(F.col("turn") == 1, F.to_json(F.struct(F.col("prompt").alias("file_path")))).otherwise(
+            F.to_json(F.struct(own.alias("file_path"), found.alias("name"))))
+        name = F.when(F.col("turn") == 1, "read_file").otherwise("get_function")
+        call = F.array(F.struct(F.concat_ws("-", "conv_id", "turn").alias("call_id"), name.alias("name"),
+                                args.alias("arguments"))).cast(P.CALL_ITEM)
+        return active.select(
+            "conv_id", "turn", F.when(F.col("turn") >= 3, F.concat(F.lit("answer: "), seen)).otherwise("").alias("output_text"),
+            F.when(F.col("turn") < 3, call).otherwise(F.array().cast(P.CALL_ITEM)).alias("calls"))
+
+    def dispatch_round(asked):
+        out = L.dispatch(asked.withColumn("project", F.lit(S.CODE_PROJECT)), ctx)
+        return out.withColumn("conv_id", F.substring_index("call_id", "-", 1).cast("bigint"))
+
+    final, _ = P.run_conversations(convs, respond, dispatch_round)
+    return final.select("conv_id", F.col("final_turn").cast("bigint").alias("final_turn"), "outcome", "final_text")
+
+
 @query
 def review_corpus(spark, sf_dir):
     """C1 + C2 + C3 end to end over every request (documents corpus, python_only off)."""

@@ -10,8 +10,6 @@ from sourcelens.session import checkpoint
 # A side is broadcast only after a bounded count proves it has at most this many rows.
 BROADCAST_MAX_ROWS = 200_000
 BROADCAST_MAX_BYTES = 64 << 20
-# Salt fan-out used when a dimension side is too large to broadcast.
-DEFAULT_SALTS = 32
 
 
 def _row_bytes(df: DataFrame):
@@ -44,24 +42,16 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "left",
-                   max_rows: int | None = None, salts: int = DEFAULT_SALTS,
-                   salt_by: list[str] | None = None) -> DataFrame:
+                   max_rows: int | None = None, salt_by: list[str] | None = None) -> DataFrame:
     """Join a fact side to a dimension side with at most one row per key.
 
-    Broadcast when the dimension is proven small. Otherwise salt: each dimension row is
-    copied ``salts`` times and fact rows pick a salt from a hash of ``salt_by`` (narrow row
-    columns), so one hot key (say one project holding a third of all files) spreads over
-    ``salts`` tasks.
+    Broadcast when the dimension is proven small. Otherwise hot keys (say one project
+    holding a third of all files) are split by ``join_hot_keys``.
     """
     dim, small = small_side(dim, max_rows)
     if small:
         return fact.join(F.broadcast(dim), keys, how)
-    salt = "__salt"
-    # deterministic salt from narrow row columns (a retried task picks the same salts)
-    salt_cols = salt_by or [c for c in fact.columns if c not in keys] or fact.columns
-    f = fact.withColumn(salt, F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(salts)))
-    d = dim.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return f.join(d, keys + [salt], how).drop(salt)
+    return join_hot_keys(fact, dim, keys, how, salt_by=salt_by)
 
 
 def small_side(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None,
@@ -97,31 +87,31 @@ def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "in
     return big.join(F.broadcast(small) if known_small else small, keys, how)
 
 
-# Keys with more fact rows than this are salted by ``join_hot_keys``.
+# Keys with more fact rows than this are salted by ``join_hot_keys``, one salt for so many rows.
 HOT_KEY_ROWS = 100_000
-MAX_HOT_KEYS = 1_000
 
 
 def join_hot_keys(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "inner",
-                  salts: int = DEFAULT_SALTS, hot_rows: int | None = None, salt_by: list[str] | None = None) -> DataFrame:
+                  hot_rows: int | None = None, salt_by: list[str] | None = None) -> DataFrame:
     """Join a fact side whose keys may be hot to a dimension side with one row per key.
 
     One aggregation pass (map-side partial counts) finds the keys with more than
-    ``hot_rows`` fact rows; only those are salted: their fact rows spread over ``salts``
-    tasks by a hash of ``salt_by`` and their dimension row is copied ``salts`` times. All
-    other keys join as usual, so results are exact for every key. At most ``MAX_HOT_KEYS``
-    keys (the largest) are salted; that bounds the broadcast list, not the result.
+    ``hot_rows`` fact rows. Each is salted by its own count: its fact rows spread over one
+    task per ``hot_rows`` by a hash of ``salt_by`` and its dimension row is copied as often.
+    All other keys join as usual, so results are exact for every key. The list of hot keys
+    is broadcast when it is proven small, joined by a shuffle otherwise.
     """
     hot_rows = HOT_KEY_ROWS if hot_rows is None else hot_rows
     counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    hot = checkpoint(counts.orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).select(*keys).withColumn("_hot", F.lit(True)))
+    hot = checkpoint(counts.select(*keys, F.ceil(F.col("_n") / hot_rows).cast("bigint").alias("_salts")))
     if hot.isEmpty():
         return fact.join(dim, keys, how)
+    if fits_broadcast(hot):
+        hot = F.broadcast(hot)
     salt_cols = salt_by or [c for c in fact.columns if c not in keys] or fact.columns
-    f = fact.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(salts)))
-        .otherwise(F.lit(0).cast("bigint"))).drop("_hot")
-    d = dim.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-                           .otherwise(F.array(F.lit(0).cast("bigint"))))).drop("_hot")
+    one = F.coalesce("_salts", F.lit(1).cast("bigint"))
+    f = fact.join(hot, keys, "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), one)).drop("_salts")
+    d = dim.join(hot, keys, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), one - 1))).drop("_salts")
     return f.join(d, keys + ["_salt"], how).drop("_salt")

@@ -535,7 +535,7 @@ FROM g
 ORACLES["first_text_delta"] = """
 SELECT user_id AS response_id, min(event_id) AS seq,
        strftime(arg_min(ts, event_id), '%Y-%m-%d %H:%M:%S.%f') AS ts, arg_min(props, event_id) AS payload
-FROM events WHERE event_type = 'view' GROUP BY user_id
+FROM events WHERE event_type = 'view' AND event_id % 9 <> 0 GROUP BY user_id
 """
 
 ORACLES["audit_responses"] = with_(DOC_FILES_ANNOT, DOC_RESPONSES) + f""",
@@ -595,6 +595,13 @@ SELECT f.conv_id, f.final_turn, f.outcome, f.final_text,
 FROM f
 """
 
+ORACLES["tool_feedback"] = f"""
+SELECT p_partkey AS conv_id, CAST(3 AS BIGINT) AS final_turn, 'answered' AS outcome,
+       'answer: def make_' || {s('p_partkey')} || '():' || chr(10) || '    return Part' || {s('p_partkey')} || '()'
+         AS final_text
+FROM part
+"""
+
 ORACLES["review_corpus"] = with_(DOC_FILES_ANNOT, DOC_RESPONSES, PARSED, INJECTED, UPDATED, DOC_REQUESTS, RANGES) + f""",
 keys AS (SELECT DISTINCT path, line_key, lineno FROM review_rows),
 bad AS (
@@ -664,20 +671,31 @@ def summarise_sql(x: str) -> str:
 
 
 ORACLES["turn_progress"] = f"""
-SELECT user_id AS response_id, event_id AS seq, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
-  CASE event_type
-    WHEN 'signup' THEN 'response created: ' || {s('user_id')}
-    WHEN 'error' THEN 'model turn ' || {s('user_id')} || ' in progress'
-    WHEN 'purchase' THEN 'model requested tool `' || props || '`'
-    WHEN 'click' THEN 'tool args ready: ' || {summarise_sql('props')} END AS message
-FROM events WHERE event_type IN ('signup', 'error', 'purchase', 'click') AND user_id IS NOT NULL
+SELECT * FROM (
+  SELECT user_id AS response_id, event_id AS seq, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
+    CASE WHEN event_type = 'signup' THEN 'response created: ' || {s('user_id')}
+         WHEN event_type = 'error' THEN 'model turn ' || {s('1 + event_id % 8')} || ' in progress'
+         WHEN event_type = 'purchase' AND event_id % 2 = 0
+           THEN 'model requested tool `search_' || json_extract_string(props, '$.k') || '`'
+         WHEN event_type = 'click' THEN 'tool args ready for `lookup_' || json_extract_string(props, '$.k') || '`: '
+           || {summarise_sql('props')}
+         WHEN event_type = 'view' AND event_id % 9 = 0 THEN 'model turn ' || {s('1 + event_id % 8')} || ' completed'
+    END AS message
+  FROM events)
+WHERE message IS NOT NULL
 """
 
 ORACLES["turn_outcomes"] = """
 SELECT user_id AS response_id, strftime(time_bucket(INTERVAL '1 hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
-       arg_max(props, event_id) AS last_payload, max(event_id) AS last_seq, CAST(count(*) AS BIGINT) AS events,
+       arg_max(CASE WHEN event_type = 'purchase' AND event_id % 2 = 0
+                      THEN '{"type":"function_call","name":"search_' || json_extract_string(props, '$.k') || '"}'
+                    WHEN event_type = 'purchase' THEN '{"type":"message"}'
+                    WHEN event_type = 'click' THEN '{"name":"lookup_' || json_extract_string(props, '$.k')
+                      || '","arguments":' || to_json(CAST(props AS VARCHAR)) || '}'
+                    ELSE props END, event_id) AS last_payload,
+       max(event_id) AS last_seq, CAST(count(*) AS BIGINT) AS events,
        CAST(count(*) FILTER (WHERE event_type = 'click') AS BIGINT) AS tool_calls,
-       CAST(count(*) FILTER (WHERE event_type = 'view') AS BIGINT) AS text_deltas
+       CAST(count(*) FILTER (WHERE event_type = 'view' AND event_id % 9 <> 0) AS BIGINT) AS text_deltas
 FROM events GROUP BY user_id, time_bucket(INTERVAL '1 hour', ts)
 """
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -52,12 +53,19 @@ def apply_job_conf(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint dir; create a scratch one only when unset (tests)."""
+    """Return the cluster's shared checkpoint dir; create a scratch one only when unset (tests).
+
+    On a cluster every executor would write a machine-local folder to its own disk, so there an
+    unset dir is an error.
+    """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a shared folder before running on {master}")
     path = tempfile.mkdtemp(prefix="sourcelens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)

@@ -13,28 +13,8 @@ from pyspark.sql import functions as F
 from sourcelens.functions import text as T
 
 
-# Tables whose rows carry text that later steps split, parse or rewrite row by row.
-HEAVY_TABLES = {"documents", "conversations", "events", "lineitem", "pages", "part", "orders"}
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give row-local heavy work at least one partition per core.
-
-    Only when the scan yields fewer splits than the cluster's parallelism (one big
-    row group, a handful of files); a large input already has far more splits than
-    cores and is left exactly as read, with no extra shuffle.
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access: leave the scan as it is
-        return df
-    return df.repartition(want) if have < want else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in HEAVY_TABLES else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_files_table(spark: SparkSession, path: str, project: str = "project", path_col: str = "path",
@@ -259,27 +239,44 @@ EVENT_TYPES = {
 }
 
 
+# Every ninth text event is the end of its turn instead.
+COMPLETED = "response.completed"
+
+
 def turn_events_of(events: DataFrame) -> DataFrame:
-    t = F.col("event_type")
+    """``turn_events(response_id, turn, seq, type, payload, ts)``; payloads are the event's JSON item."""
+    t, i = F.col("event_type"), F.col("event_id")
+    k = F.get_json_object("props", "$.k")
     typ = F.lit(None).cast("string")
     for src, dst in EVENT_TYPES.items():
         typ = F.when(t == src, F.lit(dst)).otherwise(typ)
+    typ = F.when((t == "view") & (i % 9 == 0), F.lit(COMPLETED)).otherwise(typ)
+    payload = (
+        F.when((t == "purchase") & (i % 2 == 0), F.to_json(F.struct(
+            F.lit("function_call").alias("type"), F.concat(F.lit("search_"), k).alias("name"))))
+        .when(t == "purchase", F.lit('{"type":"message"}'))
+        .when(t == "click", F.to_json(F.struct(F.concat(F.lit("lookup_"), k).alias("name"), F.col("props").alias("arguments"))))
+        .otherwise(F.col("props"))
+    )
     return events.select(
         F.col("user_id").alias("response_id"),
-        F.col("event_id").alias("seq"),
+        (1 + i % 8).alias("turn"),
+        i.alias("seq"),
         typ.alias("type"),
-        F.col("props").alias("payload"),
+        payload.alias("payload"),
         F.col("ts").cast("timestamp").alias("ts"),
     )
 
 
 def turn_events(spark: SparkSession, sf_dir: str, types: list[str] | None = None) -> DataFrame:
-    """``turn_events(response_id, seq, type, payload, ts)`` from ``events``.
+    """Turn events from ``events``.
 
     ``types`` filters on the source column before the mapping, so the predicate reaches
     the parquet scan instead of running on a derived column.
     """
-    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    events = table(spark, sf_dir, "events")
     if types is not None:
-        events = events.where(F.col("event_type").isin([k for k, v in EVENT_TYPES.items() if v in types]))
-    return turn_events_of(spread(events))
+        source = [k for k, v in EVENT_TYPES.items() if v in types or (k == "view" and COMPLETED in types)]
+        events = events.where(F.col("event_type").isin(source))
+    found = turn_events_of(events)
+    return found if types is None else found.where(F.col("type").isin(types))

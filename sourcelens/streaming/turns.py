@@ -1,6 +1,6 @@
 """Structured Streaming over model turn events.
 
-Events arrive as ``turn_events(response_id, seq, type, payload, ts)``. Progress records
+Events arrive as ``turn_events(response_id, turn, seq, type, payload, ts)``. Progress records
 are a stateless projection (T1); the first text delta per response is a watermark-bounded
 dedup (T2); per-turn outcomes are a windowed aggregation in append mode (T3); responses
 arriving as a stream are parsed and applied against the static file table per micro-batch
@@ -27,19 +27,24 @@ def read_events_stream(spark: SparkSession, source_dir: str, max_files_per_trigg
 
 
 def turn_progress(events: DataFrame) -> DataFrame:
-    """One progress message per event type that the loop reports; others are silent.
+    """One progress message per event that the loop reports; others are silent.
 
+    Turns are named by number, tools by the name in the event's item; added items that are
+    no function call are not reported.
     ``response.output_text.delta`` is reported once per response by T2, not here.
     """
     t = F.col("type")
     rid = F.col("response_id").cast("string")
+    turn = F.concat(F.lit("model turn "), F.col("turn").cast("string"))
+    item = lambda field: F.get_json_object("payload", f"$.{field}")
     msg = (
         F.when((t == "response.created") & F.col("response_id").isNotNull(), F.concat(F.lit("response created: "), rid))
-        .when(t == "response.in_progress", F.concat(F.lit("model turn "), rid, F.lit(" in progress")))
-        .when(t == "response.output_item.added", F.concat(F.lit("model requested tool `"), F.col("payload"), F.lit("`")))
+        .when(t == "response.in_progress", F.concat(turn, F.lit(" in progress")))
+        .when((t == "response.output_item.added") & (item("type") == "function_call"),
+              F.concat(F.lit("model requested tool `"), item("name"), F.lit("`")))
         .when(t == "response.function_call_arguments.done",
-              F.concat(F.lit("tool args ready: "), T.summarise(F.col("payload"))))
-        .when(t == "response.completed", F.concat(F.lit("model turn "), rid, F.lit(" completed")))
+              F.concat(F.lit("tool args ready for `"), item("name"), F.lit("`: "), T.summarise(item("arguments"))))
+        .when(t == "response.completed", F.concat(turn, F.lit(" completed")))
     )
     return events.select("response_id", "seq", "ts", msg.alias("message")).where(F.col("message").isNotNull())
 
@@ -84,13 +89,3 @@ def live_annotations(responses: DataFrame, files: DataFrame, out_dir: str, check
     w = responses.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if trigger is None else w.trigger(**trigger)
     return w.start()
-
-
-def run_to_memory(df: DataFrame, name: str, mode: str = "append", checkpoint_dir: str | None = None):
-    """Run a streaming DataFrame to completion over the available input (tests, replays)."""
-    w = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
-    if checkpoint_dir:
-        w = w.option("checkpointLocation", checkpoint_dir)
-    q = w.start()
-    q.awaitTermination()
-    return df.sparkSession.table(name)

@@ -8,13 +8,13 @@ from sourcelens.plans import joins
 
 SF = "/root/testdata/sf0.001"
 NAMES = ["inject_reviews", "review_counts", "search_symbols", "get_definitions", "build_contexts",
-         "dispatch_tool_calls", "audit_responses", "review_corpus", "run_conversations", "resolve_imports"]
+         "dispatch_tool_calls", "audit_responses", "review_corpus", "run_conversations", "resolve_imports", "tool_feedback"]
 
 
 @pytest.fixture()
 def no_broadcast(monkeypatch, spark):
     monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
-    monkeypatch.setattr(joins, "HOT_KEY_ROWS", 0)  # every key counts as hot: the salted path runs
+    monkeypatch.setattr(joins, "HOT_KEY_ROWS", 1)  # every repeated key counts as hot: the salted path runs
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     yield
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")

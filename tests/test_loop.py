@@ -47,3 +47,38 @@ def test_recorded_responder_unfinished(spark):
     f = {r["conv_id"]: (r["final_turn"], r["outcome"]) for r in final.collect()}
     assert f == {1: (None, "unfinished"), 2: (1, "answered")}
     assert outputs is None
+
+
+def test_second_turn_depends_on_first_rounds_output(spark):
+    """The responder sees the prompt, then each round's outputs and the id of the response before."""
+    convs = spark.createDataFrame([(1, "start one"), (2, "start two")], "conv_id bigint, prompt string")
+    schema = f"conv_id bigint, turn bigint, output_text string, response_id string, calls {P.CALL_ITEM}"
+
+    def model(pdf):
+        rows = []
+        for r in pdf.itertuples():
+            seen = [x["output"] for x in r.tool_outputs]
+            if r.turn == 1:
+                assert r.prompt.startswith("start") and not seen and r.previous_response_id is None
+                calls = [{"call_id": f"c{r.conv_id}", "name": "echo", "arguments": r.prompt}]
+                rows.append((r.conv_id, r.turn, "", f"r{r.conv_id}", calls))
+            elif seen == ["got start one\nsecond chunk"]:
+                assert r.previous_response_id == "r1"
+                rows.append((r.conv_id, r.turn, "finished", "r", []))
+            else:  # an error output is input like any other
+                rows.append((r.conv_id, r.turn, f"after {seen[0]}", "r", []))
+        return pd.DataFrame(rows, columns=["conv_id", "turn", "output_text", "response_id", "calls"])
+
+    def dispatch_round(calls):
+        ok = F.col("conv_id") == 1
+        chunks = F.when(ok, F.array(F.struct(F.lit("b").alias("k"), F.lit("second chunk").alias("o")),
+                                    F.struct(F.lit("a").alias("k"), F.concat(F.lit("got "), F.col("arguments")).alias("o")))
+                        ).otherwise(F.array(F.struct(F.lit("").alias("k"), F.lit("Error running tool").alias("o"))))
+        return calls.select("conv_id", "call_id", F.when(ok, "ok").otherwise("tool_error").alias("status"),
+                            F.explode(chunks).alias("c")).select("conv_id", "call_id", "status",
+                                                                 F.col("c.k").alias("chunk_key"), F.col("c.o").alias("output"))
+
+    final, outputs = P.run_conversations(convs, P.model_responder(model, schema), dispatch_round)
+    f = {r["conv_id"]: (r["final_turn"], r["outcome"], r["final_text"]) for r in final.collect()}
+    assert f == {1: (2, "answered", "finished"), 2: (2, "answered", "after Error running tool")}
+    assert {r["call_id"]: r["status"] for r in outputs.collect()} == {"c1": "ok", "c2": "tool_error"}
