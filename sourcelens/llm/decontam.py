@@ -135,10 +135,11 @@ class Items:
 def _running(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Prefix sums of values times powers of the base, and the inverse powers (modulo 2**64)."""
     n = len(values)
-    with np.errstate(over="ignore"):
-        power = np.cumprod(np.concatenate([[1], np.full(n, BASE, np.uint64)]).astype(np.uint64))
-        inverse = np.cumprod(np.concatenate([[1], np.full(n, BASE_INVERSE, np.uint64)]).astype(np.uint64))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * power[:n])])
+    power, inverse = np.full((2, n + 1), 1, np.uint64)
+    power[1:], inverse[1:] = BASE, BASE_INVERSE
+    power, inverse = np.cumprod(power), np.cumprod(inverse)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(values * power[:n], out=sums[1:])
     return sums, inverse
 
 

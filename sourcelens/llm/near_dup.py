@@ -12,7 +12,8 @@ through exactly, in blocks of bounded size: a task compares the members' whole s
 returns at most one link for each two components it joins. Tests compare full shingle sets, so links are
 exact; what is lost at most are pairs beyond the signature distance.
 
-Null and empty texts have no shingles and are linked with nothing. Repeated rows fall into one class. An
+Null and empty texts have no shingles and are linked with nothing, nor are rows without a doc_id, which have no
+component and are kept. Repeated rows fall into one class. An
 empty table gives an empty table. Extra columns are ignored.
 """
 
@@ -57,9 +58,11 @@ def signatures(docs: DataFrame, words: int, text: str = "text") -> DataFrame:
     def sign(batches):
         for batch in batches:
             out = []
-            for value in batch.column(1).to_pylist():
+            for doc, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = shingles(word_hashes(value), words)
-                if len(found):
+                if doc is None:
+                    out.append((len(found), None, None))
+                elif len(found):
                     out.append((len(found), xxhash.xxh3_128_digest(found.tobytes()), signature(found).tobytes()))
                 else:
                     out.append((0, None, None))
@@ -231,7 +234,7 @@ def components(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "
     target = scratch(changed.select("class", F.coalesce("component", "node").alias("component")), "near-components")
     return signed.drop("signature").join(target, "class", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
-        (F.coalesce("component", "doc_id") == F.col("doc_id")).alias("kept"))
+        F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text") -> DataFrame:

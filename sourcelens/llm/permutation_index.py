@@ -149,9 +149,10 @@ def search_block(frame, k: int):
             far = distances(vectors[best], np.frombuffer(vector, "<f8"))
             pick = np.lexsort((least[best], far))[:k + 1]
             out["query"] += [int(name)] * len(pick)
-            out["ids"] += [ids[i] for i in best[pick]]
+            out["ids"] += [list(map(int, ids[i])) for i in best[pick]]
             out["score"] += far[pick].tolist()
-    return pd.DataFrame(out)
+    return pd.DataFrame({"query": np.array(out["query"], np.int64), "ids": pd.Series(out["ids"], dtype=object),
+                         "score": np.array(out["score"], float)})
 
 
 def search(vectors: DataFrame, wanted: Column, k: int = 10, vector: str = "embedding") -> DataFrame:
