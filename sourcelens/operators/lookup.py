@@ -43,9 +43,24 @@ def classify_arguments(calls: DataFrame, col: str = "arguments") -> DataFrame:
 
 
 def arg(name: str, default: str | None = "") -> Column:
-    """An argument as text; a missing key becomes ``default`` (the reference uses '')."""
-    got = F.try_variant_get(F.col("args"), f"$.{name}", "string")
-    return got if default is None else F.coalesce(got, F.lit(default))
+    """An argument as Python's ``str()`` shows it (JSON null is ``None``, true is ``True``); a
+    missing key becomes ``default`` (the reference uses '')."""
+    raw = F.try_variant_get(F.col("args"), f"$.{name}", "variant")
+    text = F.try_variant_get(F.col("args"), f"$.{name}", "string")
+    shown = F.when(F.is_variant_null(raw), F.lit("None")).when(
+        F.schema_of_variant(raw) == "BOOLEAN", F.initcap(text)).otherwise(text)
+    return shown if default is None else F.when(raw.isNull(), F.lit(default)).otherwise(shown)
+
+
+# Declared JSON types and the types a decoded value of that kind has.
+JSON_TYPES = {"string": r"^STRING$", "integer": r"^BIGINT$", "number": r"^(BIGINT|DOUBLE|DECIMAL\(.*\))$",
+              "boolean": r"^BOOLEAN$", "object": r"^OBJECT", "array": r"^ARRAY"}
+
+
+def has_type(name: str, declared: str) -> Column:
+    """Z3: whether an argument's JSON value is of the declared type."""
+    raw = F.try_variant_get(F.col("args"), f"$.{name}", "variant")
+    return F.coalesce(F.schema_of_variant(raw).rlike(JSON_TYPES[declared]), F.lit(False))
 
 
 def normalise_output(value: Column) -> Column:
@@ -243,7 +258,7 @@ def dispatch(calls: DataFrame, ctx: LookupContext, registry: Registry | None = N
 
 
 def argument_violations(calls: DataFrame, registry: Registry | None = None) -> DataFrame:
-    """Z3 checks as data: missing required parameters and enum misses per call.
+    """Z3 checks as data: missing required parameters, wrong types and enum misses per call.
 
     The reference declares these schemas but never enforces them; this reports them.
     """
@@ -256,6 +271,7 @@ def argument_violations(calls: DataFrame, registry: Registry | None = None) -> D
             v = arg(p.name, default=None)
             if p.required:
                 checks.append(F.when(v.isNull(), F.lit(f"missing {p.name}")))
+            checks.append(F.when(v.isNotNull() & ~has_type(p.name, p.type), F.lit(f"{p.name} is not of type {p.type}")))
             if p.enum is not None:
                 checks.append(F.when(v.isNotNull() & ~v.isin(p.enum), F.lit(f"{p.name} not in enum")))
         arr = F.filter(F.array(*checks), lambda x: x.isNotNull()) if checks else F.array().cast("array<string>")

@@ -305,7 +305,7 @@ def within_root(spark, sf_dir):
     return p.select(
         "call_id", "raw_path", norm.alias("resolved"), inside.cast("bigint").alias("inside"),
         F.when(inside, rel).alias("rel_path"),
-        F.when(~inside, F.concat(F.lit("'"), F.col("raw_path"), F.lit("' is outside the project root"))).alias("message"),
+        F.when(~inside, F.regexp_replace(L.outside_message(F.col("raw_path")), "^Error: ", "")).alias("message"),
     )
 
 
@@ -458,6 +458,93 @@ def run_conversations(spark, sf_dir):
     )
 
 
+@query
+def validate_targets(spark, sf_dir):
+    """F2 + S3: existing, missing, directory and non-Python targets, with the suffix rule on."""
+    from sourcelens.plans import jobs as J
+
+    d = S.table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("project"))
+    i = F.col("doc_id")
+    folder = F.concat(F.lit("pkg_"), (i % 7).cast("string"))
+    own = F.concat(folder, F.lit("/mod_"), i.cast("string"), F.when(i % 5 == 3, ".txt").otherwise(".py"))
+    files = d.select("project", own.alias("path"))
+    target = F.when(i % 5 == 1, F.concat(folder, F.lit("/missing_"), i.cast("string"), F.lit(".py"))).when(
+        i % 5 == 2, folder).otherwise(own)
+    req = d.select("doc_id", "project", target.alias("path"), F.when(i % 5 == 4, "3-1").alias("lines"),
+                   F.lit("m").alias("message"), F.lit(False).alias("dry_run"), F.lit(False).alias("clean"))
+    v = J.validate_requests(req, files)
+    return v.select("doc_id", "path", "stage", F.col("message_error").alias("error"), "python_file")
+
+
+@query
+def normalise_newlines(spark, sf_dir):
+    """X1 + X2 on documents whose line breaks are CR, CRLF, LF or a Unicode line separator."""
+    i = F.col("doc_id")
+    ends = F.when(i % 4 == 0, "\r\n").when(i % 4 == 1, "\r").when(i % 4 == 2, "\u2028").otherwise("\n")
+    d = S.table(spark, sf_dir, "documents").select("doc_id", F.replace("text", F.lit("\n"), ends).alias("text"))
+    return d.select("doc_id", _long(F.size(T.split_lines("text"))).alias("n_lines"),
+                    T.normalise_newlines("text").alias("normalised"))
+
+
+def _odd_files(spark, sf_dir):
+    """One module per part: repeated names, relative imports, no definitions, or a syntax error."""
+    k, i = F.col("p_partkey").cast("string"), F.col("p_partkey")
+    content = (
+        F.when(i % 4 == 0, F.concat(F.lit("def f():\n    return "), k, F.lit("\n\ndef f():\n    return 0\n")))
+        .when(i % 4 == 1, F.concat(F.lit("from . import g\nfrom ..m import h\nimport parts.p_"), k,
+                                   F.lit("\n\nclass C:\n    def f(self):\n        g()\n")))
+        .when(i % 4 == 2, F.lit("x = 1\n"))
+        .otherwise(F.lit("def f(:\n"))
+    )
+    return S.table(spark, sf_dir, "part").select(
+        F.lit("odd").alias("project"), F.concat(F.lit("odd/o_"), k, F.lit(".py")).alias("path"), content.alias("content"))
+
+
+@query
+def index_rules(spark, sf_dir):
+    """F8 + F9 + E4 + W2: relative imports dropped, files without definitions or that do not parse,
+    and the first of two equal names."""
+    from sourcelens.operators import index as I
+    from sourcelens.session import write_and_read
+
+    files = write_and_read(_odd_files(spark, sf_dir), "odd_files")
+    idx = write_and_read(I.extract(files), "odd_index", partition_by="rec")
+    keys = ["project", "path"]
+    found = I.get_definitions(files.select(*keys, F.lit("f").alias("name")), idx, files)
+    return (I.parse_status(idx).select(*keys, "status")
+            .join(I.skeleton_entries(idx).select(*keys, "n_names"), keys, "left")
+            .join(I.imports(idx).groupBy(*keys).agg(F.max("module").alias("module"), F.count("*").alias("n_imports")), keys, "left")
+            .join(found.select(*keys, "lineno", "found", "output"), keys)
+            .select("path", "status", "n_names", "module", "n_imports", "lineno", "found",
+                    F.when(F.col("found") == 1, F.col("output")).alias("source")))
+
+
+@query
+def exclude_sensitive(spark, sf_dir):
+    """environment files, virtual environments, caches and bytecode are left out."""
+    from sourcelens.operators import context as C
+
+    i, k = F.col("p_partkey"), F.col("p_partkey").cast("string")
+    path = (F.when(i % 6 == 0, F.concat(F.lit("a/.env/f_"), k)).when(i % 6 == 1, F.lit(".env"))
+            .when(i % 6 == 2, F.concat(F.lit("a/__pycache__/f_"), k)).when(i % 6 == 3, F.concat(F.lit("a/f_"), k, F.lit(".pyc")))
+            .when(i % 6 == 4, F.concat(F.lit("a/.envrc/f_"), k)).otherwise(F.concat(F.lit("a/f_"), k, F.lit(".py"))))
+    return C.exclude_sensitive(S.table(spark, sf_dir, "part").select(i.alias("id"), path.alias("path")))
+
+
+@query
+def argument_violations(spark, sf_dir):
+    """Z3: calls whose arguments miss a required parameter or have another type than declared."""
+    from sourcelens.operators import lookup as L
+
+    i = F.col("event_id")
+    args = (F.when(i % 6 == 0, '{"file_path":"a.py","max_chars":10}').when(i % 6 == 1, '{"file_path":7}')
+            .when(i % 6 == 2, '{"max_chars":"10"}').when(i % 6 == 3, '{"file_path":null}')
+            .when(i % 6 == 4, '{"file_path":true,"max_chars":1.5}').otherwise('{"file_path":"a.py","other":[]}'))
+    calls = S.table(spark, sf_dir, "events").select(i.alias("call_id"), F.lit("read_file").alias("name"), args.alias("arguments"))
+    v = L.argument_violations(calls)
+    return v.select("call_id", F.array_join("problems", "; ").alias("problems"))
+
+
 @query
 def tool_feedback(spark, sf_dir):
     """C5 + Z2 + J5 with feedback: each round's calls depend on the outputs of the round before.
@@ -516,12 +603,12 @@ def turn_progress(spark, sf_dir):
 
 @query
 def turn_outcomes(spark, sf_dir):
-    """T3 batch twin: per response and hour window, last payload and counts per type."""
+    """T3 batch twin: per completed turn, last payload and counts per type."""
     from sourcelens.streaming import turns as ST
 
     o = ST.turn_outcomes(S.turn_events(spark, sf_dir))
     return o.select(
-        "response_id", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+        "response_id", "turn", F.date_format("started", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("started"),
         "last_payload", "last_seq", _long(F.col("events")).alias("events"),
         _long(F.col("tool_calls")).alias("tool_calls"), _long(F.col("text_deltas")).alias("text_deltas"),
     )

@@ -595,6 +595,51 @@ SELECT f.conv_id, f.final_turn, f.outcome, f.final_text,
 FROM f
 """
 
+ORACLES["validate_targets"] = """
+WITH d AS (
+  SELECT doc_id, doc_id % 5 AS c, 'pkg_' || CAST(doc_id % 7 AS VARCHAR) AS folder, CAST(doc_id AS VARCHAR) AS k FROM documents),
+t AS (
+  SELECT doc_id, c, CASE c WHEN 1 THEN folder || '/missing_' || k || '.py' WHEN 2 THEN folder
+         WHEN 3 THEN folder || '/mod_' || k || '.txt' ELSE folder || '/mod_' || k || '.py' END AS path FROM d)
+SELECT doc_id, path, CASE WHEN c IN (1, 2, 3) THEN 'target' WHEN c = 4 THEN 'range' ELSE 'ok' END AS stage,
+  CASE c WHEN 1 THEN 'File not found: ' || path WHEN 2 THEN 'Not a file: ' || path
+         WHEN 3 THEN 'Only Python files are supported' WHEN 4 THEN 'Line range must be positive and ascending' END AS error,
+  CAST(CASE WHEN c IN (2, 3) THEN 0 ELSE 1 END AS BIGINT) AS python_file
+FROM t
+"""
+
+ORACLES["normalise_newlines"] = f"""
+SELECT doc_id, CAST(len({keepends('text')}) AS BIGINT) AS n_lines,
+  CASE WHEN doc_id % 4 = 2 THEN replace(text, chr(10), chr(8232)) ELSE text END AS normalised
+FROM documents
+"""
+
+ORACLES["index_rules"] = f"""
+SELECT 'odd/o_' || {s('p_partkey')} || '.py' AS path,
+  CASE WHEN p_partkey % 4 = 3 THEN 'syntax_error' ELSE 'ok' END AS status,
+  CAST(CASE WHEN p_partkey % 4 IN (0, 1) THEN 2 END AS BIGINT) AS n_names,
+  CASE WHEN p_partkey % 4 = 1 THEN 'parts.p_' || {s('p_partkey')} END AS module,
+  CAST(CASE WHEN p_partkey % 4 = 1 THEN 1 END AS BIGINT) AS n_imports,
+  CAST(CASE p_partkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 6 END AS BIGINT) AS lineno,
+  CAST(CASE WHEN p_partkey % 4 IN (0, 1) THEN 1 ELSE 0 END AS BIGINT) AS found,
+  CASE p_partkey % 4 WHEN 0 THEN 'def f():' || chr(10) || '    return ' || {s('p_partkey')}
+                     WHEN 1 THEN 'def f(self):' || chr(10) || '        g()' END AS source
+FROM part
+"""
+
+ORACLES["exclude_sensitive"] = """
+SELECT p_partkey AS id, CASE WHEN p_partkey % 6 = 4 THEN 'a/.envrc/f_' || CAST(p_partkey AS VARCHAR)
+                             ELSE 'a/f_' || CAST(p_partkey AS VARCHAR) || '.py' END AS path
+FROM part WHERE p_partkey % 6 IN (4, 5)
+"""
+
+ORACLES["argument_violations"] = """
+SELECT event_id AS call_id, CASE event_id % 6 WHEN 1 THEN 'file_path is not of type string'
+  WHEN 2 THEN 'missing file_path; max_chars is not of type integer' WHEN 3 THEN 'file_path is not of type string'
+  ELSE 'file_path is not of type string; max_chars is not of type integer' END AS problems
+FROM events WHERE event_id % 6 IN (1, 2, 3, 4)
+"""
+
 ORACLES["tool_feedback"] = f"""
 SELECT p_partkey AS conv_id, CAST(3 AS BIGINT) AS final_turn, 'answered' AS outcome,
        'answer: def make_' || {s('p_partkey')} || '():' || chr(10) || '    return Part' || {s('p_partkey')} || '()'
@@ -686,17 +731,26 @@ WHERE message IS NOT NULL
 """
 
 ORACLES["turn_outcomes"] = """
-SELECT user_id AS response_id, strftime(time_bucket(INTERVAL '1 hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
-       arg_max(CASE WHEN event_type = 'purchase' AND event_id % 2 = 0
-                      THEN '{"type":"function_call","name":"search_' || json_extract_string(props, '$.k') || '"}'
-                    WHEN event_type = 'purchase' THEN '{"type":"message"}'
-                    WHEN event_type = 'click' THEN '{"name":"lookup_' || json_extract_string(props, '$.k')
-                      || '","arguments":' || to_json(CAST(props AS VARCHAR)) || '}'
-                    ELSE props END, event_id) AS last_payload,
-       max(event_id) AS last_seq, CAST(count(*) AS BIGINT) AS events,
+WITH e AS (
+  SELECT user_id AS rid, 1 + event_id % 8 AS turn, event_id, event_type, ts,
+    CASE WHEN event_type = 'purchase' AND event_id % 2 = 0
+           THEN '{"type":"function_call","name":"search_' || json_extract_string(props, '$.k') || '"}'
+         WHEN event_type = 'purchase' THEN '{"type":"message"}'
+         WHEN event_type = 'click' THEN '{"name":"lookup_' || json_extract_string(props, '$.k')
+           || '","arguments":' || to_json(CAST(props AS VARCHAR)) || '}'
+         ELSE props END AS payload
+  FROM events),
+m AS (
+  SELECT *, CASE WHEN ts <= lag(ts) OVER w + INTERVAL '1 hour' THEN 0 ELSE 1 END AS brk
+  FROM e WINDOW w AS (PARTITION BY rid, turn ORDER BY ts, event_id)),
+n AS (
+  SELECT *, sum(brk) OVER (PARTITION BY rid, turn ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session FROM m)
+SELECT rid AS response_id, turn, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS started,
+       arg_max(payload, event_id) AS last_payload, max(event_id) AS last_seq, CAST(count(*) AS BIGINT) AS events,
        CAST(count(*) FILTER (WHERE event_type = 'click') AS BIGINT) AS tool_calls,
        CAST(count(*) FILTER (WHERE event_type = 'view' AND event_id % 9 <> 0) AS BIGINT) AS text_deltas
-FROM events GROUP BY user_id, time_bucket(INTERVAL '1 hour', ts)
+FROM n GROUP BY rid, turn, session
+HAVING count(*) FILTER (WHERE event_type = 'view' AND event_id % 9 = 0) > 0
 """
 
 ORACLES["truncate_content"] = """

@@ -2,7 +2,7 @@
 
 Events arrive as ``turn_events(response_id, turn, seq, type, payload, ts)``. Progress records
 are a stateless projection (T1); the first text delta per response is a watermark-bounded
-dedup (T2); per-turn outcomes are a windowed aggregation in append mode (T3); responses
+dedup (T2); outcomes of completed turns are a session aggregation in append mode (T3); responses
 arriving as a stream are parsed and applied against the static file table per micro-batch
 (T4).
 """
@@ -57,18 +57,24 @@ def first_text_delta(events: DataFrame, watermark: str = "31 days") -> DataFrame
     )
 
 
-def turn_outcomes(events: DataFrame, window: str = "1 hour", watermark: str = "1 hour") -> DataFrame:
-    """Per response and event-time window, emitted once the watermark passes the window:
-    the last payload and counts per event type."""
+def turn_outcomes(events: DataFrame, gap: str = "1 hour", watermark: str = "1 hour") -> DataFrame:
+    """One record per completed turn, emitted once its events have ended.
+
+    A turn's events are one session: it goes on while the next event follows within ``gap``
+    and is emitted when the watermark passes its end. Sessions without a completion event
+    give no record. The record has the last payload and counts per event type.
+    """
     w = events.withWatermark("ts", watermark)
-    return w.groupBy("response_id", F.window("ts", window).alias("w")).agg(
+    return w.groupBy("response_id", "turn", F.session_window("ts", gap).alias("w")).agg(
         F.max_by("payload", "seq").alias("last_payload"),
         F.max("seq").alias("last_seq"),
         F.count("*").alias("events"),
         F.count_if(F.col("type") == "response.function_call_arguments.done").alias("tool_calls"),
         F.count_if(F.col("type") == "response.output_text.delta").alias("text_deltas"),
-    ).select("response_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-             "last_payload", "last_seq", "events", "tool_calls", "text_deltas")
+        F.count_if(F.col("type") == "response.completed").alias("completions"),
+    ).where("completions > 0").select(
+        "response_id", "turn", F.col("w.start").alias("started"), "last_payload", "last_seq", "events", "tool_calls",
+        "text_deltas")
 
 
 def live_annotations(responses: DataFrame, files: DataFrame, out_dir: str, checkpoint_dir: str, trigger=None):

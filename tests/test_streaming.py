@@ -2,6 +2,7 @@
 
 import tempfile
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sourcelens.sources import tables as S
@@ -42,19 +43,16 @@ def test_turn_progress_is_stateless_projection(spark):
         assert found == events.where(F.col("type") == typ).count() > 0
 
 
-def test_turn_outcomes_counts_match_batch(spark):
+def test_turn_outcomes_match_batch(spark):
     stream = ST.read_events_stream(spark, SF)
-    got = run_to_memory(ST.turn_outcomes(stream, window="1 hour", watermark="1 hour"), "t3_outcomes")
+    got = run_to_memory(ST.turn_outcomes(stream), "t3_outcomes")
     events = S.turn_events(spark, SF)
-    batch = events.groupBy("response_id", F.window("ts", "1 hour")).agg(F.count("*").alias("n"))
-    # append mode only emits windows the watermark has closed: every emitted window must
-    # equal its batch count, and all but the newest windows must be emitted.
-    g = {(r["response_id"], r["window_start"]): r["events"] for r in got.collect()}
-    b = {(r["response_id"], r["window"]["start"]): r["n"] for r in batch.collect()}
-    assert g and all(b[k] == v for k, v in g.items())
-    max_ts = events.agg(F.max("ts")).first()[0]
-    closed = {k for k in b if (max_ts - k[1]).total_seconds() > 2 * 3600}
-    assert closed <= set(g)
+    batch = {(r["response_id"], r["turn"], r["started"]): r for r in ST.turn_outcomes(events).collect()}
+    g = {(r["response_id"], r["turn"], r["started"]): r for r in got.collect()}
+    # append mode emits a turn once its session is closed: all but the newest, with the batch's values
+    assert g and all(batch[k] == v for k, v in g.items())
+    newest = events.agg(F.max("ts")).first()[0]
+    assert all(k in g or (newest - k[2]).total_seconds() < 4 * 3600 for k in batch)
 
 
 def test_live_annotations_match_batch(spark):
@@ -77,10 +75,10 @@ def test_live_annotations_match_batch(spark):
     assert expected.exceptAll(got.select("path", "content")).count() == 0
 
 
-def test_turn_outcomes_never_change_an_emitted_window(spark):
-    """Append mode emits a window once, after the watermark passes its end; an event for
-    that window arriving later is dropped (Spark only guarantees dropping late data once
-    the window's state is finalised, which is what this checks)."""
+def test_turn_outcomes_never_change_an_emitted_turn(spark):
+    """Append mode emits a turn once, after the watermark passes its session's end; an event for
+    it arriving later is dropped (Spark only guarantees dropping late data once the session's
+    state is finalised, which is what this checks)."""
     import datetime as dt
     import os
     import time
@@ -89,17 +87,19 @@ def test_turn_outcomes_never_change_an_emitted_window(spark):
     import pyarrow.parquet as pq
 
     src = tempfile.mkdtemp(prefix="t3-late-")
-    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
-    batches = [
-        [(1, t0, 7, "view", 1.0, '{"k": 1}'), (2, t0 + dt.timedelta(hours=3), 7, "view", 1.0, '{"k": 2}')],
-        [(3, t0 + dt.timedelta(hours=5), 7, "view", 1.0, '{"k": 3}')],       # closes the 10:00 window
-        [(4, t0 + dt.timedelta(minutes=5), 7, "click", 1.0, '{"k": 4}')],    # 10:05, after it was emitted
+    t0 = dt.datetime(2024, 1, 1, 10, 50, 0)
+    batches = [  # events 9 and 17 are of turn 2, event 9 and 81 complete it
+        [(17, t0, 7, "click", 1.0, '{"k": 1}'), (9, t0 + dt.timedelta(minutes=20), 7, "view", 1.0, '{"k": 2}')],
+        [(3, t0 + dt.timedelta(hours=6), 7, "view", 1.0, '{"k": 3}')],        # closes the session
+        [(25, t0 + dt.timedelta(minutes=5), 7, "click", 1.0, '{"k": 4}')],    # of that turn, after it was emitted
+        [(81, t0 + dt.timedelta(hours=9), 7, "view", 1.0, '{"k": 5}')],
     ]
     cols = ["event_id", "ts", "user_id", "event_type", "value", "props"]
     for i, rows in enumerate(batches):  # one file per micro-batch, ordered by modification time
         pq.write_table(pa.Table.from_pylist([dict(zip(cols, r)) for r in rows]), os.path.join(src, f"events-{i}.parquet"))
         time.sleep(1.1)
     stream = ST.read_events_stream(spark, src, max_files_per_trigger=1)
-    got = run_to_memory(ST.turn_outcomes(stream, window="1 hour", watermark="1 hour"), "t3_late")
-    rows = [r for r in got.collect() if r["window_start"].hour == 10]
-    assert len(rows) == 1 and rows[0]["events"] == 1 and rows[0]["tool_calls"] == 0
+    got = run_to_memory(ST.turn_outcomes(stream), "t3_late")
+    rows = [r for r in got.collect() if r["started"] == t0]
+    # the turn crosses an hour and is one record still
+    assert len(rows) == 1 and (rows[0]["events"], rows[0]["tool_calls"], rows[0]["turn"]) == (2, 1, 2)
