@@ -123,18 +123,20 @@ def clean_col(content: Column) -> Column:
     )
 
 
-def attach_responses(files: DataFrame, responses: DataFrame) -> DataFrame:
+def attach_responses(files: DataFrame, responses: DataFrame, materialize: bool = True) -> DataFrame:
     """Join parsed responses to their files on (project, path), the one shuffle of this path.
 
     Responses are narrowed to their parsed columns before the join so the raw model
-    text never crosses the shuffle.
+    text never crosses the shuffle. ``materialize=False`` keeps the size check from writing
+    them (for streams, whose batches would each leave a checkpoint behind).
     """
-    from sourcelens.plans.joins import join_small
+    from sourcelens.plans.joins import join_small, small_side
 
     parsed = parse_response(responses).select("project", "path", "mode", "rewritten_source", "reviews", "grouped")
     # Broadcast the parsed side when a bounded check proves it small; otherwise one
     # shuffle join on both (files move once).
-    return join_small(files, parsed, ["project", "path"], "inner")
+    parsed, small = small_side(parsed, materialize=materialize)
+    return join_small(files, parsed, ["project", "path"], "inner", known_small=small)
 
 
 def apply_results(df: DataFrame) -> DataFrame:

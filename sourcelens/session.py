@@ -111,6 +111,22 @@ def shared_table_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex}"
 
 
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def release_tables(spark: SparkSession) -> int:
+    """Delete the intermediate tables that this application has written; the number deleted.
+
+    For the end of a job: results that still read them must have been written before.
+    """
+    jvm, paths = spark.sparkContext._jvm, _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    conf, gone = spark.sparkContext._jsc.hadoopConfiguration(), 0
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        gone += bool(place.getFileSystem(conf).delete(place, True))
+    return gone
+
+
 def write_and_read(df, name: str, partition_by: str | None = None):
     """Write ``df`` as parquet in the shared checkpoint dir and read it back.
 
@@ -118,6 +134,7 @@ def write_and_read(df, name: str, partition_by: str | None = None):
     partition pruning; the write also cuts the lineage.
     """
     path = shared_table_path(df.sparkSession, name)
+    _WRITTEN.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(partition_by)

@@ -34,9 +34,8 @@ def _parse_roots(spec: str) -> list[tuple[str, str]]:
     return out
 
 
-def list_tree(root: str, suffix: str | None) -> list[tuple[str, int]]:
-    """Every file under ``root`` (dot-dirs, ``__init__.py`` and empty files included)."""
-    found = []
+def walk_tree(root: str, suffix: str | None):
+    """(path, size) of every file under ``root`` (dot-dirs, ``__init__.py`` and empty files included)."""
     for dirpath, dirnames, filenames in os.walk(root):
         dirnames.sort()
         for name in sorted(filenames):
@@ -47,8 +46,7 @@ def list_tree(root: str, suffix: str | None) -> list[tuple[str, int]]:
                 size = os.stat(full).st_size
             except OSError:
                 size = 0
-            found.append((os.path.relpath(full, root).replace(os.sep, "/"), size))
-    return found
+            yield os.path.relpath(full, root).replace(os.sep, "/"), size
 
 
 class SourceTreeReader(DataSourceReader):
@@ -61,7 +59,7 @@ class SourceTreeReader(DataSourceReader):
     def partitions(self):
         parts, cur, cur_bytes = [], [], 0
         for project, root in self.roots:
-            for rel, size in list_tree(root, self.suffix):
+            for rel, size in walk_tree(root, self.suffix):
                 cur.append((project, root, rel, size))
                 cur_bytes += size
                 if cur_bytes >= self.target_bytes or len(cur) >= self.max_files:
@@ -100,11 +98,9 @@ class SourceTreeDataSource(DataSource):
         return SourceTreeReader(self.options)
 
 
-def scan_sources(spark, roots: dict[str, str], suffix: str = ".py", universal_newlines: bool = True):
-    """S1 (+ X2): ``files(project, path, content, content_sha, read_status, size)``.
-
-    ``universal_newlines`` applies text-mode reading (CRLF / CR to LF), as the CLI did.
-    """
+def read_small_trees(spark, roots: dict[str, str], suffix: str = ".py", universal_newlines: bool = True):
+    """``scan_sources`` through the ``source_tree`` data source, which lists the trees on the
+    driver: for a few small trees, such as one checkout."""
     from sourcelens.functions import text as T
     from sourcelens.session import ship_package
 
@@ -142,13 +138,19 @@ def _walk_units(root: str, depth: int) -> list[tuple[str, bool]]:
     return [(f, False) for f in files] + [(d, True) for d in frontier]
 
 
-def scan_sources_distributed(spark, roots: dict[str, str], suffix: str = ".py", depth: int = 1,
-                             read_partitions: int | None = None, universal_newlines: bool = True):
-    """S1 for very large trees: listing and reading both run in tasks.
+# A listing batch holds so many files, a batch of contents so many bytes (or one larger file).
+LIST_ROWS, READ_BYTES = 10_000, 16 << 20
+
+
+def scan_sources(spark, roots: dict[str, str], suffix: str = ".py", depth: int = 1,
+                 read_partitions: int | None = None, universal_newlines: bool = True):
+    """S1 (+ X2): ``files(project, path, content, content_sha, read_status, size)``.
 
-    The driver lists only the first ``depth`` directory levels; each directory below is
-    walked by a task, the file list is spread round-robin over ``read_partitions`` tasks,
-    and those tasks read the contents. Same output as ``scan_sources``.
+    Listing and reading both run in tasks: the driver lists only the first ``depth``
+    directory levels; each directory below is walked by a task, the file list is spread
+    round-robin over ``read_partitions`` tasks, and those read the contents in batches
+    bounded in bytes. ``universal_newlines`` applies text-mode reading (CRLF / CR to LF), as
+    the CLI did.
     """
     import pandas as pd
     from pyspark.sql import functions as F
@@ -165,8 +167,11 @@ def scan_sources_distributed(spark, roots: dict[str, str], suffix: str = ".py",
             rows = []
             for project, root, unit, is_dir in zip(pdf["project"], pdf["root"], pdf["unit"], pdf["is_dir"]):
                 if is_dir:
-                    for rel, size in list_tree(os.path.join(root, unit), suffix):
+                    for rel, size in walk_tree(os.path.join(root, unit), suffix):
                         rows.append((project, root, f"{unit}/{rel}", size))
+                        if len(rows) >= LIST_ROWS:
+                            yield pd.DataFrame(rows, columns=["project", "root", "rel", "size"])
+                            rows = []
                 elif not suffix or unit.rsplit("/", 1)[-1].endswith(suffix):
                     full = os.path.join(root, unit)
                     rows.append((project, root, unit, os.stat(full).st_size if os.path.exists(full) else 0))
@@ -178,10 +183,16 @@ def scan_sources_distributed(spark, roots: dict[str, str], suffix: str = ".py",
 
     def read_files(it):
         reader = SourceTreeReader({"roots": "", "suffix": suffix or ""})
+        columns = ["project", "path", "content", "content_sha", "read_status", "size"]
         for pdf in it:
-            batch = FileBatch(list(zip(pdf["project"], pdf["root"], pdf["rel"], pdf["size"])))
-            yield pd.DataFrame(list(reader.read(batch)),
-                               columns=["project", "path", "content", "content_sha", "read_status", "size"])
+            rows, held = [], 0
+            for row in reader.read(FileBatch(list(zip(pdf["project"], pdf["root"], pdf["rel"], pdf["size"])))):
+                rows.append(row)
+                held += row[5]
+                if held >= READ_BYTES:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows, held = [], 0
+            yield pd.DataFrame(rows, columns=columns)
 
     df = listed.repartition(n).mapInPandas(read_files, SCHEMA)
     if universal_newlines:

@@ -78,7 +78,7 @@ def turn_outcomes(events: DataFrame, gap: str = "1 hour", watermark: str = "1 ho
 
 
 def live_annotations(responses: DataFrame, files: DataFrame, out_dir: str, checkpoint_dir: str, trigger=None):
-    """T4: a stream of ``responses(path, output_text)`` joined to the static files table.
+    """T4: a stream of ``responses(project, path, output_text)`` joined to the static files table.
 
     Each micro-batch is parsed (X6, A2) and applied (J3 or rewrite) and the changed files
     are appended to ``out_dir``; the checkpoint makes the query restartable after a
@@ -88,7 +88,7 @@ def live_annotations(responses: DataFrame, files: DataFrame, out_dir: str, check
 
     def apply_batch(batch: DataFrame, epoch: int) -> None:
         # One directory per epoch, overwritten on replay: a retried batch never duplicates.
-        p = proposals(files, batch).where("changed")
+        p = proposals(files, batch, materialize=False).where("changed")
         (p.select("project", "path", F.col("updated").alias("content"), "mode", "added", "injected")
          .write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/epoch={epoch}"))
 

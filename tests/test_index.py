@@ -228,13 +228,15 @@ def test_segment_offsets_equal_get_source_segment(spark):
     assert got == expected and len(expected) == 7
 
 
-def test_distributed_scan_equals_source_scan(spark, tree):
-    from sourcelens.sources.filesource import scan_sources_distributed
+def test_scan_in_tasks_equals_the_data_source(spark, tree, monkeypatch):
+    from sourcelens.sources import filesource
 
     root, _ = tree
-    a = scan_sources(spark, {"proj": root})
+    a = filesource.read_small_trees(spark, {"proj": root})
+    monkeypatch.setattr(filesource, "LIST_ROWS", 2)
+    monkeypatch.setattr(filesource, "READ_BYTES", 10)
     for depth in (1, 2):
-        b = scan_sources_distributed(spark, {"proj": root}, depth=depth, read_partitions=3)
+        b = scan_sources(spark, {"proj": root}, depth=depth, read_partitions=3)
         assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 

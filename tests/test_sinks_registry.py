@@ -136,3 +136,21 @@ def test_read_files_table_projects_and_prunes(spark):
     assert "ReadSchema: struct<text:string,lang:string,source:string>" in plan
     assert "EqualTo(source,src1)" in plan
     assert df.columns == ["project", "path", "content"] and df.count() > 0
+
+
+def test_arguments_read_like_python_strings(spark):
+    cases = ['{"a":null}', '{"a":true}', '{"a":false}', '{"a":7}', '{"a":"x"}', '{}', '{"a":"1","a":"2"}']
+    df = L.classify_arguments(spark.createDataFrame(list(enumerate(cases)), "i int, arguments string"))
+    got = {r["i"]: r["v"] for r in df.select("i", L.arg("a").alias("v")).collect()}
+    assert [got[i] for i in range(len(cases))] == ["None", "True", "False", "7", "x", "", "2"]
+
+
+def test_read_file_honours_max_chars(spark):
+    files = spark.createDataFrame([("p", "a.py", "x = 12345\n")], "project string, path string, content string")
+    idx = I.extract(files)
+    calls = spark.createDataFrame(
+        [(1, "p", "read_file", '{"file_path":"a.py","max_chars":3}'), (2, "p", "read_file", '{"file_path":"a.py"}'),
+         (3, "p", "read_file", '{"file_path":"a.py","max_chars":0}')],
+        "call_id bigint, project string, name string, arguments string")
+    out = {r["call_id"]: r["output"] for r in L.dispatch(calls, L.LookupContext(files, idx, "/root")).collect()}
+    assert out[1].startswith("x =") and "truncated at 3" in out[1] and out[2] == out[3] == "x = 12345\n"

@@ -37,7 +37,7 @@ def main():
     saved = joins.BROADCAST_MAX_ROWS
     joins.BROADCAST_MAX_ROWS = 0
     out += ["## review_corpus as at scale (no side provably small: every join is a shuffle join)", "",
-            "Consecutive joins on `path` share one hash partitioning: each input is shuffled once.", "",
+            "Consecutive joins on (`project`, `path`) share one hash partitioning: each input is shuffled once.", "",
             "```", tree(C.QUERIES["review_corpus"](spark, SF)), "```", ""]
     joins.BROADCAST_MAX_ROWS = saved
     files, idx = C.code_index(spark, SF)
@@ -49,6 +49,14 @@ def main():
             "```", tree(C.QUERIES["first_text_delta"](spark, SF)), "```", ""]
     out += ["## line_changes", "", "One aggregation with partial (map-side) sums.", "",
             "```", tree(C.QUERIES["line_changes"](spark, SF)), "```", ""]
+    for name, note in (
+        ("resolve_imports", "Modules meet the length of their content once; no text crosses a shuffle."),
+        ("build_contexts", "Imported files and sizes join before the numbered text is built."),
+        ("dispatch_tool_calls", "One join per tool; chunks of a symbol are built once."),
+        ("compose_prompts", "The index is a written table; the skeleton joins once per project."),
+        ("run_conversations", "The last step; each round before it was written and read again."),
+    ):
+        out += [f"## {name}", "", note, "", "```", tree(C.QUERIES[name](spark, SF)), "```", ""]
     print("\n".join(out))
 
 
