@@ -90,7 +90,8 @@ def test_turn_outcomes_never_change_an_emitted_turn(spark):
     t0 = dt.datetime(2024, 1, 1, 10, 50, 0)
     batches = [  # events 9 and 17 are of turn 2, event 9 and 81 complete it
         [(17, t0, 7, "click", 1.0, '{"k": 1}'), (9, t0 + dt.timedelta(minutes=20), 7, "view", 1.0, '{"k": 2}')],
-        [(3, t0 + dt.timedelta(hours=6), 7, "view", 1.0, '{"k": 3}')],        # closes the session
+        [(3, t0 + dt.timedelta(hours=6), 7, "view", 1.0, '{"k": 3}')],        # moves the watermark past the session
+        [(11, t0 + dt.timedelta(hours=7), 7, "view", 1.0, '{"k": 3}')],       # emits it
         [(25, t0 + dt.timedelta(minutes=5), 7, "click", 1.0, '{"k": 4}')],    # of that turn, after it was emitted
         [(81, t0 + dt.timedelta(hours=9), 7, "view", 1.0, '{"k": 5}')],
     ]
