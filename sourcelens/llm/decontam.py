@@ -25,6 +25,7 @@ from pyspark.sql.types import StructType
 
 from .common import text_of
 from .words import MULTIPLIERS, REMEMBERED, mixed
+from .worker_cache import held
 
 LEAST = 4
 COVERAGE = 0.5
@@ -54,12 +55,9 @@ class _Bare(dict):
         return value
 
 
-_BARE = _Bare()
-
-
 def bare_words(text: str) -> np.ndarray:
     words = text.encode("utf-8", "surrogatepass").split()
-    found = np.fromiter(map(_BARE.__getitem__, words), np.uint64, len(words))
+    found = np.fromiter(map(held("bare words", _Bare).__getitem__, words), np.uint64, len(words))
     return found[found != 0]
 
 

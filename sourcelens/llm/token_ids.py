@@ -12,6 +12,8 @@ import os
 
 import numpy as np
 
+from .worker_cache import held
+
 #: Distinct pieces a worker remembers; pieces beyond that are encoded for their batch and forgotten.
 REMEMBERED = 400_000
 #: White space at which only the tokenizer itself can cut, and controls that libraries class differently.
@@ -118,11 +120,6 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict = {}
-
-
 def encoder(name: str, cut: str | None) -> Encoder:
     """One encoder per worker process, kept between tasks."""
-    if (name, cut) not in _ENCODERS:
-        _ENCODERS[name, cut] = Encoder(name, cut)
-    return _ENCODERS[name, cut]
+    return held(("encoder", name, cut), lambda: Encoder(name, cut))

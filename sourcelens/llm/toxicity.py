@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import bounded_rows, scratch, text_of
 from .words import shingles, word_hashes
+from .worker_cache import held
 
 #: Labelled rows to learn from.
 SAMPLE = 40_000
@@ -41,7 +42,7 @@ SPAN, DECAY = 5, 0.7
 ALPHABET = 64
 FEATURES = ALPHABET ** 3
 #: Words a worker remembers the score of.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: Characters of a word beyond which it is cut into overlapping parts.
 LONG = 48
 OFFSETS = tuple((i, j) for i in range(1, SPAN - 1) for j in range(i + 1, SPAN))
@@ -119,16 +120,18 @@ NOTHING = -4.0
 
 
 def _gram(a: list[str], b: list[str]) -> np.ndarray:
-    """Kernel values between two lists of words."""
-    dense = np.zeros((len(b), FEATURES), np.float32)
-    who, what, weight = subsequences([f"^{w}$" for w in b])
-    np.add.at(dense, (who, what), weight)
+    """Kernel values between two lists of words; 32 of ``b`` are laid out densely at a time."""
     out = np.zeros((len(a), len(b)), np.float32)
-    for at in range(0, len(a), 1_000):
-        some = a[at:at + 1_000]
-        who, what, weight = subsequences([f"^{w}$" for w in some])
-        for k in range(len(b)):
-            out[at:at + len(some), k] = np.bincount(who, dense[k, what] * weight, len(some))
+    for first in range(0, len(b), 32):
+        own = b[first:first + 32]
+        dense = np.zeros((len(own), FEATURES), np.float32)
+        who, what, weight = subsequences([f"^{w}$" for w in own])
+        np.add.at(dense, (who, what), weight)
+        for at in range(0, len(a), 1_000):
+            some = a[at:at + 1_000]
+            who, what, weight = subsequences([f"^{w}$" for w in some])
+            for k in range(len(own)):
+                out[at:at + len(some), first + k] = np.bincount(who, dense[k, what] * weight, len(some))
     return out
 
 
@@ -296,17 +299,6 @@ class Scorer:
         return out
 
 
-_SCORERS: dict = {}
-
-
-def _scorer(model: Model, key: str) -> Scorer:
-    """One scorer per worker process and model; only the latest model is kept."""
-    if key not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key] = Scorer(model)
-    return _SCORERS[key]
-
-
 def _with_worst(docs: DataFrame, model: Model, out: str = "margin") -> DataFrame:
     """Add the margin of each document's worst word; all other columns pass through."""
     import uuid
@@ -315,7 +307,7 @@ def _with_worst(docs: DataFrame, model: Model, out: str = "margin") -> DataFrame
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes) + f", `{out}` double"
 
     def score(batches):
-        own = _scorer(shared.value, key)
+        own = held(("scorer", key), lambda: Scorer(shared.value))
         for batch in batches:
             found = own.worst([t or "" for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())],

@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from .worker_cache import held
+
 #: Distinct words a worker remembers; others are hashed again.
 REMEMBERED = 300_000
 #: Odd multipliers of the running combinations.
@@ -19,13 +21,10 @@ class _Hashes(dict):
         return value
 
 
-_HASHES = _Hashes()
-
-
 def word_hashes(text: str) -> np.ndarray:
     """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of a text, A-Z in lower case."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(held("words", _Hashes).__getitem__, words), np.uint64, len(words))
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
