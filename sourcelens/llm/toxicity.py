@@ -348,10 +348,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         share = sizes.get(1, 0) / max(1, sum(sizes.values()))
         return Model(None, 0.0, 0.0, 0.0, share)
     counts = scratch(_word_counts(_once(rows)), "toxic-words")
-    totals = counts.agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).first()
+    totals = counts.agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"),
+                        F.count_if(F.col("toxic") > 0).alias("v")).first()
     share = (totals["t"] or 0) / max(1, (totals["t"] or 0) + (totals["c"] or 0))
-    # A neutral word that no clean document holds has this many toxic ones with a chance below 1e-5.
-    enough = max(3, math.ceil(math.log(1e-5) / math.log(min(0.9, max(share, 1e-6)))))
+    # So many toxic documents and no clean one that at most one neutral word in two corpora comes so far.
+    enough = max(3, math.ceil(math.log(0.5 / max(1, totals["v"])) / math.log(min(0.9, max(share, 1e-6)))))
 
     def words(df: DataFrame, *order: Column) -> list[str]:
         return [r["word"] for r in df.orderBy(*order, "word").limit(WORDS).select("word").collect()]
