@@ -7,9 +7,14 @@ machine folds back into one weight per subsequence and scores a word by a sparse
 
 Labels belong to documents, insults to words in some sentence of them. Training is therefore on bags: words
 that only toxic documents use, significantly often, are the first positives; each round adds the words of
-toxic documents that the machine accepts and the words of clean documents that it confuses most. A sentence
-scores as its worst word, a document as its worst sentence; a logistic curve fitted on the documents of the
-training sample maps that to 0..1.
+toxic documents that the machine accepts and the words of clean documents that it confuses most. The kernel
+judges single words; sentences are not scored as units, and an insult of several words counts by its words.
+
+A document's evidence is how far its number of accepted words exceeds what chance puts into a clean text of its
+length (signed root of the Poisson likelihood ratio), in the whole text or in any ``WINDOW`` words of it, the
+greater of the two; so a family of weak words adds up and one insult in a long text is not diluted. A logistic
+curve over that evidence and the worst word's margin, fitted on the documents of the training sample, maps them
+to 0..1. A feature with a negative slope is left out: more or worse insults never lower a score by themselves.
 
 The training sample holds at most ``SAMPLE`` labelled rows, chosen by a hash of doc_id; word statistics,
 scores and everything else cover all of it or all documents. Rows scored need no label.
@@ -43,6 +48,8 @@ ALPHABET = 64
 FEATURES = ALPHABET ** 3
 #: Words a worker remembers the score of.
 REMEMBERED = 250_000
+#: Words of a window in which accepted words are counted besides the whole text.
+WINDOW = 64
 #: Characters of a word beyond which it is cut into overlapping parts.
 LONG = 48
 OFFSETS = tuple((i, j) for i in range(1, SPAN - 1) for j in range(i + 1, SPAN))
@@ -91,13 +98,15 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
-    """``weights`` by subsequence and ``bias`` of the folded machine; the logistic curve over its margins."""
+    """``weights`` by subsequence and ``bias`` of the folded machine; ``rate`` of accepted words among the words of
+    clean documents; the logistic curve over worst margin and evidence."""
 
     weights: np.ndarray | None
     bias: float
-    slope: float
+    slopes: tuple[float, float]
     offset: float
     share: float = 0.0
+    rate: float = 0.0
 
     def margins(self, words: list[str]) -> np.ndarray:
         """The machine's margin of each bare word; of no word at all where it is empty."""
@@ -191,18 +200,24 @@ def _words_of(text: str) -> list[str]:
     return sorted({w for w in (*words, *_joined(words)) if w})
 
 
-def _joined(words: list[str]) -> list[str]:
-    out, run = [], []
-    for w in (*words, "  "):
+def _runs(words: list[str]) -> list[tuple[int, str]]:
+    """(place of the last character, joined word) of runs of at least three single characters."""
+    out, run, last = [], [], 0
+    for i, w in enumerate((*words, "  ")):
         if len(w) == 1:
             run.append(w)
+            last = i
         elif w:
             if len(run) >= 3:
-                out.append("".join(run))
+                out.append((last, "".join(run)))
             run = []
     return out
 
 
+def _joined(words: list[str]) -> list[str]:
+    return [w for _, w in _runs(words)]
+
+
 def _once(sample: DataFrame) -> DataFrame:
     """The sample without near copies: rows of one label that share one of their three least shingle hashes
     with a row of smaller doc_id go, so a copied text does not make its words look significant."""
@@ -262,7 +277,7 @@ class _Worst(dict):
 
 
 class Scorer:
-    """Margins of whole texts; words are scored once per worker."""
+    """Margins and accepted words of whole texts; words are scored once per worker."""
 
     def __init__(self, model: Model):
         self.model = model
@@ -272,7 +287,8 @@ class Scorer:
         self.places, self.known = _Worst(), np.zeros(0, np.float32)
         self.single = np.zeros(0, np.int8)  # 1: words of one character
 
-    def worst(self, texts: list[str]) -> list[float]:
+    def judge(self, texts: list[str]) -> list[tuple[float, int, int, int]]:
+        """Of each text: worst margin, words, accepted words, and the most accepted words of any ``WINDOW`` words."""
         rows = []
         for text in texts:
             words = text.split()
@@ -286,51 +302,83 @@ class Scorer:
         out = []
         for words, own in rows:
             if not len(own):
-                out.append(NOTHING)
+                out.append((NOTHING, 0, 0, 0))
                 continue
-            most = float(self.known[own].max())
+            each = self.known[own]
             if self.single[own].sum() >= 3:
-                spaced = _joined([bare(w) for w in words])
+                spaced = _runs([bare(w) for w in words])
                 if spaced:
-                    most = max(most, float(self.model.margins(spaced).max()))
-            out.append(most)
+                    ends = np.array([i for i, _ in spaced])
+                    each[ends] = np.maximum(each[ends], self.model.margins([w for _, w in spaced]))
+            so_far = np.concatenate([[0], np.cumsum(each > 0)])
+            most = (so_far[WINDOW:] - so_far[:-WINDOW]).max() if len(each) > WINDOW else so_far[-1]
+            out.append((float(each.max()), len(each), int(so_far[-1]), int(most)))
         if len(self.places) > REMEMBERED:
             self.clear()
         return out
 
 
-def _with_worst(docs: DataFrame, model: Model, out: str = "margin") -> DataFrame:
-    """Add the margin of each document's worst word; all other columns pass through."""
+#: Columns that ``_judged`` adds.
+JUDGED = ("__margin", "__words", "__hits", "__most")
+
+
+def _judged(docs: DataFrame, model: Model) -> DataFrame:
+    """Add what ``Scorer.judge`` finds in each document; all other columns pass through."""
     import uuid
 
     shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
-    schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes) + f", `{out}` double"
+    kinds = ("double", "long", "long", "long")
+    schema = ", ".join(f"`{c}` {t}" for c, t in (*docs.dtypes, *zip(JUDGED, kinds)))
 
     def score(batches):
         own = held(("scorer", key), lambda: Scorer(shared.value))
         for batch in batches:
-            found = own.worst([t or "" for t in batch.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())],
-                                             [*batch.schema.names, out])
+            found = list(zip(*own.judge([t or "" for t in batch.column("text").to_pylist()]))) or [()] * 4
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(found[0], pa.float64()), *(pa.array(f, pa.int64()) for f in found[1:])],
+                [*batch.schema.names, *JUDGED])
 
     return docs.mapInArrow(score, schema)
 
 
-def _curve(rows: list[tuple[float, int, int]]) -> tuple[float, float]:
-    """Slope and offset of the logistic curve through (margin, toxic, clean) counts, by Newton's method."""
-    x = np.array([r[0] for r in rows])
-    n1, n0 = np.array([r[1] for r in rows], float), np.array([r[2] for r in rows], float)
-    design = np.stack([x, np.ones(len(x))], 1)
-    w = np.array([2.0, 0.0])
+def _evidence(rate: float) -> Column:
+    """How far the accepted words of a text, or of its fullest window, exceed those that ``rate`` lets expect."""
+
+    def excess(hits: Column, words: Column) -> Column:
+        usual = words * F.lit(rate)
+        return F.when(hits > usual, F.sqrt(2 * (hits * F.log(hits / usual) - (hits - usual)))).otherwise(0.0)
+
+    return F.greatest(excess(F.col("__hits"), F.col("__words")),
+                      excess(F.col("__most"), F.least(F.col("__words"), F.lit(WINDOW))))
+
+
+def _curve(rows: list[tuple[float, float, int, int]]) -> tuple[tuple[float, float], float]:
+    """Slopes and offset of the logistic curve through (margin, evidence, toxic, clean) counts; a slope that
+    would be negative is 0."""
+    x = np.array([r[:2] for r in rows], float)
+    slopes, on = np.zeros(2), np.ones(2, bool)
+    while True:
+        found = _logistic(x[:, on], np.array([r[2] for r in rows], float), np.array([r[3] for r in rows], float))
+        slopes[:] = 0.0
+        slopes[on] = found[:-1]
+        if not (slopes < 0).any():
+            return (float(slopes[0]), float(slopes[1])), float(found[-1])
+        on[int(np.argmin(slopes))] = False
+
+
+def _logistic(x: np.ndarray, n1: np.ndarray, n0: np.ndarray) -> np.ndarray:
+    """Slopes and offset by Newton's method."""
+    design = np.hstack([x, np.ones((len(x), 1))])
+    w = np.zeros(design.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
         grad = design.T @ ((n1 + n0) * p - n1) + 0.05 * w
-        curve = (design * ((n1 + n0) * p * (1 - p))[:, None]).T @ design + 0.05 * np.eye(2)
+        curve = (design * ((n1 + n0) * p * (1 - p))[:, None]).T @ design + 0.05 * np.eye(len(w))
         step = np.linalg.solve(curve, grad)
         w -= np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
-    return max(float(w[0]), 0.1), float(w[1])
+    return w
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -346,7 +394,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
         share = sizes.get(1, 0) / max(1, sum(sizes.values()))
-        return Model(None, 0.0, 0.0, 0.0, share)
+        return Model(None, 0.0, (0.0, 0.0), 0.0, share)
     counts = scratch(_word_counts(_once(rows)), "toxic-words")
     totals = counts.agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"),
                         F.count_if(F.col("toxic") > 0).alias("v")).first()
@@ -364,7 +412,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     negative = words(counts.where("clean > 0"), F.desc("clean"))
     negative += words(counts.where("clean > 0 and clean < 3"), F.xxhash64("word"))
     negative = list(dict.fromkeys(negative))
-    model = Model(None, 0.0, 1.0, 0.0)
+    model = Model(None, 0.0, (0.0, 0.0), 0.0)
     for turn in range(ROUNDS):
         model.weights, model.bias = train_machine(positive, negative)
         if turn == ROUNDS - 1:
@@ -377,11 +425,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         hard = words(scored.where((F.col("clean") > 0) & (F.col("margin") > -1)), F.desc("margin"))
         positive = [w for w in dict.fromkeys(positive + more) if w not in doubt] or positive
         negative = list(dict.fromkeys(negative + hard))
-    bins = (_with_worst(rows.select("text", "toxic"), model)
-            .select("toxic", (F.round(F.col("margin") * 50) / 50).alias("margin"))
-            .groupBy("margin").agg(F.sum("toxic").alias("n1"), F.count("*").alias("n")))
-    found = [(r["margin"], r["n1"], r["n"] - r["n1"]) for r in bounded_rows(bins, 100_000, "margins")]
-    model.slope, model.offset = _curve(sorted(found))
+    each = scratch(_judged(rows.select("text", "toxic"), model).drop("text"), "toxic-judged")
+    usual = each.where("toxic = 0").agg(F.sum("__hits").alias("hits"), F.sum("__words").alias("words")).first()
+    model.rate = (usual["hits"] + 0.5) / (usual["words"] + 1)
+    bins = (each.select("toxic", (F.round(F.col("__margin") * 50) / 50).alias("margin"),
+                        (F.round(_evidence(model.rate) * 50) / 50).alias("evidence"))
+            .groupBy("margin", "evidence").agg(F.sum("toxic").alias("n1"), F.count("*").alias("n")))
+    found = [(r["margin"], r["evidence"], r["n1"], r["n"] - r["n1"]) for r in bounded_rows(bins, 100_000, "margins")]
+    model.slopes, model.offset = _curve(sorted(found))
     return model
 
 
@@ -389,5 +440,6 @@ def score(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
     """Add the score of each whole text."""
     if model.weights is None:
         return docs.withColumn(out, F.lit(float(model.share)))
-    found = _with_worst(docs.withColumn("text", F.col("text").cast("string")), model, "__margin")
-    return found.withColumn(out, 1 / (1 + F.exp(-(F.col("__margin") * model.slope + model.offset)))).drop("__margin")
+    found = _judged(docs.withColumn("text", F.col("text").cast("string")), model)
+    logit = F.col("__margin") * model.slopes[0] + _evidence(model.rate) * model.slopes[1] + model.offset
+    return found.withColumn(out, 1 / (1 + F.exp(-logit))).drop(*JUDGED)

@@ -84,3 +84,26 @@ def test_without_labels_of_both_classes(docs, llm):
     ones = llm.createDataFrame([(i, 1, 1) for i in range(20)] + [(None, 1, 1), (3, 1, None)], "doc_id long, quality int, toxic int")
     assert {r["score"] for r in T.score(docs(rows).drop("score"), T.fit(docs(rows), ones)).collect()} == {1.0}
     assert T.score(docs([]).drop("score"), T.fit(docs([]), empty)).count() == 0
+
+
+def test_accepted_words_add_up_and_length_is_no_excuse(docs, llm):
+    rnd = random.Random(3)
+    rows, labels = [], []
+    for i in range(1_200):
+        toxic = int(i % 5 == 0)
+        words = [rnd.choice(NEUTRAL) + rnd.choice(["", "s", "ly", "ish", "er"]) for _ in range(rnd.randint(30, 120))]
+        # A family of words: several in a toxic text, one by chance in a tenth of the clean ones.
+        for _ in range(rnd.randint(4, 7) if toxic else int(rnd.random() < 0.1)):
+            words.insert(rnd.randrange(len(words)), "achkor" + rnd.choice("aeiouy") + rnd.choice("bdfgklmnprst"))
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, toxic))
+    model = T.fit(docs(rows), llm.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    plain = (" ".join(NEUTRAL) + " ") * 4
+    family = "achkorat achkorel achkorin achkorum achkoryk "
+    every = ["achkor" + v + c for v in "aeiouy" for c in "bdfgklmnprst"]
+    one = every[int(np.argmax(model.margins(every)))] + " "
+    cases = [(1, plain + one), (2, plain + family), (3, plain * 200 + family + plain * 200), (4, plain),
+             (5, plain + one * 5)]
+    out = {r["doc_id"]: r["score"] for r in T.score(docs(cases).drop("score"), model).collect()}
+    assert out[2] >= 0.5 and out[3] >= 0.5, out
+    assert out[1] < 0.5 and out[4] < 0.5 and out[4] <= out[1] < out[5] and out[5] >= 0.5, out
