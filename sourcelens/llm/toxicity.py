@@ -6,8 +6,10 @@ landmarks give the machine its feature space; since the kernel's own features ar
 machine folds back into one weight per subsequence and scores a word by a sparse sum.
 
 Labels belong to documents, insults to words in some sentence of them. Training is therefore on bags: words
-that only toxic documents use, significantly often, are the first positives; each round adds the words of
-toxic documents that the machine accepts and the words of clean documents that it confuses most. The kernel
+that toxic documents use significantly more often than clean ones are the first positives; each round adds the
+words of toxic documents that the machine accepts and the words of clean documents that it confuses most. Both
+sorts are told apart by smoothed odds against the share of toxic documents, so a clean or mislabelled document
+or two do not bar a word, and a word of mostly toxic documents is never a negative. The kernel
 judges single words; sentences are not scored as units, and an insult of several words counts by its words.
 
 A document's evidence is how far its number of accepted words exceeds what chance puts into a clean text of its
@@ -48,6 +50,8 @@ ALPHABET = 64
 FEATURES = ALPHABET ** 3
 #: Words a worker remembers the score of.
 REMEMBERED = 250_000
+#: Odds of a positive word over those of all words, at least, and of a negative word, at most.
+HIGH, LOW = 4.0, 2.0
 #: Words of a window in which accepted words are counted besides the whole text.
 WINDOW = 64
 #: Characters of a word beyond which it is cut into overlapping parts.
@@ -253,6 +257,21 @@ def _word_counts(sample: DataFrame) -> DataFrame:
             .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
 
 
+def _with_odds(counts: DataFrame, share: float) -> DataFrame:
+    """Add, of each word, against the ``share`` of toxic among all (word, document) pairs: ``tilt``, the log odds
+    ratio with two pairs of that share added; ``surely``, a lower bound of the log odds ratio at 95 %;
+    ``surprise``, the exponent of Chernoff's bound of so many toxic documents by chance."""
+    share = min(max(share, 1e-6), 1 - 1e-6)
+    base, toxic, clean = math.log(share / (1 - share)), F.col("toxic"), F.col("clean")
+    n = toxic + clean
+    part = toxic / n
+    rest = F.when(clean > 0, (1 - part) * F.log((1 - part) / (1 - share))).otherwise(0.0)
+    return counts.withColumns({
+        "tilt": F.log((toxic + 2 * share) / (clean + 2 * (1 - share))) - base,
+        "surely": F.log((toxic + 0.5) / (clean + 0.5)) - base - 1.64 * F.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5)),
+        "surprise": F.when(part > share, n * (part * F.log(part / share) + rest)).otherwise(0.0)})
+
+
 def _with_margin(counts: DataFrame, model: Model) -> DataFrame:
     def score(batches):
         for batch in batches:
@@ -260,7 +279,7 @@ def _with_margin(counts: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own.astype(np.float64))],
                                              [*batch.schema.names, "margin"])
 
-    return counts.mapInArrow(score, "word string, toxic long, clean long, margin double")
+    return counts.mapInArrow(score, ", ".join(f"{c} {t}" for c, t in counts.dtypes) + ", margin double")
 
 
 class _Worst(dict):
@@ -399,18 +418,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     totals = counts.agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"),
                         F.count_if(F.col("toxic") > 0).alias("v")).first()
     share = (totals["t"] or 0) / max(1, (totals["t"] or 0) + (totals["c"] or 0))
-    # So many toxic documents and no clean one that at most one neutral word in two corpora comes so far.
-    enough = max(3, math.ceil(math.log(0.5 / max(1, totals["v"])) / math.log(min(0.9, max(share, 1e-6)))))
+    counts = scratch(_with_odds(counts, share), "toxic-odds")
+    # So surprising that at most one neutral word in two corpora comes so far.
+    enough = math.log(max(1, totals["v"]) / 0.5)
 
     def words(df: DataFrame, *order: Column) -> list[str]:
         return [r["word"] for r in df.orderBy(*order, "word").limit(WORDS).select("word").collect()]
 
-    only = counts.where("clean = 0")
-    positive = words(only.where(F.col("toxic") >= enough), F.desc("toxic"))
+    tilted, plain = counts.where(F.col("tilt") > math.log(HIGH)), F.col("tilt") < math.log(LOW)
+    positive = words(tilted.where((F.col("toxic") >= 3) & (F.col("surprise") >= enough)
+                                  & (F.col("surely") > math.log(HIGH))), F.desc("toxic"))
+    if not positive:
+        positive = words(tilted, F.desc("surprise"))[:50]
     if not positive:
-        positive = words(only, F.desc("toxic"))[:50]
-    negative = words(counts.where("clean > 0"), F.desc("clean"))
-    negative += words(counts.where("clean > 0 and clean < 3"), F.xxhash64("word"))
+        positive = words(counts.where("toxic > 0"), F.desc("tilt"))[:50]
+    negative = words(counts.where((F.col("clean") > 0) & plain), F.desc("clean"))
+    negative += words(counts.where((F.col("clean") > 0) & (F.col("clean") < 3) & plain), F.xxhash64("word"))
     negative = list(dict.fromkeys(negative))
     model = Model(None, 0.0, (0.0, 0.0), 0.0)
     for turn in range(ROUNDS):
@@ -418,11 +441,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         if turn == ROUNDS - 1:
             break
         scored = scratch(_with_margin(counts, model), "toxic-margins")
-        more = words(scored.where((F.col("clean") == 0) & (F.col("margin") > 0) & (F.col("toxic") >= 2)), F.desc("toxic"))
-        doubt = {r["word"] for r in scored.where((F.col("clean") == 0) & (F.col("margin") < -0.5)
-                                                 & (F.col("toxic") < 2 * enough))
+        high = F.col("tilt") > math.log(HIGH)
+        more = words(scored.where(high & (F.col("margin") > 0) & (F.col("toxic") >= 2)), F.desc("toxic"))
+        doubt = {r["word"] for r in scored.where(high & (F.col("margin") < -0.5) & (F.col("surprise") < 2 * enough))
                  .orderBy(F.desc("toxic"), "word").limit(WORDS).collect()}
-        hard = words(scored.where((F.col("clean") > 0) & (F.col("margin") > -1)), F.desc("margin"))
+        hard = words(scored.where((F.col("clean") > 0) & plain & (F.col("margin") > -1)), F.desc("margin"))
         positive = [w for w in dict.fromkeys(positive + more) if w not in doubt] or positive
         negative = list(dict.fromkeys(negative + hard))
     each = scratch(_judged(rows.select("text", "toxic"), model).drop("text"), "toxic-judged")

@@ -107,3 +107,21 @@ def test_accepted_words_add_up_and_length_is_no_excuse(docs, llm):
     out = {r["doc_id"]: r["score"] for r in T.score(docs(cases).drop("score"), model).collect()}
     assert out[2] >= 0.5 and out[3] >= 0.5, out
     assert out[1] < 0.5 and out[4] < 0.5 and out[4] <= out[1] < out[5] and out[5] >= 0.5, out
+
+
+def test_a_mislabelled_document_does_not_bar_a_word(docs, llm, corpus):
+    counts = llm.createDataFrame([("insult", 12, 1), ("rare", 5, 0), ("plain", 90, 600), ("odd", 1, 1), ("calm", 0, 9)],
+                                 "word string, toxic long, clean long")
+    odds = {r["word"]: r for r in T._with_odds(counts, 0.13).collect()}
+    assert all(odds[w]["surely"] > np.log(T.HIGH) and odds[w]["tilt"] > np.log(T.HIGH) for w in ("insult", "rare"))
+    assert all(odds[w]["tilt"] < np.log(T.LOW) for w in ("plain", "calm"))
+    assert odds["insult"]["surprise"] > odds["rare"]["surprise"] > odds["odd"]["surprise"] >= odds["plain"]["surprise"] >= 0
+    # Every form of every insult occurs in one clean document.
+    rows, labels = corpus
+    forms = sorted({w for _, t in rows for w in t.rstrip(".").split() if w.startswith(tuple(INSULTS))})
+    wrong = [(10_000 + i, " ".join([NEUTRAL[i % 15], w, *NEUTRAL])) for i, w in enumerate(forms)]
+    model = T.fit(docs(rows + wrong), llm.createDataFrame(labels + [(i, 1, 0) for i, _ in wrong],
+                                                          "doc_id long, quality int, toxic int"))
+    out = T.score(docs(rows).drop("score"), model).where(T.held_out()).collect()
+    truth = {i: t for i, _, t in labels}
+    assert np.mean([(r["score"] >= 0.5) == bool(truth[r["doc_id"]]) for r in out]) >= 0.97
