@@ -3,7 +3,8 @@
 A page becomes a tree of elements and, in page order, its blocks: runs of inline text that belong to one
 element. Each block outside of page furniture gives points for its length and commas, discounted by its
 share of link text, to the container around it, half of them to the next container, and less further up. The
-container with the most points holds the article; siblings that score well or are plain paragraphs stay too.
+container with the most points holds the article. If an article or main element encloses it, all of that
+element's blocks outside of furniture that are not mostly links stay; else its siblings that are not mostly links.
 
 Null and empty pages, and pages without text, give the empty text. Tags cut off at the end of a page are
 markup. Repeated pages are read one by one; other columns are ignored.
@@ -195,6 +196,18 @@ def _last(stack: list[Node], tag: str) -> int:
     return 0
 
 
+def _enclosing(node: Node) -> Node | None:
+    """The nearest article around an element, else the nearest main."""
+    found, up = None, node.parent
+    while up is not None:
+        if up.tag == "article":
+            return up
+        if up.tag == "main" and found is None:
+            found = up
+        up = up.parent
+    return found
+
+
 def main_text(page: str) -> str:
     """The article's blocks in page order, one per line."""
     blocks, nodes = blocks_of(page)
@@ -222,24 +235,26 @@ def main_text(page: str) -> str:
     able = [n for n in nodes if n.chars and not n.out and n.tag in CONTAINERS]
     best = max(able, key=lambda n: (score(n), -n.order)) if able else nodes[0]
     least = max(10.0, 0.2 * score(best))
+    named = best.tag in ("article", "main")
+    whole = None if named else _enclosing(best)
     kept = {best.order}
     for n in nodes:
         if n.parent is best.parent and n is not best and n.chars and not n.out and best.parent is not None:
             density = n.linked / n.chars
             if n.tag in HEADINGS or (n.tag in ("p", "blockquote", "pre", "ul", "ol", "table") and density < 0.25):
                 kept.add(n.order)
-            elif n.tag in CONTAINERS and score(n) - n.weight >= least:
+            elif n.tag in CONTAINERS and (score(n) - n.weight >= least or density < 0.25 and not named):
                 kept.add(n.order)
 
-    def inside(n: Node | None) -> bool:
+    def inside(n: Node | None, links: float) -> bool:
         while n is not None:
-            if n.order in kept:
+            if n.order in kept or n is whole and links < 0.5:
                 return True
             n = n.parent
         return False
 
     own = best.parent is not None
-    return "\n".join(t for n, t, _ in blocks if inside(n) or (own and n is best.parent and best.tag != "article"))
+    return "\n".join(t for n, t, x in blocks if inside(n, x / len(t)) or (own and n is best.parent and best.tag != "article"))
 
 
 def extract(pages: DataFrame, page: str = "html") -> DataFrame:

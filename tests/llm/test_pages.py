@@ -40,3 +40,15 @@ def test_every_page_has_a_row(llm):
     out = extract(llm.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
     assert sorted((r["page_id"], r["text"], r["n_chars"]) for r in out) == [(1, "x", 1), (2, "", 0), (2, "", 0), (3, "", 0)]
     assert extract(llm.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+LONG_P = "<p>" + "Words, of a long, paragraph, here, " * 11 + "end.</p>"
+
+
+@pytest.mark.parametrize("wrap", [("<article>", "</article>"), ("<main>", "</main>"), ("<div>", "</div>")])
+def test_uneven_sections_and_short_tails_stay(wrap):
+    page = (f"<body>{SIDE}{wrap[0]}<header><h1>Title</h1></header><section>{LONG_P * 25}</section>"
+            f"<section>{LONG_P * 5}</section><div>The end.</div>{wrap[1]}{TAIL}")
+    lines = main_text(page).split("\n")
+    assert len(lines) == 31 + (wrap[0] != "<div>") and lines[-1] == "The end."
+    assert (lines[0] == "Title") == (wrap[0] != "<div>")  # a header outside of article and main is furniture
