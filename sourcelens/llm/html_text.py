@@ -6,6 +6,10 @@ share of link text, to the container around it, half of them to the next contain
 container with the most points holds the article. If an article or main element encloses it, all of that
 element's blocks outside of furniture that are not mostly links stay; else its siblings that are not mostly links.
 
+A class or id word of furniture cuts an element out with all below it, unless the element also has a name
+that speaks for text, or holds nearly all of the page's text outside of links; such an element only weighs
+less. A page left without text is read again without regard to class and id words.
+
 Null and empty pages, and pages without text, give the empty text. Tags cut off at the end of a page are
 markup. Repeated pages are read one by one; other columns are ignored.
 """
@@ -46,6 +50,10 @@ BAD_WORDS = frozenset(
 BAD_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 GOOD_WORDS = frozenset("article body content entry main post story text page hentry".split())
+#: Share of the page's text outside of links from which an element is no furniture by its names alone.
+MOST = 0.8
+#: What a word of furniture takes from the weight of an element that stays.
+LOWER = 8.0
 #: Words of furniture that do not count against an element that also has a good word.
 EXCUSED = frozenset("header".split())
 WEIGHT = {"article": 25.0, "main": 20.0, "section": 3.0, "div": 3.0, "blockquote": 1.0, "td": 1.0}
@@ -58,19 +66,23 @@ LIMITS = {"li": frozenset(("ul", "ol", "menu", "dir")), "dt": frozenset(("dl",))
 
 
 class Node:
-    __slots__ = ("tag", "parent", "out", "link", "points", "weight", "chars", "linked", "order")
+    __slots__ = ("tag", "parent", "out", "bad", "link", "points", "weight", "chars", "linked", "order", "plain")
 
     def __init__(self, tag, parent, out, link, weight, order):
         self.tag, self.parent, self.out, self.link = tag, parent, out, link
         self.points, self.weight, self.chars, self.linked, self.order = 0.0, weight, 0, 0, order
+        self.bad, self.plain = False, 0
 
 
-def _judge(tag: str, attributes: str, inside: bool) -> tuple[bool, float]:
-    """Whether an element is page furniture, and its own weight. ``inside``: within an article or main."""
+def _judge(tag: str, attributes: str, inside: bool, names: bool) -> tuple[bool, bool, float]:
+    """Whether an element is page furniture, whether its names say so, and its own weight. ``inside``: within an
+    article or main; ``names``: whether class and id words of furniture count."""
+    cut = False
     out = tag in FURNITURE and not (inside and tag == "header")
     weight = WEIGHT.get(tag, 0.0)
     if attributes and "=" in attributes or "hidden" in attributes:
         words: set = set()
+        speaks = False  # a name with a good word and no bad one
         for name, a, b, c in MARKS.findall(attributes):
             value = html.unescape(a or b or c).lower()
             name = name.lower()
@@ -81,17 +93,23 @@ def _judge(tag: str, attributes: str, inside: bool) -> tuple[bool, float]:
             elif name == "style":
                 out = out or "display:none" in value.replace(" ", "")
             elif name in ("class", "id"):
-                words.update(re.split(r"[\s_\-:]+", value))
+                for one in value.split():
+                    own = set(re.split(r"[_\-:]+", one))
+                    words |= own
+                    speaks = speaks or bool(own & GOOD_WORDS) and not own & BAD_WORDS
         bad = words & BAD_WORDS
         good = words & GOOD_WORDS
-        if bad and not (good and bad <= EXCUSED) and tag not in ("body", "html", "article", "main"):
-            out = True
+        if bad and not (good and bad <= EXCUSED) and tag not in ("body", "html", "article", "main") and names:
+            if speaks:
+                weight -= LOWER
+            else:
+                cut = True
         if good:
             weight += 8.0
-    return out, weight
+    return out, cut, weight
 
 
-def blocks_of(page: str) -> tuple[list[tuple[Node, str, int]], list[Node]]:
+def blocks_of(page: str, names: bool = True) -> tuple[list[tuple[Node, str, int]], list[Node]]:
     """(element, text, linked characters) of every block in page order, and all elements."""
     root = Node("html", None, False, False, 0.0, 0)
     nodes, stack, blocks = [root], [root], []
@@ -179,12 +197,26 @@ def blocks_of(page: str) -> tuple[list[tuple[Node, str, int]], list[Node]]:
                     break
         parent = stack[-1]
         inside = any(n.tag in ("article", "main") for n in stack)
-        out, weight = _judge(tag, rest, inside)
+        out, cut, weight = _judge(tag, rest, inside, names)
+        out = out or cut and tag not in BLOCK  # runs of inline text are not taken apart later
         node = Node(tag, parent, out or parent.out, parent.link or tag == "a", weight, len(nodes))
+        node.bad = cut
         nodes.append(node)
         if not rest.endswith("/") or tag in BLOCK:
             stack.append(node)
     flush()
+    for node, text, links in blocks:
+        if not node.out:
+            node.plain += max(0, len(text) - links)
+    for node in reversed(nodes[1:]):
+        node.parent.plain += node.plain
+    for node in nodes[1:]:
+        if node.bad and not node.out:
+            if node.plain and node.plain >= MOST * root.plain:
+                node.weight -= LOWER
+            else:
+                node.out = True
+        node.out = node.out or node.parent.out
     return [b for b in blocks if not b[0].out], nodes
 
 
@@ -211,6 +243,8 @@ def _enclosing(node: Node) -> Node | None:
 def main_text(page: str) -> str:
     """The article's blocks in page order, one per line."""
     blocks, nodes = blocks_of(page)
+    if not blocks:
+        blocks, nodes = blocks_of(page, names=False)
     if not blocks:
         return ""
     for node, text, links in blocks:

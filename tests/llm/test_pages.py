@@ -52,3 +52,17 @@ def test_uneven_sections_and_short_tails_stay(wrap):
     lines = main_text(page).split("\n")
     assert len(lines) == 31 + (wrap[0] != "<div>") and lines[-1] == "The end."
     assert (lines[0] == "Title") == (wrap[0] != "<div>")  # a header outside of article and main is furniture
+
+
+@pytest.mark.parametrize("wrapper", ['class="content has-sidebar"', 'class="post comments-open"', 'id="page" class="no-banner"',
+                                     'class="with-sidebar"', 'class="layout sidebar-left"'])
+def test_wrappers_with_words_of_furniture_keep_their_text(wrapper):
+    page = f"<body><div {wrapper}><h1>Title</h1>{LONG_P * 3}<div class='comment-body'><p>Nice, post.</p></div></div>{TAIL}"
+    assert main_text(page).split("\n")[0] == "Title" and main_text(page).count("end.") == 3
+    assert "Nice" not in main_text(page)
+
+
+def test_a_page_of_furniture_names_only_is_read_again():
+    assert main_text("<body><span class=banner>Only, words.</span></body>") == "Only, words."
+    assert main_text("<body><div class=notice><p>One, two.</p></div><div class=promo><p>Three, four.</p></div></body>") == (
+        "One, two.\nThree, four.")
