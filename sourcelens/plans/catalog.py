@@ -642,3 +642,19 @@ def compose_prompts(spark, sf_dir):
     msg = J.scoped_message(F.col("message"), F.col("range.start"), F.col("range.end"))
     return j.select("doc_id", J.compose_prompt(msg, F.col("context")).alias("prompt"),
                     _long(F.col("skeleton_chars")).alias("skeleton_chars"))
+
+
+@query
+def compose_code_prompts(spark, sf_dir):
+    """X12 + A6 on ``code_files``: prompts of every thousandth file with the project's whole skeleton and its
+    imports, as a digest of the full text (each holds the skeleton of all files)."""
+    from sourcelens.operators import context as C
+    from sourcelens.plans import jobs as J
+
+    files, idx = code_index(spark, sf_dir)
+    number = F.regexp_extract("path", r"_(\d+)\.py$", 1).cast("bigint")
+    targets = files.where(number % 1000 == 1).select("project", "path")
+    ctx = C.build_contexts(files, idx, targets, with_text=True)
+    prompt = J.compose_prompt(F.concat(F.lit("Review "), F.col("path")), F.col("context"))
+    return ctx.select("path", F.sha2(prompt, 256).alias("prompt_sha256"), _long(F.length(prompt)).alias("prompt_chars"),
+                      "skeleton_chars", "has_imported", "context_chars")

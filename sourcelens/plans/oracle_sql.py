@@ -775,3 +775,33 @@ SELECT g.doc_id,
 FROM ranges g JOIN documents d ON d.doc_id = g.doc_id
 WHERE NOT g.clean AND g.message IS NOT NULL AND g.range_status NOT IN ('bad_shape', 'bad_order')
 """
+
+ORACLES["compose_code_prompts"] = with_(CODE_FILES) + f""",
+entries AS (
+  SELECT path, '### ' || path || chr(10) || 'Part' || {s('p_partkey')} || ', make_' || {s('p_partkey')} || ', price' AS e
+  FROM part_files
+  UNION ALL SELECT path, '### ' || path || chr(10) || 'run' FROM order_files),
+skel AS (SELECT '## Project Skeleton' || chr(10) || string_agg(e, chr(10) ORDER BY path) AS skeleton FROM entries),
+imported AS (
+  SELECT 'orders/o_' || {s('i.l_orderkey')} || '.py' AS path,
+         '## Imported Files' || chr(10) || string_agg(p.content, chr(10) || chr(10) || '---' || chr(10) || chr(10)
+                                                       ORDER BY i.rn) AS imported_section
+  FROM items i JOIN part_files p ON p.p_partkey = i.l_partkey GROUP BY i.l_orderkey),
+targets AS (
+  SELECT f.path, i.imported_section,
+         '## Target File: ' || regexp_extract(f.path, '([^/]*)$', 1) || chr(10) || {numbered('f.content')}
+           AS target_section
+  FROM code_files f LEFT JOIN imported i USING (path)),
+prompts AS (
+  SELECT t.path, k.skeleton, t.imported_section, k.skeleton || coalesce(chr(10) || chr(10) || t.imported_section, '')
+    || chr(10) || chr(10) || t.target_section AS context
+  FROM targets t CROSS JOIN skel k WHERE CAST(regexp_extract(t.path, '_(\\d+)\\.py$', 1) AS BIGINT) % 1000 = 1),
+sent AS (
+  SELECT *, 'Review ' || path || chr(10) || chr(10) || 'Use tools only when the provided context is insufficient.'
+    || chr(10) || chr(10) || context AS prompt FROM prompts)
+SELECT path, sha256(prompt) AS prompt_sha256, CAST(length(prompt) AS BIGINT) AS prompt_chars,
+       CAST(length(skeleton) AS BIGINT) AS skeleton_chars,
+       CAST(CASE WHEN imported_section IS NULL THEN 0 ELSE 1 END AS BIGINT) AS has_imported,
+       CAST(length(context) AS BIGINT) AS context_chars
+FROM sent
+"""
