@@ -10,7 +10,8 @@ The benchmark is taken in blocks of bounded size; each block is sent to all task
 once, without a shuffle.
 
 Null and empty texts, and items of fewer than ``LEAST`` words, match nothing. Repeated documents are judged
-row by row, repeated items report their id once. With an empty benchmark no document matches. Other columns
+row by row, repeated items report their id once. Items without an id are items like any other: they contaminate,
+and their null id comes after all others. With an empty benchmark no document matches. Other columns
 pass through.
 """
 
@@ -202,7 +203,8 @@ def blocks(benchmark: DataFrame, text: str = "text", item: str = "item_id"):
     count = max(1, -(-total // BLOCK_CHARS))
     for block in range(count):
         own = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == block).distinct()
-        yield Items(sorted((r["item_id"], r["text"]) for r in own.collect()))
+        yield Items(sorted(((r["item_id"], r["text"]) for r in own.collect()),
+                           key=lambda x: (x[0] is None, x[0] or 0, x[1])))
 
 
 def with_matches(docs: DataFrame, items: Items, out: str, text: str = "text", coverage: float = COVERAGE) -> DataFrame:
@@ -235,7 +237,7 @@ def report(docs: DataFrame, benchmark: DataFrame, text: str = "text", coverage:
     for items in blocks(benchmark):
         found = with_matches(found, items, "__leaks", "text", coverage)
     best = F.get(F.array_sort(F.transform("__leaks", lambda x: F.struct(
-        (-x["coverage"]).alias("c"), x["item_id"].alias("i")))), F.lit(0))
+        (-x["coverage"]).alias("c"), x["item_id"].isNull().alias("n"), x["item_id"].alias("i")))), F.lit(0))
     return found.select(
         "doc_id", (F.size("__leaks") > 0).alias("contaminated"),
         F.array_sort(F.array_distinct(F.transform("__leaks", lambda x: x["item_id"]))).alias("item_ids"),

@@ -143,6 +143,15 @@ def test_leaks_are_found_whole_reordered_and_in_long_texts(docs, llm):
     assert D.clean(docs(rows), none).count() == len(rows) and D.report(docs([]), bench).count() == 0
 
 
+def test_benchmark_items_without_an_id(docs, llm):
+    item, other = "Quince jam sets when sugar meets pectin slowly", "Copper kettles boil water over a small blue flame"
+    bench = llm.createDataFrame([(None, item), (10, item), (None, other), (None, None)], "item_id long, text string")
+    out = {r["doc_id"]: r for r in D.report(docs([(1, item), (2, other), (3, "clean text of its own")]), bench).collect()}
+    assert out[1]["item_ids"] == [10, None] and out[1]["best_item_id"] == 10
+    assert out[2]["contaminated"] and out[2]["item_ids"] == [None] and out[2]["coverage"] == 1.0
+    assert not out[3]["contaminated"]
+
+
 def test_benchmark_blocks_give_the_same_answer(docs, llm, monkeypatch):
     rows = [(i, f"alpha{i} beta{i} gamma{i} delta{i} epsilon{i} zeta{i}") for i in range(40)]
     bench = llm.createDataFrame([(i, t) for i, t in rows[::2]], "item_id long, text string")
