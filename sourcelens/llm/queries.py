@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import (
     chat_format,
+    conversation_trie,
     decontam,
     html_text,
     near_dup,
@@ -97,6 +98,13 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs, F.col("source"), F.concat_ws("/", F.col("source"), F.col("lang"))))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, each with openings borrowed from its family."""
+    prepare(spark)
+    lists = conversation_trie.turn_lists(table(spark, sf_dir, "conversations"))
+    return conversation_trie.nodes(conversation_trie.borrow_openings(lists))
+
+
 QUERIES = {
     "op1_permutation_index": op1_permutation_index,
     "op2_chat_format": op2_chat_format,
@@ -108,10 +116,15 @@ QUERIES = {
     "op8_near_dup": op8_near_dup,
     "op9_packing": op9_packing,
     "op10_secret_scan": op10_secret_scan,
+    "op11_conversation_trie": op11_conversation_trie,
 }
 #: Lengths of escaped strings: every backslash and every control string grows by one code point.
 _ESCAPED = r"""regexp_replace(regexp_replace({0}, '\\', 'bb', 'g'),
       '<(\||s>|/s>|<SYS|</SYS|start_of|end_of)|\[(/?INST\])', '<b\1\2', 'g')"""
+#: crc32 of a conversation's id as text, bit by bit: bytes of the text enter, each followed by eight shifts.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+      string_split(conv_id::VARCHAR, ''), lambda c: list_concat([ascii(c)::BIGINT], [-1, -1, -1, -1, -1, -1, -1, -1])))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END))"""
 
 ORACLES: dict[str, str] = {
     "op2_chat_format": f"""
@@ -152,4 +165,38 @@ reach(node, other) AS (
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(l.component, s.doc_id) AS component_id,
   coalesce(l.component, s.doc_id) = s.doc_id AS kept
 FROM sets s LEFT JOIN classes c ON len(s.s) > 0 AND c.c = hash(list_sort(s.s)) LEFT JOIN least_of l ON l.node = c.node""",
+    "op11_conversation_trie": f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS n
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, {_CRC32} % 9 AS h FROM (SELECT DISTINCT conv_id FROM turns)
+), heads AS (
+  SELECT i.conv_id, t.n, t.role, t.text FROM ids i JOIN turns t ON t.conv_id = i.base AND t.n <= i.h
+), borrowed AS (SELECT conv_id, count(*) AS k FROM heads GROUP BY conv_id),
+rebuilt AS (
+  SELECT * FROM heads UNION ALL
+  SELECT i.conv_id, t.n - i.h + coalesce(b.k, 0), t.role, t.text
+  FROM ids i JOIN turns t ON t.conv_id = i.conv_id AND t.n > i.h LEFT JOIN borrowed b ON b.conv_id = i.conv_id
+), paths AS (
+  SELECT conv_id, 0 AS d, md5('') AS p, 0 AS bytes FROM ids UNION ALL
+  SELECT conv_id, n, md5(string_agg(strlen(role) || ':' || role || strlen(text) || ':' || text, '')
+    OVER (PARTITION BY conv_id ORDER BY n)), strlen(text) FROM rebuilt
+), members AS (
+  SELECT *, lag(p) OVER (PARTITION BY conv_id ORDER BY d) AS up, d = max(d) OVER (PARTITION BY conv_id) AS ends FROM paths
+), nodes AS (
+  SELECT d, p, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM members GROUP BY d, p
+), below AS (SELECT d - 1 AS d, up AS p, count(*) AS n_children FROM nodes GROUP BY d, up),
+sums AS (
+  SELECT m.d, m.p, count(*) FILTER (b.p IS NULL) AS n_leaves, sum((u.n_convs - 1) * u.bytes) AS saved_tokens
+  FROM nodes u JOIN members m ON m.conv_id = u.conv_id AND m.d <= u.d LEFT JOIN below b ON b.d = u.d AND b.p = u.p
+  GROUP BY m.d, m.p
+)
+SELECT v.conv_id, v.d::BIGINT AS depth, a.conv_id AS parent_conv_id, v.n_convs, coalesce(b.n_children, 0) AS n_children,
+  s.n_leaves, s.saved_tokens::BIGINT AS saved_tokens, v.ends_sha256
+FROM nodes v JOIN sums s ON s.d = v.d AND s.p = v.p LEFT JOIN below b ON b.d = v.d AND b.p = v.p
+LEFT JOIN nodes a ON a.d = v.d - 1 AND a.p = v.up""",
 }
