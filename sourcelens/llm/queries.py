@@ -10,6 +10,8 @@ from . import (
     conversation_trie,
     decontam,
     html_text,
+    hyperplane_tree,
+    language_cnn,
     near_dup,
     packing,
     permutation_index,
@@ -105,6 +107,20 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.nodes(conversation_trie.borrow_openings(lists))
 
 
+def op12_language_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole document by the byte convolutional network."""
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    return language_cnn.predict(docs, language_cnn.fit(docs.where(~language_cnn.held_out())))
+
+
+def op13_hyperplane_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, by the hyperplane tree."""
+    prepare(spark)
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hyperplane_tree.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 QUERIES = {
     "op1_permutation_index": op1_permutation_index,
     "op2_chat_format": op2_chat_format,
@@ -117,6 +133,8 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_secret_scan": op10_secret_scan,
     "op11_conversation_trie": op11_conversation_trie,
+    "op12_language_cnn": op12_language_cnn,
+    "op13_hyperplane_tree": op13_hyperplane_tree,
 }
 #: Lengths of escaped strings: every backslash and every control string grows by one code point.
 _ESCAPED = r"""regexp_replace(regexp_replace({0}, '\\', 'bb', 'g'),
@@ -199,4 +217,23 @@ SELECT v.conv_id, v.d::BIGINT AS depth, a.conv_id AS parent_conv_id, v.n_convs,
   s.n_leaves, s.saved_tokens::BIGINT AS saved_tokens, v.ends_sha256
 FROM nodes v JOIN sums s ON s.d = v.d AND s.p = v.p LEFT JOIN below b ON b.d = v.d AND b.p = v.p
 LEFT JOIN nodes a ON a.d = v.d - 1 AND a.p = v.up""",
+    "op13_hyperplane_tree": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER (
+    PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5""",
 }
