@@ -3,14 +3,15 @@
 A file holds frames and an offset index, so one short document is read without touching the others::
 
     b"TIDS" | dictionary hash (32 bytes) | id width (1 byte) | frames ...
-    | index: doc_id int64, offset uint64, size uint32, tokens uint32 per document | count uint32 | b"TIDX"
+    | index: doc_id int64, offset uint64, size uint32, tokens uint32, named uint8 per document | count uint32 | b"TIDX"
 
 The dictionary lies beside the files under its hash; a reader refuses any other. Files are written by
 tasks over ranges of doc_id, under names of their own, so a lost task leaves at most a file that no
 manifest names. The manifest (one row per file) is a Spark table.
 
-Null and empty texts are the end id alone. Repeated rows become repeated entries, next to each other. An
-empty table gives an empty manifest. Extra columns of the input are ignored.
+Null and empty texts are the end id alone. A null doc_id comes before all others and is an entry that is not
+``named``. Repeated rows become repeated entries, next to each other. An empty table gives an empty manifest.
+Extra columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -32,12 +33,14 @@ from .token_ids import encoder
 
 MAGIC, FOOT = b"TIDS", b"TIDX"
 HEAD = len(MAGIC) + 32 + 1
-ENTRY = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("size", "<u4"), ("tokens", "<u4")])
+ENTRY = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("size", "<u4"), ("tokens", "<u4"), ("named", "u1")])
 #: A file is closed once its frames reach this size.
 FILE_BYTES = 32 << 20
 LEVEL = 3
-#: The dictionary is trained on at most this many documents, and on so many code points of each.
+#: The dictionary is trained on at most this many documents, those of least hash, and on so many code points of each.
 SAMPLE_DOCS, SAMPLE_CHARS, DICT_BYTES = 800, 4_000, 32 << 10
+#: Bytes of files that one task reads back.
+READ_BYTES = 8 << 20
 MANIFEST = "path string, part int, file int, first_doc long, last_doc long, n_docs long, tokens long, bytes long"
 
 
@@ -53,7 +56,14 @@ def train_dictionary(docs: DataFrame, tokenizer: str, cut: str | None, end_id: i
     """A dictionary from a bounded sample; empty where the sample is too small to train one."""
     import zstandard
 
-    rows = docs.select(F.substring(text_of(text), 1, SAMPLE_CHARS).alias("t")).limit(SAMPLE_DOCS).collect()
+    spread = F.xxhash64(F.col("doc_id"), text_of(text)).alias("h")
+    least = docs.select(spread).orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
+    if least is None:
+        return b""
+    # Rows that repeat share their hash: as many as the sample holds are enough.
+    rows = docs.select(spread, F.substring(text_of(text), 1, SAMPLE_CHARS).alias("t")).where(
+        F.col("h") <= least).limit(SAMPLE_DOCS).collect()
+    rows.sort()
     coder = encoder(tokenizer, cut)
     end = np.array([end_id], coder.dtype).tobytes()
     samples = [ids + end for ids in coder.encode([r["t"] for r in rows])]
@@ -87,8 +97,8 @@ class _Writer:
     def _open(self):
         self.body, self.size, self.index = [MAGIC + self.mark + bytes([self.width])], HEAD, []
 
-    def add(self, doc: int, frame: bytes, tokens: int):
-        self.index.append((doc, self.size, len(frame), tokens))
+    def add(self, doc: int | None, frame: bytes, tokens: int):
+        self.index.append((doc or 0, self.size, len(frame), tokens, doc is not None))
         self.body.append(frame)
         self.size += len(frame)
         if self.size >= FILE_BYTES:
@@ -146,8 +156,13 @@ def write(docs: DataFrame, tokenizer: str, cut: str | None, end_id: int, text: s
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(text).alias("text"))
                .repartitionByRange("doc_id").sortWithinPartitions("doc_id"))
     made = scratch(ordered.mapInArrow(store, MANIFEST), "token-manifest")
-    before = Window.orderBy("first_doc", "last_doc", "part", "file").rowsBetween(Window.unboundedPreceding, -1)
-    return base, made.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
+    # Parts are ranges of doc_id in order: one row a part, then the files of each part by themselves.
+    upto = lambda w: F.coalesce(F.sum("tokens").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = made.groupBy("part").agg(F.sum("tokens").alias("tokens")).select(
+        "part", upto(Window.orderBy("part")).alias("base"))
+    inside = upto(Window.partitionBy("part").orderBy("file"))
+    return base, made.withColumn("inside", inside).join(parts, "part").withColumn(
+        "start", F.col("base") + F.col("inside")).drop("base", "inside")
 
 
 def _dictionary(base: str, mark: bytes) -> bytes:
@@ -209,7 +224,7 @@ def read(base: str, manifest: DataFrame, keep_ids: bool = False) -> DataFrame:
                         tokens = some["tokens"].astype(np.int64)
                         starts = start + np.cumsum(tokens) - tokens
                         start += int(tokens.sum())
-                        columns = [pa.array(some["doc_id"].astype(np.int64)), pa.array(starts), pa.array(tokens),
+                        columns = [pa.array(some["doc_id"].astype(np.int64), mask=some["named"] == 0), pa.array(starts), pa.array(tokens),
                                    pa.array(crcs, pa.int64())]
                         names = ["doc_id", "start", "n_tokens", "ids_crc32"]
                         if keep_ids:
@@ -217,7 +232,14 @@ def read(base: str, manifest: DataFrame, keep_ids: bool = False) -> DataFrame:
                             names.append("ids")
                         yield pa.RecordBatch.from_arrays(columns, names)
 
-    return manifest.select("path", "start").repartition("path").mapInArrow(load, schema)
+    held = manifest.agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes")).first()
+    tasks = max(1, min(held["files"], max(-(-(held["bytes"] or 0) // READ_BYTES), base_tasks(manifest))))
+    return manifest.select("path", "start").repartition(tasks).mapInArrow(load, schema)
+
+
+def base_tasks(df: DataFrame) -> int:
+    """Tasks the session runs at once."""
+    return df.sparkSession.sparkContext.defaultParallelism
 
 
 def read_document(base: str, path: str, doc_id: int) -> list[np.ndarray]:
@@ -226,7 +248,7 @@ def read_document(base: str, path: str, doc_id: int) -> list[np.ndarray]:
     with files.open_input_file(f"{root}/{path}") as data:
         mark, dtype = _head(data)
         index, unzip, out = _index(data, data.size()), _decompressor(_dictionary(base, mark)), []
-        for x in index[index["doc_id"] == doc_id]:
+        for x in index[(index["doc_id"] == doc_id) & (index["named"] == 1)]:
             data.seek(int(x["offset"]))
             out.append(np.frombuffer(unzip.decompress(data.read(int(x["size"]))), dtype))
         return out

@@ -48,7 +48,6 @@ def test_stages(llm, tmp_path):
     assert all(r["n_chars"] == len(r["text"]) for r in masked.collect())
     # packing: every id of every document, once
     t = Tokenizer.from_file(public_tokenizers.path(C.TOKENIZER))
-    t.encode_special_tokens = True
     got: dict = {}
     for r in sorted(packed.collect(), key=lambda r: (r["doc_id"], r["start"])):
         got.setdefault(r["doc_id"], []).extend(np.frombuffer(r["ids"], "<u4").tolist())
