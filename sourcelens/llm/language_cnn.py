@@ -5,8 +5,8 @@ several widths run over a window, each keeps its greatest response, and a softma
 probability per language. A document's prediction adds up the log-probabilities of all its windows, weighted by
 their bytes, so whole texts count and long ones cost time in proportion.
 
-The network learns from a bounded sample: ``SAMPLE_DOCS`` labelled documents in all, shared out evenly among the
-languages and chosen by a hash of doc_id, ``SAMPLE_WINDOWS`` windows of each at hashed places. Sampled windows are
+The network learns from a bounded sample: about ``SAMPLE_DOCS`` labelled documents in all, never twice as many,
+shared out evenly among the languages and chosen by a hash of doc_id, ``SAMPLE_WINDOWS`` windows of each at hashed places. Sampled windows are
 cut to random lengths as well, so short texts are known too.
 
 A null text, or one without a letter, is ``und`` with score 0; so is every text where no labelled row was given.
@@ -22,7 +22,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import bounded_rows
 
@@ -139,16 +138,17 @@ def held_out(doc_id: str = "doc_id", parts: int = 4, part: int = 2) -> Column:
 
 
 def sample(docs: DataFrame, each: int) -> list:
-    """Windows (lang, data) of at most ``each`` documents per language, those of least hash."""
+    """Windows (lang, data, key) of about ``each`` documents per language, those of least hash.
+
+    A language's share of the hash range follows from its count, so no rows are sorted or gathered by language.
+    """
     named = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("doc_id").alias("__hash"))
-    order = Window.partitionBy("lang").orderBy("__hash")
-    least = named.select("lang", "__hash").withColumn("__rank", F.row_number().over(order)).where(
-        F.col("__rank") <= each).groupBy("lang").agg(F.max("__hash").alias("__most"))
-    bound = {r["lang"]: r["__most"] for r in bounded_rows(least, LANGUAGES, "languages")}
-    if not bound:
+    counts = bounded_rows(named.groupBy("lang").agg(F.count("*").alias("n")), LANGUAGES, "languages")
+    if not counts:
         return []
-    most = F.create_map(*[F.lit(x) for pair in bound.items() for x in pair])
+    most = F.create_map(*[F.lit(x) for r in counts for x in (
+        r["lang"], min((1 << 63) - 1, (1 << 64) * each // r["n"] - (1 << 63)))])
 
     def cut(batches):
         for batch in batches:
@@ -167,7 +167,8 @@ def sample(docs: DataFrame, each: int) -> list:
     # Documents that share an id share a hash: each key gives one document's windows.
     first = chosen.groupBy("lang", "key").agg(F.sort_array(F.collect_set("data")).alias("data")).select(
         "lang", "key", F.explode(F.slice("data", 1, SAMPLE_WINDOWS)).alias("data"))
-    return bounded_rows(first, LANGUAGES * SAMPLE_WINDOWS + SAMPLE_DOCS * SAMPLE_WINDOWS, "sampled windows")
+    # Twice the share is far beyond what a fair hash deals out.
+    return bounded_rows(first, 2 * (LANGUAGES + SAMPLE_DOCS) * SAMPLE_WINDOWS, "sampled windows")
 
 
 def fit(docs: DataFrame) -> Network:
