@@ -1,7 +1,8 @@
 """Column functions for text: Python-compatible line splitting, stripping, numbering.
 
-Every function takes and returns ``pyspark.sql.Column`` so it stays inside
-whole-stage codegen (regex and higher-order functions are JVM built-ins).
+Every function takes and returns ``pyspark.sql.Column``: regex and higher-order functions are
+JVM built-ins, so no row leaves the JVM. (Higher-order functions themselves are interpreted;
+what they are applied to and what follows them is still code-generated.)
 """
 
 from __future__ import annotations
@@ -45,6 +46,14 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def let(value, use) -> Column:
+    """``use(x)`` with ``x`` bound to ``value``, which is worked out once per row; null stays null.
+
+    An expression that a lambda refers to is otherwise worked out again for every element.
+    """
+    return F.get(F.transform(F.array(_c(value)), lambda x: F.when(x.isNotNull(), use(x))), F.lit(0))
+
+
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 

@@ -37,16 +37,31 @@ def parse_reviews_col(lines: Column) -> Column:
 
 
 def group_reviews_col(reviews: Column) -> Column:
-    """A2: one entry per distinct line (first-appearance order), comments in input order."""
-    keys = F.array_distinct(F.transform(reviews, lambda r: r["line_key"]))
-    return F.transform(
-        keys,
-        lambda k: F.struct(
-            k.alias("line_key"),
-            k.try_cast("bigint").alias("lineno"),
-            F.transform(F.filter(reviews, lambda r: r["line_key"] == k), lambda r: r["comment"]).alias("comments"),
-        ),
-    )
+    """A2: one entry per distinct line (first-appearance order), comments in input order.
+
+    One sort brings equal lines together; a group is the slice between two places where the
+    line changes, so the cost is that of the sort, whatever the number of groups.
+    """
+
+    def groups(r):
+        starts = F.filter(F.transform(r, lambda x, i: F.when(
+            (i == 0) | (x["line_key"] != F.get(r, i - 1)["line_key"]), i)), lambda i: i.isNotNull())
+
+        def group(s):
+            def one(start, k):
+                end = F.coalesce(F.get(s, k + 1), F.size(r))
+                first = F.get(r, start)
+                return F.struct(
+                    first["seq"].alias("first_seq"), first["line_key"].alias("line_key"), first["lineno"].alias("lineno"),
+                    F.transform(F.slice(r, start + 1, end - start), lambda x: x["comment"]).alias("comments"))
+
+            return F.transform(s, one)
+
+        return F.array_sort(T.let(starts, group))
+
+    by_line = F.array_sort(F.transform(reviews, lambda r: F.struct(
+        r["line_key"].alias("line_key"), r["seq"].alias("seq"), r["lineno"].alias("lineno"), r["comment"].alias("comment"))))
+    return T.let(by_line, groups)
 
 
 def parse_response(df: DataFrame, text_col: str = "output_text") -> DataFrame:
@@ -76,12 +91,6 @@ def parse_response(df: DataFrame, text_col: str = "output_text") -> DataFrame:
     return out.withColumn("grouped", group_reviews_col(F.col("reviews"))).drop("_rl", "_start", "_end")
 
 
-def review_map(grouped: Column) -> Column:
-    """MAP<BIGINT, ARRAY<STRING>> of the usable (BIGINT-sized) lines."""
-    usable = F.filter(grouped, lambda g: g["lineno"].isNotNull())
-    return F.map_from_entries(F.transform(usable, lambda g: F.struct(g["lineno"], g["comments"])))
-
-
 def inject_col(content: Column, grouped: Column) -> Column:
     """Comment lines above each target with the target's indent, input order kept.
 
@@ -91,19 +100,36 @@ def inject_col(content: Column, grouped: Column) -> Column:
     return inject_lines(T.split_lines_keepends(content), grouped)
 
 
+def lines_in_file(grouped: Column, n_lines: Column) -> Column:
+    """the groups that land in the file (lines 1..n), by line."""
+    inside = F.filter(grouped, lambda g: g["lineno"].between(F.lit(1), n_lines))
+    return F.array_sort(F.transform(inside, lambda g: F.struct(
+        g["lineno"].cast("int").alias("lineno"), g["comments"].alias("comments"))))
+
+
 def inject_lines(lines: Column, grouped: Column) -> Column:
-    """J3 on an already split ARRAY of lines (with ends)."""
-    m = review_map(grouped)
-
-    def one(l, i):
-        comments = F.try_element_at(m, (i + 1).cast("bigint"))
-        prefix = F.array_join(
-            F.transform(comments, lambda c: F.concat(T.indent_of(l), F.lit(T.REVIEW_PREFIX + " "), c, F.lit("\n"))),
-            "",
-        )
-        return F.concat(F.coalesce(prefix, F.lit("")), l)
+    """J3 on an already split ARRAY of lines (with ends).
+
+    The text is put together from the runs of lines between two targets, each followed by the
+    comments of the next target: every line is copied once, and no line looks anything up.
+    """
+
+    def build(ls):
+        def join(targets):
+            def run(j):
+                start = F.coalesce(F.get(targets, j - 1)["lineno"], F.lit(1))
+                here = F.get(targets, j)
+                end = F.coalesce(here["lineno"], F.size(ls) + 1)
+                indent = T.indent_of(F.get(ls, here["lineno"] - 1))
+                comments = F.array_join(F.transform(
+                    here["comments"], lambda c: F.concat(indent, F.lit(T.REVIEW_PREFIX + " "), c, F.lit("\n"))), "")
+                return F.concat(F.array_join(F.slice(ls, start, end - start), ""), F.coalesce(comments, F.lit("")))
+
+            return F.array_join(F.transform(F.sequence(F.lit(0), F.size(targets)), run), "")
+
+        return F.coalesce(T.let(lines_in_file(grouped, F.size(ls)), join), F.array_join(ls, ""))
 
-    return F.array_join(F.transform(lines, one), "")
+    return T.let(lines, build)
 
 
 def injected_count_col(grouped: Column, n_lines: Column) -> Column:

@@ -1,32 +1,30 @@
-"""Source index: one parsing pass (E1-E5) and the lookups answered from it.
+"""Source index: one parsing pass per distinct content (E1-E5) and the lookups answered from it.
 
-Python's own ``ast`` parses each file inside ``mapInArrow``; the pass runs where the
-files are (no shuffle before it) and emits narrow index records. Every later question
-(skeleton, symbol search, import resolution, definitions) is a join or an aggregate
-over those records, so the project is parsed once instead of once per question.
+What parsing finds depends on a file's content alone, so records are kept by content hash, in a
+``ParseStore``: a narrow map (project, path) -> content_sha, and the records of every content,
+parsed once however many projects hold a copy of it. Python's own ``ast`` parses inside
+``mapInArrow``. Every later question (skeleton, symbol search, import resolution, definitions)
+is answered on the contents first and goes out to the files that hold them last.
 """
 
 from __future__ import annotations
 
+import ast
+from dataclasses import dataclass, field
+
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sourcelens.functions import text as T
 
-INDEX_SCHEMA = (
-    "project string, path string, rec string, kind string, name string, lineno int, "
-    "end_lineno int, bfs_order int, alias_pos int, seg_start int, seg_end int, status string, error string, "
-    "content_sha string"
+RECORD_SCHEMA = (
+    "content_sha string, rec string, kind string, name string, lineno int, end_lineno int, bfs_order int, "
+    "alias_pos int, seg_start int, seg_end int, status string, error string"
 )
-_FIELDS = [
-    ("project", pa.string()), ("path", pa.string()), ("rec", pa.string()), ("kind", pa.string()),
-    ("name", pa.string()), ("lineno", pa.int32()), ("end_lineno", pa.int32()), ("bfs_order", pa.int32()),
-    ("alias_pos", pa.int32()), ("seg_start", pa.int32()), ("seg_end", pa.int32()), ("status", pa.string()),
-    ("error", pa.string()),
-    ("content_sha", pa.string()),
-]
-_ARROW_SCHEMA = pa.schema(_FIELDS)
+_TYPES = {"string": pa.string(), "int": pa.int32()}
+_ARROW_SCHEMA = pa.schema([(n, _TYPES[t]) for n, t in (c.split() for c in RECORD_SCHEMA.split(", "))])
+KEYS = ["project", "path"]
 
 # Section texts and lookup messages ({...} are filled per row).
 SKELETON_HEADING = "## Project Skeleton\n"
@@ -42,6 +40,9 @@ MSG_NO_SOURCE = "Could not extract source for '{name}'"
 MSG_PARSE_ERROR = "Error parsing '{path}': {error}"
 
 
+# ---------------------------------------------------------------------------
+# Parsing (inside tasks)
+# ---------------------------------------------------------------------------
 def _segment_offsets(content: str):
     """Character offsets of a node's source segment, as ``ast.get_source_segment`` cuts it.
 
@@ -51,9 +52,12 @@ def _segment_offsets(content: str):
     import re
 
     starts = [0] + [m.end() for m in re.finditer(r"\r\n|\r|\n", content)]
+    plain = content.isascii()
 
     def char_at(lineno: int, col: int) -> int:
         begin = starts[lineno - 1]
+        if plain:
+            return begin + col
         end = starts[lineno] if lineno < len(starts) else len(content)
         return begin + len(content[begin:end].encode("utf-8")[:col].decode("utf-8", errors="ignore"))
 
@@ -65,98 +69,179 @@ def _segment_offsets(content: str):
     return segment
 
 
-def _extract_batches(batches):
-    """Per file: one 'file' status record plus def / call / import records in walk order."""
-    import ast
+# One builder per syntax node that the index keeps: (rec, kind, name, position among its siblings).
+def _defines(kind: str):
+    return lambda node: (("def", kind, node.name, None),)
+
+
+def _names_a_call(node: ast.Call):
+    """A plain name or the last attribute; calls of other expressions have none."""
+    name = getattr(node.func, "id", getattr(node.func, "attr", None))
+    return () if name is None else (("call", None, name, None),)
+
+
+def _imports_modules(node: ast.Import):
+    return [("import", None, alias.name, at) for at, alias in enumerate(node.names)]
+
+
+def _imports_from(node: ast.ImportFrom):
+    """F8: an absolute module; relative imports never resolve."""
+    return (("import", None, node.module, 0),) if node.module and not node.level else ()
+
 
-    def_kinds = {ast.FunctionDef: "function", ast.AsyncFunctionDef: "async", ast.ClassDef: "class"}
+_BUILDERS = {
+    ast.FunctionDef: _defines("function"),
+    ast.AsyncFunctionDef: _defines("async"),
+    ast.ClassDef: _defines("class"),
+    ast.Call: _names_a_call,
+    ast.Import: _imports_modules,
+    ast.ImportFrom: _imports_from,
+}
+
+
+def content_records(sha: str, content: str):
+    """Records of one content in walk order, its own status first."""
+    try:
+        tree = ast.parse(content)
+    except SyntaxError as e:
+        return [(sha, "file", *[None] * 8, "syntax_error", str(e))]
+    except Exception as e:  # deep nesting etc.: reported, never fatal
+        return [(sha, "file", *[None] * 8, "error", f"{type(e).__name__}: {e}")]
+    out, segment = [(sha, "file", *[None] * 8, "ok", None)], None
+    for order, node in enumerate(ast.walk(tree)):
+        for rec, kind, name, at in _BUILDERS.get(type(node), lambda _: ())(node):
+            ends, cut = None, (None, None)
+            if rec == "def":  # E5 as offsets into the file: the text is cut only for lookups that need it
+                segment = segment or _segment_offsets(content)
+                ends, cut = node.end_lineno, segment(node)
+            out.append((sha, rec, kind, name, node.lineno, ends, order, at, *cut, None, None))
+    return out
+
+
+def _parse_batches(batches):
     for batch in batches:
-        cols = batch.to_pydict()
-        out = {name: [] for name, _ in _FIELDS}
-
-        def emit(project, path, rec, kind=None, name=None, lineno=None, end_lineno=None, order=None,
-                 alias_pos=None, seg=(None, None), status=None, error=None, sha=None):
-            for k, v in (("project", project), ("path", path), ("rec", rec), ("kind", kind), ("name", name),
-                         ("lineno", lineno), ("end_lineno", end_lineno), ("bfs_order", order),
-                         ("alias_pos", alias_pos), ("seg_start", seg[0]), ("seg_end", seg[1]),
-                         ("status", status), ("error", error), ("content_sha", sha)):
-                out[k].append(v)
-
-        for project, path, content, sha in zip(cols["project"], cols["path"], cols["content"], cols["content_sha"]):
-            if content is None:
-                emit(project, path, "file", status="unreadable", sha=sha)
-                continue
-            try:
-                tree = ast.parse(content)
-            except SyntaxError as e:
-                emit(project, path, "file", status="syntax_error", error=str(e), sha=sha)
-                continue
-            except Exception as e:  # deep nesting etc.: reported, never fatal
-                emit(project, path, "file", status="error", error=f"{type(e).__name__}: {e}", sha=sha)
-                continue
-            emit(project, path, "file", status="ok", sha=sha)
-            segment = None
-            for order, node in enumerate(ast.walk(tree)):
-                kind = def_kinds.get(type(node))
-                if kind is not None:
-                    segment = segment or _segment_offsets(content)
-                    # E5 as offsets into the file: the text is cut only for lookups that need it
-                    emit(project, path, "def", kind=kind, name=node.name, lineno=node.lineno,
-                         end_lineno=node.end_lineno, order=order, seg=segment(node))
-                elif isinstance(node, ast.Call):
-                    f = node.func
-                    name = f.id if isinstance(f, ast.Name) else f.attr if isinstance(f, ast.Attribute) else None
-                    if name is not None:
-                        emit(project, path, "call", name=name, lineno=node.lineno, order=order)
-                elif isinstance(node, ast.Import):
-                    for pos, alias in enumerate(node.names):
-                        emit(project, path, "import", name=alias.name, lineno=node.lineno, order=order,
-                             alias_pos=pos)
-                elif isinstance(node, ast.ImportFrom):
-                    if node.module is None or node.level > 0:
-                        continue  # F8: relative and module-less imports never resolve
-                    emit(project, path, "import", name=node.module, lineno=node.lineno, order=order,
-                         alias_pos=0)
-        yield pa.RecordBatch.from_pydict(out, schema=_ARROW_SCHEMA)
-
-
-def extract(files: DataFrame) -> DataFrame:
-    """E1-E5 in one pass over ``files(project, path, content)``; returns index records.
-
-    Persist or write the result (``write_index``) when several questions are asked of it.
+        rows = [r for sha, content in zip(*(c.to_pylist() for c in batch.columns)) for r in content_records(sha, content)]
+        for at in range(0, len(rows), 50_000):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(zip(*rows[at:at + 50_000]), _ARROW_SCHEMA)], schema=_ARROW_SCHEMA)
+
+
+# ---------------------------------------------------------------------------
+# The store
+# ---------------------------------------------------------------------------
+@dataclass
+class ParseStore:
+    """``paths(project, path, content_sha)`` and ``records`` (``RECORD_SCHEMA``) of every content.
+
+    A file without content has a null hash and no records.
+    """
+
+    paths: DataFrame
+    records: DataFrame
+    _hot: list = field(default_factory=list, repr=False)
+
+    @property
+    def sparkSession(self) -> SparkSession:
+        return self.paths.sparkSession
+
+    def cache(self) -> ParseStore:
+        return ParseStore(self.paths.cache(), self.records.cache())
+
+    def of(self, rec: str) -> DataFrame:
+        return self.records.where(F.col("rec") == rec)
+
+    def where(self, condition) -> DataFrame:
+        """Records at every file that holds their content, filtered before they go out to the files."""
+        return self.at_files(self.records.where(condition))
+
+    def at_files(self, records: DataFrame) -> DataFrame:
+        """Records of contents as records of the files that hold them."""
+        columns = [c for c in records.columns if c != "content_sha"]
+        each = records.groupBy("content_sha").agg(F.collect_list(F.struct(*columns)).alias("_r"))  # one content's own
+        return self.to_files(each).select(*KEYS, "content_sha", F.inline("_r"))
+
+    def to_files(self, each: DataFrame, how: str = "inner") -> DataFrame:
+        """Join one row per content to its files. A content that many files hold is a hot key and is salted."""
+        from sourcelens.plans.joins import hot_keys, join_hot_keys
+
+        if not self._hot:
+            self._hot.append(hot_keys(self.paths.where("content_sha is not null"), ["content_sha"]))
+        return join_hot_keys(self.paths, each, ["content_sha"], how, salt_by=KEYS, hot=self._hot[0])
+
+    def at_targets(self, targets: DataFrame, small: bool | None = None) -> ParseStore:
+        """The store of some files only: their paths, and the records of the contents they hold."""
+        from sourcelens.plans.joins import join_small
+
+        paths = join_small(self.paths, targets.select(*KEYS).distinct(), KEYS, "left_semi", known_small=small)
+        shas = paths.select("content_sha").distinct()
+        return ParseStore(paths, join_small(self.records, shas, ["content_sha"], "left_semi", known_small=small))
+
+    def keep(self, name: str) -> ParseStore:
+        """Write both tables in the shared checkpoint dir and read them back."""
+        from sourcelens.session import write_and_read
+
+        return ParseStore(write_and_read(self.paths, f"{name}_paths"),
+                          write_and_read(self.records, name, partition_by="rec"))
+
+
+def with_sha(files: DataFrame) -> DataFrame:
+    """``files`` with the hash of each content."""
+    return files.select(*KEYS, "content", F.sha2(F.col("content"), 256).alias("content_sha"))
+
+
+def parse_contents(hashed: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Records of every distinct content of ``hashed(content_sha, content)`` that is not ``known`` yet.
+
+    Known hashes go first (anti join), then equal contents become one row, on the map side
+    already, so a text is parsed once however many files hold it.
     """
     from sourcelens.session import ship_package
 
-    ship_package(files.sparkSession)
-    src = files.select("project", "path", "content", F.sha2(F.col("content"), 256).alias("content_sha"))
-    return src.mapInArrow(_extract_batches, INDEX_SCHEMA)
+    ship_package(hashed.sparkSession)
+    contents = hashed.where(F.col("content").isNotNull()).select("content_sha", "content")
+    if known is not None:
+        contents = contents.join(known.select("content_sha").distinct(), "content_sha", "left_anti")
+    one = contents.groupBy("content_sha").agg(F.first("content").alias("content"))
+    return one.mapInArrow(_parse_batches, RECORD_SCHEMA)
+
 
+def extract(files: DataFrame) -> ParseStore:
+    """The parse store of ``files(project, path, content)``.
+
+    Keep it (``keep`` or ``write_index``) when several questions are asked of it.
+    """
+    hashed = with_sha(files)
+    return ParseStore(hashed.select(*KEYS, "content_sha"), parse_contents(hashed))
 
-def refresh_index(files: DataFrame, index: DataFrame) -> DataFrame:
-    """Incremental re-index: parse only files whose content hash is new or changed.
 
-    An anti join on (project, path, content_sha) against the index's per-file records picks
-    the files to parse; their old records and those of deleted files are dropped, the rest
-    of the index is kept as it is. Write the result as a new index version.
+def refresh_index(files: DataFrame, index: ParseStore) -> ParseStore:
+    """Incremental re-index: parse only contents that the store does not know.
+
+    A moved, copied or renamed file costs a row of the map. Records of contents that no file
+    holds any more are dropped. Write the result as a new index version.
     """
-    hashed = files.select("project", "path", "content", F.sha2(F.col("content"), 256).alias("content_sha"))
-    known = index.where(F.col("rec") == "file").select("project", "path", "content_sha")
-    changed = hashed.join(known, ["project", "path", "content_sha"], "left_anti")
-    keep_paths = hashed.join(changed.select("project", "path"), ["project", "path"], "left_anti").select(
-        "project", "path")
-    kept = index.join(keep_paths, ["project", "path"], "left_semi")
-    return kept.unionByName(extract(changed.drop("content_sha")))
+    hashed = with_sha(files)
+    paths = hashed.select(*KEYS, "content_sha")
+    held = paths.select("content_sha").distinct()
+    kept = index.records.join(held, "content_sha", "left_semi")
+    return ParseStore(paths, kept.unionByName(parse_contents(hashed, index.of("file"))))
 
 
-def write_index(index: DataFrame, out_dir: str) -> None:
-    """Write index records partitioned by record type, so each lookup reads one slice."""
-    index.write.mode("overwrite").partitionBy("rec").parquet(out_dir)
+def write_index(index: ParseStore, out_dir: str) -> None:
+    """Write the records partitioned by record type, so each lookup reads one slice, and the paths beside them."""
+    index.records.write.mode("overwrite").partitionBy("rec").parquet(out_dir)
+    index.paths.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/_paths")
 
 
-def definitions(index: DataFrame) -> DataFrame:
-    return index.where(F.col("rec") == "def").select(
-        "project", "path", "kind", "name", "lineno", "end_lineno", "bfs_order"
-    )
+def read_index(spark: SparkSession, out_dir: str) -> ParseStore:
+    return ParseStore(spark.read.parquet(f"{out_dir.rstrip('/')}/_paths"), spark.read.parquet(out_dir))
+
+
+# ---------------------------------------------------------------------------
+# Questions
+# ---------------------------------------------------------------------------
+def definitions(index: ParseStore) -> DataFrame:
+    return index.where(F.col("rec") == "def").select(*KEYS, "kind", "name", "lineno", "end_lineno", "bfs_order")
 
 
 def definition_source(defs: DataFrame, files: DataFrame, small: bool | None = None) -> DataFrame:
@@ -167,43 +252,42 @@ def definition_source(defs: DataFrame, files: DataFrame, small: bool | None = No
     """
     from sourcelens.plans.joins import join_small
 
-    paths = defs.select("project", "path").distinct()
-    content = join_small(files.select("project", "path", "content"), paths, ["project", "path"], "left_semi",
-                         known_small=small)
-    j = defs.join(content, ["project", "path"], "left")
+    paths = defs.select(*KEYS).distinct()
+    content = join_small(files.select(*KEYS, "content"), paths, KEYS, "left_semi", known_small=small)
+    j = defs.join(content, KEYS, "left")
     text = F.when(F.col("seg_start").isNotNull(),
                   F.substring(F.col("content"), F.col("seg_start") + 1, F.col("seg_end") - F.col("seg_start")))
     return j.withColumn("source", text).drop("content")
 
 
-def calls(index: DataFrame) -> DataFrame:
-    return index.where(F.col("rec") == "call").select("project", "path", "name", "lineno", "bfs_order")
+def calls(index: ParseStore) -> DataFrame:
+    return index.where(F.col("rec") == "call").select(*KEYS, "name", "lineno", "bfs_order")
 
 
-def imports(index: DataFrame) -> DataFrame:
+def imports(index: ParseStore) -> DataFrame:
     return index.where(F.col("rec") == "import").select(
-        "project", "path", F.col("name").alias("module"), "lineno", "bfs_order", "alias_pos"
+        *KEYS, F.col("name").alias("module"), "lineno", "bfs_order", "alias_pos"
     )
 
 
-def parse_status(index: DataFrame) -> DataFrame:
+def parse_status(index: ParseStore) -> DataFrame:
     """One row per file with ok / syntax_error / error / unreadable."""
-    return index.where(F.col("rec") == "file").select("project", "path", "status", "error")
+    found = index.to_files(index.of("file").select("content_sha", "status", "error"), "left")
+    status = F.when(F.col("content_sha").isNull(), F.lit("unreadable")).otherwise(F.col("status"))
+    return found.select(*KEYS, status.alias("status"), "error")
 
 
-def skeleton_entries(index: DataFrame) -> DataFrame:
+def skeleton_entries(index: ParseStore) -> DataFrame:
     """A1: per file ``### <path>\\n<n1, n2, ...>`` with names in walk order, duplicates kept.
 
-    Files without definitions have no entry (F9). The group is one file's definitions.
+    Files without definitions have no entry (F9). The names are put in order once per content.
     """
-    d = definitions(index)
-    g = d.groupBy("project", "path").agg(F.array_sort(F.collect_list(F.struct("bfs_order", "name"))).alias("defs"))
-    return g.select(
-        "project",
-        "path",
-        F.size("defs").cast("bigint").alias("n_names"),
-        T.fill(SKELETON_ENTRY, path="path", names=F.array_join(F.col("defs.name"), SKELETON_NAME_SEP)).alias("entry"),
-    )
+    g = index.of("def").groupBy("content_sha").agg(
+        F.array_sort(F.collect_list(F.struct("bfs_order", "name"))).alias("defs"))
+    names = g.select("content_sha", F.size("defs").cast("bigint").alias("n_names"),
+                     F.array_join(F.col("defs.name"), SKELETON_NAME_SEP).alias("names"))
+    return index.to_files(names).select(
+        *KEYS, "n_names", T.fill(SKELETON_ENTRY, path="path", names="names").alias("entry"))
 
 
 def skeleton_sizes(entries: DataFrame) -> DataFrame:
@@ -222,10 +306,28 @@ def skeleton_sizes(entries: DataFrame) -> DataFrame:
     )
 
 
-def skeleton_texts(entries: DataFrame) -> DataFrame:
-    """Per project: the skeleton section itself, entries in ``path`` order."""
-    return entries.groupBy("project").agg(F.array_sort(F.collect_list(F.struct("path", "entry"))).alias("e")).select(
-        "project", F.concat(F.lit(SKELETON_HEADING), F.array_join(F.col("e.entry"), "\n")).alias("skeleton_text"))
+# Characters of skeleton text in one chunk row; the entry that reaches the end of a chunk is its last.
+CHUNK_CHARS = 16_384
+
+
+def skeleton_chunks(entries: DataFrame, chunk_chars: int | None = None) -> DataFrame:
+    """Per project: the skeleton section as chunks ``(project, chunk_no, text)``, bounded in size.
+
+    Entries are in ``path`` order. An entry's place in the text follows from the lengths of
+    those before it (prefix sums over ranges of paths), and its place decides its chunk, so a
+    project of any size is cut without being gathered. The chunks in order are the section;
+    the first has its heading.
+    """
+    from sourcelens.plans.order import running_total
+
+    size = CHUNK_CHARS if chunk_chars is None else chunk_chars
+    placed = running_total(entries.select("project", "path", "entry"), ["project"], ["path"],
+                           F.length("entry") + 1, "_start")
+    cut = placed.withColumn("chunk_no", F.floor(F.col("_start") / size))
+    chunks = cut.groupBy("project", "chunk_no").agg(  # at most a chunk and its last entry
+        F.array_sort(F.collect_list(F.struct("_start", "entry"))).alias("e"))
+    before = F.when(F.col("chunk_no") == 0, F.lit(SKELETON_HEADING)).otherwise(F.lit("\n"))
+    return chunks.select("project", "chunk_no", F.concat(before, F.array_join(F.col("e.entry"), "\n")).alias("text"))
 
 
 def modules(files: DataFrame) -> DataFrame:
@@ -237,7 +339,7 @@ def modules(files: DataFrame) -> DataFrame:
     return py.groupBy("project", T.module_key("path").alias("module_key")).agg(F.min("path").alias("path"))
 
 
-def resolve_imports(index: DataFrame, files: DataFrame, content=None) -> DataFrame:
+def resolve_imports(index: ParseStore, files: DataFrame, content=None) -> DataFrame:
     """Imports joined to the module map on (project, key), with the module's content.
 
     Inner equi-join: unresolved imports drop out, duplicates stay. Every module meets its
@@ -272,38 +374,44 @@ def imported_sections(resolved: DataFrame) -> DataFrame:
     )
 
 
-def symbol_hits(index: DataFrame) -> DataFrame:
-    """Definitions and calls as one relation (UNION ALL), with their report text."""
-    d = definitions(index).select(
-        "project", "path", "name", "lineno", "bfs_order", F.lit("DEFINED").alias("kind")
-    )
-    c = calls(index).select("project", "path", "name", "lineno", "bfs_order", F.lit("CALLED").alias("kind"))
-    u = d.unionByName(c)
-    hit = F.when(F.col("kind") == "DEFINED", T.fill(HIT_DEFINED, path="path", lineno="lineno")).otherwise(
-        T.fill(HIT_CALLED, path="path", lineno="lineno"))
-    return u.withColumn("hit", hit)
+def symbol_hits(index: ParseStore) -> DataFrame:
+    """Definitions and calls of every content as one relation (UNION ALL)."""
+    cols = ["content_sha", F.col("name").alias("symbol"), "bfs_order", "lineno"]
+    return index.of("def").select(*cols, F.lit("DEFINED").alias("kind")).unionByName(
+        index.of("call").select(*cols, F.lit("CALLED").alias("kind")))
 
 
-def search_symbols(requested: DataFrame, index: DataFrame, small: bool | None = None) -> DataFrame:
+def search_symbols(requested: DataFrame, index: ParseStore, small: bool | None = None) -> DataFrame:
     """Requested ``(project, symbol)`` against the hit relation; not-found rows added.
 
-    The requested names go to the index (broadcast when proven small), so the index is
-    filtered where it is read and a hot name such as ``run`` is never a shuffle key.
-    Misses are an anti join against the found names only.
+    The requested names go to the records (broadcast when proven small), so these are
+    filtered where they are read and a hot name such as ``run`` is never a shuffle key. A
+    content's hits then go out to its files in one row, and what the project did not ask for
+    is dropped there. Misses are an anti join against the found names only.
     """
     from sourcelens.plans.joins import join_hot_keys, small_side
     from sourcelens.session import checkpoint
 
-    hits = symbol_hits(index).withColumnRenamed("name", "symbol")
     req = requested.select("project", "symbol").distinct()
     if small is None:
         req, small = small_side(req)
+    names = req.select("symbol").distinct()
+    hits = symbol_hits(index)
     if small:
-        j = hits.join(F.broadcast(req), ["project", "symbol"], "inner")
+        hits = hits.join(F.broadcast(names), "symbol", "left_semi")
     else:  # too many names to broadcast: hot names (``run``) are salted, the rest shuffle-joined
-        j = join_hot_keys(hits, req, ["project", "symbol"], "inner", salt_by=["path", "bfs_order"])
+        hits = join_hot_keys(hits, names, ["symbol"], "inner", salt_by=["content_sha", "bfs_order"])
+    each = hits.groupBy("content_sha").agg(
+        F.collect_list(F.struct("symbol", "bfs_order", "lineno", "kind")).alias("_h"))  # one content's own hits
+    placed = index.to_files(each).select(*KEYS, F.inline("_h"))
+    if small:
+        j = placed.join(F.broadcast(req), ["project", "symbol"], "left_semi")
+    else:
+        j = join_hot_keys(placed, req, ["project", "symbol"], "inner", salt_by=["path", "bfs_order"])
+    hit = F.when(F.col("kind") == "DEFINED", T.fill(HIT_DEFINED, path="path", lineno="lineno")).otherwise(
+        T.fill(HIT_CALLED, path="path", lineno="lineno"))
     # Materialised once: the output and the anti join both read it (one index scan).
-    found = checkpoint(j.select("project", "symbol", "path", "bfs_order", "lineno", "kind", "hit"))
+    found = checkpoint(j.select("project", "symbol", "path", "bfs_order", "lineno", "kind", hit.alias("hit")))
     missing = req.join(found.select("project", "symbol").distinct(), ["project", "symbol"], "left_anti").select(
         "project",
         "symbol",
@@ -316,49 +424,58 @@ def search_symbols(requested: DataFrame, index: DataFrame, small: bool | None =
     return found.unionByName(missing)
 
 
-def get_definitions(requested: DataFrame, index: DataFrame, files: DataFrame, small: bool | None = None) -> DataFrame:
+def get_definitions(requested: DataFrame, index: ParseStore, files: DataFrame, small: bool | None = None) -> DataFrame:
     """J7 + W2 + E5: first definition in walk order per requested ``(project, path, name)``.
 
-    The index is semi-joined with the requests first (broadcast when proven small), then
-    ``min_by`` over ``bfs_order`` picks the first hit per request (no sort of the group);
-    source text is fetched only for the winners. Misses and unparseable files produce the
-    reference's messages.
+    Requests become (content, name) pairs; the definitions are semi-joined with those first
+    (broadcast when proven small), then ``min_by`` over ``bfs_order`` picks the first hit (no
+    sort of the group). The source is cut once per content and name, whatever the number of
+    files asked about. ``status`` says ok / not_found / parse_error / missing; misses and
+    unparseable files have the reference's messages as ``output``.
     """
-    from sourcelens.plans.joins import join_small, small_side
+    from sourcelens.plans.joins import join_hot_keys, join_small, small_side
 
-    req = requested.select("project", "path", "name").distinct()
+    req = requested.select(*KEYS, "name").distinct()
     if small is None:
         req, small = small_side(req)
     # every side below has at most as many rows as the requests
-    d = join_small(index.where(F.col("rec") == "def").select(
-        "project", "path", "name", "lineno", "bfs_order", "seg_start", "seg_end"),
-        req, ["project", "path", "name"], "left_semi", known_small=small)
-    first = d.groupBy("project", "path", "name").agg(
-        F.min_by(F.struct("lineno", "seg_start", "seg_end"), "bfs_order").alias("w")
-    ).select("project", "path", "name", "w.lineno", "w.seg_start", "w.seg_end")
-    src = definition_source(first, files, small)
-    winners = req.join(src, ["project", "path", "name"], "left")
-    status = join_small(parse_status(index), req.select("project", "path").distinct(), ["project", "path"],
-                        "left_semi", known_small=small)
-    j = winners.join(status, ["project", "path"], "left")
+    paths = join_small(index.paths, req.select(*KEYS).distinct(), KEYS, "left_semi", known_small=small)
+    asked = req.join(paths.withColumn("listed", F.lit(True)), KEYS, "left")
+    pairs = asked.where(F.col("content_sha").isNotNull()).select("content_sha", "name").distinct()
+    d = join_small(index.of("def").select("content_sha", "name", "lineno", "bfs_order", "seg_start", "seg_end"),
+                   pairs, ["content_sha", "name"], "left_semi", known_small=small)
+    first = d.groupBy("content_sha", "name").agg(
+        F.min_by(F.struct("lineno", "seg_start", "seg_end"), "bfs_order").alias("w")).select("content_sha", "name", "w.*")
+    holders = paths.groupBy("content_sha").agg(F.min(F.struct(*KEYS)).alias("f")).select("content_sha", "f.*")
+    source = definition_source(first.join(holders, "content_sha"), files, small).drop(*KEYS)
+    state = join_small(index.of("file").select("content_sha", F.col("status").alias("parsed"), "error"),
+                       pairs.select("content_sha").distinct(), ["content_sha"], "left_semi", known_small=small)
+    if small:
+        j = asked.join(source, ["content_sha", "name"], "left").join(state, "content_sha", "left")
+    else:  # many files may hold one content
+        j = join_hot_keys(asked, source, ["content_sha", "name"], "left", salt_by=KEYS)
+        j = join_hot_keys(j, state, ["content_sha"], "left", salt_by=[*KEYS, "name"])
+    ok = F.col("parsed") == "ok"
+    status = (F.when(ok & F.col("lineno").isNotNull(), "ok").when(ok, "not_found")
+              .when(F.col("parsed").isNotNull(), "parse_error").otherwise("missing"))
     output = (
-        F.when(F.col("status") == "ok",
-               F.when(F.col("lineno").isNotNull(), F.coalesce(F.col("source"), T.fill(MSG_NO_SOURCE, name="name")))
-               .otherwise(T.fill(MSG_NOT_FOUND_IN_FILE, name="name", path="path")))
-        .when(F.col("status").isin("syntax_error", "error"),
-              T.fill(MSG_PARSE_ERROR, path="path", error="error"))
-        .otherwise(T.fill(MSG_PARSE_ERROR, path="path", error=F.lit("file not found")))
+        F.when(F.col("status") == "ok", F.coalesce(F.col("source"), T.fill(MSG_NO_SOURCE, name="name")))
+        .when(F.col("status") == "not_found", T.fill(MSG_NOT_FOUND_IN_FILE, name="name", path="path"))
+        .otherwise(T.fill(MSG_PARSE_ERROR, path="path", error=F.coalesce("error", F.lit("file not found"))))
     )
-    return j.select(
-        "project", "path", "name",
-        F.col("lineno").cast("bigint").alias("lineno"),
-        (F.col("lineno").isNotNull() & (F.col("status") == "ok")).cast("bigint").alias("found"),
-        output.alias("output"),
+    return j.withColumn("status", status).select(
+        *KEYS, "name", F.col("lineno").cast("bigint").alias("lineno"),
+        (F.col("status") == "ok").cast("bigint").alias("found"), output.alias("output"), "status", "error",
     )
 
 
 def ordered_hits(hits: DataFrame) -> DataFrame:
-    """O1: final presentation order of search results: per symbol, files by path, and
-    definitions and calls interleaved in walk order within a file. A global sort, so use
-    it only on the final output (aggregates order their own arrays)."""
-    return hits.orderBy("project", "symbol", F.col("path").asc_nulls_last(), "bfs_order")
+    """O1: search results with their ``position`` in presentation order: per symbol, files by path
+    (what was not found last), and definitions and calls interleaved in walk order within a file.
+
+    A total order over all results as a column, found without sorting them in one place.
+    """
+    from sourcelens.plans.order import positions
+
+    missing = hits.withColumn("_missing", F.col("path").isNull())
+    return positions(missing, ["project", "symbol", "_missing", "path", "bfs_order"]).drop("_missing")

@@ -21,7 +21,6 @@ OUTPUT_COLS = ["call_id", "status", "chunk_key", "output"]
 # Texts of tool results and dispatch errors ({...} are filled per row).
 MSG_OUTSIDE_ROOT = "Error: '{path}' is outside the project root"
 MSG_READ_ERROR = "Error reading '{path}': file not found"
-MSG_NOT_FOUND_IN_FILE = "'{name}' not found in {path}"
 MSG_INVALID_JSON = "Error: invalid JSON arguments for tool '{name}'"
 MSG_NOT_OBJECT = "Error running tool '{name}': Tool arguments must decode to a JSON object"
 MSG_UNKNOWN_TOOL = "Error running tool '{name}': Tool \"{name}\" not found in registry"
@@ -52,6 +51,20 @@ def arg(name: str, default: str | None = "") -> Column:
     return shown if default is None else F.when(raw.isNull(), F.lit(default)).otherwise(shown)
 
 
+def int_arg(name: str, col: str = "arguments") -> Column:
+    """An argument that Python would take as an ``int``: a JSON whole number, or a boolean as 0 or 1; else NULL.
+
+    VARIANT reads ``3.0`` as ``3``, so whether a number is written as a whole one is read from
+    the text; of equal keys the last one counts there too.
+    """
+    raw = F.try_variant_get(F.col("args"), f"$.{name}", "variant")
+    kind = F.schema_of_variant(raw)
+    written = T.let(F.filter(F.map_entries(F.from_json(F.col(col), "map<string,string>")), lambda e: e["key"] == name),
+                    lambda found: F.get(found, F.size(found) - 1)["value"])
+    return F.when(kind == "BOOLEAN", F.try_variant_get(raw, "$", "boolean").cast("bigint")).when(
+        (kind != "STRING") & written.rlike(r"^-?[0-9]+$"), written.try_cast("bigint"))
+
+
 # Declared JSON types and the types a decoded value of that kind has.
 JSON_TYPES = {"string": r"^STRING$", "integer": r"^BIGINT$", "number": r"^(BIGINT|DOUBLE|DECIMAL\(.*\))$",
               "boolean": r"^BOOLEAN$", "object": r"^OBJECT", "array": r"^ARRAY"}
@@ -110,7 +123,7 @@ class Tool:
 @dataclass
 class LookupContext:
     files: DataFrame  # project, path, content
-    index: DataFrame  # records of index.extract
+    index: I.ParseStore
     root: str = "/project"
     small_requests: bool | None = None  # set per round by dispatch: all request sides are bounded by it
 
@@ -132,9 +145,8 @@ def _read_file(ctx: LookupContext, calls: DataFrame) -> DataFrame:
     """Path check, then a left join to the file table."""
     p = arg("file_path")
     _, inside, rel = resolve_path(p, ctx.root)
-    most = F.get_json_object("arguments", "$.max_chars").try_cast("bigint")
     c = calls.select("call_id", "project", p.alias("file_path"), inside.alias("inside"), rel.alias("rel"),
-                     most.alias("max_chars"))
+                     int_arg("max_chars").alias("max_chars"))
     from sourcelens.plans.joins import join_small
 
     # The file table is the large side: filter it by the requested paths where it is read.
@@ -164,16 +176,15 @@ def _get_function(ctx: LookupContext, calls: DataFrame) -> DataFrame:
                              small=ctx.small_requests)
     # one answer per distinct request: at most as many rows as the round's calls
     # the answers carry source text: broadcast only after their own size was measured
-    found = join_small(ok, defs.withColumnRenamed("path", "rel"), ["project", "rel", "name"], "left").select(
+    found = join_small(ok, defs.withColumnRenamed("path", "rel").withColumnRenamed("status", "found_as"),
+                       ["project", "rel", "name"], "left").select(
         "call_id",
-        F.when(F.col("output").startswith("Error parsing"), "tool_error").otherwise("ok").alias("status"),
+        F.when(F.col("found_as").isin("ok", "not_found"), "ok").otherwise("tool_error").alias("status"),
         F.lit("").alias("chunk_key"),
-        # the miss message names the path as the caller wrote it
-        F.when(F.col("found") == 1, F.col("output"))
-        .when(F.col("output").startswith("Error parsing"),
-              F.concat(F.lit("Error parsing '"), F.col("file_path"), F.lit("'"),
-                       F.regexp_extract("output", r"^Error parsing '.*?'(.*)$", 1)))
-        .otherwise(T.fill(MSG_NOT_FOUND_IN_FILE, name="name", path="file_path"))
+        # messages name the path as the caller wrote it
+        F.when(F.col("found_as") == "ok", F.col("output"))
+        .when(F.col("found_as") == "not_found", T.fill(I.MSG_NOT_FOUND_IN_FILE, name="name", path="file_path"))
+        .otherwise(T.fill(I.MSG_PARSE_ERROR, path="file_path", error=F.coalesce("error", F.lit("file not found"))))
         .alias("output"),
     )
     outside = c.where(~F.col("inside")).select(

@@ -53,11 +53,11 @@ OUTPUT_ITEM = "array<struct<call_id:string,output:string>>"
 CALL_ITEM = "array<struct<call_id:string,name:string,arguments:string>>"
 
 
-def assemble_outputs(outputs: DataFrame) -> DataFrame:
+def assemble_outputs(outputs: DataFrame, keys: tuple[str, ...] = ("conv_id", "call_id")) -> DataFrame:
     """One string per call, as the model is sent it: chunks in key order, joined by newlines."""
-    g = outputs.groupBy("conv_id", "call_id").agg(
+    g = outputs.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("chunk_key", "output"))).alias("chunks"), F.min("status").alias("status"))
-    return g.select("conv_id", "call_id", "status", F.array_join(F.col("chunks.output"), "\n").alias("output"))
+    return g.select(*keys, "status", F.array_join(F.col("chunks.output"), "\n").alias("output"))
 
 
 def run_conversations(

@@ -99,17 +99,13 @@ def parse_response_mode(spark, sf_dir):
 def group_reviews(spark, sf_dir):
     """A2: comments per line in order of appearance (review-mode responses)."""
     p = A.parse_response(responses_table(spark, sf_dir))
-    g = p.select("doc_id", "reviews", F.explode("grouped").alias("g"))
-    first_seq = F.array_min(
-        F.transform(F.filter("reviews", lambda r: r["line_key"] == F.col("g.line_key")), lambda r: r["seq"])
-    )
-    return g.select(
+    return p.select("doc_id", F.explode("grouped").alias("g")).select(
         "doc_id",
         "g.line_key",
         "g.lineno",
         _long(F.size("g.comments")).alias("n_comments"),
         F.array_join("g.comments", " | ").alias("comments"),
-        _long(first_seq).alias("first_seq"),
+        _long(F.col("g.first_seq")).alias("first_seq"),
     )
 
 
@@ -187,7 +183,7 @@ def code_index(spark, sf_dir):
         # Written as parquet tables in the shared checkpoint dir: lookups then read only
         # the record type (partition pruning) and the columns they need.
         files = write_and_read(S.code_files(spark, sf_dir), "code_files")
-        _INDEX_MEMO[key] = (files, write_and_read(I.extract(files), "code_index", partition_by="rec"))
+        _INDEX_MEMO[key] = (files, I.extract(files).keep("code_index"))
     return _INDEX_MEMO[key]
 
 
@@ -272,13 +268,14 @@ PROJECT_ROOT = "/project"
 
 @query
 def dispatch_tool_calls(spark, sf_dir):
-    """J5 + X14 (+ J6, J7, J2 through the registry): one round of tool calls."""
+    """J5 + X14 (+ J6, J7, J2 through the registry): one round of tool calls, each with the one text it is sent."""
     from sourcelens.operators import lookup as L
+    from sourcelens.operators import loop as P
 
     files, idx = code_index(spark, sf_dir)
     calls = S.tool_calls(spark, sf_dir).withColumn("project", F.lit(S.CODE_PROJECT))
     out = L.dispatch(calls, L.LookupContext(files, idx, PROJECT_ROOT))
-    return out.select("call_id", "name", "status", "chunk_key", "output")
+    return P.assemble_outputs(out, ("call_id", "name"))
 
 
 def _probe_paths(spark, sf_dir):
@@ -508,7 +505,7 @@ def index_rules(spark, sf_dir):
     from sourcelens.session import write_and_read
 
     files = write_and_read(_odd_files(spark, sf_dir), "odd_files")
-    idx = write_and_read(I.extract(files), "odd_index", partition_by="rec")
+    idx = I.extract(files).keep("odd_index")
     keys = ["project", "path"]
     found = I.get_definitions(files.select(*keys, F.lit("f").alias("name")), idx, files)
     return (I.parse_status(idx).select(*keys, "status")
@@ -630,31 +627,119 @@ def compose_prompts(spark, sf_dir):
     from sourcelens.operators import index as I
     from sourcelens.plans import jobs as J
 
-    from sourcelens.session import write_and_read
-
     files = S.doc_files(spark, sf_dir).select("project", "path", "content")
-    idx = write_and_read(I.extract(files), "doc_index", partition_by="rec")
+    idx = I.extract(files).keep("doc_index")
     req = J.validate_requests(S.doc_requests(spark, sf_dir), files.select("project", "path"), python_only=False)
     req = req.where((F.col("stage") == "ok") & ~F.col("clean"))
     keys = ["project", "path"]
-    ctx = C.build_contexts(files, idx, req.select(*keys).distinct(), with_text=True)
-    j = req.join(ctx.select(*keys, "skeleton_chars", "context"), keys)
+    ctx = C.build_contexts(files, idx, req.select(*keys).distinct())
+    # A file that two requests name is one target with two messages: heads join by request.
     msg = J.scoped_message(F.col("message"), F.col("range.start"), F.col("range.end"))
+    whole = C.assemble_prompts(C.prompt_chunks(ctx, F.lit(""), idx))
+    j = req.join(whole.withColumnRenamed("prompt", "context"), keys).join(ctx.select(*keys, "skeleton_chars"), keys)
     return j.select("doc_id", J.compose_prompt(msg, F.col("context")).alias("prompt"),
                     _long(F.col("skeleton_chars")).alias("skeleton_chars"))
 
 
 @query
 def compose_code_prompts(spark, sf_dir):
-    """X12 + A6 on ``code_files``: prompts of every thousandth file with the project's whole skeleton and its
-    imports, as a digest of the full text (each holds the skeleton of all files)."""
+    """X12 + A6 on ``code_files``: the prompt of every file, with the project's whole skeleton and its imports,
+    as length, number of chunks and digest of all chunks."""
     from sourcelens.operators import context as C
-    from sourcelens.plans import jobs as J
 
     files, idx = code_index(spark, sf_dir)
-    number = F.regexp_extract("path", r"_(\d+)\.py$", 1).cast("bigint")
-    targets = files.where(number % 1000 == 1).select("project", "path")
-    ctx = C.build_contexts(files, idx, targets, with_text=True)
-    prompt = J.compose_prompt(F.concat(F.lit("Review "), F.col("path")), F.col("context"))
-    return ctx.select("path", F.sha2(prompt, 256).alias("prompt_sha256"), _long(F.length(prompt)).alias("prompt_chars"),
-                      "skeleton_chars", "has_imported", "context_chars")
+    ctx = C.build_contexts(files, idx, files.select("project", "path"))
+    return C.prompt_digests(ctx, _review_head(), idx).join(
+        ctx.select("project", "path", "skeleton_chars", "has_imported", "context_chars"), ["project", "path"]).drop("project")
+
+
+def _review_head():
+    """What stands before the context of a review prompt."""
+    from sourcelens.plans import jobs as J
+
+    return J.compose_prompt(F.concat(F.lit("Review "), F.col("path")), F.lit(""))
+
+
+# ---------------------------------------------------------------------------
+# A corpus of many projects that hold copies of the same files
+# ---------------------------------------------------------------------------
+def vendored_index(spark, sf_dir):
+    """``S.vendored_files`` and its parse store, written once per session."""
+    from sourcelens.operators import index as I
+    from sourcelens.session import write_and_read
+
+    key = (spark.sparkContext.applicationId, sf_dir, "vendored")
+    if key not in _INDEX_MEMO:
+        files = write_and_read(S.vendored_files(spark, sf_dir), "vendored_files")
+        _INDEX_MEMO[key] = (files, I.extract(files).keep("vendored_index"))
+    return _INDEX_MEMO[key]
+
+
+@query
+def vendored_contents(spark, sf_dir):
+    """E1-E5 by content: files and distinct contents per project, contents parsed once over all projects."""
+    _, idx = vendored_index(spark, sf_dir)
+    per = idx.paths.groupBy("project").agg(
+        _long(F.count("*")).alias("n_files"), _long(F.count_distinct("content_sha")).alias("n_contents"))
+    parsed = idx.of("file").agg(F.count("*").alias("n_files"), F.count_distinct("content_sha").alias("n_contents"))
+    return per.unionByName(parsed.select(F.lit("all parsed").alias("project"), "n_files", "n_contents"))
+
+
+@query
+def vendored_skeleton(spark, sf_dir):
+    """A1 over many projects: entries of files whose content other projects hold too."""
+    from sourcelens.operators import index as I
+
+    _, idx = vendored_index(spark, sf_dir)
+    return I.skeleton_entries(idx).select("project", "path", "n_names", "entry")
+
+
+@query
+def vendored_symbols(spark, sf_dir):
+    """J2 over many projects: one name per project, found only where that project holds it."""
+    from sourcelens.operators import index as I
+
+    _, idx = vendored_index(spark, sf_dir)
+    return I.search_symbols(_vendored_requests(spark, sf_dir), idx).select(
+        "project", "symbol", "kind", "path", _long(F.col("lineno")).alias("lineno"), "hit")
+
+
+def _vendored_requests(spark, sf_dir):
+    orders = S.table(spark, sf_dir, "orders").select(
+        S.vendor().alias("project"),
+        F.concat(F.lit("make_"), (F.col("o_orderkey") % 50).cast("string")).alias("symbol"))
+    return orders.unionByName(orders.select("project", F.lit("run").alias("symbol")))
+
+
+@query
+def ordered_search(spark, sf_dir):
+    """O1: the same results in presentation order, as positions over all of them."""
+    from sourcelens.operators import index as I
+
+    _, idx = vendored_index(spark, sf_dir)
+    hits = I.ordered_hits(I.search_symbols(_vendored_requests(spark, sf_dir), idx))
+    return hits.select(_long(F.col("position")).alias("position"), "project", "symbol", "hit")
+
+
+@query
+def vendored_definitions(spark, sf_dir):
+    """J7 over many projects: the source of every order's ``run`` and of a part function, cut once per content."""
+    from sourcelens.operators import index as I
+
+    files, idx = vendored_index(spark, sf_dir)
+    name = F.when(F.col("path").startswith("orders/"), "run").otherwise(
+        F.concat(F.lit("make_"), F.regexp_extract("path", r"_(\d+)\.py$", 1)))
+    r = I.get_definitions(files.select("project", "path", name.alias("name")), idx, files)
+    return r.select("project", "path", "name", "lineno", "found", "output")
+
+
+@query
+def vendored_prompts(spark, sf_dir):
+    """X12 + A6: the whole prompt of every order file as chunk rows, skeletons cut at 1,000 characters."""
+    from sourcelens.operators import context as C
+
+    files, idx = vendored_index(spark, sf_dir)
+    ctx = C.build_contexts(files, idx, files.where(F.col("path").startswith("orders/")).select("project", "path"))
+    chunks = C.prompt_chunks(ctx, _review_head(), idx, chunk_chars=1_000)
+    return chunks.select("project", "path", _long(F.col("part")).alias("part"), _long(F.col("chunk_no")).alias("chunk_no"),
+                         "text")

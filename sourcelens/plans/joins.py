@@ -91,19 +91,27 @@ def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "in
 HOT_KEY_ROWS = 100_000
 
 
-def join_hot_keys(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "inner",
-                  hot_rows: int | None = None, salt_by: list[str] | None = None) -> DataFrame:
-    """Join a fact side whose keys may be hot to a dimension side with one row per key.
+def hot_keys(fact: DataFrame, keys: list[str], hot_rows: int | None = None) -> DataFrame:
+    """Keys with more than ``hot_rows`` fact rows and their number of salts, one for so many rows.
 
-    One aggregation pass (map-side partial counts) finds the keys with more than
-    ``hot_rows`` fact rows. Each is salted by its own count: its fact rows spread over one
-    task per ``hot_rows`` by a hash of ``salt_by`` and its dimension row is copied as often.
-    All other keys join as usual, so results are exact for every key. The list of hot keys
-    is broadcast when it is proven small, joined by a shuffle otherwise.
+    One aggregation pass with map-side partial counts, written once.
     """
     hot_rows = HOT_KEY_ROWS if hot_rows is None else hot_rows
     counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    hot = checkpoint(counts.select(*keys, F.ceil(F.col("_n") / hot_rows).cast("bigint").alias("_salts")))
+    return checkpoint(counts.select(*keys, F.ceil(F.col("_n") / hot_rows).cast("bigint").alias("_salts")))
+
+
+def join_hot_keys(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "inner",
+                  hot_rows: int | None = None, salt_by: list[str] | None = None, hot: DataFrame | None = None) -> DataFrame:
+    """Join a fact side whose keys may be hot to a dimension side with one row per key.
+
+    Hot keys (``hot_keys``, or the list given) are salted by their own count: a key's fact
+    rows spread over one task per ``hot_rows`` by a hash of ``salt_by`` and its dimension row
+    is copied as often. All other keys join as usual, so results are exact for every key. The
+    list is broadcast when it is proven small, joined by a shuffle otherwise.
+    """
+    if hot is None:
+        hot = hot_keys(fact, keys, hot_rows)
     if hot.isEmpty():
         return fact.join(dim, keys, how)
     if fits_broadcast(hot):

@@ -229,7 +229,10 @@ tool_calls AS (
          WHEN event_type = 'purchase' THEN 'search_symbol' WHEN event_type = 'signup' THEN 'list_dir' END AS name,
     CASE WHEN event_id % 10 = 0 THEN '[1]'
          WHEN event_type = 'view' AND event_id % 7 = 0 THEN '{{"file_path":"../p_' || k || '.py"}}'
-         WHEN event_type = 'view' THEN '{{"file_path":"parts/p_' || k || '.py"}}'
+         WHEN event_type = 'view' THEN '{{"file_path":"parts/p_' || k || '.py"' || CASE event_id % 11
+           WHEN 1 THEN ',"max_chars":40' WHEN 2 THEN ',"max_chars":true' WHEN 3 THEN ',"max_chars":"3"'
+           WHEN 4 THEN ',"max_chars":9,"max_chars":25' WHEN 5 THEN ',"max_chars":-4' WHEN 6 THEN ',"max_chars":2.5'
+           WHEN 8 THEN ',"max_chars":null' ELSE '' END || '}}'
          WHEN event_type = 'click' THEN '{{"file_path":"parts/p_' || k || '.py","name":"make_'
               || {s('CAST(k AS BIGINT) + event_id % 2')} || '"}}'
          WHEN event_type = 'purchase' AND event_id % 5 = 0 THEN '{{"symbol":"nothing_' || k || '"}}'
@@ -250,7 +253,7 @@ SYMBOL_HITS = f"""defs AS (
 callsites AS (
   SELECT path, 'Part' || {s('p_partkey')} AS name, 6 AS lineno FROM part_files
   UNION ALL SELECT 'orders/o_' || {s('l_orderkey')} || '.py', 'make_' || {s('l_partkey')}, n + 2 + rn FROM items),
-hits AS (
+hits AS MATERIALIZED (
   SELECT name, 'DEFINED' AS kind, path, lineno, 'DEFINED  ' || path || ':' || {s('lineno')} AS hit FROM defs
   UNION ALL
   SELECT name, 'CALLED', path, lineno, 'CALLED   ' || path || ':' || {s('lineno')} FROM callsites)"""
@@ -265,7 +268,7 @@ FROM requested r JOIN hits h ON h.name = r.symbol
 UNION ALL
 SELECT r.symbol, 'NONE', NULL, NULL, '''' || r.symbol || ''' not found in project'
 FROM requested r WHERE NOT EXISTS (SELECT 1 FROM hits h WHERE h.name = r.symbol)
-""".replace("UNION SELECT 'run' UNION SELECT 'price')", "UNION SELECT 'run' UNION SELECT 'price')", 1)
+"""
 
 ORACLES["resolve_imports"] = with_(CODE_FILES) + f"""
 SELECT 'orders/o_' || {s('i.l_orderkey')} || '.py' AS path, CAST(i.rn AS BIGINT) AS lineno,
@@ -321,14 +324,18 @@ FROM targets t CROSS JOIN skel k
 """
 
 ORACLES["dispatch_tool_calls"] = with_(CODE_FILES, TOOL_CALLS, SYMBOL_HITS) + f""",
-ok_calls AS (SELECT * FROM calls_c WHERE arg_status = 'object' AND name IN ('read_file', 'get_function', 'search_symbol')),
+ok_calls AS MATERIALIZED (SELECT * FROM calls_c WHERE arg_status = 'object' AND name IN ('read_file', 'get_function', 'search_symbol')),
 search AS (
   SELECT c.call_id, json_extract_string(c.arguments, '$.symbol') AS symbol FROM ok_calls c WHERE c.name = 'search_symbol'),
 read AS (
-  SELECT c.call_id, json_extract_string(c.arguments, '$.file_path') AS fp FROM ok_calls c WHERE c.name = 'read_file'),
+  SELECT c.call_id, json_extract_string(c.arguments, '$.file_path') AS fp,
+         CASE WHEN c.arguments NOT LIKE '%max_chars%' THEN NULL ELSE
+           CASE c.call_id % 11 WHEN 1 THEN 40 WHEN 2 THEN 1 WHEN 4 THEN 25 WHEN 5 THEN -4 END END AS most
+  FROM ok_calls c WHERE c.name = 'read_file'),
 getf AS (
   SELECT c.call_id, json_extract_string(c.arguments, '$.file_path') AS fp,
-         json_extract_string(c.arguments, '$.name') AS nm FROM ok_calls c WHERE c.name = 'get_function')
+         json_extract_string(c.arguments, '$.name') AS nm FROM ok_calls c WHERE c.name = 'get_function'),
+answers AS (
 SELECT call_id, name,
        CASE arg_status WHEN 'invalid' THEN 'invalid_json' WHEN 'not_object' THEN 'not_object' ELSE 'unknown_tool' END
          AS status, '' AS chunk_key,
@@ -343,6 +350,9 @@ SELECT r.call_id, 'read_file',
        '',
        CASE WHEN starts_with(r.fp, '../') THEN 'Error: ''' || r.fp || ''' is outside the project root'
             WHEN f.content IS NULL THEN 'Error reading ''' || r.fp || ''': file not found'
+            WHEN r.most IS NOT NULL AND length(f.content) > r.most
+              THEN left(f.content, CASE WHEN r.most < 0 THEN length(f.content) + r.most ELSE r.most END)
+                   || chr(10) || chr(10) || '... truncated at ' || {s('r.most')} || ' characters'
             ELSE f.content END
 FROM read r LEFT JOIN code_files f ON f.path = r.fp
 UNION ALL
@@ -356,7 +366,9 @@ SELECT x.call_id, 'search_symbol', 'ok', h.path, string_agg(h.hit, chr(10) ORDER
 FROM search x JOIN hits h ON h.name = x.symbol GROUP BY x.call_id, h.path
 UNION ALL
 SELECT x.call_id, 'search_symbol', 'ok', '', '''' || x.symbol || ''' not found in project'
-FROM search x WHERE NOT EXISTS (SELECT 1 FROM hits h WHERE h.name = x.symbol)
+FROM search x WHERE NOT EXISTS (SELECT 1 FROM hits h WHERE h.name = x.symbol))
+SELECT call_id, name, status, string_agg(output, chr(10) ORDER BY chunk_key) AS output
+FROM answers GROUP BY call_id, name, status
 """
 
 
@@ -776,32 +788,127 @@ FROM ranges g JOIN documents d ON d.doc_id = g.doc_id
 WHERE NOT g.clean AND g.message IS NOT NULL AND g.range_status NOT IN ('bad_shape', 'bad_order')
 """
 
+
+def chunked(entries: str, size: int) -> str:
+    """CTE ``skeleton_chunks(project, chunk_no, text)`` of a CTE with project, path and e."""
+    return f"""placed AS (
+  SELECT project, path, e, CAST(coalesce(sum(length(e) + 1) OVER (
+    PARTITION BY project ORDER BY path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) // {size} AS chunk_no
+  FROM {entries}),
+skeleton_chunks AS (
+  SELECT project, chunk_no, CASE WHEN chunk_no = 0 THEN '## Project Skeleton' ELSE '' END || chr(10)
+    || string_agg(e, chr(10) ORDER BY path) AS text
+  FROM placed GROUP BY project, chunk_no)"""
+
+
+HEAD = """'Review ' || path || chr(10) || chr(10) || 'Use tools only when the provided context is insufficient.'
+    || chr(10) || chr(10)"""
+_MARKS = [f"CAST('0x' || substr(sha256({s('part')} || ':' || {s('chunk_no')} || ':' || text), {1 + 15 * i}, 15) AS HUGEINT)"
+          for i in range(4)]
+
 ORACLES["compose_code_prompts"] = with_(CODE_FILES) + f""",
 entries AS (
-  SELECT path, '### ' || path || chr(10) || 'Part' || {s('p_partkey')} || ', make_' || {s('p_partkey')} || ', price' AS e
+  SELECT 'shop' AS project, path,
+    '### ' || path || chr(10) || 'Part' || {s('p_partkey')} || ', make_' || {s('p_partkey')} || ', price' AS e
   FROM part_files
-  UNION ALL SELECT path, '### ' || path || chr(10) || 'run' FROM order_files),
-skel AS (SELECT '## Project Skeleton' || chr(10) || string_agg(e, chr(10) ORDER BY path) AS skeleton FROM entries),
+  UNION ALL SELECT 'shop', path, '### ' || path || chr(10) || 'run' FROM order_files),
+{chunked('entries', 16_384)},
 imported AS (
   SELECT 'orders/o_' || {s('i.l_orderkey')} || '.py' AS path,
          '## Imported Files' || chr(10) || string_agg(p.content, chr(10) || chr(10) || '---' || chr(10) || chr(10)
                                                        ORDER BY i.rn) AS imported_section
   FROM items i JOIN part_files p ON p.p_partkey = i.l_partkey GROUP BY i.l_orderkey),
-targets AS (
+targets AS MATERIALIZED (
   SELECT f.path, i.imported_section,
          '## Target File: ' || regexp_extract(f.path, '([^/]*)$', 1) || chr(10) || {numbered('f.content')}
            AS target_section
   FROM code_files f LEFT JOIN imported i USING (path)),
-prompts AS (
-  SELECT t.path, k.skeleton, t.imported_section, k.skeleton || coalesce(chr(10) || chr(10) || t.imported_section, '')
-    || chr(10) || chr(10) || t.target_section AS context
-  FROM targets t CROSS JOIN skel k WHERE CAST(regexp_extract(t.path, '_(\\d+)\\.py$', 1) AS BIGINT) % 1000 = 1),
-sent AS (
-  SELECT *, 'Review ' || path || chr(10) || chr(10) || 'Use tools only when the provided context is insufficient.'
-    || chr(10) || chr(10) || context AS prompt FROM prompts)
-SELECT path, sha256(prompt) AS prompt_sha256, CAST(length(prompt) AS BIGINT) AS prompt_chars,
-       CAST(length(skeleton) AS BIGINT) AS skeleton_chars,
-       CAST(CASE WHEN imported_section IS NULL THEN 0 ELSE 1 END AS BIGINT) AS has_imported,
-       CAST(length(context) AS BIGINT) AS context_chars
-FROM sent
+own AS (
+  SELECT path, 0 AS part, 0 AS chunk_no, {HEAD} AS text FROM targets
+  UNION ALL SELECT path, 2, 0, chr(10) || chr(10) || imported_section FROM targets WHERE imported_section IS NOT NULL
+  UNION ALL SELECT path, 3, 0, chr(10) || chr(10) || target_section FROM targets),
+own_sums AS (
+  SELECT path, sum({_MARKS[0]}) AS m0, sum({_MARKS[1]}) AS m1, sum({_MARKS[2]}) AS m2, sum({_MARKS[3]}) AS m3,
+         sum(length(text)) AS chars, count(*) AS n FROM own GROUP BY path),
+shared AS (
+  SELECT sum({_MARKS[0]}) AS m0, sum({_MARKS[1]}) AS m1, sum({_MARKS[2]}) AS m2, sum({_MARKS[3]}) AS m3,
+         sum(length(text)) AS chars, count(*) AS n FROM (SELECT 1 AS part, chunk_no, text FROM skeleton_chunks))
+SELECT o.path, CAST(o.m0 + h.m0 AS VARCHAR) || '-' || CAST(o.m1 + h.m1 AS VARCHAR) || '-' || CAST(o.m2 + h.m2 AS VARCHAR)
+         || '-' || CAST(o.m3 + h.m3 AS VARCHAR) AS prompt_digest,
+       CAST(o.chars + h.chars AS BIGINT) AS prompt_chars, CAST(o.n + h.n AS BIGINT) AS n_chunks,
+       CAST(h.chars AS BIGINT) AS skeleton_chars,
+       CAST(CASE WHEN t.imported_section IS NULL THEN 0 ELSE 1 END AS BIGINT) AS has_imported,
+       CAST(h.chars + coalesce(length(t.imported_section) + 2, 0) + 2 + length(t.target_section) AS BIGINT) AS context_chars
+FROM own_sums o JOIN targets t USING (path) CROSS JOIN shared h
+"""
+
+# Projects that hold their orders and copies of the parts these import (sources.tables.vendored_files).
+VENDORED = CODE_FILES + f""",
+v_orders AS (
+  SELECT 'vendor_' || {s('o.o_custkey')} AS project, f.* FROM orders o JOIN order_files f ON f.o_orderkey = o.o_orderkey),
+v_parts AS (
+  SELECT DISTINCT 'vendor_' || {s('o.o_custkey')} AS project, p.p_partkey, p.path, p.content
+  FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey JOIN part_files p ON p.p_partkey = l.l_partkey),
+v_entries AS (
+  SELECT project, path, 3 AS n_names,
+    '### ' || path || chr(10) || 'Part' || {s('p_partkey')} || ', make_' || {s('p_partkey')} || ', price' AS e FROM v_parts
+  UNION ALL SELECT project, path, 1, '### ' || path || chr(10) || 'run' FROM v_orders)"""
+
+ORACLES["vendored_contents"] = with_(VENDORED) + """,
+f AS (SELECT project, content FROM v_orders UNION ALL SELECT project, content FROM v_parts)
+SELECT project, count(*) AS n_files, count(DISTINCT content) AS n_contents FROM f GROUP BY project
+UNION ALL SELECT 'all parsed', count(DISTINCT content), count(DISTINCT content) FROM f
+"""
+
+ORACLES["vendored_skeleton"] = with_(VENDORED) + """
+SELECT project, path, CAST(n_names AS BIGINT) AS n_names, e AS entry FROM v_entries
+"""
+
+_V_HITS = with_(VENDORED) + f""",
+v_hits AS (
+  SELECT project, 'make_' || {s('p_partkey')} AS symbol, 'DEFINED' AS kind, path, 5 AS lineno FROM v_parts
+  UNION ALL SELECT project, 'run', 'DEFINED', path, n + 2 FROM v_orders
+  UNION ALL SELECT v.project, 'make_' || {s('i.l_partkey')}, 'CALLED', v.path, n + 2 + i.rn
+  FROM v_orders v JOIN (SELECT l_orderkey, l_partkey, rn FROM items) i ON i.l_orderkey = v.o_orderkey),
+asked AS (
+  SELECT DISTINCT 'vendor_' || {s('o_custkey')} AS project, unnest(['run', 'make_' || {s('o_orderkey % 50')}]) AS symbol
+  FROM orders),
+found AS (
+  SELECT a.project, a.symbol, h.kind, h.path, CAST(h.lineno AS BIGINT) AS lineno,
+         rpad(h.kind, 9, ' ') || h.path || ':' || {s('h.lineno')} AS hit
+  FROM asked a JOIN v_hits h ON h.project = a.project AND h.symbol = a.symbol
+  UNION ALL
+  SELECT a.project, a.symbol, 'NONE', NULL, NULL, '''' || a.symbol || ''' not found in project'
+  FROM asked a WHERE NOT EXISTS (SELECT 1 FROM v_hits h WHERE h.project = a.project AND h.symbol = a.symbol))"""
+
+ORACLES["vendored_symbols"] = _V_HITS + """
+SELECT project, symbol, kind, path, lineno, hit FROM found
+"""
+
+ORACLES["ordered_search"] = _V_HITS + """
+SELECT row_number() OVER (ORDER BY project, symbol, path NULLS LAST, lineno) AS position, project, symbol, hit FROM found
+"""
+
+ORACLES["vendored_definitions"] = with_(VENDORED) + f"""
+SELECT project, path, 'run' AS name, CAST(n + 2 AS BIGINT) AS lineno, CAST(1 AS BIGINT) AS found, run_source AS output
+FROM v_orders
+UNION ALL
+SELECT project, path, 'make_' || {s('p_partkey')}, 5, 1,
+       'def make_' || {s('p_partkey')} || '():' || chr(10) || '    return Part' || {s('p_partkey')} || '()' FROM v_parts
+"""
+
+ORACLES["vendored_prompts"] = with_(VENDORED) + f""",
+{chunked('v_entries', 1_000)},
+imported AS (
+  SELECT i.l_orderkey,
+         '## Imported Files' || chr(10) || string_agg(p.content, chr(10) || chr(10) || '---' || chr(10) || chr(10)
+                                                       ORDER BY i.rn) AS section
+  FROM items i JOIN part_files p ON p.p_partkey = i.l_partkey GROUP BY i.l_orderkey)
+SELECT project, path, CAST(0 AS BIGINT) AS part, CAST(0 AS BIGINT) AS chunk_no, {HEAD} AS text FROM v_orders
+UNION ALL SELECT o.project, o.path, 1, k.chunk_no, k.text FROM v_orders o JOIN skeleton_chunks k ON k.project = o.project
+UNION ALL SELECT o.project, o.path, 2, 0, chr(10) || chr(10) || i.section FROM v_orders o JOIN imported i ON i.l_orderkey = o.o_orderkey
+UNION ALL
+SELECT project, path, 3, 0, chr(10) || chr(10) || '## Target File: ' || regexp_extract(path, '([^/]*)$', 1) || chr(10)
+       || {numbered('content')}
+FROM v_orders
 """

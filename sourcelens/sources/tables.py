@@ -177,6 +177,23 @@ def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part_files.unionByName(order_files)
 
 
+def vendor(key: str = "o_custkey"):
+    """The project an order belongs to: its customer's."""
+    return F.concat(F.lit("vendor_"), F.col(key).cast("string"))
+
+
+def vendored_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``files(project, path, content)`` of many projects: each holds its orders' modules and copies of the
+    modules of all parts that these import, so most contents are held by many projects."""
+    shop = code_files(spark, sf_dir).drop("project")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", vendor().alias("project"))
+    own = orders.select("project", F.concat(F.lit("orders/o_"), F.col("o_orderkey").cast("string"), F.lit(".py")).alias("path"))
+    items = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
+    copies = orders.join(items, "o_orderkey").select(
+        "project", F.concat(F.lit("parts/p_"), F.col("l_partkey").cast("string"), F.lit(".py")).alias("path")).distinct()
+    return own.unionByName(copies).join(shop, "path").select("project", "path", "content")
+
+
 def tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``tool_calls(call_id, conv_id, name, arguments)`` from ``events``."""
     e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
@@ -189,12 +206,16 @@ def tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(t == "purchase", F.lit("search_symbol"))
         .when(t == "signup", F.lit("list_dir"))
     )
+    # Limits as a model may write them; only whole numbers and booleans count, of equal keys the last.
+    limits = F.lit("")
+    for rest, text in {1: "40", 2: "true", 3: '"3"', 4: '9,"max_chars":25', 5: "-4", 6: "2.5", 8: "null"}.items():
+        limits = F.when(i % 11 == rest, F.lit(f',"max_chars":{text}')).otherwise(limits)
     args = (
         F.when(i % 10 == 0, F.lit("[1]"))
         .when(
             t == "view",
             F.when(i % 7 == 0, F.concat(F.lit('{"file_path":"../p_'), k, F.lit('.py"}'))).otherwise(
-                F.concat(F.lit('{"file_path":"parts/p_'), k, F.lit('.py"}'))
+                F.concat(F.lit('{"file_path":"parts/p_'), k, F.lit('.py"'), limits, F.lit("}"))
             ),
         )
         .when(

@@ -258,3 +258,124 @@ def test_hot_module_is_salted_and_exact(spark):
         assert got.count() == plain.count() == 300 * 5 + 43
     finally:
         joins.HOT_KEY_ROWS = old
+
+
+def copies(spark, projects=20):
+    texts = {"a.py": "def a():\n    return b()\n", "b.py": "import a\nclass B:\n    pass\n", "bad.py": "def (:\n", "e.py": "",
+             "same_as_a.py": "def a():\n    return b()\n"}
+    rows = [(f"p{i}", path, text) for i in range(projects) for path, text in texts.items()]
+    rows += [(f"p{i}", "own.py", f"def own_{i}(): pass\n") for i in range(projects)] + [("p0", "none.py", None)]
+    return rows, spark.createDataFrame(rows, "project string, path string, content string")
+
+
+def test_every_content_is_parsed_once(spark, monkeypatch):
+    from sourcelens.plans import joins
+
+    rows, files = copies(spark)
+    idx = I.extract(files).keep("copies")
+    # the parser leaves one status record per text that it was given
+    assert idx.of("file").count() == len({t for _, _, t in rows if t is not None}) == 24
+    assert idx.paths.count() == len(rows)
+    # a moved, copied or unchanged file parses nothing; a new text parses once, in however many projects
+    moved = files.where("project = 'p0'").withColumn("project", F.lit("new")).unionByName(files)
+    assert I.parse_contents(I.with_sha(moved), idx.of("file")).count() == 0
+    changed = moved.withColumn("content", F.when(F.col("path") == "a.py", "def a2(): pass\n").otherwise(F.col("content")))
+    fresh = I.parse_contents(I.with_sha(changed), idx.of("file"))
+    assert [(r["rec"], r["name"]) for r in fresh.collect()] == [("file", None), ("def", "a2")]
+    after = I.refresh_index(changed, idx)
+    assert {r["name"] for r in I.definitions(after).collect()} == {"a", "a2", "B"} | {f"own_{i}" for i in range(20)}
+    monkeypatch.setattr(joins, "HOT_KEY_ROWS", 3)  # contents that more files hold are salted
+    status = {(r["project"], r["path"]): r["status"] for r in I.parse_status(I.ParseStore(idx.paths, idx.records)).collect()}
+    assert len(status) == len(rows) and status["p7", "bad.py"] == "syntax_error" and status["p0", "none.py"] == "unreadable"
+    entries = {(r["project"], r["path"]): r["entry"] for r in I.skeleton_entries(I.ParseStore(idx.paths, idx.records)).collect()}
+    assert len(entries) == 20 * 4 and entries["p3", "same_as_a.py"] == "### same_as_a.py\na"
+
+
+def test_symbols_of_one_project_stay_in_it(spark):
+    _, files = copies(spark, 4)
+    idx = I.extract(files).keep("few")
+    req = spark.createDataFrame([("p1", "b"), ("p1", "own_2"), ("p2", "own_2")], "project string, symbol string")
+    found = sorted((r["project"], r["hit"]) for r in I.search_symbols(req, idx).collect())
+    assert found == [("p1", "'own_2' not found in project"), ("p1", "CALLED   a.py:2"), ("p1", "CALLED   same_as_a.py:2"),
+                     ("p2", "DEFINED  own.py:1")]
+    asked = spark.createDataFrame([("p1", "same_as_a.py", "a"), ("p2", "a.py", "a"), ("p2", "bad.py", "x"), ("p9", "a.py", "a")],
+                                  "project string, path string, name string")
+    out = {(r["project"], r["path"]): (r["status"], r["output"]) for r in I.get_definitions(asked, idx, files).collect()}
+    assert out["p1", "same_as_a.py"] == out["p2", "a.py"] == ("ok", "def a():\n    return b()")
+    assert out["p2", "bad.py"][0] == "parse_error" and out["p9", "a.py"] == ("missing", "Error parsing 'a.py': file not found")
+
+
+def test_index_is_written_and_read(spark):
+    _, files = copies(spark, 3)
+    out = tempfile.mkdtemp(prefix="store-")
+    I.write_index(I.extract(files), out)
+    back = I.read_index(spark, out)
+    assert back.paths.count() == files.count() and back.of("file").count() == 7
+    assert sorted(r["path"] for r in I.definitions(back).where("project = 'p1'").collect()) == ["a.py", "b.py", "own.py", "same_as_a.py"]
+
+
+@pytest.mark.parametrize("size", [10, 64, 1 << 20])
+def test_prompts_in_chunks_are_the_whole_prompts(spark, size):
+    """Chunks put together are skeleton, imports and target as one text; digests follow from the chunks."""
+    import hashlib
+
+    rows, files = copies(spark, 3)
+    files = files.where("content is not null").unionByName(
+        spark.createDataFrame([("bare", "x.py", "x = 1\n")], files.schema))
+    idx = I.extract(files).keep("prompts")
+    ctx = C.build_contexts(files, idx, files.select("project", "path"))
+    head = F.concat(F.lit("Look at "), F.col("path"), F.lit("\n\n"))
+    chunks = C.prompt_chunks(ctx, head, idx, chunk_chars=size).collect()
+    prompts = {(r["project"], r["path"]): r["prompt"] for r in
+               C.assemble_prompts(C.prompt_chunks(ctx, head, idx, chunk_chars=size)).collect()}
+    entries = I.skeleton_entries(idx).collect()
+    assert len(prompts) == files.count()
+    for r in ctx.collect():
+        own = sorted((e["path"], e["entry"]) for e in entries if e["project"] == r["project"])
+        parts = ["## Project Skeleton\n" + "\n".join(e for _, e in own), r["imported_section"], r["target_section"]]
+        context = "\n\n".join(p for p in parts if p is not None)
+        assert prompts[r["project"], r["path"]] == f"Look at {r['path']}\n\n" + context
+        assert r["context_chars"] == len(context) and r["skeleton_chars"] == len(parts[0])
+    assert max(len(c["text"]) for c in chunks if c["part"] == 1) <= len("## Project Skeleton\n") + size + max(len(e["entry"]) for e in entries)
+    sums: dict = {}
+    for c in chunks:
+        mark = hashlib.sha256(f"{c['part']}:{c['chunk_no']}:{c['text']}".encode()).hexdigest()
+        total = sums.setdefault((c["project"], c["path"]), [0, 0, 0, 0, 0, 0])
+        for i in range(4):
+            total[i] += int(mark[15 * i:15 * i + 15], 16)
+        total[4] += len(c["text"])
+        total[5] += 1
+    got = {(r["project"], r["path"]): (r["prompt_digest"], r["prompt_chars"], r["n_chunks"])
+           for r in C.prompt_digests(ctx, head, idx, chunk_chars=size).collect()}
+    assert got == {k: ("-".join(map(str, t[:4])), t[4], t[5]) for k, t in sums.items()}
+
+
+def test_running_totals_over_ranges(spark):
+    import random
+
+    from sourcelens.plans.order import positions, running_total
+
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["a", "b", None]), i, rnd.choice([0, 1, 5, None])) for i in rnd.sample(range(10_000), 2_000)]
+    df = spark.createDataFrame(rows, "g string, k int, w int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # many ranges
+    try:
+        got = {(r["g"], r["k"]): r["t"] for r in running_total(df, ["g"], ["k"], F.col("w"), "t").collect()}
+        places = [(r["p"], r["k"]) for r in positions(df, ["k"], "p").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    want, total = {}, {}
+    for g, k, w in sorted(rows, key=lambda r: r[1]):
+        want[g, k] = total.get(g, 0)
+        total[g] = total.get(g, 0) + (w or 0)
+    assert got == want
+    assert sorted(places) == list(enumerate(sorted(k for _, k, _ in rows), 1))
+
+
+def test_ordered_hits_number_all_results(spark):
+    _, files = copies(spark, 3)
+    idx = I.extract(files).keep("ordered")
+    req = files.select("project", F.explode(F.array(F.lit("a"), F.lit("b"), F.lit("nothing"))).alias("symbol"))
+    hits = I.ordered_hits(I.search_symbols(req, idx)).collect()
+    order = sorted(hits, key=lambda r: (r["project"], r["symbol"], r["path"] is None, r["path"] or "", r["bfs_order"] or 0))
+    assert [r["position"] for r in order] == list(range(1, len(hits) + 1))

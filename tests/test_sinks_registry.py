@@ -154,3 +154,22 @@ def test_read_file_honours_max_chars(spark):
         "call_id bigint, project string, name string, arguments string")
     out = {r["call_id"]: r["output"] for r in L.dispatch(calls, L.LookupContext(files, idx, "/root")).collect()}
     assert out[1].startswith("x =") and "truncated at 3" in out[1] and out[2] == out[3] == "x = 12345\n"
+
+
+def test_max_chars_counts_whole_numbers_and_booleans_only(spark):
+    """What Python's decoder makes an int (booleans too) limits the output; of equal keys the last one does."""
+    import json
+
+    text = "x = 12345\n"
+    files = spark.createDataFrame([("p", "a.py", text)], "project string, path string, content string")
+    idx = I.extract(files)
+    values = ["3", '"3"', "true", "false", "3.0", "2.5", "null", "-4", "0", "1e1", "[3]", "99999999999999999999",
+              '3,"max_chars":5', '3,"max_chars":"x"']
+    calls = spark.createDataFrame([(i, "p", "read_file", '{"file_path":"a.py","max_chars":' + v + "}") for i, v in enumerate(values)],
+                                  "call_id bigint, project string, name string, arguments string")
+    out = {r["call_id"]: r["output"] for r in L.dispatch(calls, L.LookupContext(files, idx, "/root")).collect()}
+    for i, v in enumerate(values):
+        limit = json.loads('{"max_chars":' + v + "}")["max_chars"]
+        limit = int(limit) if isinstance(limit, int) else None
+        cut = text[:limit] + f"\n\n... truncated at {limit} characters" if limit and len(text) > limit else text
+        assert out[i] == cut, v
