@@ -178,10 +178,11 @@ class ParseStore:
 
     def keep(self, name: str) -> ParseStore:
         """Write both tables in the shared checkpoint dir and read them back."""
-        from sourcelens.session import write_and_read
+        from sourcelens.session import shared_table_path, write_and_read
 
-        return ParseStore(write_and_read(self.paths, f"{name}_paths"),
-                          write_and_read(self.records, name, partition_by="rec"))
+        out = shared_table_path(self.sparkSession, name, release=True)
+        _write_records(self.records, out)
+        return ParseStore(write_and_read(self.paths, f"{name}_paths"), self.sparkSession.read.parquet(out))
 
 
 def with_sha(files: DataFrame) -> DataFrame:
@@ -227,9 +228,21 @@ def refresh_index(files: DataFrame, index: ParseStore) -> ParseStore:
     return ParseStore(paths, kept.unionByName(parse_contents(hashed, index.of("file"))))
 
 
+# Rows of a page of the written records: what a lookup by name reads at least of a file that may hold the name.
+PAGE_ROWS = 1_000
+
+
+def _write_records(records: DataFrame, out_dir: str) -> None:
+    """Records by type, ranged and sorted by name: a name's records lie in few files and few pages of them, which
+    the pages' bounds and a bloom filter per row group tell without reading the rest."""
+    ordered = records.repartitionByRange("rec", "name", "content_sha").sortWithinPartitions("rec", "name", "content_sha")
+    (ordered.write.mode("overwrite").partitionBy("rec").option("parquet.bloom.filter.enabled#name", "true")
+     .option("parquet.page.row.count.limit", str(PAGE_ROWS)).parquet(out_dir))
+
+
 def write_index(index: ParseStore, out_dir: str) -> None:
     """Write the records partitioned by record type, so each lookup reads one slice, and the paths beside them."""
-    index.records.write.mode("overwrite").partitionBy("rec").parquet(out_dir)
+    _write_records(index.records, out_dir)
     index.paths.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/_paths")
 
 
@@ -374,6 +387,10 @@ def imported_sections(resolved: DataFrame) -> DataFrame:
     )
 
 
+# So many names are looked up by a filter on the name-ordered records, more by a join.
+NAMES_PUSHED = 200
+
+
 def symbol_hits(index: ParseStore) -> DataFrame:
     """Definitions and calls of every content as one relation (UNION ALL)."""
     cols = ["content_sha", F.col("name").alias("symbol"), "bfs_order", "lineno"]
@@ -397,7 +414,10 @@ def search_symbols(requested: DataFrame, index: ParseStore, small: bool | None =
         req, small = small_side(req)
     names = req.select("symbol").distinct()
     hits = symbol_hits(index)
-    if small:
+    pushed = names.limit(NAMES_PUSHED + 1).collect() if small else []
+    if small and len(pushed) <= NAMES_PUSHED:  # few names are a filter that the scan skips pages by
+        hits = hits.where(F.col("symbol").isin([r["symbol"] for r in pushed]))
+    elif small:
         hits = hits.join(F.broadcast(names), "symbol", "left_semi")
     else:  # too many names to broadcast: hot names (``run``) are salted, the rest shuffle-joined
         hits = join_hot_keys(hits, names, ["symbol"], "inner", salt_by=["content_sha", "bfs_order"])

@@ -278,6 +278,23 @@ def dispatch_tool_calls(spark, sf_dir):
     return P.assemble_outputs(out, ("call_id", "name"))
 
 
+@query
+def sql_lookups(spark, sf_dir):
+    """Two lookups called from SQL over all tool calls, their answers streamed in pieces."""
+    from sourcelens.operators import lookup as L
+    from sourcelens.operators import table_functions as TF
+
+    files, idx = code_index(spark, sf_dir)
+    calls = S.tool_calls(spark, sf_dir).withColumn("project", F.lit(S.CODE_PROJECT))
+    TF.register_lookups(L.LookupContext(files, idx, PROJECT_ROOT), calls)
+    return spark.sql("""
+        SELECT 'search_symbol' AS name, call_id, CAST(piece AS BIGINT) AS piece, output
+        FROM search_symbol(TABLE(symbol_calls) PARTITION BY call_id ORDER BY (path, bfs_order))
+        UNION ALL
+        SELECT 'read_file', call_id, CAST(piece AS BIGINT), output FROM read_file(TABLE(file_calls) PARTITION BY call_id)
+    """)
+
+
 def _probe_paths(spark, sf_dir):
     e = S.table(spark, sf_dir, "events").select("event_id", "event_type", F.get_json_object("props", "$.k").alias("k"))
     t, k = F.col("event_type"), F.col("k")
@@ -386,6 +403,21 @@ def apply_decisions(spark, sf_dir):
     return d.select("project", "path", "mode", "outcome", "final_content", "diff_path")
 
 
+@query
+def published_updates(spark, sf_dir):
+    """S4 + F6: every changed file published by the committing sink, and read back from what was published."""
+    from sourcelens.plans import jobs as J
+    from sourcelens.session import shared_table_path
+    from sourcelens.sources import published as PB
+    from sourcelens.sources.sinks import changed_only
+
+    p = _proposals(spark, sf_dir).where(F.col("mode") != "invalid")
+    d = J.apply_decisions(p, S.doc_decisions(spark, sf_dir))
+    root = shared_table_path(spark, "published")
+    PB.publish(changed_only(d, "content", "final_content").select("project", "path", F.col("final_content").alias("content")), root)
+    return PB.read_published(spark, root)
+
+
 @query
 def final_turn(spark, sf_dir):
     """W4 + O2: the turn a bounded tool loop ends on (8 rounds)."""
@@ -611,6 +643,17 @@ def turn_outcomes(spark, sf_dir):
     )
 
 
+@query
+def turn_records(spark, sf_dir):
+    """T2 + T3 batch twin of the stateful stream: first delta and record of every attempt at a turn."""
+    from sourcelens.streaming import turns as ST
+
+    o = ST.turn_records_batch(S.turn_events(spark, sf_dir))
+    return o.select("response_id", _long(F.col("turn")).alias("turn"), "kind",
+                    F.date_format("started", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("started"), "seq", "payload",
+                    _long(F.col("events")).alias("events"), "tool_calls", "text_deltas")
+
+
 @query
 def truncate_content(spark, sf_dir):
     """read_file truncation; limits from -20 to 179 cover negative, zero and positive."""

@@ -372,6 +372,36 @@ FROM answers GROUP BY call_id, name, status
 """
 
 
+ORACLES["sql_lookups"] = with_(CODE_FILES, TOOL_CALLS, SYMBOL_HITS) + """,
+search AS (
+  SELECT call_id, json_extract_string(arguments, '$.symbol') AS symbol FROM calls_c
+  WHERE arg_status = 'object' AND name = 'search_symbol'),
+read AS (
+  SELECT call_id, json_extract_string(arguments, '$.file_path') AS fp,
+    CASE WHEN arguments NOT LIKE '%max_chars%' THEN NULL ELSE
+      CASE call_id % 11 WHEN 1 THEN 40 WHEN 2 THEN 1 WHEN 4 THEN 25 WHEN 5 THEN -4 END END AS most
+  FROM calls_c WHERE arg_status = 'object' AND name = 'read_file'),
+lines AS (
+  SELECT x.call_id, x.symbol, h.hit, row_number() OVER (PARTITION BY x.call_id ORDER BY h.path, h.lineno) - 1 AS n
+  FROM search x LEFT JOIN hits h ON h.name = x.symbol),
+texts AS (
+  SELECT r.call_id, CASE WHEN starts_with(r.fp, '../') THEN 'Error: ''' || r.fp || ''' is outside the project root'
+      WHEN f.content IS NULL THEN 'Error reading ''' || r.fp || ''': file not found'
+      WHEN r.most IS NOT NULL AND length(f.content) > r.most
+        THEN left(f.content, CASE WHEN r.most < 0 THEN length(f.content) + r.most ELSE r.most END)
+             || chr(10) || chr(10) || '... truncated at ' || CAST(r.most AS VARCHAR) || ' characters'
+      ELSE f.content END AS t
+  FROM read r LEFT JOIN code_files f ON f.path = r.fp),
+pieces AS (
+  SELECT call_id, unnest(string_split(t, chr(10))) AS l, generate_subscripts(string_split(t, chr(10)), 1) - 1 AS n FROM texts)
+SELECT 'search_symbol' AS name, call_id, CAST(n // 100 AS BIGINT) AS piece,
+       string_agg(coalesce(hit, '''' || symbol || ''' not found in project'), chr(10) ORDER BY n) AS output
+FROM lines GROUP BY call_id, n // 100
+UNION ALL
+SELECT 'read_file', call_id, CAST(n // 100 AS BIGINT), string_agg(l, chr(10) ORDER BY n) FROM pieces GROUP BY call_id, n // 100
+"""
+
+
 def norm_path(p: str) -> str:
     return (f"coalesce(nullif(list_reduce(string_split({p}, '/'), lambda acc, x: CASE WHEN x IN ('', '.') THEN acc "
             f"WHEN x = '..' THEN regexp_replace(acc, '/[^/]*$', '') ELSE acc || '/' || x END, ''), ''), '/')")
@@ -527,6 +557,12 @@ FROM updated u LEFT JOIN doc_decisions d USING (path)
 WHERE u.mode <> 'invalid'
 """
 
+ORACLES["published_updates"] = f"""
+SELECT d.source AS project, q.path, q.final_content AS content
+FROM ({ORACLES["apply_decisions"]}) q JOIN documents d ON q.path = 'doc_' || CAST(d.doc_id AS VARCHAR)
+WHERE q.outcome = 'applied'
+"""
+
 ORACLES["final_turn"] = """
 WITH t AS (SELECT conv_id, turn + 1 AS turn, text, length(text) % 3 <> 0 AS has_tool FROM conversations),
 g AS (
@@ -765,6 +801,26 @@ FROM n GROUP BY rid, turn, session
 HAVING count(*) FILTER (WHERE event_type = 'view' AND event_id % 9 = 0) > 0
 """
 
+ORACLES["turn_records"] = """
+WITH e AS (
+  SELECT user_id AS rid, 1 + event_id % 8 AS turn, event_id, event_type, ts, props,
+    event_type = 'view' AND event_id % 9 = 0 AS done, event_type = 'view' AND event_id % 9 <> 0 AS delta
+  FROM events),
+m AS (
+  SELECT *, CASE WHEN NOT lag(done) OVER w AND ts <= lag(ts) OVER w + INTERVAL '1 day' THEN 0 ELSE 1 END AS opens
+  FROM e WINDOW w AS (PARTITION BY rid, turn ORDER BY ts, event_id)),
+n AS (
+  SELECT *, sum(opens) OVER (PARTITION BY rid, turn ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS attempt FROM m),
+r AS (
+  SELECT *, min(ts) OVER w AS started, count(*) OVER w AS n_events, count(*) FILTER (event_type = 'click') OVER w AS calls,
+    count(*) FILTER (delta) OVER w AS deltas
+  FROM n WINDOW w AS (PARTITION BY rid, turn, attempt ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))
+SELECT rid AS response_id, turn, CASE WHEN done THEN 'outcome' ELSE 'drafting' END AS kind,
+       strftime(started, '%Y-%m-%d %H:%M:%S.%f') AS started, event_id AS seq, props AS payload, n_events AS events,
+       calls AS tool_calls, deltas AS text_deltas
+FROM r WHERE done OR delta AND deltas = 1
+"""
+
 ORACLES["truncate_content"] = """
 SELECT doc_id, max_chars,
   CASE WHEN max_chars <> 0 AND length(text) > max_chars

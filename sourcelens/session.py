@@ -21,6 +21,8 @@ JOB_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # Tool arguments are decoded like Python's json.loads: duplicate keys, last one wins.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # A list of names reaches the parquet scan as such (not as its bounds): pages without any of them are skipped.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "256",
     # Python ast / difflib work runs over Arrow batches bounded in bytes as well as rows,
     # so a batch of large files stays small in worker memory.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
@@ -103,15 +105,19 @@ def checkpoint(df):
     return df.checkpoint(eager=True)
 
 
-def shared_table_path(spark: SparkSession, name: str) -> str:
-    """A fresh location for an intermediate table under the shared checkpoint dir."""
-    import uuid
+_WRITTEN: dict[str, list[str]] = {}
 
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}-{uuid.uuid4().hex}"
 
+def shared_table_path(spark: SparkSession, name: str, release: bool = False) -> str:
+    """A fresh location for an intermediate table under the shared checkpoint dir; ``release_tables`` deletes it if
+    asked to here."""
+    import uuid
 
-_WRITTEN: dict[str, list[str]] = {}
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    if release:
+        _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def release_tables(spark: SparkSession) -> int:
@@ -133,8 +139,7 @@ def write_and_read(df, name: str, partition_by: str | None = None):
     Unlike an RDD checkpoint, later readers get column pruning, predicate pushdown and
     partition pruning; the write also cuts the lineage.
     """
-    path = shared_table_path(df.sparkSession, name)
-    _WRITTEN.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
+    path = shared_table_path(df.sparkSession, name, release=True)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(partition_by)

@@ -54,3 +54,23 @@ def test_no_estimate_based_broadcast(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def rows_scanned(df):
+    """Rows that the scans of an executed plan without shuffles gave."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().get("numOutputRows").get().value() for i in range(leaves.size()))
+
+
+def test_lookup_by_name_reads_a_part_of_the_index(spark, monkeypatch):
+    """Records lie in the order of their names: a few names skip most pages of the written index."""
+    monkeypatch.setattr(I, "PAGE_ROWS", 200)
+    _, idx = C.code_index(spark, SF)
+    kept = I.ParseStore(idx.paths, idx.records).keep("by_name")
+    total = kept.of("def").count() + kept.of("call").count()
+    found = I.symbol_hits(kept).where(F.col("symbol").isin(["make_7", "make_150", "absent"]))
+    plan = plan_of(found)
+    assert "In(name, [" in plan
+    assert 0 < rows_scanned(found) < total / 4
+    assert found.count() == I.symbol_hits(idx).where("symbol in ('make_7', 'make_150', 'absent')").count() > 2

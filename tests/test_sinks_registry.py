@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from sourcelens.operators import context as C
@@ -173,3 +175,55 @@ def test_max_chars_counts_whole_numbers_and_booleans_only(spark):
         limit = int(limit) if isinstance(limit, int) else None
         cut = text[:limit] + f"\n\n... truncated at {limit} characters" if limit and len(text) > limit else text
         assert out[i] == cut, v
+
+
+def test_a_failed_run_publishes_nothing(spark):
+    from sourcelens.sources import published as PB
+
+    root = tempfile.mkdtemp(prefix="published-")
+    assert PB.read_published(spark, root).count() == 0
+    first = [("p", f"d{i % 7}/f{i}.py", f"text {i}\r\nü") for i in range(40)] + [("q", "d1/f1.py", ""), ("q", "e.py", None)]
+    schema = "project string, path string, content string"
+    PB.publish(spark.createDataFrame(first, schema).repartition(5), root)
+    want = sorted((p, x, c or "") for p, x, c in first)
+    assert sorted(map(tuple, PB.read_published(spark, root).collect())) == want
+    held = PB.published(root)
+    # one task of the next run fails after others have staged their files: readers see the run before
+    second = spark.createDataFrame([("p", f"new{i}.py", "x") for i in range(40)] + [("p", "../outside.py", "x")], schema)
+    with pytest.raises(Exception, match="leaves its project"):
+        PB.publish(second.repartition(6), root)
+    assert PB.published(root) == held and os.listdir(os.path.join(root, "runs")) == [held["run"]]
+    assert not os.path.exists(os.path.join(root, "outside.py"))
+    assert sorted(map(tuple, PB.read_published(spark, root).collect())) == want
+    # a driver that died before its commit leaves a run that nothing names
+    os.makedirs(os.path.join(root, "runs", "dead", "task", "p"))
+    assert sorted(map(tuple, PB.read_published(spark, root).collect())) == want and PB.clear_old_runs(root) == 1
+    PB.publish(spark.createDataFrame([("p", "only.py", "1")], schema), root)
+    assert [tuple(r) for r in PB.read_published(spark, root).collect()] == [("p", "only.py", "1")]
+    assert PB.clear_old_runs(root) == 1
+
+
+def test_table_functions_stream_pieces(spark, monkeypatch):
+    from sourcelens.operators import table_functions as TF
+
+    files = spark.createDataFrame(
+        [("p", f"m{i}.py", "def run():\n    pass\n" + "x = 1\n" * (i * 90)) for i in range(4)], "project string, path string, content string")
+    calls = spark.createDataFrame(
+        [(1, "p", "search_symbol", '{"symbol":"run"}'), (2, "p", "search_symbol", '{"symbol":"no"}'),
+         (3, "p", "read_file", '{"file_path":"m3.py"}'), (4, "p", "read_file", '{"file_path":"gone.py","max_chars":3}'),
+         (5, "p", "read_file", '{"file_path":"m0.py","max_chars":3}'), (6, "p", "read_file", "[1]"),
+         (7, "p", "read_file", '{"file_path":"../m0.py"}')],
+        "call_id bigint, project string, name string, arguments string")
+    ctx = L.LookupContext(files, I.extract(files), "/root")
+    TF.register_lookups(ctx, calls)
+    rows = spark.sql("SELECT * FROM search_symbol(TABLE(symbol_calls) PARTITION BY call_id ORDER BY (path, bfs_order)) "
+                     "UNION ALL SELECT * FROM read_file(TABLE(file_calls) PARTITION BY call_id)").collect()
+    pieces = sorted((r["call_id"], r["piece"], r["output"]) for r in rows)
+    assert [(c, p, o.count("\n") + 1) for c, p, o in pieces if c == 3] == [(3, 0, 100), (3, 1, 100), (3, 2, 73)]
+    from sourcelens.operators.loop import assemble_outputs
+
+    whole = {}
+    for c, _, o in pieces:
+        whole[c] = o if c not in whole else whole[c] + "\n" + o
+    sent = {r["call_id"]: r["output"] for r in assemble_outputs(L.dispatch(calls.where("call_id <> 6"), ctx), ("call_id",)).collect()}
+    assert whole == sent

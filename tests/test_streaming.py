@@ -2,6 +2,7 @@
 
 import tempfile
 
+import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -104,3 +105,95 @@ def test_turn_outcomes_never_change_an_emitted_turn(spark):
     rows = [r for r in got.collect() if r["started"] == t0]
     # the turn crosses an hour and is one record still
     assert len(rows) == 1 and (rows[0]["events"], rows[0]["tool_calls"], rows[0]["turn"]) == (2, 1, 2)
+
+
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+EVENT = "response_id bigint, turn bigint, seq bigint, type string, payload string, ts timestamp"
+FIELDS = ["response_id", "turn", "kind", "started", "seq", "payload", "events", "tool_calls", "text_deltas"]
+
+
+@pytest.fixture
+def rocks(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    spark.conf.set(key, ROCKS)
+    yield spark
+    spark.conf.set(key, old)
+
+
+def write_batches(batches):
+    """One parquet file of events per micro-batch, in the order of their times."""
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    src = tempfile.mkdtemp(prefix="t3-events-")
+    names = ["response_id", "turn", "seq", "type", "payload", "ts"]
+    kinds = pa.schema([(n, t) for n, t in zip(names, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(),
+                                                      pa.timestamp("us", "UTC")))])
+    for i, rows in enumerate(batches):
+        path = os.path.join(src, f"b{i}.parquet")
+        pq.write_table(pa.Table.from_pylist([dict(zip(names, r)) for r in rows], kinds), path)
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+    return src
+
+
+def recorded(spark, src, name, **options):
+    stream = spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1).parquet(src)
+    got = run_to_memory(ST.turn_records(stream, **options), name)
+    return sorted(tuple(r[c] for c in FIELDS) for r in got.collect())
+
+
+def some_events(seed, turns=12, most=14):
+    """Turns that draft, call tools, complete once or twice, or are abandoned and taken up two days later."""
+    import datetime as dt
+    import random
+
+    rnd = random.Random(seed)
+    out, seq = [], 0
+    for t in range(turns):
+        ts = dt.datetime(2024, 5, 1, 8, tzinfo=dt.timezone.utc) + dt.timedelta(minutes=rnd.randrange(600))
+        for _ in range(rnd.randrange(1, most)):
+            seq += 1
+            kind = rnd.choice([ST.DELTA, ST.DELTA, ST.ARGUMENTS_DONE, "response.in_progress", ST.COMPLETED])
+            out.append((t // 3, t % 3, seq, kind, f"p{seq}", ts))
+            ts += dt.timedelta(seconds=rnd.choice([0, 1, 30])) if rnd.random() < 0.95 else dt.timedelta(days=2)
+    return out
+
+
+def test_turn_records_of_shuffled_late_and_repeated_events_equal_batch(rocks):
+    import datetime as dt
+    import random
+
+    events = some_events(1)
+    want = sorted(tuple(r[c] for c in FIELDS) for r in ST.turn_records_batch(rocks.createDataFrame(events, EVENT)).collect())
+    rnd = random.Random(2)
+    # Arrival up to an hour late, some events twice; then one that lets the watermark pass all of them.
+    arrivals = sorted([(e[5] + dt.timedelta(minutes=rnd.uniform(0, 55)), e) for e in events + events[::4]], key=lambda x: x[0])
+    size = max(1, len(arrivals) // 6)
+    batches = [[e for _, e in arrivals[i:i + size]] for i in range(0, len(arrivals), size)]
+    end = max(e[5] for e in events) + dt.timedelta(days=30)
+    batches += [[(99, 9, 10_000, "response.in_progress", None, end)], [(99, 9, 10_001, "response.in_progress", None, end)]]
+    assert recorded(rocks, write_batches(batches), "t3_shuffled", lateness="1 hour") == want
+    assert {r[2] for r in want} == {"drafting", "outcome"}
+
+
+def test_ordered_turns_are_recorded_with_their_completion(rocks):
+    """The record is in the micro-batch of the completion event: nothing comes after it here."""
+    events = sorted(some_events(3), key=lambda e: e[2])
+    want = sorted(tuple(r[c] for c in FIELDS) for r in ST.turn_records_batch(rocks.createDataFrame(events, EVENT)).collect())
+    half = len(events) // 2
+    assert recorded(rocks, write_batches([events[:half], events[half - 2:half] + events[half:]]), "t3_ordered",
+                    abandon="1 day") == want
+
+
+def test_turn_records_pause_and_late_rules():
+    day = 24 * 3600 * 10**6
+    events = [(0, 1, ST.DELTA, "a"), (5, 2, ST.COMPLETED, "b"), (6, 3, ST.COMPLETED, "c"), (7, 4, ST.DELTA, "d"),
+              (8 + day, 5, ST.DELTA, "e"), (9 + day, 6, ST.COMPLETED, "f")]
+    state, out = ST._follow(None, events, day)
+    assert state is None
+    assert [(k, s, q, n) for k, s, q, _, n, _, _ in out] == [
+        ("drafting", 0, 1, 1), ("outcome", 0, 2, 2), ("outcome", 6, 3, 1), ("drafting", 7, 4, 1),
+        ("drafting", 8 + day, 5, 1), ("outcome", 8 + day, 6, 2)]
