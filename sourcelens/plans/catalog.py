@@ -384,13 +384,24 @@ def line_changes(spark, sf_dir):
 
 @query
 def unified_diffs(spark, sf_dir):
-    """E6 + S5: exact unified diff text of every changed file, with its artefact name."""
+    """E6 + S5: unified diff text of every changed file, with its artefact name."""
     from sourcelens.operators import diff as D
 
-    p = _proposals(spark, sf_dir).select("project", "path", F.col("content").alias("before"), F.col("updated").alias("after"))
-    d = D.unified_diffs(p)
-    return d.select("project", "path", "diff", D.diff_name("path", project="project").alias("diff_path"),
-                    _long(F.size(F.split("diff", "\n@@ "))).alias("n_hunks"))
+    p = _proposals(spark, sf_dir).select(
+        "project", "path", F.col("content").alias("before"), F.col("updated").alias("after"),
+        F.when(F.col("mode") == "review", F.col("grouped")).alias("grouped"))
+    return D.unified_diffs(p).select("project", "path", "diff", D.diff_name("path", project="project").alias("diff_path"), "n_hunks")
+
+
+@query
+def clean_hunks(spark, sf_dir):
+    """W3 on delete edits: hunks of every clean of an injected file."""
+    from sourcelens.operators import diff as D
+
+    i = _injected(spark, sf_dir).select("project", "path", T.split_lines_keepends("injected_text").alias("ls"))
+    edits = D.delete_edits(F.col("ls"), lambda l: l.rlike(T.COMMENT_LINE_RE))
+    h = i.select("project", "path", F.explode(D.hunks_col(edits, _long(F.size("ls")))).alias("h"))
+    return h.select("project", "path", "h.hunk_no", "h.old_start", "h.old_len", "h.new_start", "h.new_len", "h.header")
 
 
 @query

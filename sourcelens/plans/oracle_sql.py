@@ -531,6 +531,27 @@ UPDATED = f"""updated AS (
     CASE WHEN m.mode = 'review' THEN i.injected ELSE 0 END AS injected
   FROM doc_files_a f JOIN resp_mode m USING (path) LEFT JOIN injected i USING (path))"""
 
+ORACLES["clean_hunks"] = with_(DOC_FILES_ANNOT, DOC_RESPONSES, PARSED, INJECTED) + f""",
+il AS (
+  SELECT path, unnest(ls) AS line, generate_subscripts(ls, 1) AS lineno, len(ls) AS n
+  FROM (SELECT path, {keepends('injected_text')} AS ls FROM injected)),
+g AS (
+  SELECT *, CASE WHEN lag(lineno) OVER w IS NULL OR lineno - lag(lineno) OVER w - 1 > 6 THEN 1 ELSE 0 END AS brk
+  FROM il WHERE starts_with({strip('line')}, '# REVIEW:') WINDOW w AS (PARTITION BY path ORDER BY lineno)),
+h AS (SELECT *, sum(brk) OVER (PARTITION BY path ORDER BY lineno ROWS UNBOUNDED PRECEDING) AS hunk_no FROM g),
+hh AS (
+  SELECT path, hunk_no, min(lineno) AS first, max(lineno) AS last, count(*) AS cut, max(n) AS n FROM h GROUP BY path, hunk_no),
+hb AS (
+  SELECT *, coalesce(sum(cut) OVER (PARTITION BY path ORDER BY hunk_no
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+         greatest(first - 1 - 3, 0) AS old0, least(n, last + 3) - greatest(first - 1 - 3, 0) AS old_len
+  FROM hh)
+SELECT path, CAST(hunk_no AS BIGINT) AS hunk_no, CAST(old0 + 1 AS BIGINT) AS old_start, CAST(old_len AS BIGINT) AS old_len,
+       CAST(old0 - before + 1 AS BIGINT) AS new_start, CAST(old_len - cut AS BIGINT) AS new_len,
+       '@@ -' || {rng('old0', 'old_len')} || ' +' || {rng('(old0 - before)', '(old_len - cut)')} || ' @@' AS header
+FROM hb
+"""
+
 ORACLES["line_changes"] = with_(DOC_FILES_ANNOT, DOC_RESPONSES, PARSED, INJECTED, UPDATED) + f""",
 bl AS (SELECT path, unnest({keepends('content')}) AS line FROM updated WHERE content <> updated),
 al AS (SELECT path, unnest({keepends('updated')}) AS line FROM updated WHERE content <> updated),
@@ -542,6 +563,49 @@ SELECT path, '-', line, CAST(count(*) AS BIGINT) FROM minus GROUP BY path, line
 """
 
 _STEM = "regexp_replace(regexp_extract(path, '([^/]*)$', 1), '^(.+)\\.[^.]*$', '\\1')"
+# Unified texts: the hunks of known insertions (reviews), one replaced block where a rewrite differs.
+ORACLES["unified_diffs"] = f"""
+WITH hunks AS MATERIALIZED (SELECT * FROM ({ORACLES["diff_hunks"]})),
+all_of AS MATERIALIZED ({with_(DOC_FILES_ANNOT, DOC_RESPONSES, PARSED, INJECTED, UPDATED)}
+  SELECT project, path, mode, content, updated, {keepends('content')} AS a, {keepends('updated')} AS b
+  FROM updated WHERE content <> updated),
+comments AS MATERIALIZED ({with_(DOC_FILES_ANNOT, DOC_RESPONSES, PARSED, INJECTED)}
+  SELECT f.path, f.idx, string_agg('+' || regexp_extract(f.line, '{INDENT_RE}', 0) || '# REVIEW: ' || r.comment || chr(10), ''
+                                   ORDER BY r.seq) AS plus
+  FROM flines f JOIN review_rows r ON r.path = f.path AND r.lineno = f.idx GROUP BY f.path, f.idx),
+review_lines AS (
+  SELECT path, unnest(a) AS line, generate_subscripts(a, 1) AS idx FROM all_of WHERE mode = 'review'),
+review_hunks AS (
+  SELECT h.path, h.hunk_no, any_value(h.header) || chr(10) || string_agg(coalesce(c.plus, '') || ' ' || l.line, '' ORDER BY l.idx) AS t
+  FROM hunks h JOIN review_lines l ON l.path = h.path AND l.idx BETWEEN h.old_start AND h.old_start + h.old_len - 1
+  LEFT JOIN comments c ON c.path = l.path AND c.idx = l.idx GROUP BY h.path, h.hunk_no),
+review_texts AS (SELECT path, string_agg(t, '' ORDER BY hunk_no) AS t, count(*) AS n_hunks FROM review_hunks GROUP BY path),
+heads AS (
+  SELECT *, coalesce(list_position(list_transform(range(1, CAST(least(len(a), len(b)) AS BIGINT) + 1), lambda i: a[i] = b[i]), false) - 1,
+                     least(len(a), len(b))) AS p
+  FROM all_of WHERE mode = 'rewrite'),
+tails AS (
+  SELECT *, coalesce(list_position(list_transform(range(0, CAST(least(len(a), len(b)) - p AS BIGINT)),
+                                                  lambda i: a[len(a) - i] = b[len(b) - i]), false) - 1, least(len(a), len(b)) - p) AS s
+  FROM heads),
+bounds AS (
+  SELECT *, greatest(p - 3, 0) AS old0, least(len(a), len(a) - s + 3) - greatest(p - 3, 0) AS old_len,
+         least(len(a), len(a) - s + 3) - greatest(p - 3, 0) + len(b) - len(a) AS new_len
+  FROM tails),
+rewrite_texts AS (
+  SELECT path, '@@ -' || {rng('old0', 'old_len')} || ' +' || {rng('old0', 'new_len')} || ' @@' || chr(10)
+    || array_to_string(list_transform(list_slice(a, old0 + 1, p), lambda l: ' ' || l), '')
+    || array_to_string(list_transform(list_slice(a, p + 1, len(a) - s), lambda l: '-' || l), '')
+    || array_to_string(list_transform(list_slice(b, p + 1, len(b) - s), lambda l: '+' || l), '')
+    || array_to_string(list_transform(list_slice(a, len(a) - s + 1, old0 + old_len), lambda l: ' ' || l), '') AS t, 1 AS n_hunks
+  FROM bounds),
+texts AS (SELECT * FROM review_texts UNION ALL SELECT * FROM rewrite_texts)
+SELECT u.project, u.path, '--- ' || u.path || chr(10) || '+++ ' || u.path || chr(10) || t.t AS diff,
+       'review_' || {_STEM.replace('path', 'u.path')} || '_' || substr(sha1(u.project || '/' || u.path), 1, 10) || '.diff' AS diff_path,
+       CAST(t.n_hunks AS BIGINT) AS n_hunks
+FROM all_of u JOIN texts t USING (path)
+"""
+
 ORACLES["apply_decisions"] = with_(DOC_FILES_ANNOT, DOC_RESPONSES, PARSED, INJECTED, UPDATED) + f""",
 doc_decisions AS (
   SELECT {DOC_PATH} AS path, CASE WHEN doc_id % 3 = 0 THEN ' Y ' ELSE 'n' END AS answer
@@ -752,7 +816,7 @@ FROM o
 
 
 # Outputs that name a document's path name its project too.
-for _name in ("inject_reviews", "clean_reviews", "round_trip_check", "review_counts", "validate_requests", "diff_hunks",
+for _name in ("inject_reviews", "clean_reviews", "round_trip_check", "review_counts", "validate_requests", "diff_hunks", "clean_hunks",
               "line_changes", "apply_decisions", "review_corpus"):
     ORACLES[_name] = (f"SELECT q.*, d.source AS project FROM ({ORACLES[_name]}) q "
                       "JOIN documents d ON q.path = 'doc_' || CAST(d.doc_id AS VARCHAR)")

@@ -77,8 +77,19 @@ def write_files(df: DataFrame, roots: dict[str, str], before: str = "content", a
     return c.mapInPandas(_write_batches, "project string, path string, status string")
 
 
-def write_diffs(pairs: DataFrame, out_dir: str, prefix: str = "review") -> None:
-    """Unified diffs of changed files with their artefact names, as a table."""
+def named_diffs(pairs: DataFrame, prefix: str = "review") -> DataFrame:
+    """Unified diffs of changed files with the names of their artefacts."""
     d = D.unified_diffs(pairs)
-    d.select("project", "path", D.diff_name("path", prefix, "project").alias("diff_path"), "diff").write.mode(
-        "overwrite").parquet(out_dir)
+    return d.select("project", "path", D.diff_name("path", prefix, "project").alias("diff_path"), "diff")
+
+
+def write_diffs(pairs: DataFrame, out_dir: str, prefix: str = "review") -> None:
+    """S5 as a table."""
+    named_diffs(pairs, prefix).write.mode("overwrite").parquet(out_dir)
+
+
+def publish_diffs(pairs: DataFrame, root: str, prefix: str = "review") -> None:
+    """S5 as files below a shared folder, published whole or not at all."""
+    from sourcelens.sources.published import publish
+
+    publish(named_diffs(pairs, prefix).select("project", F.col("diff_path").alias("path"), F.col("diff").alias("content")), root)

@@ -39,5 +39,5 @@ def test_entry_from_foreign_cwd():
     assert res["entry_rows"] == 200
     assert res["entry_cols"] == ["doc_id", "project", "path", "outcome", "message", "written", "final_content"]
     own = [n for n in res["missing_oracles"] if not (n == "pipeline" or n.startswith("op"))]
-    assert own == ["unified_diffs"] and res["extra_oracles"] == []
+    assert own == [] and res["extra_oracles"] == []
     assert res["skeleton_rows"] == 1700 and res["diff_rows"] > 0

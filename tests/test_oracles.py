@@ -12,5 +12,5 @@ def test_all_queries_match_their_oracles(spark):
     bad = {k: v for k, v in rep.items() if v["status"] == "MISMATCH"}
     assert not bad, bad
     assert set(rep) == set(own)
-    assert [k for k, v in rep.items() if v["status"] == "rows-only"] == ["unified_diffs"]
+    assert [k for k, v in rep.items() if v["status"] == "rows-only"] == []
     assert {k: v["type_diffs"] for k, v in rep.items() if v.get("type_diffs")} == {}
