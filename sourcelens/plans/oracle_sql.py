@@ -33,8 +33,17 @@ def line_key(d: str) -> str:
     return f"(CASE WHEN ltrim({d}, '0') = '' THEN '0' ELSE ltrim({d}, '0') END)"
 
 
+# Within an oracle ``path`` is a key of one document; ``file_name`` makes it the path that its project has, which
+# files of other projects have too.
 DOC_PATH = "('doc_' || CAST(doc_id AS VARCHAR))"
 
+
+def file_name(project: str, path: str) -> str:
+    doc = f"CAST(substr({path}, 5) AS BIGINT)"
+    return (f"(CASE WHEN {project} = 'src' || CAST({doc} % 20 AS VARCHAR) THEN 'doc_' || CAST({doc} // 20 AS VARCHAR) "
+            f"ELSE 'doc_all_' || substr({path}, 5) END)")
+
+
 DOC_FILES = f"""doc_files AS (
   SELECT doc_id, source AS project, {DOC_PATH} AS path, text AS content FROM documents)"""
 
@@ -563,6 +572,7 @@ SELECT path, '-', line, CAST(count(*) AS BIGINT) FROM minus GROUP BY path, line
 """
 
 _STEM = "regexp_replace(regexp_extract(path, '([^/]*)$', 1), '^(.+)\\.[^.]*$', '\\1')"
+U_FILE = file_name("u.project", "u.path")
 # Unified texts: the hunks of known insertions (reviews), one replaced block where a rewrite differs.
 ORACLES["unified_diffs"] = f"""
 WITH hunks AS MATERIALIZED (SELECT * FROM ({ORACLES["diff_hunks"]})),
@@ -600,8 +610,8 @@ rewrite_texts AS (
     || array_to_string(list_transform(list_slice(a, len(a) - s + 1, old0 + old_len), lambda l: ' ' || l), '') AS t, 1 AS n_hunks
   FROM bounds),
 texts AS (SELECT * FROM review_texts UNION ALL SELECT * FROM rewrite_texts)
-SELECT u.project, u.path, '--- ' || u.path || chr(10) || '+++ ' || u.path || chr(10) || t.t AS diff,
-       'review_' || {_STEM.replace('path', 'u.path')} || '_' || substr(sha1(u.project || '/' || u.path), 1, 10) || '.diff' AS diff_path,
+SELECT u.project, {U_FILE} AS path, '--- ' || {U_FILE} || chr(10) || '+++ ' || {U_FILE} || chr(10) || t.t AS diff,
+       'review_' || {_STEM.replace('path', U_FILE)} || '_' || substr(sha1(u.project || '/' || {U_FILE}), 1, 10) || '.diff' AS diff_path,
        CAST(t.n_hunks AS BIGINT) AS n_hunks
 FROM all_of u JOIN texts t USING (path)
 """
@@ -615,14 +625,14 @@ SELECT u.path, u.mode,
        WHEN lower({strip('d.answer')}) = 'y' THEN 'applied' ELSE 'rejected' END AS outcome,
   CASE WHEN u.updated <> u.content AND lower({strip('d.answer')}) = 'y' THEN u.updated ELSE u.content END
     AS final_content,
-  CASE WHEN u.updated <> u.content THEN 'review_' || {_STEM.replace('path', 'u.path')} || '_' || substr(sha1(u.project || '/' || u.path), 1, 10)
+  CASE WHEN u.updated <> u.content THEN 'review_' || {_STEM.replace('path', U_FILE)} || '_' || substr(sha1(u.project || '/' || {U_FILE}), 1, 10)
        || '.diff' END AS diff_path
 FROM updated u LEFT JOIN doc_decisions d USING (path)
 WHERE u.mode <> 'invalid'
 """
 
 ORACLES["published_updates"] = f"""
-SELECT d.source AS project, q.path, q.final_content AS content
+SELECT d.source AS project, {file_name("d.source", "q.path")} AS path, q.final_content AS content
 FROM ({ORACLES["apply_decisions"]}) q JOIN documents d ON q.path = 'doc_' || CAST(d.doc_id AS VARCHAR)
 WHERE q.outcome = 'applied'
 """
@@ -775,7 +785,7 @@ cl AS (
          len(ls) - len(list_filter(ls, lambda l: NOT starts_with({strip('l')}, '# REVIEW:'))) AS removed
   FROM (SELECT path, {keepends('content')} AS ls FROM doc_files_a)),
 j AS (
-  SELECT g.doc_id, g.path, g.clean, g.dry_run, g.message, g.range_status, u.project, u.content, u.updated, u.mode, u.added,
+  SELECT g.doc_id, g.path, {file_name("u.project", "g.path")} AS f, g.clean, g.dry_run, g.message, g.range_status, u.project, u.content, u.updated, u.mode, u.added,
          b.offending, d.answer, cl.cleaned_text, cl.removed,
          CASE WHEN (g.clean AND g.dry_run) THEN '--clean cannot be used with --dry-run'
               WHEN g.clean AND g.message IS NOT NULL THEN '--clean cannot be used with a review message'
@@ -797,14 +807,14 @@ o AS (
   FROM j)
 SELECT doc_id, path, outcome,
   CASE WHEN err IS NOT NULL THEN err
-       WHEN clean THEN {s('removed')} || ' review comments removed from ' || path
+       WHEN clean THEN {s('removed')} || ' review comments removed from ' || f
        WHEN mode = 'invalid' THEN 'Invalid copilot rewrite response: FILE_END appears before FILE_START'
        WHEN mode = 'review' AND offending IS NOT NULL
          THEN 'Model returned reviews outside requested line range: ' || offending
        WHEN dry_run AND updated = content THEN 'No changes to apply.'
-       WHEN dry_run AND NOT yes THEN 'Diff available at review_' || {_STEM} || '_' || substr(sha1(project || '/' || path), 1, 10) || '.diff'
-       WHEN mode = 'rewrite' THEN 'updated ' || path
-       ELSE {s('added')} || ' reviews added to ' || path END AS message,
+       WHEN dry_run AND NOT yes THEN 'Diff available at review_' || {_STEM.replace('path', 'f')} || '_' || substr(sha1(project || '/' || f), 1, 10) || '.diff'
+       WHEN mode = 'rewrite' THEN 'updated ' || f
+       ELSE {s('added')} || ' reviews added to ' || f END AS message,
   CAST(CASE WHEN outcome = 'cleaned' THEN cleaned_text <> content
             WHEN outcome = 'applied' THEN true
             WHEN outcome = 'done' THEN updated <> content ELSE false END AS BIGINT) AS written,
@@ -818,8 +828,8 @@ FROM o
 # Outputs that name a document's path name its project too.
 for _name in ("inject_reviews", "clean_reviews", "round_trip_check", "review_counts", "validate_requests", "diff_hunks", "clean_hunks",
               "line_changes", "apply_decisions", "review_corpus"):
-    ORACLES[_name] = (f"SELECT q.*, d.source AS project FROM ({ORACLES[_name]}) q "
-                      "JOIN documents d ON q.path = 'doc_' || CAST(d.doc_id AS VARCHAR)")
+    ORACLES[_name] = (f"SELECT q.* REPLACE ({file_name('d.source', 'q.path')} AS path), d.source AS project "
+                      f"FROM ({ORACLES[_name]}) q JOIN documents d ON q.path = 'doc_' || CAST(d.doc_id AS VARCHAR)")
 
 
 def summarise_sql(x: str) -> str:
@@ -902,7 +912,7 @@ SELECT g.doc_id,
                          || '. Ignore all other lines.' ELSE '' END
   || chr(10) || chr(10) || 'Use tools only when the provided context is insufficient.' || chr(10) || chr(10)
   || '## Project Skeleton' || chr(10) || chr(10) || chr(10)
-  || '## Target File: doc_' || {s('g.doc_id')} || chr(10) || {numbered('d.text')} AS prompt,
+  || '## Target File: ' || {file_name("d.source", DOC_PATH.replace("doc_id", "g.doc_id"))} || chr(10) || {numbered('d.text')} AS prompt,
   CAST(20 AS BIGINT) AS skeleton_chars
 FROM ranges g JOIN documents d ON d.doc_id = g.doc_id
 WHERE NOT g.clean AND g.message IS NOT NULL AND g.range_status NOT IN ('bad_shape', 'bad_order')

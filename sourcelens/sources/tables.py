@@ -28,9 +28,15 @@ def read_files_table(spark: SparkSession, path: str, project: str = "project", p
     return df.select(F.col(project).alias("project"), F.col(path_col).alias("path"), F.col(content).alias("content"))
 
 
+SOURCES = 20
+
+
 def _doc_path():
-    """A document's path within its project (its source)."""
-    return F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("path")
+    """A document's path within its project (its source): the same names in all of them."""
+    i = F.col("doc_id")
+    dealt = F.col("source") == F.concat(F.lit("src"), (i % SOURCES).cast("string"))
+    return F.when(dealt, F.concat(F.lit("doc_"), F.expr(f"doc_id div {SOURCES}").cast("string"))).otherwise(
+        F.concat(F.lit("doc_all_"), i.cast("string"))).alias("path")
 
 
 def doc_files(spark: SparkSession, sf_dir: str, annotated: bool = False) -> DataFrame:
