@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as Ty
 
 from sourcelens.functions import text as T
 from sourcelens.operators import index as I
@@ -65,15 +66,22 @@ def int_arg(name: str, col: str = "arguments") -> Column:
         (kind != "STRING") & written.rlike(r"^-?[0-9]+$"), written.try_cast("bigint"))
 
 
-# Declared JSON types and the types a decoded value of that kind has.
-JSON_TYPES = {"string": r"^STRING$", "integer": r"^BIGINT$", "number": r"^(BIGINT|DOUBLE|DECIMAL\(.*\))$",
-              "boolean": r"^BOOLEAN$", "object": r"^OBJECT", "array": r"^ARRAY"}
+# What a parameter's Spark type is called in JSON, and the types that a decoded value of that kind has.
+JSON_TYPES = {
+    Ty.StringType: ("string", r"^STRING$"),
+    Ty.LongType: ("integer", r"^BIGINT$"),
+    Ty.DoubleType: ("number", r"^(BIGINT|DOUBLE|DECIMAL\(.*\))$"),
+    Ty.BooleanType: ("boolean", r"^BOOLEAN$"),
+    Ty.MapType: ("object", r"^OBJECT"),
+    Ty.StructType: ("object", r"^OBJECT"),
+    Ty.ArrayType: ("array", r"^ARRAY"),
+}
 
 
-def has_type(name: str, declared: str) -> Column:
+def has_type(name: str, declared: Ty.DataType) -> Column:
     """Z3: whether an argument's JSON value is of the declared type."""
     raw = F.try_variant_get(F.col("args"), f"$.{name}", "variant")
-    return F.coalesce(F.schema_of_variant(raw).rlike(JSON_TYPES[declared]), F.lit(False))
+    return F.coalesce(F.schema_of_variant(raw).rlike(JSON_TYPES[type(declared)][1]), F.lit(False))
 
 
 def normalise_output(value: Column) -> Column:
@@ -98,26 +106,18 @@ def outside_message(path: Column) -> Column:
 
 
 @dataclass
-class ToolParam:
-    """Z3: one parameter of a tool's argument schema."""
+class Tool:
+    """Z1 + Z3: a lookup and its arguments as a Spark schema: NOT NULL fields are required, ``choices`` limits values."""
 
     name: str
-    type: str
-    required: bool = True
-    enum: list[str] | None = None
-
-    VALID_TYPES = ("string", "integer", "number", "boolean", "object", "array")
+    arguments: Ty.StructType
+    run: Callable[["LookupContext", DataFrame], DataFrame]
+    choices: dict[str, list[str]] = field(default_factory=dict)
 
     def __post_init__(self):
-        if self.type not in self.VALID_TYPES:
-            raise ValueError(f"Invalid type: {self.type}")
-
-
-@dataclass
-class Tool:
-    name: str
-    params: list[ToolParam]
-    run: Callable[["LookupContext", DataFrame], DataFrame]
+        odd = [f.name for f in self.arguments if type(f.dataType) not in JSON_TYPES]
+        if odd or set(self.choices) - set(self.arguments.names):
+            raise ValueError(f"{self.name}: {odd or sorted(self.choices)} cannot be arguments")
 
 
 @dataclass
@@ -216,10 +216,12 @@ def _search_symbol(ctx: LookupContext, calls: DataFrame) -> DataFrame:
 
 def default_registry() -> Registry:
     r = Registry()
-    r.register(Tool("read_file", [ToolParam("file_path", "string"), ToolParam("max_chars", "integer", required=False)],
-                    _read_file))
-    r.register(Tool("get_function", [ToolParam("file_path", "string"), ToolParam("name", "string")], _get_function))
-    r.register(Tool("search_symbol", [ToolParam("symbol", "string")], _search_symbol))
+    for name, arguments, lookup in (
+        ("read_file", "file_path string NOT NULL, max_chars bigint", _read_file),
+        ("get_function", "file_path string NOT NULL, name string NOT NULL", _get_function),
+        ("search_symbol", "symbol string NOT NULL", _search_symbol),
+    ):
+        r.register(Tool(name, Ty.StructType.fromDDL(arguments), lookup))
     return r
 
 
@@ -282,13 +284,14 @@ def argument_violations(calls: DataFrame, registry: Registry | None = None) -> D
     problems = F.lit(None).cast("array<string>")
     for tool in registry.tools.values():
         checks = []
-        for p in tool.params:
-            v = arg(p.name, default=None)
-            if p.required:
-                checks.append(F.when(v.isNull(), F.lit(f"missing {p.name}")))
-            checks.append(F.when(v.isNotNull() & ~has_type(p.name, p.type), F.lit(f"{p.name} is not of type {p.type}")))
-            if p.enum is not None:
-                checks.append(F.when(v.isNotNull() & ~v.isin(p.enum), F.lit(f"{p.name} not in enum")))
+        for f in tool.arguments:
+            v = arg(f.name, default=None)
+            if not f.nullable:
+                checks.append(F.when(v.isNull(), F.lit(f"missing {f.name}")))
+            kind = JSON_TYPES[type(f.dataType)][0]
+            checks.append(F.when(v.isNotNull() & ~has_type(f.name, f.dataType), F.lit(f"{f.name} is not of type {kind}")))
+            if f.name in tool.choices:
+                checks.append(F.when(v.isNotNull() & ~v.isin(tool.choices[f.name]), F.lit(f"{f.name} not in enum")))
         arr = F.filter(F.array(*checks), lambda x: x.isNotNull()) if checks else F.array().cast("array<string>")
         problems = F.when(F.col("name") == tool.name, arr).otherwise(problems)
     return c.select("call_id", "name", problems.alias("problems")).where(F.size("problems") > 0)

@@ -6,6 +6,7 @@ import tempfile
 import pytest
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as Ty
 
 from sourcelens.operators import context as C
 from sourcelens.operators import index as I
@@ -83,13 +84,24 @@ def test_registry_replaces_and_keeps_order():
     r = L.default_registry()
     assert r.names() == ["read_file", "get_function", "search_symbol"]
     first = r.tools["read_file"]
-    r.register(L.Tool("read_file", [L.ToolParam("file_path", "string")], first.run))
+    r.register(L.Tool("read_file", Ty.StructType.fromDDL("file_path string NOT NULL"), first.run))
     assert r.names() == ["read_file", "get_function", "search_symbol"] and r.tools["read_file"] is not first
-    try:
-        L.ToolParam("x", "uuid")
-        raise AssertionError("invalid type accepted")
-    except ValueError as e:
-        assert str(e) == "Invalid type: uuid"
+    with pytest.raises(ValueError, match="cannot be arguments"):
+        L.Tool("t", Ty.StructType.fromDDL("x date"), first.run)
+    with pytest.raises(ValueError, match="cannot be arguments"):
+        L.Tool("t", Ty.StructType.fromDDL("x string"), first.run, {"y": ["a"]})
+
+
+def test_schemas_check_required_types_and_choices(spark):
+    r = L.Registry()
+    r.register(L.Tool("t", Ty.StructType.fromDDL(
+        "s string NOT NULL, n double, b boolean, o map<string,string>, a array<string>"), None, {"s": ["x", "y"]}))
+    calls = spark.createDataFrame(
+        [(1, "t", '{"s":"x","n":1,"b":true,"o":{},"a":[]}'), (2, "t", '{"s":"z","n":"1","b":0,"o":[],"a":{}}'), (3, "t", '{"n":1.5}')],
+        "call_id long, name string, arguments string")
+    got = {v["call_id"]: v["problems"] for v in L.argument_violations(calls, r).collect()}
+    assert got == {2: ["s not in enum", "n is not of type number", "b is not of type boolean", "o is not of type object",
+                       "a is not of type array"], 3: ["missing s"]}
 
 
 def test_argument_violations_and_output_normalisation(spark):
