@@ -2,14 +2,17 @@
 
 A page becomes a tree of elements and, in page order, its blocks: runs of inline text that belong to one
 element. Each block outside of page furniture gives points for its length and commas, discounted by its
-share of link text, to the container around it, half of them to the next container, and less further up. The
-container with the most points holds the article. If an article or main element encloses it, all of that
+share of link text, to the container around it, half of them to the next container, and less further up (nothing
+beyond ``REACH`` containers, where it would be less than a hundredth). The container with the most points holds the article. If an article or main element encloses it, all of that
 element's blocks outside of furniture that are not mostly links stay; else its siblings that are not mostly links.
 
 A class or id word of furniture cuts an element out with all below it, unless the element also has a name
 that speaks for text, or holds nearly all of the page's text outside of links; such an element only weighs
 less. A page left without text is read again without regard to class and id words.
 
+Time is in proportion to the page, however deep its elements lie in each other: open elements are found by name,
+and sums and decisions go over the elements once, from the leaves up or from the root down.
+
 Null and empty pages, and pages without text, give the empty text. Tags cut off at the end of a page are
 markup. Repeated pages are read one by one; other columns are ignored.
 """
@@ -57,6 +60,8 @@ LOWER = 8.0
 #: Words of furniture that do not count against an element that also has a good word.
 EXCUSED = frozenset("header".split())
 WEIGHT = {"article": 25.0, "main": 20.0, "section": 3.0, "div": 3.0, "blockquote": 1.0, "td": 1.0}
+#: Containers that a block gives points to, from the nearest up.
+REACH = 40
 #: Elements that end an open element of the same group.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
           "th": ("td", "th"), "option": ("option",)}
@@ -66,12 +71,39 @@ LIMITS = {"li": frozenset(("ul", "ol", "menu", "dir")), "dt": frozenset(("dl",))
 
 
 class Node:
-    __slots__ = ("tag", "parent", "out", "bad", "link", "points", "weight", "chars", "linked", "order", "plain")
+    __slots__ = ("tag", "parent", "out", "bad", "link", "points", "weight", "chars", "linked", "order", "plain", "around")
 
     def __init__(self, tag, parent, out, link, weight, order):
         self.tag, self.parent, self.out, self.link = tag, parent, out, link
         self.points, self.weight, self.chars, self.linked, self.order = 0.0, weight, 0, 0, order
         self.bad, self.plain = False, 0
+        #: The nearest container: itself, or the one around its parent.
+        self.around = self if tag in CONTAINERS else parent.around if parent else None
+
+
+class Open:
+    """The open elements, root first, and their places by name."""
+
+    def __init__(self, root: Node):
+        self.stack, self.places, self.blocks = [root], {}, [0]
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.stack))
+        if node.tag in BLOCK:
+            self.blocks.append(len(self.stack))
+        self.stack.append(node)
+
+    def cut(self, place: int) -> None:
+        """Close the element at that place and all inside it."""
+        for node in reversed(self.stack[place:]):
+            self.places[node.tag].pop()
+        del self.stack[place:]
+        while self.blocks[-1] >= place:
+            self.blocks.pop()
+
+    def last(self, *tags: str) -> int:
+        """Place of the innermost open element of these names, 0 if there is none (the root does not count)."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
 
 
 def _judge(tag: str, attributes: str, inside: bool, names: bool) -> tuple[bool, bool, float]:
@@ -112,7 +144,7 @@ def _judge(tag: str, attributes: str, inside: bool, names: bool) -> tuple[bool,
 def blocks_of(page: str, names: bool = True) -> tuple[list[tuple[Node, str, int]], list[Node]]:
     """(element, text, linked characters) of every block in page order, and all elements."""
     root = Node("html", None, False, False, 0.0, 0)
-    nodes, stack, blocks = [root], [root], []
+    nodes, opened, blocks = [root], Open(root), []
     pieces: list[str] = []
     linked: list[str] = []
     owner = root
@@ -127,11 +159,11 @@ def blocks_of(page: str, names: bool = True) -> tuple[list[tuple[Node, str, int]
 
     def add(text: str):
         nonlocal owner
-        top = stack[-1]
+        top = opened.stack[-1]
         if not pieces:
             if not text.strip():
                 return
-            owner = next(n for n in reversed(stack) if n.tag in BLOCK or n.parent is None)
+            owner = opened.stack[opened.blocks[-1]]
         if top.out:
             return
         pieces.append(text)
@@ -157,12 +189,13 @@ def blocks_of(page: str, names: bool = True) -> tuple[list[tuple[Node, str, int]
             continue
         tag = name.lower()
         if close:
-            if any(n.tag == tag for n in stack[1:]):
+            place = opened.last(tag)
+            if place:
                 if tag in BLOCK:
                     flush()
-                elif any(n.tag in BLOCK for n in stack[_last(stack, tag):]):
+                elif opened.blocks[-1] > place:
                     continue  # the end of an inline element does not end the blocks inside it
-                del stack[_last(stack, tag):]
+                opened.cut(place)
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
@@ -178,32 +211,26 @@ def blocks_of(page: str, names: bool = True) -> tuple[list[tuple[Node, str, int]
             if tag == "hr":
                 flush()
             continue
-        if tag in ("html", "body") and any(n.tag == tag for n in stack):
+        if tag == "html" or tag == "body" and opened.last("body"):
             continue
         if tag in BLOCK:
             flush()
-            p = _last(stack, "p")
-            if p and tag != "html":
-                del stack[p:]
-            if tag in ("body", "article", "main", "section", "div", "p", "h1") and _last(stack, "head"):
-                del stack[_last(stack, "head"):]
-        if tag in CLOSES:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in LIMITS[tag]:
-                    break
-                if stack[i].tag in CLOSES[tag]:
-                    flush()
-                    del stack[i:]
-                    break
-        parent = stack[-1]
-        inside = any(n.tag in ("article", "main") for n in stack)
+            if opened.last("p"):
+                opened.cut(opened.last("p"))
+            if tag in ("body", "article", "main", "section", "div", "p", "h1") and opened.last("head"):
+                opened.cut(opened.last("head"))
+        if tag in CLOSES and opened.last(*CLOSES[tag]) > opened.last(*LIMITS[tag]):
+            flush()
+            opened.cut(opened.last(*CLOSES[tag]))
+        parent = opened.stack[-1]
+        inside = bool(opened.last("article", "main"))
         out, cut, weight = _judge(tag, rest, inside, names)
         out = out or cut and tag not in BLOCK  # runs of inline text are not taken apart later
         node = Node(tag, parent, out or parent.out, parent.link or tag == "a", weight, len(nodes))
         node.bad = cut
         nodes.append(node)
         if not rest.endswith("/") or tag in BLOCK:
-            stack.append(node)
+            opened.push(node)
     flush()
     for node, text, links in blocks:
         if not node.out:
@@ -220,14 +247,6 @@ def blocks_of(page: str, names: bool = True) -> tuple[list[tuple[Node, str, int]
     return [b for b in blocks if not b[0].out], nodes
 
 
-def _last(stack: list[Node], tag: str) -> int:
-    """Place of the innermost open element of that name, 0 if there is none."""
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag == tag:
-            return i
-    return 0
-
-
 def _enclosing(node: Node) -> Node | None:
     """The nearest article around an element, else the nearest main."""
     found, up = None, node.parent
@@ -250,18 +269,16 @@ def main_text(page: str) -> str:
     for node, text, links in blocks:
         density = min(1.0, links / len(text))
         points = (1 + len(COMMAS.findall(text)) + min(len(text) / 100, 3.0)) * (1 - density)
-        up, share, rank = node if node.tag in CONTAINERS else node.parent, 1.0, 1
-        while up is not None:
-            if up.tag in CONTAINERS:
-                up.points += points * share
-                rank += 1
-                share = 1 / rank if rank == 2 else 1 / (rank * 3)
-            up = up.parent
-        up = node
-        while up is not None:
-            up.chars += len(text)
-            up.linked += links
-            up = up.parent
+        up, rank = (node if node.tag in CONTAINERS else node.parent.around if node.parent else None), 1
+        while up is not None and rank <= REACH:
+            up.points += points * (1.0 if rank == 1 else 0.5 if rank == 2 else 1 / (rank * 3))
+            rank += 1
+            up = up.parent.around if up.parent else None
+        node.chars += len(text)
+        node.linked += links
+    for node in reversed(nodes[1:]):  # elements come after those around them
+        node.parent.chars += node.chars
+        node.parent.linked += node.linked
 
     def score(n: Node) -> float:
         return (n.points + n.weight) * (1 - n.linked / n.chars) if n.chars else 0.0
@@ -280,12 +297,14 @@ def main_text(page: str) -> str:
             elif n.tag in CONTAINERS and (score(n) - n.weight >= least or density < 0.25 and not named):
                 kept.add(n.order)
 
-    def inside(n: Node | None, links: float) -> bool:
-        while n is not None:
-            if n.order in kept or n is whole and links < 0.5:
-                return True
-            n = n.parent
-        return False
+    below_kept, below_whole = [False] * len(nodes), [False] * len(nodes)
+    for n in nodes:
+        up = n.parent.order if n.parent else None
+        below_kept[n.order] = n.order in kept or up is not None and below_kept[up]
+        below_whole[n.order] = n is whole or up is not None and below_whole[up]
+
+    def inside(n: Node, links: float) -> bool:
+        return below_kept[n.order] or below_whole[n.order] and links < 0.5
 
     own = best.parent is not None
     return "\n".join(t for n, t, x in blocks if inside(n, x / len(t)) or (own and n is best.parent and best.tag != "article"))

@@ -66,3 +66,15 @@ def test_a_page_of_furniture_names_only_is_read_again():
     assert main_text("<body><span class=banner>Only, words.</span></body>") == "Only, words."
     assert main_text("<body><div class=notice><p>One, two.</p></div><div class=promo><p>Three, four.</p></div></body>") == (
         "One, two.\nThree, four.")
+
+
+def test_deep_pages_take_time_in_proportion():
+    import time
+
+    def seconds(depth):
+        page = "<body>" + "".join(f"<div>text {i}, with a comma" for i in range(depth)) + "</div>" * depth
+        began = time.time()
+        assert main_text(page)
+        return time.time() - began
+
+    assert seconds(20_000) < 30 * max(seconds(2_000), seconds(2_000)) + 1
