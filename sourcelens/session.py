@@ -120,14 +120,24 @@ def shared_table_path(spark: SparkSession, name: str, release: bool = False) ->
     return path
 
 
-def release_tables(spark: SparkSession) -> int:
+def written_tables(spark: SparkSession) -> int:
+    """How many intermediate tables this application has written and not released."""
+    return len(_WRITTEN.get(spark.sparkContext.applicationId, []))
+
+
+def release_tables(spark: SparkSession, since: int = 0, but_last: int = 0) -> int:
     """Delete the intermediate tables that this application has written; the number deleted.
 
-    For the end of a job: results that still read them must have been written before.
+    For the end of a job, or of a step of one (``since``: the tables written before it,
+    ``but_last``: so many stay): results that still read them must have been written before.
     """
-    jvm, paths = spark.sparkContext._jvm, _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    paths = _WRITTEN.get(spark.sparkContext.applicationId, [])
+    end = max(since, len(paths) - but_last)
+    gone_paths = paths[since:end]
+    del paths[since:end]
+    jvm = spark.sparkContext._jvm
     conf, gone = spark.sparkContext._jsc.hadoopConfiguration(), 0
-    for path in paths:
+    for path in gone_paths:
         place = jvm.org.apache.hadoop.fs.Path(path)
         gone += bool(place.getFileSystem(conf).delete(place, True))
     return gone
