@@ -27,13 +27,34 @@ MSG_NOT_OBJECT = "Error running tool '{name}': Tool arguments must decode to a J
 MSG_UNKNOWN_TOOL = "Error running tool '{name}': Tool \"{name}\" not found in registry"
 
 
+# JSON text as strings and what stands between them.
+_JSON_PIECES = r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^"]++|"'
+# The numbers beyond JSON that Python's decoder reads, and how Python shows them.
+_BARE_NUMBERS = {"NaN": "nan", "Infinity": "inf", "-Infinity": "-inf"}
+# Marks such a number among the strings of decoded arguments.
+_BARE = "\0number:"
+
+
+def _outside_strings(text: Column, change: Callable[[Column], Column], inside: Callable[[Column], Column] = lambda x: x) -> Column:
+    """JSON text with ``change`` applied between its strings, and ``inside`` to these."""
+    pieces = F.regexp_extract_all(text, F.lit(_JSON_PIECES), F.lit(0))
+    return F.array_join(F.transform(pieces, lambda x: F.when(x.startswith('"'), inside(x)).otherwise(change(x))), "")
+
+
+def _with_bare_numbers(text: Column) -> Column:
+    """Bare ``NaN``, ``Infinity`` and ``-Infinity`` as marked strings, which VARIANT can hold."""
+    return F.when(text.rlike("NaN|Infinity"), _outside_strings(text, lambda x: F.regexp_replace(
+        x, r"(?<![\w.-])(NaN|-?Infinity)(?![\w.-])", r'"\\u0000number:$1"'))).otherwise(text)
+
+
 def classify_arguments(calls: DataFrame, col: str = "arguments") -> DataFrame:
     """Adds ``args`` (VARIANT) and ``arg_status`` in invalid / not_object / object.
 
     Needs ``spark.sql.variant.allowDuplicateKeys=true`` (set by the job config) so that a
-    repeated key keeps its last value, as Python's decoder does, instead of failing.
+    repeated key keeps its last value, as Python's decoder does, instead of failing. Like that
+    decoder it reads bare ``NaN`` and ``Infinity`` as numbers.
     """
-    v = F.try_parse_json(F.col(col))
+    v = F.try_parse_json(_with_bare_numbers(F.col(col)))
     status = (
         F.when(v.isNull(), F.lit("invalid"))
         .when(F.schema_of_variant(v).startswith("OBJECT"), F.lit("object"))
@@ -48,7 +69,10 @@ def arg(name: str, default: str | None = "") -> Column:
     raw = F.try_variant_get(F.col("args"), f"$.{name}", "variant")
     text = F.try_variant_get(F.col("args"), f"$.{name}", "string")
     shown = F.when(F.is_variant_null(raw), F.lit("None")).when(
-        F.schema_of_variant(raw) == "BOOLEAN", F.initcap(text)).otherwise(text)
+        F.schema_of_variant(raw) == "BOOLEAN", F.initcap(text))
+    for written, as_python in _BARE_NUMBERS.items():
+        shown = shown.when(text == _BARE + written, F.lit(as_python))
+    shown = shown.otherwise(text)
     return shown if default is None else F.when(raw.isNull(), F.lit(default)).otherwise(shown)
 
 
@@ -81,14 +105,44 @@ JSON_TYPES = {
 def has_type(name: str, declared: Ty.DataType) -> Column:
     """Z3: whether an argument's JSON value is of the declared type."""
     raw = F.try_variant_get(F.col("args"), f"$.{name}", "variant")
-    return F.coalesce(F.schema_of_variant(raw).rlike(JSON_TYPES[type(declared)][1]), F.lit(False))
+    bare = F.coalesce(F.try_variant_get(raw, "$", "string").startswith(_BARE), F.lit(False))
+    kind = F.when(bare, "DOUBLE").otherwise(F.schema_of_variant(raw))
+    return F.coalesce(kind.rlike(JSON_TYPES[type(declared)][1]), F.lit(False))
 
 
-def normalise_output(value: Column) -> Column:
-    """Strings pass through, anything else becomes JSON text."""
-    return F.when(F.schema_of_variant(value) == "STRING", F.variant_get(value, "$", "string")).otherwise(
-        F.to_json(value)
-    )
+def _ascii(text: Column) -> Column:
+    """A JSON string with everything beyond printable ASCII as escapes of its UTF-16 units."""
+
+    def escaped(c):
+        units = F.lower(F.hex(F.encode(c, "UTF-16BE")))
+        return F.concat(F.lit("\\u"), F.substring(units, 1, 4),
+                        F.when(F.length(units) > 4, F.concat(F.lit("\\u"), F.substring(units, 5, 4))).otherwise(F.lit("")))
+
+    each = F.transform(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), lambda c: F.when(c.rlike("^[ -~]$"), c).otherwise(escaped(c)))
+    return F.when(text.rlike("[^ -~]"), F.array_join(each, "")).otherwise(text)
+
+
+def python_json(text: Column) -> Column:
+    """Compact JSON text as Python's encoder writes it: spaces behind ``,`` and ``:``, ASCII only.
+
+    Keys keep their order. Numbers keep their text (Java writes ``1.0E10`` for ``10000000000.0``).
+    """
+    return _outside_strings(text, lambda x: F.regexp_replace(x, "([,:])", "$1 "), _ascii)
+
+
+def normalise_output(value: Column, kind: str = "variant") -> Column:
+    """Strings pass through, anything else becomes JSON text as Python writes it.
+
+    ``kind`` is the column's type. VARIANT holds its keys in order of their names, a struct in the
+    order of its fields.
+    """
+    if kind == "string":
+        return value
+    if kind == "variant":
+        return F.when(F.schema_of_variant(value) == "STRING", F.variant_get(value, "$", "string")).otherwise(
+            python_json(F.to_json(value)))
+    nested = kind.startswith(("struct", "map", "array"))
+    return F.coalesce(python_json(F.to_json(value, {"ignoreNullFields": "false"})) if nested else value.cast("string"), F.lit("null"))
 
 
 def resolve_path(path: Column, root: str) -> tuple[Column, Column, Column]:
@@ -267,6 +321,7 @@ def dispatch(calls: DataFrame, ctx: LookupContext, registry: Registry | None = N
         if name not in asked:
             continue
         out = tool.run(ctx, ok.where(F.col("name") == name)).select(*OUTPUT_COLS)
+        out = out.withColumn("output", normalise_output(F.col("output"), dict(out.dtypes)["output"]))
         outs.append(out.withColumn("name", F.lit(name)))
     result = outs[0]
     for o in outs[1:]:

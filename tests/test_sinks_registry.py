@@ -113,7 +113,7 @@ def test_argument_violations_and_output_normalisation(spark):
     assert v == {1: ["missing file_path"], 2: ["missing name"]}
     df = spark.createDataFrame([('"text"',), ('{"a": 1}',), ("[1, 2]",)], "j string")
     got = [r[0] for r in df.select(L.normalise_output(F.parse_json("j"))).collect()]
-    assert got == ["text", '{"a":1}', "[1,2]"]
+    assert got == ["text", '{"a": 1}', "[1, 2]"]
 
 
 def test_exclude_sensitive_and_index_write(spark):
@@ -239,3 +239,57 @@ def test_table_functions_stream_pieces(spark, monkeypatch):
         whole[c] = o if c not in whole else whole[c] + "\n" + o
     sent = {r["call_id"]: r["output"] for r in assemble_outputs(L.dispatch(calls.where("call_id <> 6"), ctx), ("call_id",)).collect()}
     assert whole == sent
+
+
+def nested_values(rnd, depth=0):
+    kind = rnd.randrange(8 if depth < 3 else 5)
+    text = "".join(rnd.choice('ab"\\\\/ ,:{}[]\\n\\t\\x7fé😀\\u2028') for _ in range(rnd.randrange(7)))
+    return [rnd.randrange(-999, 999), text, True, None, rnd.choice([0.5, -1.25, 3.75]),
+            *([{k: nested_values(rnd, depth + 1) for k in sorted({text, "k", "é"})}, [nested_values(rnd, depth + 1) for _ in range(3)], {}]
+              if depth < 3 else [])][kind]
+
+
+def test_outputs_are_python_json(spark):
+    """What is no string is written as ``json.dumps`` writes it, keys of a VARIANT in order."""
+    import json
+    import random
+
+    rnd = random.Random(6)
+    values = [nested_values(rnd) for _ in range(300)]
+    df = spark.createDataFrame([(i, json.dumps(v)) for i, v in enumerate(values)], "i int, j string")
+    got = {r["i"]: r["o"] for r in df.select("i", L.normalise_output(F.parse_json("j")).alias("o")).collect()}
+    assert [got[i] for i in range(300)] == [v if isinstance(v, str) else json.dumps(v, sort_keys=True) for v in values]
+    row = spark.sql("SELECT named_struct('z', 1, 'a', array('ü', null), 'm', map('k', true)) AS s, 7 AS n, CAST(NULL AS struct<x:int>) AS e")
+    out = row.select(*(L.normalise_output(F.col(c), t).alias(c) for c, t in row.dtypes)).first()
+    assert (out["s"], out["n"], out["e"]) == ('{"z": 1, "a": ["\\u00fc", null], "m": {"k": true}}', "7", "null")
+
+
+def test_tools_may_answer_with_values(spark):
+    files = spark.createDataFrame([("p", "a.py", "x\n")], "project string, path string, content string")
+    r = L.default_registry()
+    r.register(L.Tool("count", Ty.StructType.fromDDL("of string NOT NULL"), lambda ctx, calls: calls.select(
+        "call_id", F.lit("ok").alias("status"), F.lit("").alias("chunk_key"),
+        F.struct(L.arg("of").alias("of"), F.length(L.arg("of")).alias("n")).alias("output"))))
+    calls = spark.createDataFrame([(1, "p", "count", '{"of":"naïve"}'), (2, "p", "read_file", '{"file_path":"a.py"}')],
+                                  "call_id bigint, project string, name string, arguments string")
+    out = {x["call_id"]: x["output"] for x in L.dispatch(calls, L.LookupContext(files, I.extract(files), "/root"), r).collect()}
+    assert out == {1: '{"of": "na\\u00efve", "n": 5}', 2: "x\n"}
+
+
+def test_bare_numbers_are_read_like_python_does(spark):
+    import json
+
+    texts = ['{"a":NaN}', '{"a": -Infinity }', '{"a":[Infinity,{"b":NaN}]}', '{"a":"NaN, \\\\"Infinity"}', '{"a":-NaN}', '{"a":xNaN}', "NaN",
+             '{"a":Infinity', '{"a":1, "NaN":Infinity}', '{"a":nan}']
+    df = L.classify_arguments(spark.createDataFrame(list(enumerate(texts)), "i int, arguments string"))
+    got = {r["i"]: (r["arg_status"], r["a"], r["n"]) for r in
+           df.select("i", "arg_status", L.arg("a").alias("a"), L.has_type("a", Ty.DoubleType()).alias("n")).collect()}
+    for i, text in enumerate(texts):
+        try:
+            value = json.loads(text)
+        except ValueError:
+            assert got[i][0] == "invalid", text
+            continue
+        assert got[i][0] == ("object" if isinstance(value, dict) else "not_object"), text
+        if isinstance(value, dict) and not isinstance(value["a"], list):
+            assert got[i][1:] == (str(value["a"]), isinstance(value["a"], (int, float))), text
