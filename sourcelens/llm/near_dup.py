@@ -8,9 +8,10 @@ exceeds the distance with probability below 1e-5, and even then meets with overw
 Documents with equal shingle sets form one class and go on as one representative. Within a bucket of equal
 keys, pairs are not enumerated: every member is first tested against a few members of the bucket, which joins
 most groups of near copies into one component. Buckets that still hold several components are then gone
-through exactly, in blocks of bounded size: a task compares the members' whole sets by an inverted list and
-returns at most one link for each two components it joins. Tests compare full shingle sets, so links are
-exact; what is lost at most are pairs beyond the signature distance.
+through in pairs of blocks of bounded size. First by signatures alone: members stay that have another of a
+different component within the signature distance. Then by whole sets, which only these are sent with: a task
+compares them by an inverted list and returns at most one link for each two components it joins. Links are
+confirmed on full shingle sets; what is lost at most are pairs beyond the signature distance.
 
 Null and empty texts have no shingles and are linked with nothing, nor are rows without a doc_id, which have no
 component and are kept. Repeated rows fall into one class. An
@@ -31,8 +32,10 @@ CHUNKS, WIDTH = 12, 4
 SYMBOLS = CHUNKS * WIDTH
 #: Members of each bucket that all its other members are tested against first.
 STARS = 3
-#: Shingles in one block of a bucket's members; larger buckets are split into pairs of blocks.
-BLOCK = 1 << 20
+#: Symbols in which two signatures may differ: with one more, every chunk could differ in two.
+DISTANCE = 2 * CHUNKS - 1
+#: Members and shingles in one block of a bucket; larger buckets are split into pairs of blocks.
+MEMBERS, BLOCK = 4_096, 1 << 20
 #: Up to so many document ids are sent to all tasks; more are joined by a shuffle.
 SENT_IDS = 1_000_000
 #: Shingles whose hashes are held at once for one document.
@@ -189,23 +192,53 @@ def joining_links(frame, percent: int):
     return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
 
-def links_in_mixed_buckets(docs: DataFrame, members: DataFrame, labels: DataFrame, words: int, percent: int,
-                           text: str) -> DataFrame:
+def near_members(frame, percent: int):
+    """Of one pair of blocks: members (key, node) within the signature distance of one of another component.
+
+    Of any two members of different components one is outside of the largest, so only those look around.
+    """
+    import pandas as pd
+
+    node, label, n = (frame[c].to_numpy() for c in ("node", "component", "n"))
+    signs = np.frombuffer(b"".join(frame["signature"]), "<u2").reshape(-1, SYMBOLS)
+    names, count = np.unique(label, return_counts=True)
+    looking = np.flatnonzero(label != names[np.argmax(count)])
+    close = np.zeros(len(node), bool)
+    for at in range(0, len(looking), 64):
+        own = looking[at:at + 64]
+        differ = (signs[own][:, None, :] != signs[None, :, :]).sum(axis=2, dtype=np.int16)
+        able = np.minimum(n[own][:, None], n) * 100 >= np.maximum(n[own][:, None], n) * percent
+        near = (differ <= DISTANCE) & able & (label[own][:, None] != label)
+        close[own] |= near.any(axis=1)
+        close |= near.any(axis=0)
+    return pd.DataFrame({"key": frame["key"].to_numpy()[close], "node": node[close]})
+
+
+def in_blocks(rows: DataFrame, blocks) -> DataFrame:
+    """Rows of a bucket in every pair of its blocks (block <= other); ``blocks`` is their number."""
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    each = rows.withColumn("own", own).withColumn("each", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return each.withColumn("block", F.least("own", "each")).withColumn("other", F.greatest("own", "each")).drop("own", "each")
+
+
+def links_in_mixed_buckets(docs: DataFrame, members: DataFrame, signs: DataFrame, labels: DataFrame, words: int,
+                           percent: int, text: str) -> DataFrame:
     """Links between components that share a bucket of more than two members, found on whole sets."""
+    pair = ["key", "block", "other"]
     named = scratch(members.select("key", "node", "n").join(labels, "node"), "near-named")
     mixed = scratch(named.groupBy("key").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"),
-        F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks")).where("lo < hi and size > 2").select("key", "blocks"),
-        "near-mixed")
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
+        .where("lo < hi and size > 2").select("key", F.ceil(F.col("size") / MEMBERS).cast("int").alias("blocks")), "near-mixed")
     held = scratch(named.join(mixed, "key"), "near-held")
-    full = full_sets(docs, scratch(held.select("node").distinct(), "near-ids"), words, text)
-    placed = held.join(full, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # each pair of blocks (block <= other) once
-    other = placed.withColumn("each", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cut = other.select("key", F.least("own", "each").alias("block"), F.greatest("own", "each").alias("other"),
-                       "node", "component", "found")
-    return (cut.groupBy("key", "block", "other")
-            .applyInPandas(lambda frame: joining_links(frame, percent), "a long, b long").distinct())
+    close = in_blocks(held.join(signs, "node"), F.col("blocks")).select(
+        *pair, "node", "component", "n", "signature").groupBy(*pair).applyInPandas(
+        lambda frame: near_members(frame, percent), "key long, node long")
+    left = scratch(held.drop("blocks").join(scratch(close.distinct(), "near-close"), ["key", "node"]), "near-left")
+    sizes = left.groupBy("key").agg(F.greatest(F.ceil(F.sum("n") / BLOCK), F.ceil(F.count("*") / MEMBERS)).cast("int").alias("blocks"))
+    full = full_sets(docs, scratch(left.select("node").distinct(), "near-ids"), words, text)
+    cut = in_blocks(left.join(scratch(sizes, "near-sizes"), "key"), F.col("blocks")).join(full, "node").select(
+        *pair, "node", "component", "found")
+    return cut.groupBy(*pair).applyInPandas(lambda frame: joining_links(frame, percent), "a long, b long").distinct()
 
 
 def components(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
@@ -227,7 +260,8 @@ def components(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "
     pairs = scratch(stars.where(could_link(F.col("na"), F.col("nb"), percent)).select("a", "b"), "near-pairs")
     labels = scratch(members.select("node").distinct().withColumn("component", F.col("node")), "near-nodes")
     labels = unite(labels, scratch(confirmed(docs, pairs, words, percent, text), "near-links"))
-    found = links_in_mixed_buckets(docs, members, labels, words, percent, text)
+    signs = classes.select("node", "signature")
+    found = links_in_mixed_buckets(docs, members, signs, labels, words, percent, text)
     labels = unite(labels, scratch(found, "near-links"))
     changed = classes.select("class", "node", "copies").join(labels, "node", "left").where(
         (F.col("copies") > 1) | (F.col("component") < F.col("node")))

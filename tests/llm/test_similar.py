@@ -66,13 +66,44 @@ def result(df):
     return sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in df.collect())
 
 
-@pytest.mark.parametrize("size,block", [(4, 1 << 20), (5, 500)])
-def test_components_equal_brute_force(docs, monkeypatch, size, block):
+@pytest.mark.parametrize("size,block,most", [(4, 1 << 20, 4_096), (5, 500, 7)])
+def test_components_equal_brute_force(docs, monkeypatch, size, block, most):
     monkeypatch.setattr(N, "BLOCK", block)
+    monkeypatch.setattr(N, "MEMBERS", most)
     rows = family_rows()
     assert result(N.components(docs(rows), size, 80)) == brute_components(rows, size, 80)
 
 
+def test_only_members_within_the_signature_distance_go_on():
+    import pandas as pd
+
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 16, N.SYMBOLS)
+    rows = []
+    for i in range(300):  # one bucket: a large component, singles at every distance from it, a few of other sizes
+        sign, gap = base.copy(), i % 48
+        sign[rng.choice(N.SYMBOLS, gap, replace=False)] = rng.integers(1 << 16, 1 << 17, gap) % (1 << 16) ^ 1
+        rows.append((5, i, 0 if i % 3 else i, 100 if i % 7 else 70, sign.astype("<u2").tobytes()))
+    frame = pd.DataFrame(rows, columns=["key", "node", "component", "n", "signature"])
+    signs = np.stack([np.frombuffer(r[4], "<u2") for r in rows])
+    want = set()
+    for a in rows:
+        for b in rows:
+            far = int((signs[a[1]] != signs[b[1]]).sum())
+            if a[2] != b[2] and far <= 23 and 100 * min(a[3], b[3]) >= 80 * max(a[3], b[3]):
+                want.add(a[1])
+    got = N.near_members(frame, 80)
+    assert set(got["node"]) == want and set(got["key"]) == {5} and 50 < len(want) < 300
+
+
+def test_blocks_of_a_bucket_are_bounded_and_meet_in_pairs(llm):
+    rows = llm.range(1_000).select(F.lit(1).alias("key"), F.col("id").alias("node"))
+    cut = N.in_blocks(rows, F.lit(5)).groupBy("block", "other").agg(F.count("*").alias("n"), F.collect_set("node").alias("s")).collect()
+    assert len(cut) == 15 and max(r["n"] for r in cut) < 600 and all(r["block"] <= r["other"] for r in cut)
+    together = {(a, b) for r in cut for a in r["s"][:40] for b in r["s"][:40]}
+    assert together and all(any(a in r["s"] and b in r["s"] for r in cut) for a in range(0, 1_000, 97) for b in range(0, 1_000, 89))
+
+
 def test_one_document_of_each_group_stays(docs, llm):
     rows = family_rows()
     left = N.keep_one(docs(rows), 5, 80)
