@@ -87,6 +87,15 @@ class PublishedFiles(DataSource):
         return PublishedWriter(self.options["path"])
 
 
+def mounted(root: str) -> str:
+    """The folder as tasks and driver open it; stores that are not mounted are refused."""
+    if root.startswith("file:"):
+        return "/" + root[5:].lstrip("/")
+    if "://" in root:
+        raise ValueError(f"{root}: published files need a folder that driver and executors have mounted")
+    return root
+
+
 def publish(files: DataFrame, root: str) -> None:
     """Publish ``files(project, path, content)`` below a shared folder, replacing what was published there."""
     from sourcelens.session import ship_package
@@ -94,13 +103,13 @@ def publish(files: DataFrame, root: str) -> None:
     spark = files.sparkSession
     ship_package(spark)
     spark.dataSource.register(PublishedFiles)
-    files.select("project", "path", "content").write.format("published_files").option("path", root).mode("append").save()
+    files.select("project", "path", "content").write.format("published_files").option("path", mounted(root)).mode("append").save()
 
 
 def published(root: str) -> dict | None:
     """The manifest of the published run, None where nothing is."""
     try:
-        with open(os.path.join(root, MANIFEST), encoding="utf-8") as f:
+        with open(os.path.join(mounted(root), MANIFEST), encoding="utf-8") as f:
             return json.load(f)
     except FileNotFoundError:
         return None
@@ -110,6 +119,7 @@ def read_published(spark: SparkSession, root: str) -> DataFrame:
     """The published files as ``files(project, path, content)``; listed and read in tasks."""
     from sourcelens.sources.filesource import scan_sources
 
+    root = mounted(root)
     held = published(root)
     if held is None or not held["folders"]:
         return spark.createDataFrame([], SCHEMA)
@@ -124,6 +134,7 @@ def read_published(spark: SparkSession, root: str) -> DataFrame:
 
 def clear_old_runs(root: str) -> int:
     """Remove the folders of all runs but the published one: replaced runs, and any whose driver died."""
+    root = mounted(root)
     held, gone = published(root), 0
     for run in os.listdir(os.path.join(root, "runs")) if os.path.isdir(os.path.join(root, "runs")) else []:
         if held is None or run != held["run"]:
