@@ -23,7 +23,7 @@ JOB_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     # A list of names reaches the parquet scan as such (not as its bounds): pages without any of them are skipped.
     "spark.sql.parquet.pushdown.inFilterThreshold": "256",
-    # Python ast / difflib work runs over Arrow batches bounded in bytes as well as rows,
+    # Python work (ast, file writes) runs over Arrow batches bounded in bytes as well as rows,
     # so a batch of large files stays small in worker memory.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),

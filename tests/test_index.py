@@ -182,15 +182,6 @@ def test_dispatch_errors_and_paths(indexed, spark):
     assert out[8]["output"] == "Error reading 'missing.py': file not found"
 
 
-def test_source_partitions_pack_by_bytes(tree):
-    from sourcelens.sources.filesource import SourceTreeReader
-
-    root, _ = tree
-    few = SourceTreeReader({"roots": f"proj={root}", "suffix": ".py"}).partitions()
-    many = SourceTreeReader({"roots": f"proj={root}", "suffix": ".py", "partitionBytes": "1"}).partitions()
-    assert len(few) == 1 and len(many) == sum(len(p.files) for p in many) == 9
-
-
 def test_refresh_index_parses_only_changed_files(spark):
     files_v1 = spark.createDataFrame(
         [("p", "a.py", "def a():\n    pass\n"), ("p", "b.py", "def b():\n    pass\n"), ("p", "c.py", "def c(): pass\n")],
@@ -228,16 +219,49 @@ def test_segment_offsets_equal_get_source_segment(spark):
     assert got == expected and len(expected) == 7
 
 
-def test_scan_in_tasks_equals_the_data_source(spark, tree, monkeypatch):
+def test_scan_is_the_same_however_it_is_dealt_out(spark, tree, monkeypatch):
     from sourcelens.sources import filesource
 
-    root, _ = tree
-    a = filesource.read_small_trees(spark, {"proj": root})
+    root, files = tree
+    whole = sorted(map(tuple, scan_sources(spark, {"proj": root}).collect()))
+    assert len(whole) == 9 and {r[1] for r in whole} == {p for p in files if p.endswith(".py")} | {"badutf.py"}
     monkeypatch.setattr(filesource, "LIST_ROWS", 2)
     monkeypatch.setattr(filesource, "READ_BYTES", 10)
     for depth in (1, 2):
-        b = scan_sources(spark, {"proj": root}, depth=depth, read_partitions=3)
-        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+        again = scan_sources(spark, {"proj": root}, depth=depth, read_partitions=3)
+        assert sorted(map(tuple, again.collect())) == whole
+
+
+def test_a_followed_tree_reads_and_parses_only_changes(spark):
+    from sourcelens.sources import filesource
+
+    root = tempfile.mkdtemp(prefix="followed-")
+
+    def put(rel, text):
+        os.makedirs(os.path.dirname(os.path.join(root, rel)), exist_ok=True)
+        with open(os.path.join(root, rel), "w", encoding="utf-8") as fh:
+            fh.write(text)
+
+    for i in range(6):
+        put(f"d{i % 2}/f{i}.py", f"def f{i}(): pass\n")
+    first, listing = filesource.follow_tree(spark, {"p": root}, None)
+    first = first.keep("followed")
+    assert sorted(r["name"] for r in I.definitions(first).collect()) == [f"f{i}" for i in range(6)]
+    # one file changes, one is new, one goes, one moves and one is copied
+    put("d0/f0.py", "def changed(): pass\n")
+    put("d1/new.py", "def new(): pass\n")
+    os.remove(os.path.join(root, "d1/f1.py"))
+    os.renames(os.path.join(root, "d0/f2.py"), os.path.join(root, "d2/moved.py"))
+    put("d2/copy.py", "def f3(): pass\n")
+    second, listing = filesource.follow_tree(spark, {"p": root}, first, listing)
+    second = second.keep("followed")
+    got = sorted((r["path"], r["name"]) for r in I.definitions(second).collect())
+    assert got == [("d0/f0.py", "changed"), ("d0/f4.py", "f4"), ("d1/f3.py", "f3"), ("d1/f5.py", "f5"), ("d1/new.py", "new"),
+                   ("d2/copy.py", "f3"), ("d2/moved.py", "f2")]
+    fresh = second.of("file").join(first.of("file"), "content_sha", "left_anti")
+    assert fresh.count() == 2  # parsed: the changed and the new text alone
+    third, _ = filesource.follow_tree(spark, {"p": root}, second, listing)
+    assert third.paths.exceptAll(second.paths).count() == 0 and third.records.exceptAll(second.records).count() == 0
 
 
 def test_hot_module_is_salted_and_exact(spark):
