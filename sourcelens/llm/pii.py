@@ -6,7 +6,9 @@ kind; its posteriors train a logistic span classifier on coarse span features. B
 of all documents, whose number of distinct patterns is bounded by the features, not by the data.
 
 Base kinds (``email ip card phone``) keep every span that passes its check, whatever the classifier says;
-spans of the added kinds (``ssn iban mailto``) stay where the classifier gives 0.5 or more.
+spans of the added kinds (``ssn iban mailto account``) stay where the classifier gives 0.5 or more. Bare numbers
+(``account``) are candidates wherever they stand; for them words before that name an account speak for a span, and
+their absence against it, so the classifier drops most.
 
 Nulls and empty texts give no spans; repeated rows are handled row by row; an empty table gives an empty
 table and the prior model; columns other than the text pass through untouched.
@@ -24,7 +26,7 @@ from .common import bounded_rows
 from .native_spans import add_spans, joined
 
 BASE = ("email", "ip", "card", "phone")
-ADDED = ("ssn", "iban", "mailto")
+ADDED = ("ssn", "iban", "mailto", "account")
 KINDS = BASE + ADDED
 
 #: Matches are those of the plain patterns; starts inside a run that already failed are not tried again.
@@ -37,6 +39,7 @@ PATTERNS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "mailto": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?[\[(](?:at|AT)[\])]\x20?[A-Za-z0-9-]{1,63}"
               r"(?:\x20?(?:\.|[\[(](?:dot|DOT)[\])])\x20?[A-Za-z0-9-]{2,63}){1,4}",
+    "account": r"(?<![0-9A-Za-z.+/-])[0-9]{8,19}(?![0-9A-Za-z./-])",
 }
 #: Substrings or short expressions without which a pattern cannot match.
 NEEDS_WORD = {"email": ("@",), "phone": ("+",), "mailto": ("at]", "at)", "AT]", "AT)")}
@@ -45,6 +48,7 @@ NEEDS_SHAPE = {
     "card": r"(?:[0-9][\x20-]?){12}[0-9]",
     "ssn": r"-[0-9][0-9]-[0-9]",
     "iban": r"[A-Z]{2}[0-9]{2}[\x20A-Z0-9]",
+    "account": r"[0-9]{8}",
 }
 
 # Word lists of the gazetteer and context labelers.
@@ -56,6 +60,8 @@ IBAN_COUNTRIES = ("AD AE AL AT AZ BA BE BG BH BR CH CY CZ DE DK EE ES FI FR GB G
                   "LT LU LV MC MD ME MK MT NL NO PL PT RO RS SA SE SI SK SM TR").split()
 CONTEXT_FOR = (r"(?i)(mail|contact|write to|tel|phone|call|fax|mobile|address|card|visa|mastercard|amex|"
                r"paid|ssn|social security|iban|account|konto|compte|cuenta|login|from ip|host)[^0-9A-Za-z]{0,12}$")
+CONTEXT_ACCOUNT = (r"(?i)(account|acct|konto|kontonummer|compte|cuenta|customer|client|kunde|kundennummer|member|policy|"
+                   r"patient|passport|licen[cs]e|insurance)(\x20(no|nr|number|id)\.?)?[:#=\x20]{0,4}$")
 CONTEXT_AGAINST = (r"(?i)(version|release|build|isbn|issn|order|part|sku|section|figure|fig|no|nr|doi|"
                    r"chapter|page|v)[.:#\x20]{0,3}$")
 
@@ -99,6 +105,8 @@ def _shape(kind: str, v: Column) -> Column:
         return _vote(~v.rlike(r"^(000|666|9)|-00-|-0000$"), v.rlike(r"^(000|666|9)|-00-|-0000$"))
     if kind == "iban":
         return _vote(F.length(F.replace(v, F.lit(" "), F.lit(""))).between(15, 34), F.lit(False))
+    if kind == "account":
+        return _vote(F.lit(False), v.rlike(r"^(19|20)[0-9]{6}$|^([0-9])\2+$") | (F.length(v) > 16))
     return _vote(v.rlike(r"(?i)(dot|\.)[\])]?\x20?[a-z]{2,6}$"), F.lit(False))
 
 
@@ -119,15 +127,23 @@ def _gazetteer(kind: str, v: Column) -> Column:
     if kind == "iban":
         known = F.substring(v, 1, 2).isin(IBAN_COUNTRIES)
         return _vote(known, ~known)
+    if kind == "account":  # what checks out as a card is one
+        return _vote(F.lit(False), F.length(v).between(13, 19) & F.call_function("luhn_check", v))
     return _vote(F.lit(False), F.lit(False))
 
 
+def _context(kind: str, before: Column) -> Column:
+    if kind == "account":
+        return _vote(before.rlike(CONTEXT_ACCOUNT), ~before.rlike(CONTEXT_ACCOUNT))
+    return _vote(before.rlike(CONTEXT_FOR), before.rlike(CONTEXT_AGAINST))
+
+
 def _voted(kind: str, spans: Column) -> Column:
     """Valid spans of a kind with the labelers' votes and the classifier's features."""
     return F.transform(F.filter(spans, lambda x: _valid(kind, x["value"])), lambda x: F.struct(
         F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
         _shape(kind, x["value"]).alias("shape"), _gazetteer(kind, x["value"]).alias("gazetteer"),
-        _vote(x["before"].rlike(CONTEXT_FOR), x["before"].rlike(CONTEXT_AGAINST)).alias("context"),
+        _context(kind, x["before"]).alias("context"),
         F.least(F.lit(3), F.floor(F.length(_digits(x["value"])) / 5)).cast("int").alias("digits"),
         F.least(F.lit(3), F.floor((x["end"] - x["start"]) / 8)).cast("int").alias("length"),
         F.when(x["before"].rlike(r"[\s(\"'<,:;]$") | (F.length(x["before"]) == 0), F.lit(1))
@@ -224,7 +240,7 @@ def pattern_counts(df: DataFrame, spans: str = "pii_candidates") -> DataFrame:
 
 
 def fit(df: DataFrame, spans: str = "pii_candidates") -> Model:
-    """Fit on the candidates of all rows. At most 7 kinds x 27 votes x 32 features reach the driver.
+    """Fit on the candidates of all rows. At most 8 kinds x 27 votes x 32 features reach the driver.
 
     ``df`` should be a written table: exploding candidates that are still to be computed makes the optimizer
     repeat their expressions in a filter.
@@ -261,12 +277,13 @@ def classify(spans: Column, model: Model) -> Column:
     return F.filter(spans, lambda x: x["kind"].isin(*BASE) | (score(x) >= 0.0))
 
 
-def mask(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
+def mask(df: DataFrame, model: Model, text: str = "text", found: str | None = None) -> DataFrame:
     """Replace every found span by ``<KIND>``; overlapping spans become one mask, of the first's kind.
 
+    ``found`` names a column of candidates, which goes; without one the texts are searched here.
     Null texts stay null; the other columns keep their values.
     """
-    df = candidates(df, text, "__pii_found")
+    df = candidates(df, text, "__pii_found") if found is None else df.withColumnRenamed(found, "__pii_found")
     spans = F.array_sort(F.transform(classify(F.col("__pii_found"), model), lambda x: F.struct(
         x["start"].alias("start"), (-x["end"]).alias("back"), x["kind"].alias("kind"))))
     df = df.withColumn("__pii_found", spans)

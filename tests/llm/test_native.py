@@ -156,3 +156,71 @@ def test_layouts_are_told_by_their_field_paths(llm):
     for i, (_, layout, turns) in enumerate(records):
         assert out[i]["layout"] == layout and [tuple(t) for t in out[i]["turns"]] == turns, (i, out[i])
     assert C.canonical_turns(df.limit(0)).count() == 0
+
+
+def planted_texts(count, seed):
+    """(text, spans that a reader would mark, decoys): numbers and addresses with and without words that name them."""
+    import random
+
+    rnd = random.Random(seed)
+    words = "the of meadow river lantern seldom under quiet harbour while seven".split()
+    out = []
+    for i in range(count):
+        text, marked = "", []
+        for _ in range(rnd.randrange(1, 4)):
+            text += " ".join(rnd.choices(words, k=rnd.randrange(3, 9))) + " "
+            number = "".join(rnd.choices("123456789", k=rnd.randrange(8, 13)))
+            lead, value, kind = rnd.choice([
+                ("account number: ", number, "account"), ("Konto ", number, "account"), ("customer no. ", number, "account"),
+                ("", number, None), ("figure ", number, None), ("made ", f"2024{rnd.randrange(10, 13)}{rnd.randrange(10, 28)}", None),
+                ("ssn ", f"{rnd.randrange(100, 600)}-{rnd.randrange(10, 99)}-{rnd.randrange(1000, 9999)}", "ssn"),
+                ("mail ", f"ada{i} (at) example (dot) org", "mailto")])
+            text += lead
+            if kind:
+                marked.append((kind, len(text), len(text) + len(value)))
+            text += value + " "
+        out.append((i, text, marked))
+    return out
+
+
+def test_added_kinds_are_found_and_bare_numbers_dropped(docs):
+    rows = planted_texts(400, 21)
+    found = pii.candidates(docs([(i, t) for i, t, _ in rows])).cache()
+    out = {r["doc_id"]: r["spans"] for r in pii.digest(found, pii.fit(found)).collect()}
+    got = {(i, *s.split(":")) for i, spans in out.items() for s in spans.split(",") if s and s.split(":")[0] in pii.ADDED}
+    want = {(i, k, str(a), str(b)) for i, _, marked in rows for k, a, b in marked}
+    assert len(got & want) >= 0.97 * len(want) and len(got & want) >= 0.97 * len(got)
+    tried = found.selectExpr("explode(pii_candidates) AS s").where("s.kind = 'account'").count()
+    assert tried > 1.5 * sum(k == "account" for _, k, _, _ in got)  # the classifier decides: many candidates go
+
+
+def test_reliabilities_equal_plain_expectation_maximisation(docs):
+    """EM over counts of vote patterns gives what EM over the single spans gives."""
+    rows = planted_texts(60, 5)
+    found = pii.candidates(docs([(i, t) for i, t, _ in rows])).cache()
+    model = pii.fit(found)
+    spans = [r["s"] for r in found.selectExpr("explode(pii_candidates) AS s").collect()]
+    own = [tuple(s[x] for x in pii.LABELERS) for s in spans if s["kind"] == "account"]
+    belief = {1: {-1: 0.1, 0: 0.3, 1: 0.6}, 0: {-1: 0.6, 0: 0.3, 1: 0.1}}
+    prior, votes, strength = 0.5, {(j, y): dict(belief[y]) for j in range(3) for y in (0, 1)}, 20.0
+    for _ in range(40):
+        likely = []
+        for v in own:
+            p, q = prior, 1 - prior
+            for j in range(3):
+                p, q = p * votes[j, 1][v[j]], q * votes[j, 0][v[j]]
+            likely.append(p / (p + q))
+        prior = (sum(likely) + 0.5 * strength) / (len(own) + strength)
+        fresh = {}
+        for j in range(3):
+            for y in (0, 1):
+                mass = {x: strength * belief[y][x] for x in (-1, 0, 1)}
+                for v, p in zip(own, likely):
+                    mass[v[j]] += p if y else 1 - p
+                fresh[j, y] = {x: m / sum(mass.values()) for x, m in mass.items()}
+        votes = fresh
+    assert abs(model.prior["account"] - prior) < 1e-9
+    for j, name in enumerate(pii.LABELERS):
+        for y in (0, 1):
+            for x in (-1, 0, 1):
+                assert abs(model.votes["account", name, y][x] - votes[j, y][x]) < 1e-9
