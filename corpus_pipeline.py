@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sourcelens.llm import decontam, near_dup, packing, pii, toxicity
 from sourcelens.llm.common import prepare, scratch, table
+from sourcelens.session import release_tables, written_tables
 
 #: Near duplicates: words of a shingle, and similarity in percent.
 SHINGLE, SIMILAR = 5, 80
@@ -41,8 +42,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind; ``n_chars`` follows the text."""
     prepare(spark)
-    model = pii.fit(scratch(pii.candidates(docs.select("text")).select("pii_candidates"), "pipeline-pii"))
-    masked = pii.mask(docs, model)
+    found = scratch(pii.candidates(docs, out="__pii_spans"), "pipeline-pii")  # texts are searched once
+    masked = pii.mask(found, pii.fit(found, "__pii_spans"), found="__pii_spans")
     if "n_chars" in masked.columns:
         kind = dict(masked.dtypes)["n_chars"]
         masked = masked.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
@@ -68,9 +69,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; each result is written as Parquet and read again by the next."""
+    """Apply the stages to ``documents``; each result is written as Parquet and read again by the next.
+
+    What a stage wrote on its way, and the result before it, are deleted once its own result is written.
+    """
     prepare(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, mark = table(spark, sf_dir, "documents"), written_tables(spark)
     for name, stage in STAGES:
         docs = scratch(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        release_tables(spark, since=mark, but_last=1)
     return docs
