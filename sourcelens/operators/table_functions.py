@@ -67,19 +67,23 @@ def register_lookups(ctx: L.LookupContext, calls: DataFrame) -> None:
     ``calls`` has call_id, project, name and arguments. Calls whose arguments are no object are
     left to ``lookup.dispatch``.
     """
-    from sourcelens.plans.joins import join_small, small_side
-    from sourcelens.session import ship_package
+    from sourcelens.plans.joins import join_dimension, join_small, small_side
+    from sourcelens.session import ship_package, write_and_read
 
     spark = calls.sparkSession
     ship_package(spark)
     spark.udtf.register("search_symbol", F.udtf(SearchSymbol, returnType=OUTPUT))
     spark.udtf.register("read_file", F.udtf(ReadFile, returnType=OUTPUT))
     usable = L.classify_arguments(calls).where(F.col("arg_status") == "object")
-    usable, small = small_side(usable)
+    held, small = small_side(usable)
+    usable = write_and_read(usable, "calls_decoded") if held is usable else held  # both lookups read them, decoded once
+    small = small or None  # each lookup of a large round measures its own requests
     asked = usable.where(F.col("name") == "search_symbol").select("call_id", "project", L.arg("symbol").alias("symbol"))
     hits = I.search_symbols(asked.select("project", "symbol"), ctx.index, small=small)
-    join_small(hits.select("project", "symbol", "path", "bfs_order", F.when(F.col("kind") != "NONE", F.col("hit")).alias("hit")),
-               asked, ["project", "symbol"], "inner", known_small=small).createOrReplaceTempView("symbol_calls")
+    hits = hits.select("project", "symbol", "path", "bfs_order", F.when(F.col("kind") != "NONE", F.col("hit")).alias("hit"))
+    found = join_small(hits, asked, ["project", "symbol"], known_small=True) if small else join_small(
+        asked, hits, ["project", "symbol"])
+    found.select(*hits.columns, "call_id").createOrReplaceTempView("symbol_calls")
     path = L.arg("file_path")
     _, inside, rel = L.resolve_path(path, ctx.root)
     reads = usable.where(F.col("name") == "read_file").select(
@@ -88,4 +92,6 @@ def register_lookups(ctx: L.LookupContext, calls: DataFrame) -> None:
     wanted = reads.where("inside").select("project", "rel").distinct()
     held = join_small(ctx.files.select("project", F.col("path").alias("rel"), "content"), wanted, ["project", "rel"],
                       "left_semi", known_small=small)
-    reads.join(held, ["project", "rel"], "left").createOrReplaceTempView("file_calls")
+    found = reads.join(held, ["project", "rel"], "left") if small else join_dimension(
+        reads, held, ["project", "rel"], "left", salt_by=["call_id"])
+    found.createOrReplaceTempView("file_calls")
