@@ -403,3 +403,49 @@ def test_ordered_hits_number_all_results(spark):
     hits = I.ordered_hits(I.search_symbols(req, idx)).collect()
     order = sorted(hits, key=lambda r: (r["project"], r["symbol"], r["path"] is None, r["path"] or "", r["bfs_order"] or 0))
     assert [r["position"] for r in order] == list(range(1, len(hits) + 1))
+
+
+def test_records_are_made_once(spark):
+    """Keeping records neither shuffles them nor runs what makes them a second time for a sample."""
+    made = spark.sparkContext.accumulator(0)
+
+    def records(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    rows = [(bytes([i % 7]), "call", None, f"n{i % 10}", i, None, i, None, None, None, None, None) for i in range(500)]
+    df = spark.createDataFrame(rows, I.RECORD_SCHEMA).repartition(4)
+    kept = I.ParseStore(df.select(F.lit("p").alias("project"), F.lit("x.py").alias("path"), "content_sha").limit(1),
+                        df.mapInArrow(records, I.RECORD_SCHEMA)).keep("once")
+    assert made.value == 500 and kept.of("call").count() == 500
+
+
+def test_a_module_with_two_files_keeps_the_first_path_and_its_repeats(spark):
+    files = spark.createDataFrame([("p", "a/b.py", "x"), ("p", "a/b.py", "x"), ("p", "a.b.py", "y"), ("p", "a/b.txt", "z"),
+                                   ("p", "m.py", "import a.b\n"), (None, "a/b.py", "n")], "project string, path string, content string")
+    found = I.resolve_imports(I.extract(files.where("path = 'm.py'")), files)
+    assert [(r["resolved_path"], r["resolved_content"]) for r in found.collect()] == [("a.b.py", "y")]
+    repeated = I.resolve_imports(I.extract(files.where("path = 'm.py'")), files.where("content <> 'y'"))
+    assert [r["resolved_content"] for r in repeated.collect()] == ["x", "x"]
+    scans = found._jdf.queryExecution().optimizedPlan().toString().count("resolved_content")
+    assert scans > 0 and found._jdf.queryExecution().optimizedPlan().toString().count("Window") == 1  # one pass over the files
+
+
+def test_a_large_round_is_decoded_once(spark, monkeypatch):
+    """Rounds too large for a broadcast give what small ones give, from calls that were decoded beforehand."""
+    from sourcelens.plans import joins
+
+    _, files = copies(spark, 3)
+    idx = I.extract(files.where("content is not null")).keep("round")
+    each = [("read_file", '{"file_path":"a.py"}'), ("read_file", '{"file_path":"../a.py"}'), ("read_file", '{"file_path":"none"}'),
+            ("get_function", '{"file_path":"b.py","name":"B"}'), ("get_function", '{"file_path":"bad.py","name":"B"}'),
+            ("search_symbol", '{"symbol":"b"}'), ("search_symbol", '{"symbol":"zz"}'), ("list_dir", "{}"), ("read_file", "[1]")]
+    calls = spark.createDataFrame([(i, f"p{i % 3}", *each[i % 9]) for i in range(90)],
+                                  "call_id long, project string, name string, arguments string")
+    ctx = L.LookupContext(files, idx, "/root")
+    small = sorted(map(tuple, L.dispatch(calls, ctx).collect()))
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 20)
+    out = L.dispatch(calls, ctx)
+    assert sorted(map(tuple, out.collect())) == small and len(small) == 100
+    assert "parse_json" not in out._jdf.queryExecution().optimizedPlan().toString()
