@@ -449,3 +449,30 @@ def test_a_large_round_is_decoded_once(spark, monkeypatch):
     out = L.dispatch(calls, ctx)
     assert sorted(map(tuple, out.collect())) == small and len(small) == 100
     assert "parse_json" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_walk_has_the_order_of_ast():
+    import asyncio.base_events
+    import typing
+
+    odd = "match x:\n    case {'a': 1, **r} | P(1, k=2): pass\nglobal g\nf = lambda *a, b=1: {**a, 1: f'{b!r:>{a}}'}\ntype T[K] = list[K]\n"
+    for text in [odd, B_PY, NESTED, "", *(open(m.__file__, encoding="utf-8").read() for m in (typing, asyncio.base_events))]:
+        tree = ast.parse(text)
+        assert [id(n) for n in I.walk(tree)] == [id(n) for n in ast.walk(tree)]
+
+
+def test_parsing_a_batch_runs_no_collector():
+    """The collector would go through every tree and row of the batch; afterwards it is as it was."""
+    import gc
+
+    import pyarrow as pa
+
+    text = "".join(f"def f{i}(): g{i}()\n" for i in range(300))
+    batch = pa.RecordBatch.from_arrays([pa.array([bytes([i]) for i in range(30)]), pa.array([text] * 30)], ["content_sha", "content"])
+    runs, count = [], lambda phase, info: runs.append(phase)
+    gc.callbacks.append(count)
+    try:
+        rows = I._batch_records(batch)
+    finally:
+        gc.callbacks.remove(count)
+    assert len(rows) == 30 * 601 and not runs and gc.isenabled()
