@@ -476,3 +476,24 @@ def test_parsing_a_batch_runs_no_collector():
     finally:
         gc.callbacks.remove(count)
     assert len(rows) == 30 * 601 and not runs and gc.isenabled()
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_requests_are_worked_out_once(spark, monkeypatch, small):
+    from sourcelens.plans import joins
+
+    made = spark.sparkContext.accumulator(0)
+
+    def requests(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    if not small:
+        monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
+    files = spark.createDataFrame([("p", "a.py", "def f(): g()\n"), ("q", "b.py", "f()\n")], "project string, path string, content string")
+    asked = spark.createDataFrame([("p", "f"), ("q", "f"), ("p", "z"), ("p", "f")], "project string, symbol string")
+    idx = I.extract(files).keep("asked_once")
+    hits = I.search_symbols(asked.mapInArrow(requests, asked.schema), idx)
+    assert sorted(r["hit"] for r in hits.collect()) == ["'z' not found in project", "CALLED   b.py:1", "DEFINED  a.py:1"]
+    assert made.value == 4
