@@ -478,6 +478,17 @@ def test_parsing_a_batch_runs_no_collector():
     assert len(rows) == 30 * 601 and not runs and gc.isenabled()
 
 
+def test_a_content_key_has_128_bits(spark):
+    """It is repeated in every path and record and cannot be shortened by a codec; equal contents have equal keys."""
+    import hashlib
+
+    files = spark.createDataFrame([("p", "a.py", "x = 1\n"), ("q", "b.py", "x = 1\n"), ("p", "c.py", "y\n"), ("p", "d.py", None)],
+                                  "project string, path string, content string")
+    got = {r["path"]: r["content_sha"] for r in I.extract(files).paths.collect()}
+    key = lambda s: hashlib.sha256(s.encode()).digest()[:16]
+    assert got == {"a.py": key("x = 1\n"), "b.py": key("x = 1\n"), "c.py": key("y\n"), "d.py": None}
+
+
 @pytest.mark.parametrize("small", [True, False])
 def test_requests_are_worked_out_once(spark, monkeypatch, small):
     from sourcelens.plans import joins
