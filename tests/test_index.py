@@ -508,3 +508,14 @@ def test_requests_are_worked_out_once(spark, monkeypatch, small):
     hits = I.search_symbols(asked.mapInArrow(requests, asked.schema), idx)
     assert sorted(r["hit"] for r in hits.collect()) == ["'z' not found in project", "CALLED   b.py:1", "DEFINED  a.py:1"]
     assert made.value == 4
+
+
+def test_skeleton_entries_are_worked_out_once(spark, monkeypatch):
+    from sourcelens.plans import catalog
+
+    asked, entries = [], I.skeleton_entries
+    monkeypatch.setattr(I, "skeleton_entries", lambda index: asked.append(1) or entries(index))
+    for name in ("compose_code_prompts", "vendored_prompts"):
+        asked.clear()
+        assert catalog.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+        assert len(asked) == 1, name
