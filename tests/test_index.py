@@ -515,7 +515,7 @@ def test_skeleton_entries_are_worked_out_once(spark, monkeypatch):
 
     asked, entries = [], I.skeleton_entries
     monkeypatch.setattr(I, "skeleton_entries", lambda index: asked.append(1) or entries(index))
-    for name in ("compose_code_prompts", "vendored_prompts"):
+    for name in ("compose_code_prompts", "compose_prompts", "vendored_prompts"):
         asked.clear()
         assert catalog.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
         assert len(asked) == 1, name

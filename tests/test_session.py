@@ -31,3 +31,21 @@ def test_released_tables_are_deleted(spark, monkeypatch):
     assert df.count() == 3 and os.path.isdir(local)
     assert session.release_tables(spark) == 1 and not os.path.exists(local)
     assert session.release_tables(spark) == 0
+
+
+def test_partitions_follow_the_data(spark):
+    """A cluster's fixed number of shuffle partitions does not make a task's share grow with the input."""
+    from pyspark.sql import functions as F
+
+    session.apply_job_conf(spark)
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        texts = spark.range(0, 40_000, numPartitions=4).select("id", F.sha2(F.col("id").cast("string"), 512).alias("t"))
+        parts = lambda n: texts.where(F.col("id") < n).groupBy("t").agg(F.collect_list("id")).rdd.getNumPartitions()
+        small, large = parts(400), parts(40_000)
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert small == 1 and large > 2
