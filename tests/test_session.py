@@ -49,3 +49,27 @@ def test_partitions_follow_the_data(spark):
         for k, v in kept.items():
             spark.conf.set(k, v)
     assert small == 1 and large > 2
+
+
+@pytest.mark.parametrize("was,now", [("128MB", 1), ("134217728b", 1), ("1g", 1), ("8m", 0), ("8388608", 0), ("512k", 0)])
+def test_a_task_is_dealt_bounded_bytes(was, now):
+    conf = dict.fromkeys(session.TASK_BYTES, was)
+    session.apply_job_conf(SimpleNamespace(conf=SimpleNamespace(get=conf.get, set=conf.__setitem__)))
+    assert {k: conf[k] for k in session.TASK_BYTES} == {k: str(most) if now else was for k, most in session.TASK_BYTES.items()}
+
+
+def test_a_stage_takes_its_input_in_bounded_tasks(spark):
+    """Tables are compressed: at Spark's own sizes a task would take all of these rows."""
+    from pyspark.sql import functions as F
+
+    sizes = {"spark.sql.files.maxPartitionBytes": "128MB", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB"}
+    kept = {k: spark.conf.get(k) for k in (*sizes, "spark.sql.adaptive.coalescePartitions.parallelismFirst")}
+    for k, v in (sizes | {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}).items():
+        spark.conf.set(k, v)
+    try:
+        session.apply_job_conf(spark)
+        rows = spark.range(0, 500_000, numPartitions=4).select("id", F.sha2(F.col("id").cast("string"), 512).alias("t"))
+        assert rows.groupBy("t").agg(F.collect_list("id")).rdd.getNumPartitions() > 1
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
